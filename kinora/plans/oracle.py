@@ -127,3 +127,86 @@ FROM hist"""
 
 
 ORACLE_SQL = _sql()
+
+
+# -- TF-IDF and similarity -----------------------------------------------------
+def _stop_list() -> str:
+    from kinora.functions.stopwords import ENGLISH_STOP_WORDS
+    return "[" + ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS) + "]"
+
+
+def tfidf_ctes(src: str) -> tuple[str, ...]:
+    """CTEs over ``src(doc_id, text)``: toks, grams, tf, ndocs, dfs, w0, wn."""
+    stop = _stop_list()
+    return (
+        f"""toks AS (
+  SELECT doc_id,
+         list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
+                     lambda x: NOT list_contains({stop}, x)) AS t
+  FROM {src})""",
+        """grams AS (
+  SELECT doc_id, unnest(t) AS term FROM toks
+  UNION ALL
+  SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term
+  FROM toks)""",
+        "tf AS (SELECT doc_id, term, count(*) AS c FROM grams GROUP BY doc_id, term)",
+        f"ndocs AS (SELECT count(*) AS n FROM {src})",
+        "dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term)",
+        """w0 AS (
+  SELECT tf.doc_id, tf.term, (1 + ln(tf.c)) * (ln((1 + ndocs.n) / (1 + dfs.df)) + 1) AS w
+  FROM tf JOIN dfs ON tf.term = dfs.term, ndocs)""",
+        "wn AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w0)",
+    )
+
+
+def topk_ctes(k: int) -> tuple[str, ...]:
+    """Exact cosine top-K over ``wn`` -> nn(src, dst, rnk, similarity_score)."""
+    return (
+        """sims AS (
+  SELECT a.doc_id AS src, b.doc_id AS dst, sum(a.w * b.w) AS score
+  FROM wn a JOIN wn b ON a.term = b.term AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id)""",
+        """sims_q AS (
+  SELECT src, dst, round_even(score * CAST(1e9 AS DOUBLE), 0) AS q FROM sims WHERE score > 0)""",
+        f"""nn AS (
+  SELECT src, dst, CAST(rnk AS INTEGER) AS rnk,
+         round_even(q / CAST(1e5 AS DOUBLE), 0) / CAST(1e4 AS DOUBLE) AS similarity_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY q DESC, dst) AS rnk FROM sims_q)
+  WHERE rnk <= {k})""",
+    )
+
+
+FEATURE_DOCS = f"""feature_docs AS (
+  SELECT movie_id AS doc_id,
+         lower(concat_ws(' ',
+           regexp_replace(regexp_replace(title, '{WS}*\\(\\d{{4}}\\)', '', 'g'), '^{WS}+|{WS}+$', '', 'g'),
+           translate(genres, '|-', '  '), translate(genres, '|-', '  '),
+           CAST(release_year AS VARCHAR))) AS text
+  FROM clean_movies)"""
+
+EN_DOCS = "en_docs AS (SELECT doc_id, text FROM documents WHERE lang = 'en')"
+ALL_DOCS = "all_docs AS (SELECT doc_id, text FROM documents)"
+
+
+def content_topk_sql(k: int) -> str:
+    return (with_(RAW_MOVIES, CLEAN_MOVIES, FEATURE_DOCS, *tfidf_ctes("feature_docs"), *topk_ctes(k))
+            + "SELECT src AS movie_id, dst AS recommended_movie_id, rnk AS rank, similarity_score FROM nn")
+
+
+def _sql_similarity() -> dict[str, str]:
+    q: dict[str, str] = {}
+    toks = tfidf_ctes("all_docs")[0]
+    q["tokens"] = with_(ALL_DOCS, toks) + """
+SELECT doc_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token FROM toks"""
+    q["ngrams"] = with_(ALL_DOCS, *tfidf_ctes("all_docs")[:3]) + """
+SELECT doc_id, term, c AS tf_count FROM tf"""
+    q["tfidf_weights"] = with_(EN_DOCS, *tfidf_ctes("en_docs")) + f"""
+SELECT doc_id, term, {sql_round_even('w', 9)} AS weight FROM wn"""
+    q["content_topk"] = content_topk_sql(15)
+    q["content_topk100"] = content_topk_sql(100)
+    q["doc_similarity_topk"] = (with_(EN_DOCS, *tfidf_ctes("en_docs"), *topk_ctes(10))
+                                + "SELECT src AS doc_id, dst AS neighbour_id, rnk AS rank, similarity_score FROM nn")
+    return q
+
+
+ORACLE_SQL.update(_sql_similarity())

@@ -76,3 +76,61 @@ def q_cleaning_metrics(spark, sf_dir):
 def q_rating_histogram(spark, sf_dir):
     b = _build(spark, sf_dir)
     return ratings.rating_histogram(b.pairs, b.clean_movies)
+
+
+# -- features and similarity ---------------------------------------------------
+def _documents(spark, sf_dir, english_only: bool):
+    from kinora.sources.fixtures import table
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    if english_only:
+        docs = docs.where(F.col("lang") == "en")
+    return docs.select("doc_id", "text")
+
+
+def _feature_items(spark, sf_dir):
+    from kinora.functions import text
+    clean = _build(spark, sf_dir).clean_movies
+    return clean.select("movie_id", text.feature_text("title", "genres", "release_year").alias("feature_text"))
+
+
+@register("tokens")
+def q_tokens(spark, sf_dir):
+    from kinora.operators import tfidf
+    return tfidf.tokens(_documents(spark, sf_dir, False))
+
+
+@register("ngrams")
+def q_ngrams(spark, sf_dir):
+    from kinora.operators import tfidf
+    return tfidf.term_counts(_documents(spark, sf_dir, False))
+
+
+@register("tfidf_weights")
+def q_tfidf_weights(spark, sf_dir):
+    from kinora.functions.rounding import round_even
+    from kinora.operators import tfidf
+    w = tfidf.tfidf_weights(_documents(spark, sf_dir, True))
+    return w.select("doc_id", "term", round_even(F.col("weight"), 9).alias("weight"))
+
+
+@register("content_topk")
+def q_content_topk(spark, sf_dir):
+    from kinora.operators import similarity
+    from kinora.plans.build import DEFAULT_TOP_K
+    return similarity.content_neighbours(spark, _feature_items(spark, sf_dir), DEFAULT_TOP_K)
+
+
+@register("content_topk100")
+def q_content_topk100(spark, sf_dir):
+    from kinora.operators import similarity
+    from kinora.plans.build import PIPELINE_TOP_K
+    return similarity.content_neighbours(spark, _feature_items(spark, sf_dir), PIPELINE_TOP_K)
+
+
+@register("doc_similarity_topk")
+def q_doc_similarity_topk(spark, sf_dir):
+    from kinora.operators import similarity
+    nn = similarity.content_neighbours(spark, _documents(spark, sf_dir, True), 10,
+                                       id_col="doc_id", text_col="text")
+    return nn.select("doc_id", F.col("recommended_doc_id").alias("neighbour_id"), "rank",
+                     "similarity_score")
