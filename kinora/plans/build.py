@@ -71,3 +71,24 @@ class CatalogueBuild:
             self.transformed.select("movie_id", "popularity_score"),
             [F.col("popularity_score").desc_nulls_last(), F.col("movie_id").asc()], top_n)
         return ranked.select("movie_id", "rank", "popularity_score")
+
+    # -- serving tables --------------------------------------------------------
+    @cached_property
+    def feature_items(self) -> DataFrame:
+        from kinora.functions import text
+        return self.clean_movies.select(
+            "movie_id", text.feature_text("title", "genres", "release_year").alias("feature_text"))
+
+    def recommendations(self, k: int = DEFAULT_TOP_K, n_blocks: int | None = None) -> DataFrame:
+        from kinora.operators import similarity
+        spark = self.raw_movies.sparkSession
+        return similarity.content_neighbours(spark, self.feature_items, k, n_blocks=n_blocks)
+
+    def serving(self, k: int = DEFAULT_TOP_K, recommendations: DataFrame | None = None):
+        from kinora.operators.serving import ServingTables
+        return ServingTables(
+            movies=self.clean_movies.select("movie_id", "title", "genres", "release_year"),
+            ratings_summary=self.ratings_summary,
+            recs=recommendations if recommendations is not None else (lambda: self.recommendations(k)),
+            popular_movies=self.popular_movies(),
+        )

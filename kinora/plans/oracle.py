@@ -210,3 +210,114 @@ SELECT doc_id, term, {sql_round_even('w', 9)} AS weight FROM wn"""
 
 
 ORACLE_SQL.update(_sql_similarity())
+
+
+# -- serving reads -------------------------------------------------------------
+SERVING_VIEWS = """movies AS (SELECT movie_id, title, genres, release_year FROM clean_movies),
+catalog_view AS (
+  SELECT m.movie_id, m.title, m.genres, m.release_year,
+         coalesce(s.avg_rating, 0.0) AS avg_rating,
+         coalesce(s.rating_count, 0) AS rating_count,
+         coalesce(s.popularity_score, 0.0) AS popularity_score
+  FROM movies m LEFT JOIN ratings_summary s ON m.movie_id = s.movie_id),
+rated AS (
+  SELECT m.movie_id, m.title, m.genres, m.release_year, s.rating_count, s.avg_rating, s.popularity_score
+  FROM movies m JOIN ratings_summary s ON m.movie_id = s.movie_id)"""
+
+SERVING = CORE + (POPULAR.format(n=50), SERVING_VIEWS)
+
+SORT_SQL = {
+    "popularity": "popularity_score DESC, rating_count DESC, movie_id",
+    "rating": "avg_rating DESC, rating_count DESC, movie_id",
+    "votes": "rating_count DESC, movie_id",
+    "title": "title ASC NULLS LAST, movie_id",
+    "year": "release_year DESC NULLS LAST, popularity_score DESC, movie_id",
+}
+
+MEAN_2DP = "floor(sum(CAST(round_even({c} * 100.0, 0) AS BIGINT)) / count({c}) + 0.5) / 100.0"
+
+GENRE_STATS = f"""genre_stats AS (
+  SELECT genre, count(*) AS count, {MEAN_2DP.format(c='avg_rating')} AS avg_rating
+  FROM (SELECT unnest(string_split(genres, '|')) AS genre, avg_rating FROM rated)
+  WHERE genre <> 'Unknown' AND genre <> ''
+  GROUP BY genre)"""
+
+REQUESTS = """requests AS (
+  SELECT CAST(p_partkey AS BIGINT) AS request_id, CAST(NULL AS VARCHAR) AS title FROM part
+  UNION ALL
+  SELECT DISTINCT CAST(NULL AS BIGINT), upper(p_name) FROM part
+  UNION ALL SELECT CAST(999999 AS BIGINT), CAST(NULL AS VARCHAR)
+  UNION ALL SELECT CAST(NULL AS BIGINT), '   '
+  UNION ALL SELECT CAST(NULL AS BIGINT), 'Supercalifragilistic12345NonExistent')"""
+
+
+def _list_sql(sort_by="popularity", page=1, page_size=20, genre=None) -> str:
+    where = f"WHERE genres ILIKE '%{genre}%'" if genre else ""
+    order = SORT_SQL.get(sort_by, SORT_SQL["popularity"])
+    return (with_(*SERVING) + f"SELECT * FROM catalog_view {where} ORDER BY {order} "
+            f"LIMIT {page_size} OFFSET {(page - 1) * page_size}")
+
+
+def _leader_sql(order: str, where: str = "") -> str:
+    return with_(*SERVING) + f"""
+SELECT CAST(row_number() OVER (ORDER BY {order}, movie_id) AS INTEGER) AS rank,
+       movie_id, title, genres, release_year, avg_rating, rating_count, popularity_score
+FROM rated {where} ORDER BY {order}, movie_id LIMIT 10"""
+
+
+def _sql_serving() -> dict[str, str]:
+    q: dict[str, str] = {}
+    for mode in ("popularity", "rating", "votes", "title", "year"):
+        q[f"list_{mode}"] = _list_sql(mode)
+    q["list_page2"] = _list_sql(page=2)
+    q["list_by_genre"] = _list_sql(genre="promo", page_size=50)
+    q["list_unknown_sort"] = _list_sql("no-such-mode", page=3)
+    q["list_total"] = with_(*SERVING) + "SELECT count(*) AS total FROM movies WHERE genres ILIKE '%promo%'"
+    q["search_titles"] = with_(*SERVING) + """
+SELECT m.movie_id, m.title, m.genres, m.release_year,
+       coalesce(s.avg_rating, 0.0) AS avg_rating, coalesce(s.rating_count, 0) AS rating_count,
+       coalesce(s.popularity_score, 0.0) AS popularity_score
+FROM movies m LEFT JOIN ratings_summary s ON m.movie_id = s.movie_id
+WHERE m.title ILIKE '%Blue Anvil%'
+ORDER BY CASE WHEN lower(m.title) = lower('Blue Anvil') THEN 1
+              WHEN lower(m.title) LIKE lower('Blue Anvil') || '%' THEN 2 ELSE 3 END,
+         s.popularity_score DESC NULLS LAST, m.movie_id
+LIMIT 50"""
+    q["lookup_by_id"] = with_(*SERVING, REQUESTS) + """
+SELECT r.request_id, (c.movie_id IS NOT NULL) AS found, c.title, c.genres, c.release_year,
+       c.avg_rating, c.rating_count, c.popularity_score
+FROM requests r LEFT JOIN catalog_view c ON r.request_id = c.movie_id
+WHERE r.request_id IS NOT NULL"""
+    q["popular_list"] = with_(*SERVING) + """
+SELECT p.rank, m.movie_id, m.title, m.genres, m.release_year, s.avg_rating, s.rating_count,
+       p.popularity_score
+FROM popular_movies p JOIN movies m ON p.movie_id = m.movie_id
+JOIN ratings_summary s ON m.movie_id = s.movie_id
+ORDER BY p.rank LIMIT 20"""
+    q["genre_stats"] = with_(*SERVING, GENRE_STATS) + "SELECT * FROM genre_stats"
+    q["genre_list"] = with_(*SERVING) + """
+SELECT DISTINCT genre FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM movies)
+WHERE genre <> 'Unknown' AND genre <> ''"""
+    q["genre_top6"] = with_(*SERVING, GENRE_STATS) + """
+, top6 AS (SELECT CAST(row_number() OVER (ORDER BY count DESC, genre) AS INTEGER) AS position, genre, count
+           FROM genre_stats ORDER BY count DESC, genre LIMIT 6)
+SELECT position, genre, count, count / (SELECT max(count) FROM top6) AS ratio_to_max FROM top6"""
+    q["dataset_summary"] = with_(*SERVING, GENRE_STATS) + f"""
+SELECT count(movie_id) AS total_movies, CAST(coalesce(sum(rating_count), 0) AS BIGINT) AS total_ratings,
+       {MEAN_2DP.format(c='avg_rating')} AS average_rating,
+       (SELECT count(*) FROM genre_stats) AS total_genres,
+       (SELECT count(*) FROM movies) AS catalog_count
+FROM rated"""
+    q["top_rated"] = _leader_sql("popularity_score DESC", "WHERE rating_count >= 40")
+    q["most_rated"] = _leader_sql("rating_count DESC")
+    q["table_counts"] = with_(*SERVING, FEATURE_DOCS, *tfidf_ctes("feature_docs"), *topk_ctes(15)) + """
+, counts AS (
+  SELECT 'movies' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS min_rows FROM movies
+  UNION ALL SELECT 'ratings_summary', count(*), 1 FROM ratings_summary
+  UNION ALL SELECT 'recommendations', count(*), 1 FROM nn
+  UNION ALL SELECT 'popular_movies', count(*), 50 FROM popular_movies)
+SELECT table_name, row_count, min_rows, row_count >= min_rows AS ok FROM counts"""
+    return q
+
+
+ORACLE_SQL.update(_sql_serving())

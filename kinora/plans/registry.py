@@ -134,3 +134,65 @@ def q_doc_similarity_topk(spark, sf_dir):
                                        id_col="doc_id", text_col="text")
     return nn.select("doc_id", F.col("recommended_doc_id").alias("neighbour_id"), "rank",
                      "similarity_score")
+
+
+# -- serving reads -------------------------------------------------------------
+def _serving(spark, sf_dir, k: int = 15):
+    return _build(spark, sf_dir).serving(k)
+
+
+def _list_query(**kw):
+    def q(spark, sf_dir):
+        from kinora.operators import serving
+        return serving.list_movies(_serving(spark, sf_dir), **kw)
+    return q
+
+
+# FIXED VALUES of the registered listing requests.
+LIST_GENRE = "promo"
+SEARCH_QUERY = "Blue Anvil"
+
+for _mode in ("popularity", "rating", "votes", "title", "year"):
+    register(f"list_{_mode}")(_list_query(sort_by=_mode))
+register("list_page2")(_list_query(page=2, page_size=20))
+register("list_by_genre")(_list_query(genre=LIST_GENRE, page_size=50))
+register("list_unknown_sort")(_list_query(sort_by="no-such-mode", page=3))
+
+
+@register("list_total")
+def q_list_total(spark, sf_dir):
+    from kinora.operators import serving
+    return serving.list_total(_serving(spark, sf_dir), LIST_GENRE)
+
+
+@register("search_titles")
+def q_search_titles(spark, sf_dir):
+    from kinora.operators import serving
+    return serving.search_titles(_serving(spark, sf_dir), SEARCH_QUERY, limit=50)
+
+
+@register("lookup_by_id")
+def q_lookup_by_id(spark, sf_dir):
+    from kinora.operators import serving
+    from kinora.sources import fixtures
+    reqs = fixtures.requests(spark, sf_dir).where(F.col("request_id").isNotNull())
+    return serving.lookup_by_id(_serving(spark, sf_dir), reqs)
+
+
+def _simple(name, fn_name):
+    def q(spark, sf_dir):
+        from kinora.operators import serving
+        return getattr(serving, fn_name)(_serving(spark, sf_dir))
+    register(name)(q)
+
+
+for _name in ("popular_list", "genre_stats", "genre_list", "genre_top6", "dataset_summary",
+              "top_rated", "most_rated"):
+    _simple(_name, _name)
+
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    from kinora.operators import serving
+    from kinora.plans.build import POPULAR_TOP_N
+    return serving.table_counts(_serving(spark, sf_dir), {"popular_movies": POPULAR_TOP_N})

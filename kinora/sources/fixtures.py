@@ -53,3 +53,23 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.ceil(F.col("l_quantity") / 5).cast("double") / 2 + bonus).alias("rating"),
         epoch_seconds("o_orderdate").cast("bigint").alias("timestamp"),
     )
+
+
+# FIXED VALUES: edge-case requests appended to the data-derived request table.
+UNKNOWN_REQUEST_ID = 999999
+BLANK_TITLE = "   "
+NO_MATCH_TITLE = "Supercalifragilistic12345NonExistent"
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request table: every part key by id, every distinct part name (upper-cased)
+    by title, plus an unknown id, a blank title and a title that matches nothing."""
+    part = table(spark, sf_dir, "part")
+    by_id = part.select(F.col("p_partkey").cast("bigint").alias("request_id"),
+                        F.lit(None).cast("string").alias("title"))
+    by_title = part.select(F.lit(None).cast("bigint").alias("request_id"),
+                           F.upper("p_name").alias("title")).distinct()
+    edge = spark.createDataFrame(
+        [(UNKNOWN_REQUEST_ID, None), (None, BLANK_TITLE), (None, NO_MATCH_TITLE)],
+        "request_id bigint, title string")
+    return by_id.unionByName(by_title).unionByName(edge)
