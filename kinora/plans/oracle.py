@@ -321,3 +321,112 @@ SELECT table_name, row_count, min_rows, row_count >= min_rows AS ok FROM counts"
 
 
 ORACLE_SQL.update(_sql_serving())
+
+
+# -- recommendations -------------------------------------------------------------
+NULL_REC = ("CAST(NULL AS INTEGER) AS rank, CAST(NULL AS BIGINT) AS movie_id, CAST(NULL AS VARCHAR) AS title, "
+            "CAST(NULL AS VARCHAR) AS genres, CAST(NULL AS INTEGER) AS release_year, "
+            "CAST(NULL AS DOUBLE) AS avg_rating, CAST(NULL AS BIGINT) AS rating_count, "
+            "CAST(NULL AS DOUBLE) AS popularity_score, CAST(NULL AS DOUBLE) AS similarity_score")
+
+
+def recommend_ctes(k: int, reqs: str = "id_reqs", key: str = "request_id") -> tuple[str, ...]:
+    """rec_rows over ``reqs(<key>, source_id)`` with neighbours ``nn``."""
+    return (f"""rec_ok AS (
+  SELECT r.{key}, r.source_id, 'ok' AS status, false AS is_fallback, nn.rnk AS rank,
+         c.movie_id, c.title, c.genres, c.release_year, c.avg_rating, c.rating_count,
+         c.popularity_score, nn.similarity_score
+  FROM {reqs} r JOIN nn ON nn.src = r.source_id JOIN catalog_view c ON c.movie_id = nn.dst
+  WHERE nn.rnk <= {k} AND r.source_id IN (SELECT movie_id FROM movies))""",
+            f"""rec_fb AS (
+  SELECT * FROM (
+    SELECT r.{key}, r.source_id, 'fallback' AS status, true AS is_fallback,
+           CAST(row_number() OVER (PARTITION BY r.{key} ORDER BY p.rank) AS INTEGER) AS rank,
+           m.movie_id, m.title, m.genres, m.release_year, s.avg_rating, s.rating_count,
+           p.popularity_score, CAST(0.0 AS DOUBLE) AS similarity_score
+    FROM {reqs} r, popular_movies p JOIN movies m ON p.movie_id = m.movie_id
+         JOIN ratings_summary s ON s.movie_id = m.movie_id
+    WHERE r.source_id IN (SELECT movie_id FROM movies)
+      AND r.source_id NOT IN (SELECT src FROM nn) AND m.movie_id <> r.source_id)
+  WHERE rank <= {k})""",
+            f"""rec_nf AS (
+  SELECT r.{key}, r.source_id, 'not_found' AS status, false AS is_fallback, {NULL_REC}
+  FROM {reqs} r WHERE r.source_id NOT IN (SELECT movie_id FROM movies))""",
+            """rec_rows AS (
+  SELECT * FROM rec_ok UNION ALL BY NAME SELECT * FROM rec_fb UNION ALL BY NAME SELECT * FROM rec_nf)""")
+
+
+ID_REQS = "id_reqs AS (SELECT request_id, request_id AS source_id FROM requests WHERE request_id IS NOT NULL)"
+KEYED_REQS = """keyed AS (
+  SELECT CASE WHEN request_id IS NOT NULL THEN 'id:' || CAST(request_id AS VARCHAR)
+              ELSE 'title:' || title END AS request_key, request_id, title
+  FROM requests)"""
+TITLE_QUERIES = f"""tq AS (
+  SELECT request_key AS query_id, regexp_replace(title, '^{WS}+|{WS}+$', '', 'g') AS q
+  FROM keyed WHERE request_id IS NULL
+    AND coalesce(regexp_replace(title, '^{WS}+|{WS}+$', '', 'g'), '') <> '')"""
+SEARCH_MATCHES = """matches AS (
+  SELECT tq.query_id, m.movie_id, m.title, m.genres, m.release_year,
+         coalesce(s.avg_rating, 0.0) AS avg_rating, coalesce(s.rating_count, 0) AS rating_count,
+         coalesce(s.popularity_score, 0.0) AS popularity_score,
+         CAST(row_number() OVER (PARTITION BY tq.query_id ORDER BY
+              CASE WHEN lower(m.title) = lower(tq.q) THEN 1
+                   WHEN lower(m.title) LIKE lower(tq.q) || '%' THEN 2 ELSE 3 END,
+              s.popularity_score DESC NULLS LAST, m.movie_id) AS INTEGER) AS position
+  FROM tq JOIN movies m ON m.title ILIKE '%' || tq.q || '%'
+  LEFT JOIN ratings_summary s ON s.movie_id = m.movie_id)"""
+
+
+def _nn(k: int) -> tuple[str, ...]:
+    return (FEATURE_DOCS, *tfidf_ctes("feature_docs"), *topk_ctes(k))
+
+
+def _sql_recommend() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["recommend_with_fallback"] = (with_(*SERVING, REQUESTS, ID_REQS, *_nn(10), *recommend_ctes(10))
+                                    + "SELECT * FROM rec_rows")
+    q["similar_breakdown"] = with_(*SERVING, REQUESTS, ID_REQS, *_nn(5), *recommend_ctes(5)) + f"""
+SELECT r.request_id, r.source_id, m.title AS source_title, m.genres AS source_genres,
+       'TF-IDF N-Gram Vectorization + Cosine Similarity' AS similarity_method, r.rank,
+       r.movie_id AS recommended_movie_id, r.title, r.genres, r.similarity_score, r.avg_rating
+FROM rec_rows r JOIN movies m ON m.movie_id = r.source_id WHERE r.status <> 'not_found'"""
+    q["search_batch"] = (with_(*SERVING, REQUESTS, KEYED_REQS, TITLE_QUERIES, SEARCH_MATCHES)
+                         + "SELECT query_id, position, movie_id, title, genres, release_year, avg_rating, "
+                           "rating_count, popularity_score FROM matches WHERE position <= 20")
+    q["resolve_title"] = (with_(*SERVING, REQUESTS, KEYED_REQS, TITLE_QUERIES, SEARCH_MATCHES)
+                          + "SELECT query_id, movie_id, title FROM matches WHERE position = 1")
+    q["recommend_by_title"] = with_(
+        *SERVING, REQUESTS, KEYED_REQS, TITLE_QUERIES, SEARCH_MATCHES, *_nn(10),
+        """targets AS (
+  SELECT request_key, request_id AS source_id FROM keyed WHERE request_id IS NOT NULL
+  UNION ALL SELECT query_id, movie_id FROM matches WHERE position = 1)""",
+        *recommend_ctes(10, "targets", "request_key")) + f"""
+SELECT * FROM rec_rows
+UNION ALL BY NAME
+SELECT query_id AS request_key, CAST(NULL AS BIGINT) AS source_id, 'no_match' AS status, false AS is_fallback,
+       {NULL_REC}
+FROM tq WHERE query_id NOT IN (SELECT query_id FROM matches)
+UNION ALL BY NAME
+SELECT request_key, CAST(NULL AS BIGINT) AS source_id, 'rejected' AS status, false AS is_fallback, {NULL_REC}
+FROM keyed WHERE request_id IS NULL
+  AND coalesce(regexp_replace(title, '^{WS}+|{WS}+$', '', 'g'), '') = ''"""
+    q["serve_recommendations"] = with_(*SERVING, *_nn(5)) + """
+SELECT nn.src AS source_id, nn.rnk AS rank, m.movie_id, m.title, m.genres, s.avg_rating, nn.similarity_score
+FROM nn JOIN movies m ON nn.dst = m.movie_id LEFT JOIN ratings_summary s ON s.movie_id = m.movie_id"""
+    q["segment_topk"] = with_(*SERVING, REQUESTS, ID_REQS, *_nn(100), *recommend_ctes(100)) + """
+SELECT * FROM (
+  SELECT request_id, CASE WHEN movie_id >= 1000 THEN 'high' ELSE 'low' END AS segment,
+         CAST(row_number() OVER (PARTITION BY request_id, CASE WHEN movie_id >= 1000 THEN 'high' ELSE 'low' END
+                                 ORDER BY rank) AS INTEGER) AS segment_rank,
+         rank, movie_id, similarity_score
+  FROM rec_rows WHERE status <> 'not_found')
+WHERE segment_rank <= 15"""
+    q["title_like_neighbours"] = with_(*SERVING, *_nn(100)) + """
+SELECT m.title, m.movie_id, nn.similarity_score
+FROM nn JOIN movies m ON nn.dst = m.movie_id
+WHERE nn.src = (SELECT min(movie_id) FROM movies WHERE title LIKE '%blue anvil%')
+ORDER BY nn.similarity_score DESC, nn.rnk LIMIT 40"""
+    return q
+
+
+ORACLE_SQL.update(_sql_recommend())

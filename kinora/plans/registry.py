@@ -196,3 +196,77 @@ def q_table_counts(spark, sf_dir):
     from kinora.operators import serving
     from kinora.plans.build import POPULAR_TOP_N
     return serving.table_counts(_serving(spark, sf_dir), {"popular_movies": POPULAR_TOP_N})
+
+
+# -- recommendations -----------------------------------------------------------
+# FIXED VALUES of the registered recommendation requests.
+TITLE_PATTERN = "blue anvil"     # case-sensitive title pattern of the ad-hoc check
+SEGMENT_THRESHOLD = 1000         # fixture ids are part keys, so the split is at 1000
+
+
+def _id_requests(spark, sf_dir):
+    from kinora.sources import fixtures
+    r = fixtures.requests(spark, sf_dir).where(F.col("request_id").isNotNull())
+    return r.select("request_id", F.col("request_id").alias("movie_id"))
+
+
+def _keyed_requests(spark, sf_dir):
+    from kinora.sources import fixtures
+    r = fixtures.requests(spark, sf_dir)
+    key = F.when(F.col("request_id").isNotNull(), F.concat(F.lit("id:"), F.col("request_id").cast("string"))
+                 ).otherwise(F.concat(F.lit("title:"), F.col("title")))
+    return r.select(key.alias("request_key"), "request_id", "title")
+
+
+def _title_queries(spark, sf_dir):
+    r = _keyed_requests(spark, sf_dir).where(F.col("request_id").isNull())
+    return r.select(F.col("request_key").alias("query_id"), F.col("title").alias("query"))
+
+
+@register("recommend_with_fallback")
+def q_recommend_with_fallback(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.recommend(_serving(spark, sf_dir, 10), _id_requests(spark, sf_dir), 10)
+
+
+@register("similar_breakdown")
+def q_similar_breakdown(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.similar_breakdown(_serving(spark, sf_dir, 5), _id_requests(spark, sf_dir), 5)
+
+
+@register("recommend_by_title")
+def q_recommend_by_title(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.recommend_by_request(_serving(spark, sf_dir, 10), _keyed_requests(spark, sf_dir), 10)
+
+
+@register("search_batch")
+def q_search_batch(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.search_batch(_serving(spark, sf_dir), _title_queries(spark, sf_dir), 20)
+
+
+@register("resolve_title")
+def q_resolve_title(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.resolve_titles(_serving(spark, sf_dir), _title_queries(spark, sf_dir))
+
+
+@register("serve_recommendations")
+def q_serve_recommendations(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.serve_neighbours(_serving(spark, sf_dir, 5), 5)
+
+
+@register("segment_topk")
+def q_segment_topk(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.segment_topk(_serving(spark, sf_dir, 100), _id_requests(spark, sf_dir),
+                                  SEGMENT_THRESHOLD)
+
+
+@register("title_like_neighbours")
+def q_title_like_neighbours(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.title_like_neighbours(_serving(spark, sf_dir, 100), TITLE_PATTERN, 40)
