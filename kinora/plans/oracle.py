@@ -430,3 +430,210 @@ ORDER BY nn.similarity_score DESC, nn.rnk LIMIT 40"""
 
 
 ORACLE_SQL.update(_sql_recommend())
+
+
+# -- linkage and enrichment ------------------------------------------------------
+def _trim(e: str) -> str:
+    return f"regexp_replace({e}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def _fix_article(e: str) -> str:
+    t = _trim(e)
+    apos = f"'(?i)^(.*),{WS}*(L'')$'"
+    plain = f"'(?i)^(.*),{WS}*(The|A|An|Les|La|Le|Il|Das|Der|Die|El)$'"
+    return (f"(CASE WHEN regexp_matches({t}, {apos}) THEN regexp_replace({t}, {apos}, '\\2\\1') "
+            f"WHEN regexp_matches({t}, {plain}) THEN regexp_replace({t}, {plain}, '\\2 \\1') "
+            f"ELSE {t} END)")
+
+
+def _norm(e: str) -> str:
+    return f"regexp_replace(lower(coalesce({e}, '')), '[^a-z0-9]', '', 'g')"
+
+
+def parse_ctes(src: str) -> tuple[str, ...]:
+    """parsed(movie_id, pyear, candidates) over ``src(movie_id, title)``."""
+    return (
+        f"""pt0 AS (
+  SELECT movie_id,
+         TRY_CAST(regexp_extract(title, '\\((\\d{{4}})\\){WS}*$', 1) AS INTEGER) AS pyear,
+         {_trim(f"regexp_replace(title, '{WS}*\\(\\d{{4}}\\){WS}*$', '')")} AS base
+  FROM {src})""",
+        f"""pt1 AS (
+  SELECT movie_id, pyear, regexp_extract_all(base, '\\(([^)]+)\\)', 1) AS alts,
+         {_trim(f"regexp_replace(base, '{WS}*\\([^)]*\\)', '', 'g')")} AS main
+  FROM pt0)""",
+        f"""pt2 AS (
+  SELECT movie_id, pyear,
+         list_concat([{_fix_article('main')}, main],
+                     list_transform(alts, lambda a: {_fix_article(f"regexp_replace(a, '(?i)^a\\.k\\.a\\.?{WS}*', '')")})) AS c
+  FROM pt1)""",
+        """parsed AS (
+  SELECT movie_id, pyear,
+         list_filter(c, lambda x, i: x <> '' AND NOT list_contains(list_transform(c[1:i-1], lambda y: lower(y)), lower(x))) AS candidates
+  FROM pt2)""")
+
+
+VARIANTS = """variants AS (
+  SELECT CAST(p_partkey AS BIGINT) AS movie_id,
+         CASE p_partkey % 4
+           WHEN 1 THEN p_name || ', The (' || CAST(1960 + p_size AS VARCHAR) || ')'
+           WHEN 2 THEN p_name || ' (' || upper(p_name) || ') (' || CAST(1960 + p_size AS VARCHAR) || ')'
+           WHEN 3 THEN p_name || ', L'' (a.k.a. ' || reverse(p_name) || ') (' || CAST(1960 + p_size AS VARCHAR) || ')'
+           ELSE p_name || ' (' || CAST(1960 + p_size AS VARCHAR) || ')' END AS title
+  FROM part)"""
+
+HITS = """hits AS (
+  SELECT CAST(p.p_partkey + 100000 AS BIGINT) AS ext_id,
+         upper(left(replace(p.p_name, ' ', '-'), 1)) || lower(substr(replace(p.p_name, ' ', '-'), 2)) AS title,
+         upper(p.p_name) AS original_title,
+         CAST(1960 + p.p_size + p.p_partkey % 3 - 1 AS VARCHAR) || '-06-15' AS release_date,
+         CAST(coalesce(v.n, 0) AS BIGINT) AS vote_count,
+         CAST(p.p_retailprice % 10 AS DOUBLE) AS vote_average,
+         CASE WHEN p.p_partkey % 5 = 0 THEN NULL ELSE '/p' || CAST(p.p_partkey AS VARCHAR) || '.jpg' END AS poster_path,
+         CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE '/b' || CAST(p.p_partkey AS VARCHAR) || '.jpg' END AS backdrop_path,
+         'About ' || p.p_name AS overview
+  FROM part p LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey) v
+       ON p.p_partkey = v.l_partkey)"""
+
+HIT_YEAR = ("CASE WHEN regexp_matches(left(coalesce(release_date, ''), 4), '^\\d{4}$') "
+            "THEN CAST(left(release_date, 4) AS INTEGER) END")
+
+
+def _score_sql(pool: str) -> str:
+    return f"""SELECT p.movie_id, p.ext_id,
+         (CASE WHEN len(list_filter(b.candidates, lambda c: {_norm('c')} = h.nt OR {_norm('c')} = h.no)) > 0
+               THEN CAST(10.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)
+         + (CASE WHEN b.year IS NULL OR h.hit_year IS NULL THEN CAST(0.0 AS DOUBLE)
+                 WHEN abs(h.hit_year - b.year) = 0 THEN CAST(6.0 AS DOUBLE)
+                 WHEN abs(h.hit_year - b.year) = 1 THEN CAST(3.0 AS DOUBLE) ELSE CAST(-5.0 AS DOUBLE) END)
+         + least(h.vote_count, 5000) / CAST(1000.0 AS DOUBLE)
+         - (CASE WHEN coalesce(h.poster_path, '') = '' THEN CAST(3.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS score
+  FROM {pool} p JOIN link_base b ON p.movie_id = b.movie_id JOIN hs h ON p.ext_id = h.ext_id"""
+
+
+def link_ctes(items: str) -> tuple[str, ...]:
+    """links(movie_id, ext_id, score, pass) for ``items(movie_id, title, release_year)``."""
+    best = ("SELECT movie_id, ext_id, score FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY movie_id ORDER BY score DESC, ext_id) AS rn FROM {s}) WHERE rn = 1")
+    return (
+        *parse_ctes(items),
+        f"""link_base AS (
+  SELECT i.movie_id, coalesce(CASE WHEN i.release_year <> 0 THEN i.release_year END, p.pyear) AS year,
+         p.candidates
+  FROM {items} i JOIN parsed p ON i.movie_id = p.movie_id)""",
+        f"""link_cands AS (
+  SELECT movie_id, year, cand, cpos, {_norm('cand')} AS key FROM (
+    SELECT movie_id, year, unnest(candidates) AS cand, generate_subscripts(candidates, 1) - 1 AS cpos
+    FROM link_base))""",
+        f"""hidx AS (
+  SELECT DISTINCT key, ext_id, hit_year, votes FROM (
+    SELECT unnest([{_norm('title')}, {_norm('original_title')}]) AS key, ext_id,
+           {HIT_YEAR} AS hit_year, vote_count AS votes
+    FROM hits))""",
+        """r1 AS (
+  SELECT key, hit_year AS year, ext_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY key, hit_year ORDER BY votes DESC, ext_id) AS rn
+    FROM hidx WHERE hit_year IS NOT NULL) WHERE rn <= 10)""",
+        """r2 AS (
+  SELECT key, ext_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY votes DESC, ext_id) AS rn FROM hidx)
+  WHERE rn <= 10)""",
+        f"""hs AS (
+  SELECT ext_id, {_norm('title')} AS nt, {_norm('original_title')} AS no, {HIT_YEAR} AS hit_year,
+         vote_count, poster_path FROM hits)""",
+        """pool1 AS (
+  SELECT DISTINCT c.movie_id, r.ext_id FROM link_cands c JOIN r1 r ON c.key = r.key AND c.year = r.year)""",
+        f"scored1 AS ({_score_sql('pool1')})",
+        f"acc1 AS (SELECT *, 1 AS pass FROM ({best.format(s='scored1')}) WHERE score >= 12)",
+        "pending AS (SELECT movie_id FROM link_base WHERE movie_id NOT IN (SELECT movie_id FROM acc1))",
+        """pool2 AS (
+  SELECT movie_id, ext_id FROM pool1 WHERE movie_id IN (SELECT movie_id FROM pending)
+  UNION
+  SELECT c.movie_id, r.ext_id FROM link_cands c JOIN r2 r ON c.key = r.key
+  WHERE c.cpos < 2 AND c.movie_id IN (SELECT movie_id FROM pending))""",
+        f"scored2 AS ({_score_sql('pool2')})",
+        f"acc2 AS (SELECT *, 2 AS pass FROM ({best.format(s='scored2')}) WHERE score > 0)",
+        "links AS (SELECT * FROM acc1 UNION ALL SELECT * FROM acc2)",
+    )
+
+
+DETAILS = """det AS (
+  SELECT CAST(conv_id + 100000 AS BIGINT) AS ext_id,
+         substring(arg_min(text, turn), 1, 24) AS d_overview,
+         CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'A story' END AS d_tagline,
+         CAST(sum(length(text)) % 120 + 60 AS INTEGER) AS d_runtime,
+         CASE WHEN conv_id % 3 = 0 THEN NULL ELSE '/d' || CAST(conv_id AS VARCHAR) || '.jpg' END AS d_backdrop,
+         arg_min(substring(text, 1, 24), turn) FILTER (WHERE role = 'user') AS d_director,
+         array_to_string(list_slice(list(substring(text, 1, 24) ORDER BY turn), 1, 8), ', ') AS d_cast,
+         coalesce(arg_min('k' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR), turn) FILTER (WHERE turn % 6 = 0),
+                  arg_min('k' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR), turn) FILTER (WHERE turn % 2 = 0))
+           AS d_trailer
+  FROM conversations GROUP BY conv_id)"""
+
+
+def records_cte(name: str, items: str, links: str) -> str:
+    return f"""{name} AS (
+  SELECT l.movie_id, true AS found, l.ext_id AS tmdb_id, h.title AS tmdb_title, h.poster_path,
+         coalesce(nullif(h.backdrop_path, ''), nullif(d.d_backdrop, '')) AS backdrop_path,
+         coalesce(nullif(d.d_overview, ''), nullif(h.overview, ''), '') AS overview,
+         coalesce(nullif(d.d_tagline, ''), '') AS tagline,
+         d.d_runtime AS runtime, h.vote_average AS tmdb_rating,
+         coalesce(d.d_director, '') AS director, coalesce(d.d_cast, '') AS cast_names,
+         d.d_trailer AS trailer_key
+  FROM {links} l JOIN hits h ON l.ext_id = h.ext_id LEFT JOIN det d ON d.ext_id = l.ext_id
+  UNION ALL
+  SELECT i.movie_id, false, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+         CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER),
+         CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+  FROM {items} i WHERE i.movie_id NOT IN (SELECT movie_id FROM {links}))"""
+
+
+def _rename_links(suffix: str) -> tuple[str, ...]:
+    """link_ctes over another item set, with every CTE name suffixed."""
+    names = ["pt0", "pt1", "pt2", "parsed", "link_base", "link_cands", "hidx", "r1", "r2", "hs", "pool1",
+             "scored1", "acc1", "pending", "pool2", "scored2", "acc2", "links"]
+    import re as _re
+    out = []
+    for cte in link_ctes(f"items{suffix}"):
+        for n in names:
+            cte = _re.sub(rf"\b{n}\b", f"{n}{suffix}", cte)
+        out.append(cte)
+    return tuple(out)
+
+
+LINK_ITEMS = "link_items AS (SELECT movie_id, title, release_year FROM clean_movies)"
+
+
+def _sql_linkage() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["parse_title"] = with_(VARIANTS, *parse_ctes("variants")) + """
+SELECT movie_id, pyear AS parsed_year, CAST(len(candidates) AS INTEGER) AS n_candidates,
+       array_to_string(candidates, ' || ') AS candidates
+FROM parsed"""
+    base = (RAW_MOVIES, CLEAN_MOVIES, HITS, LINK_ITEMS, *link_ctes("link_items"))
+    q["link_external"] = with_(*base) + "SELECT movie_id, ext_id, score, CAST(pass AS INTEGER) AS pass FROM links"
+    q["enrich_record"] = with_(*base, DETAILS, records_cte("recs", "link_items", "links")) + "SELECT * FROM recs"
+    old = (f"items_old AS (SELECT * FROM link_items WHERE release_year <= 1985)", *_rename_links("_old"),
+           records_cte("recs_old", "items_old", "links_old"))
+    q["enrich_todo"] = with_(*base, DETAILS, *old) + """
+SELECT movie_id, title FROM link_items WHERE movie_id NOT IN (SELECT movie_id FROM recs_old)"""
+    new = (f"items_new AS (SELECT * FROM link_items WHERE release_year >= 1980)", *_rename_links("_new"),
+           records_cte("recs_new", "items_new", "links_new"))
+    q["cache_upsert"] = with_(*base, DETAILS, *old, *new) + """
+SELECT movie_id, found, tmdb_id, 'new' AS source FROM recs_new
+UNION ALL
+SELECT movie_id, found, tmdb_id, 'old' FROM recs_old WHERE movie_id NOT IN (SELECT movie_id FROM recs_new)"""
+    todo = ("items_todo AS (SELECT * FROM link_items WHERE movie_id NOT IN (SELECT movie_id FROM recs_old))",
+            *_rename_links("_todo"), records_cte("recs_todo", "items_todo", "links_todo"))
+    q["enrich_coverage"] = with_(*base, DETAILS, *old, *todo) + """
+, merged AS (SELECT movie_id, found FROM recs_todo
+             UNION ALL SELECT movie_id, found FROM recs_old WHERE movie_id NOT IN (SELECT movie_id FROM recs_todo))
+SELECT count(*) AS catalog_count,
+       (SELECT count(*) FROM merged WHERE found AND movie_id IN (SELECT movie_id FROM link_items)) AS found_count,
+       round_even(100.0 * (SELECT count(*) FROM merged WHERE found AND movie_id IN (SELECT movie_id FROM link_items))
+                  / count(*) * 10, 0) / 10 AS coverage_pct
+FROM link_items"""
+    return q
+
+
+ORACLE_SQL.update(_sql_linkage())

@@ -270,3 +270,85 @@ def q_segment_topk(spark, sf_dir):
 def q_title_like_neighbours(spark, sf_dir):
     from kinora.operators import recommend
     return recommend.title_like_neighbours(_serving(spark, sf_dir, 100), TITLE_PATTERN, 40)
+
+
+# -- linkage and enrichment ------------------------------------------------------
+# FIXED VALUE: the earlier enrichment run covered releases up to this year.
+CACHED_UNTIL_YEAR = 1985
+NEW_FROM_YEAR = 1980
+
+
+@register("parse_title")
+def q_parse_title(spark, sf_dir):
+    from kinora.functions import text
+    from kinora.sources import fixtures
+    v = fixtures.title_variants(spark, sf_dir)
+    p = text.parse_title("title")
+    return v.select("movie_id", p["year"].alias("parsed_year"),
+                    F.size(p["candidates"]).alias("n_candidates"),
+                    F.array_join(p["candidates"], " || ").alias("candidates"))
+
+
+def _link_inputs(spark, sf_dir):
+    from kinora.sources import external
+    items = _build(spark, sf_dir).clean_movies.select("movie_id", "title", "release_year")
+    return items, external.hits(spark, sf_dir), external.details(spark, sf_dir)
+
+
+@register("link_external")
+def q_link_external(spark, sf_dir):
+    from kinora.operators import linkage
+    items, hits, _ = _link_inputs(spark, sf_dir)
+    return linkage.link_items(items, hits).select("movie_id", "ext_id", "score",
+                                                   F.col("pass").cast("int").alias("pass"))
+
+
+def _records(items, hits, details):
+    from kinora.operators import linkage
+    return linkage.enrich_records(items, linkage.link_items(items, hits), hits, details)
+
+
+def _flat_records(df):
+    return df.withColumn("cast", F.array_join("cast", ", ")).withColumnRenamed("cast", "cast_names")
+
+
+@register("enrich_record")
+def q_enrich_record(spark, sf_dir):
+    items, hits, details = _link_inputs(spark, sf_dir)
+    return _flat_records(_records(items, hits, details))
+
+
+def _old_cache(items, hits, details):
+    old_items = items.where(F.col("release_year") <= CACHED_UNTIL_YEAR)
+    return _records(old_items, hits, details)
+
+
+@register("enrich_todo")
+def q_enrich_todo(spark, sf_dir):
+    from kinora.operators import linkage
+    items, hits, details = _link_inputs(spark, sf_dir)
+    return linkage.enrich_todo(items, _old_cache(items, hits, details)).select("movie_id", "title")
+
+
+@register("cache_upsert")
+def q_cache_upsert(spark, sf_dir):
+    from kinora.operators import linkage
+    items, hits, details = _link_inputs(spark, sf_dir)
+    old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
+    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
+        "source", F.lit("new"))
+    return linkage.cache_upsert(old, new).select("movie_id", "found", "tmdb_id", "source")
+
+
+@register("enrich_coverage")
+def q_enrich_coverage(spark, sf_dir):
+    from kinora.operators import linkage
+    from kinora.session import checkpoint_dir
+    items, hits, details = _link_inputs(spark, sf_dir)
+    checkpoint_dir(spark)
+    # The earlier run's cache is a stored table: persist it (reliable checkpoint
+    # in the shared folder) instead of re-deriving it inside this plan.
+    old = _old_cache(items, hits, details).checkpoint(eager=True)
+    todo = linkage.enrich_todo(items, old)
+    merged = linkage.cache_upsert(old, _records(todo, hits, details))
+    return linkage.coverage(items, merged)

@@ -73,3 +73,18 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(UNKNOWN_REQUEST_ID, None), (None, BLANK_TITLE), (None, NO_MATCH_TITLE)],
         "request_id bigint, title string")
     return by_id.unionByName(by_title).unionByName(edge)
+
+
+def title_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles in the forms the title parser handles: plain, trailing article,
+    an alternative title, and an apostrophe article with an 'a.k.a.' alias."""
+    part = table(spark, sf_dir, "part")
+    year = (F.lit(YEAR_BASE) + F.col("p_size")).cast("string")
+    form = F.col("p_partkey") % 4
+    name = F.col("p_name")
+    title = (F.when(form == 1, F.concat(name, F.lit(", The ("), year, F.lit(")")))
+             .when(form == 2, F.concat(name, F.lit(" ("), F.upper(name), F.lit(") ("), year, F.lit(")")))
+             .when(form == 3, F.concat(name, F.lit(", L' (a.k.a. "), F.reverse(name), F.lit(") ("), year,
+                                       F.lit(")")))
+             .otherwise(F.concat(name, F.lit(" ("), year, F.lit(")"))))
+    return part.select(F.col("p_partkey").cast("bigint").alias("movie_id"), title.alias("title"))
