@@ -64,3 +64,11 @@ def transform_catalog(clean: DataFrame, summary: DataFrame, c) -> DataFrame:
         F.coalesce("popularity_score", round_even(c * F.lit(0.5), 3)).alias("popularity_score"),
         text.feature_text("title", "genres", "release_year").alias("feature_text"),
     )
+
+
+def compile_genres(names: list[str], flag_prefix: str = "g_", unknown: str = "unknown"):
+    """One-hot genre flags -> pipe string; the 'unknown' flag is ignored and a
+    row with no other flag becomes 'Unknown'."""
+    parts = [F.when(F.col(f"{flag_prefix}{i}") == 1, F.lit(n)) for i, n in enumerate(names) if n != unknown]
+    joined = F.concat_ws("|", *parts)
+    return F.when(joined == "", F.lit("Unknown")).otherwise(joined)

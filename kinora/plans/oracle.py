@@ -637,3 +637,207 @@ FROM link_items"""
 
 
 ORACLE_SQL.update(_sql_linkage())
+
+
+# -- append, quality, sources, display, metrics ------------------------------------
+def _genre_case(e: str) -> str:
+    from kinora.operators.append import GENRE_MAP
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in GENRE_MAP.items())
+    return f"CASE {e} {whens} END"
+
+
+def _feed_ids() -> str:
+    from kinora.sources.external import FEED_GENRE_IDS
+    return "[" + ", ".join(str(i) for i in FEED_GENRE_IDS) + "]"
+
+
+FEED = f"""feed AS (
+  SELECT CAST(floor(s_suppkey / 20) + 1 AS INTEGER) AS page, CAST(s_suppkey % 20 AS INTEGER) AS pos,
+         replace(s_name, '#', ', No. ') AS title,
+         CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE CAST(1990 + s_nationkey AS VARCHAR) || '-01-01' END AS release_date,
+         CASE WHEN s_suppkey % 11 = 0 THEN CAST([] AS INTEGER[])
+              ELSE [{_feed_ids()}[s_suppkey % 20 + 1], {_feed_ids()}[s_suppkey % 7 + 1]] END AS genre_ids,
+         (s_acctbal + 1000.0) / 1100.0 AS vote_average
+  FROM supplier
+  UNION ALL
+  SELECT CAST(floor(floor(p_partkey / 50) / 20) + 1 AS INTEGER), CAST(20 + floor(p_partkey / 50) % 20 AS INTEGER),
+         p_name, CAST(1960 + p_size AS VARCHAR) || '-05-05', [{_feed_ids()}[p_size % 19 + 1]], CAST(NULL AS DOUBLE)
+  FROM part WHERE p_partkey % 50 = 0)"""
+
+NEW_ITEMS = f"""pages AS (SELECT DISTINCT page FROM feed WHERE page BETWEEN 1 AND 100),
+stop_page AS (
+  SELECT CASE WHEN EXISTS (SELECT 1 FROM pages WHERE page = 1)
+              THEN least((SELECT min(page + 1) FROM pages WHERE page + 1 NOT IN (SELECT page FROM pages)), 101)
+              ELSE 1 END AS s),
+composed AS (
+  SELECT page, pos,
+         CASE WHEN substring(coalesce(release_date, ''), 1, 4) <> ''
+              THEN replace(coalesce(title, ''), ',', '') || ' (' || substring(release_date, 1, 4) || ')'
+              ELSE replace(coalesce(title, ''), ',', '') END AS full_title,
+         genre_ids, vote_average
+  FROM feed WHERE page >= 1 AND page < (SELECT s FROM stop_page)),
+firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY full_title ORDER BY page, pos) AS rn FROM composed)
+  WHERE rn = 1),
+fresh AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM raw_movies m WHERE m.title = f.full_title)),
+named AS (
+  SELECT *, list_transform(coalesce(genre_ids, CAST([] AS INTEGER[])),
+                           lambda g: coalesce({_genre_case('g')}, 'Unknown')) AS names
+  FROM fresh),
+new_items AS (
+  SELECT CAST(600000 + row_number() OVER (ORDER BY page, pos) - 1 AS BIGINT) AS movie_id,
+         full_title AS title,
+         CASE WHEN len(names) > 0 THEN array_to_string(names, '|') ELSE '(no genres listed)' END AS genres,
+         greatest(CAST(0.5 AS DOUBLE), least(CAST(5.0 AS DOUBLE),
+                  round_even((coalesce(vote_average, 5.0) / 2) * 2, 0) / 2)) AS seed_rating
+  FROM named)"""
+
+DQ_TABLES = """recs15 AS (SELECT src AS movie_id, dst AS recommended_movie_id, rnk AS rank, similarity_score FROM nn)"""
+
+
+def _dq_sql() -> str:
+    parts = []
+    pk = {"movies": "movie_id", "ratings_summary": "movie_id", "recs15": "movie_id, rank",
+          "popular_movies": "movie_id"}
+    nn_cols = {"movies": ["movie_id", "title", "genres"],
+               "ratings_summary": ["movie_id", "avg_rating", "rating_count", "popularity_score"],
+               "recs15": ["movie_id", "recommended_movie_id", "rank", "similarity_score"],
+               "popular_movies": ["movie_id", "rank", "popularity_score"]}
+    label = {"recs15": "recommendations"}
+    for t, k in pk.items():
+        name = label.get(t, t)
+        parts.append(f"SELECT '{name}' AS table_name, 'primary_key' AS check_name, "
+                     f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {k} FROM {t})) AS BIGINT) AS violations FROM {t}")
+        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in nn_cols[t])
+        parts.append(f"SELECT '{name}', 'not_null', CAST({nulls} AS BIGINT) FROM {t}")
+    for t, c in (("ratings_summary", "movie_id"), ("popular_movies", "movie_id"), ("recs15", "movie_id"),
+                 ("recs15", "recommended_movie_id")):
+        parts.append(f"SELECT '{label.get(t, t)}', 'references_movies:{c}', CAST(count(*) AS BIGINT) FROM {t} x "
+                     f"WHERE NOT EXISTS (SELECT 1 FROM movies m WHERE m.movie_id = x.{c})")
+    parts.append("SELECT 'movies', 'genre_filter:promo', CAST(count(*) AS BIGINT) FROM "
+                 "(SELECT * FROM catalog_view WHERE genres ILIKE '%promo%' ORDER BY "
+                 f"{SORT_SQL['popularity']} LIMIT 50) WHERE NOT contains(lower(genres), 'promo')")
+    return "\nUNION ALL\n".join(parts)
+
+
+LEGACY_TYPES = """types AS (
+  SELECT p_type AS name, CAST(dense_rank() OVER (ORDER BY p_type) AS INTEGER) AS id
+  FROM (SELECT DISTINCT p_type FROM part)),
+ntypes AS (SELECT count(*) AS t FROM types),
+legacy AS (
+  SELECT CAST(p_partkey AS BIGINT) AS movie_id,
+         CASE WHEN p_partkey % 9 = 0 THEN p_name ELSE p_name || ' (' || CAST(1960 + p_size AS VARCHAR) || ')' END AS title,
+         CASE WHEN p_partkey % 13 = 0 THEN '' ELSE
+           lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '-' ||
+           ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][p_partkey % 12 + 1] || '-' ||
+           CAST(1960 + p_size AS VARCHAR) END AS release_date,
+         p_partkey, p_type, p_size
+  FROM part),
+flags AS (
+  SELECT l.movie_id, t.name, t.id FROM legacy l, types t, ntypes n
+  WHERE l.p_partkey % 11 <> 0 AND (l.p_type = t.name OR 1 + l.p_size % n.t = t.id))"""
+
+
+def _sql_misc() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["catalog_append"] = with_(RAW_MOVIES, FEED, NEW_ITEMS) + "SELECT movie_id, title, genres, seed_rating FROM new_items"
+    q["catalog_append_ratings"] = with_(RAW_MOVIES, FEED, NEW_ITEMS) + """
+SELECT CAST(u AS BIGINT) AS user_id, n.movie_id,
+       greatest(CAST(0.5 AS DOUBLE), least(CAST(5.0 AS DOUBLE),
+                n.seed_rating + CAST((n.movie_id * 31 + u) % 3 - 1 AS DOUBLE) * 0.5)) AS rating,
+       (SELECT CAST(max(epoch(o_orderdate)) AS BIGINT) FROM orders) AS "timestamp"
+FROM new_items n, range(900, 910) AS t(u)"""
+    q["catalog_after_append"] = with_(RAW_MOVIES, FEED, NEW_ITEMS) + """
+SELECT movie_id, title, genres FROM raw_movies UNION ALL SELECT movie_id, title, genres FROM new_items"""
+    q["dq_checks"] = with_(*SERVING, *_nn(15), DQ_TABLES) + _dq_sql()
+    q["dq_neighbours"] = with_(*SERVING, *_nn(15), DQ_TABLES) + """
+, lagged AS (SELECT *, lag(similarity_score) OVER (PARTITION BY movie_id ORDER BY rank) AS prev FROM recs15)
+SELECT count(*) AS rows,
+       sum(CASE WHEN NOT (similarity_score BETWEEN 0.0 AND 1.0) THEN 1 ELSE 0 END) AS score_out_of_range,
+       sum(CASE WHEN movie_id = recommended_movie_id THEN 1 ELSE 0 END) AS self_pairs,
+       sum(CASE WHEN prev < similarity_score THEN 1 ELSE 0 END) AS order_violations,
+       (SELECT CAST(count(*) FILTER (WHERE mx <> n OR mn <> 1) AS BIGINT) FROM
+          (SELECT movie_id, count(*) AS n, max(rank) AS mx, min(rank) AS mn FROM recs15 GROUP BY movie_id)) AS rank_gaps
+FROM lagged"""
+    q["dq_popular"] = with_(*SERVING) + """
+, board AS (SELECT p.rank, p.popularity_score, s.rating_count FROM popular_movies p
+            JOIN movies m ON p.movie_id = m.movie_id JOIN ratings_summary s ON m.movie_id = s.movie_id
+            ORDER BY p.rank LIMIT 10)
+SELECT count(*) AS rows, CAST(max(rank) - count(*) AS BIGINT) AS rank_gap,
+       sum(CASE WHEN popularity_score <= 0 THEN 1 ELSE 0 END) AS non_positive_score,
+       sum(CASE WHEN rating_count <= 0 THEN 1 ELSE 0 END) AS no_votes
+FROM board"""
+    q["raw_catalog"] = with_(RAW_MOVIES) + "SELECT * FROM raw_movies"
+    q["raw_ratings"] = with_(RAW_RATINGS) + "SELECT * FROM raw_ratings"
+    q["legacy_genres"] = with_(LEGACY_TYPES) + "SELECT 0 AS id, 'unknown' AS name UNION ALL SELECT id, name FROM types"
+    q["compile_genres"] = with_(LEGACY_TYPES) + """
+SELECT l.movie_id, l.title, coalesce(g.genres, 'Unknown') AS genres
+FROM legacy l LEFT JOIN (SELECT movie_id, string_agg(name, '|' ORDER BY id) AS genres FROM flags GROUP BY movie_id) g
+  ON l.movie_id = g.movie_id"""
+    q["year_with_fallback"] = with_(LEGACY_TYPES) + f"""
+SELECT movie_id,
+       coalesce(TRY_CAST(regexp_extract(title, '\\((\\d{{4}})\\)', 1) AS INTEGER),
+                TRY_CAST(regexp_extract(release_date, '(\\d{{4}}){WS}*$', 1) AS INTEGER), 0) AS release_year
+FROM legacy"""
+    q["sink_roundtrip"] = with_(*CORE) + "SELECT * FROM transformed"
+    q["serving_movies"] = with_(RAW_MOVIES, CLEAN_MOVIES) + "SELECT movie_id, title, genres, release_year FROM clean_movies"
+    q["serving_ratings_summary"] = with_(*BASE, SUMMARY) + "SELECT * FROM ratings_summary"
+    disp = ("CASE WHEN regexp_matches(dt, '(?i)^(.*?),\\s*(The|A|An)(\\s*\\(.*\\))?$') "
+            "THEN regexp_replace(dt, '(?i)^(.*?),\\s*(The|A|An)(\\s*\\(.*\\))?$', '\\2 \\1\\3') ELSE dt END")
+    q["display_card"] = with_(*SERVING, REQUESTS, ID_REQS, *_nn(5), *recommend_ctes(5)) + f"""
+SELECT request_id, rank, movie_id, {disp} AS display_title,
+       array_to_string(string_split(coalesce(genres, ''), '|'), ' • ') AS genres_display,
+       CAST(floor(similarity_score * 100 + 0.5) AS INTEGER) AS match_pct,
+       CASE WHEN coalesce(avg_rating, 0.0) = 0 THEN 'N/A' ELSE printf('%.1f', floor(avg_rating * 10 + 0.5) / 10) END
+         AS rating_text,
+       coalesce(CASE WHEN release_year <> 0 THEN release_year END,
+                TRY_CAST(regexp_extract(title, '\\((\\d{{4}})\\){WS}*$', 1) AS INTEGER)) AS year_display
+FROM (SELECT *, {_trim("regexp_replace(title, '\\s*\\(\\d{4}\\)\\s*$', '')")} AS dt FROM rec_rows
+      WHERE status <> 'not_found')"""
+    q["request_validation"] = with_(REQUESTS, KEYED_REQS) + f"""
+SELECT request_key, top_k, reason = 'ok' AS valid, reason FROM (
+  SELECT request_key, top_k,
+         CASE WHEN request_id IS NULL AND coalesce({_trim('title')}, '') = '' THEN 'missing_id_and_title'
+              WHEN NOT (top_k BETWEEN 1 AND 100) THEN 'top_k_out_of_range' ELSE 'ok' END AS reason
+  FROM (SELECT *, CASE WHEN request_id IS NOT NULL THEN CAST(request_id % 120 AS INTEGER) ELSE 10 END AS top_k
+        FROM keyed))"""
+    return q
+
+
+ORACLE_SQL.update(_sql_misc())
+
+
+def _metrics_sql() -> str:
+    vals = {
+        "raw_movie_count": "(SELECT count(*) FROM raw_movies)",
+        "raw_rating_count": "(SELECT count(*) FROM raw_ratings)",
+        "duplicate_movies": "(SELECT count(*) - count(DISTINCT movie_id) FROM raw_movies)",
+        "duplicate_ratings": "(SELECT count(*) FROM raw_ratings) - (SELECT count(*) FROM dedup_ratings)",
+        "invalid_ratings": f"(SELECT count(*) FROM raw_ratings WHERE NOT {VALID})",
+        "orphan_ratings": "(SELECT count(*) FROM raw_ratings r WHERE NOT EXISTS "
+                          "(SELECT 1 FROM raw_movies m WHERE m.movie_id = r.movie_id))",
+        "user_count": "0",
+        "movies_initial": "(SELECT count(*) FROM raw_movies)",
+        "movies_cleaned": "(SELECT count(*) FROM clean_movies)",
+        "movies_deduplicated": "(SELECT count(*) FROM raw_movies) - (SELECT count(*) FROM clean_movies)",
+        "ratings_initial": "(SELECT count(*) FROM raw_ratings)",
+        "ratings_cleaned": "(SELECT count(*) FROM clean_ratings)",
+        "ratings_deduplicated": "(SELECT count(*) FROM raw_ratings) - (SELECT count(*) FROM dedup_ratings)",
+        "ratings_invalid_dropped": "(SELECT count(*) FROM dedup_ratings) - (SELECT count(*) FROM bounded_ratings)",
+        "ratings_orphans_dropped": "(SELECT count(*) FROM bounded_ratings) - (SELECT count(*) FROM clean_ratings)",
+        "transformed_movies_count": "(SELECT count(*) FROM clean_movies)",
+        "movies_with_ratings": "(SELECT count(*) FROM ratings_summary)",
+        "mean_rating_count": f"(SELECT {sql_round_even('avg(rating_count)', 2)} FROM ratings_summary)",
+        "max_rating_count": "(SELECT max(rating_count) FROM ratings_summary)",
+        "global_rating_mean": f"(SELECT {sql_round_even('c', 2)} FROM gm)",
+        "total_recommendations": "(SELECT count(*) FROM nn)",
+        "movies_with_recommendations": "(SELECT count(DISTINCT src) FROM nn)",
+        "avg_similarity_score": "(SELECT round_even(sum(round_even(similarity_score * 1e4, 0)) / count(*), 0) "
+                                "/ 1e4 FROM nn)",
+        "total_popular_movies": "(SELECT count(*) FROM popular_movies)",
+    }
+    rows = "\nUNION ALL\n".join(f"SELECT '{k}' AS metric, CAST({v} AS DOUBLE) AS value" for k, v in vals.items())
+    return with_(*CORE, POPULAR.format(n=50), FEATURE_DOCS, *tfidf_ctes("feature_docs"), *topk_ctes(100)) + rows
+
+
+ORACLE_SQL["pipeline_metrics"] = _metrics_sql()

@@ -352,3 +352,167 @@ def q_enrich_coverage(spark, sf_dir):
     todo = linkage.enrich_todo(items, old)
     merged = linkage.cache_upsert(old, _records(todo, hits, details))
     return linkage.coverage(items, merged)
+
+
+# -- catalogue append --------------------------------------------------------------
+def _run_stamp(spark, sf_dir):
+    """Run timestamp taken once from the data (latest order date, epoch s)."""
+    from kinora.sources.fixtures import epoch_seconds, table
+    return table(spark, sf_dir, "orders").agg(F.max(epoch_seconds("o_orderdate"))).scalar()
+
+
+def _new_items(spark, sf_dir):
+    from kinora.operators import append
+    from kinora.sources import external
+    b = _build(spark, sf_dir)
+    return append.new_items(external.feed(spark, sf_dir), b.raw_movies.select("title"))
+
+
+@register("catalog_append")
+def q_catalog_append(spark, sf_dir):
+    return _new_items(spark, sf_dir)
+
+
+@register("catalog_append_ratings")
+def q_catalog_append_ratings(spark, sf_dir):
+    from kinora.operators import append
+    return append.seed_ratings(_new_items(spark, sf_dir), _run_stamp(spark, sf_dir))
+
+
+@register("catalog_after_append")
+def q_catalog_after_append(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return b.raw_movies.unionByName(_new_items(spark, sf_dir).select("movie_id", "title", "genres"))
+
+
+# -- data quality ------------------------------------------------------------------
+@register("dq_checks")
+def q_dq_checks(spark, sf_dir):
+    from kinora.operators import quality, serving
+    t = _serving(spark, sf_dir)
+    genre_rows = serving.list_movies(t, genre=LIST_GENRE, page_size=50)
+    return quality.dq_checks(t, genre_rows, LIST_GENRE)
+
+
+@register("dq_neighbours")
+def q_dq_neighbours(spark, sf_dir):
+    from kinora.operators import quality
+    return quality.dq_neighbours(_serving(spark, sf_dir).recommendations)
+
+
+@register("dq_popular")
+def q_dq_popular(spark, sf_dir):
+    from kinora.operators import quality, serving
+    return quality.dq_popular(serving.popular_list(_serving(spark, sf_dir), 10))
+
+
+# -- sources and sinks -------------------------------------------------------------
+@register("raw_catalog")
+def q_raw_catalog(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import files, fixtures, sinks
+    raw = fixtures.raw_movies(spark, sf_dir).withColumnRenamed("movie_id", "movieId")
+    path = sinks.land_csv(raw, work_dir(spark, "landed-movies"))
+    return files.read_movies_csv(spark, path)
+
+
+@register("raw_ratings")
+def q_raw_ratings(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import files, fixtures, sinks
+    raw = (fixtures.raw_ratings(spark, sf_dir).withColumnRenamed("user_id", "userId")
+           .withColumnRenamed("movie_id", "movieId"))
+    path = sinks.land_csv(raw, work_dir(spark, "landed-ratings"))
+    return files.read_ratings_csv(spark, path)
+
+
+def _legacy(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import files, fixtures, sinks
+    base = work_dir(spark, "landed-legacy")
+    sinks.land_csv(fixtures.legacy_genre_dictionary(spark, sf_dir), f"{base}/genre", sep="|", header=False,
+                   encoding="ISO-8859-1")
+    genres = files.read_genre_dictionary(spark, f"{base}/genre")
+    names = files.genre_names_from_dictionary(genres)
+    sinks.land_csv(fixtures.legacy_items(spark, sf_dir, names), f"{base}/item", sep="|", header=False,
+                   encoding="ISO-8859-1")
+    return genres, names, files.read_legacy_items(spark, f"{base}/item", names)
+
+
+@register("legacy_genres")
+def q_legacy_genres(spark, sf_dir):
+    genres, _, _ = _legacy(spark, sf_dir)
+    return genres.select("id", "name")
+
+
+@register("compile_genres")
+def q_compile_genres(spark, sf_dir):
+    from kinora.operators import catalog
+    _, names, items = _legacy(spark, sf_dir)
+    return items.select("movie_id", "title", catalog.compile_genres(names).alias("genres"))
+
+
+@register("year_with_fallback")
+def q_year_with_fallback(spark, sf_dir):
+    from kinora.functions import text
+    _, _, items = _legacy(spark, sf_dir)
+    return items.select("movie_id", text.year_with_fallback("title", "release_date").alias("release_year"))
+
+
+@register("sink_roundtrip")
+def q_sink_roundtrip(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    t = _build(spark, sf_dir).transformed
+    base = work_dir(spark, "processed")
+    sinks.write_table(t, f"{base}/movies_processed.parquet")
+    sinks.write_table(t, f"{base}/movies_processed.csv", fmt="csv")
+    return sinks.read_table(spark, f"{base}/movies_processed.parquet")
+
+
+def _written_serving(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    t = _serving(spark, sf_dir)
+    base = work_dir(spark, "serving")
+    paths = sinks.write_serving(t, base)
+    return {k: sinks.read_table(spark, p) for k, p in paths.items()}
+
+
+@register("serving_movies")
+def q_serving_movies(spark, sf_dir):
+    return _written_serving(spark, sf_dir)["movies"]
+
+
+@register("serving_ratings_summary")
+def q_serving_ratings_summary(spark, sf_dir):
+    return _written_serving(spark, sf_dir)["ratings_summary"]
+
+
+# -- display, request validation, pipeline metrics -----------------------------------
+@register("display_card")
+def q_display_card(spark, sf_dir):
+    from kinora.functions import display
+    from kinora.operators import recommend
+    recs = recommend.recommend(_serving(spark, sf_dir, 5), _id_requests(spark, sf_dir), 5,
+                               include_not_found=False)
+    return recs.select("request_id", "rank", "movie_id", *display.card(recs))
+
+
+@register("request_validation")
+def q_request_validation(spark, sf_dir):
+    from kinora.functions.text import strip_ws
+    from kinora.operators.serving import TOP_K_MAX
+    r = _keyed_requests(spark, sf_dir)
+    top_k = F.when(F.col("request_id").isNotNull(), (F.col("request_id") % 120).cast("int")).otherwise(F.lit(10))
+    missing = F.col("request_id").isNull() & (F.coalesce(strip_ws("title"), F.lit("")) == "")
+    bad_k = ~top_k.between(1, TOP_K_MAX)
+    reason = (F.when(missing, F.lit("missing_id_and_title"))
+              .when(bad_k, F.lit("top_k_out_of_range")).otherwise(F.lit("ok")))
+    return r.select("request_key", top_k.alias("top_k"), (reason == "ok").alias("valid"), reason.alias("reason"))
+
+
+@register("pipeline_metrics")
+def q_pipeline_metrics(spark, sf_dir):
+    from kinora.plans.pipeline import metrics_table
+    return metrics_table(spark, _build(spark, sf_dir))

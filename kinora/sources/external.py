@@ -66,3 +66,37 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return g.select((F.col("conv_id") + EXTERNAL_ID_OFFSET).cast("bigint").alias("ext_id"),
                     F.to_json(doc).alias("details_json"))
+
+
+# FIXED VALUES: genre ids used by the feed fixture, in the order of the map.
+FEED_GENRE_IDS = [28, 12, 16, 35, 80, 99, 18, 10751, 14, 36, 27, 10402, 9648, 10749, 878, 10770, 53,
+                  10752, 37]
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paged feed rows: page, pos, title, release_date, genre_ids, vote_average.
+
+    Suppliers are new titles (with a comma to strip); every 50th part repeats
+    an existing catalogue title (skipped by the append) and may repeat itself.
+    """
+    ids = F.array(*[F.lit(i) for i in FEED_GENRE_IDS])
+    sup = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    s_rows = sup.select(
+        (F.floor(k / 20) + 1).cast("int").alias("page"), (k % 20).cast("int").alias("pos"),
+        F.regexp_replace("s_name", "#", ", No. ").alias("title"),
+        F.when(k % 9 == 0, F.lit("")).otherwise(
+            F.concat((F.lit(1990) + F.col("s_nationkey")).cast("string"), F.lit("-01-01"))).alias("release_date"),
+        F.when(k % 11 == 0, F.array().cast("array<int>")).otherwise(
+            F.array(F.try_element_at(ids, (k % 20 + 1).cast("int")),
+                    F.try_element_at(ids, (k % 7 + 1).cast("int")))).alias("genre_ids"),
+        ((F.col("s_acctbal") + 1000.0) / 1100.0).alias("vote_average"))
+    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 50 == 0)
+    j = F.floor(F.col("p_partkey") / 50)
+    p_rows = part.select(
+        (F.floor(j / 20) + 1).cast("int").alias("page"), (F.lit(20) + j % 20).cast("int").alias("pos"),
+        F.col("p_name").alias("title"),
+        F.concat((F.lit(YEAR_BASE) + F.col("p_size")).cast("string"), F.lit("-05-05")).alias("release_date"),
+        F.array(F.try_element_at(ids, (F.col("p_size") % 19 + 1).cast("int"))).alias("genre_ids"),
+        F.lit(None).cast("double").alias("vote_average"))
+    return s_rows.unionByName(p_rows)

@@ -10,7 +10,7 @@ projection of them.  Each projection is written the same way in the oracle SQL
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # FIXED VALUES of the fixture mapping -------------------------------------------
@@ -88,3 +88,41 @@ def title_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.lit(")")))
              .otherwise(F.concat(name, F.lit(" ("), year, F.lit(")"))))
     return part.select(F.col("p_partkey").cast("bigint").alias("movie_id"), title.alias("title"))
+
+
+# FIXED VALUES of the legacy (pipe / Latin-1) item format.
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+LEGACY_UNKNOWN = "unknown"
+
+
+def legacy_genre_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, id): 'unknown' = 0, then the part types in name order."""
+    types = table(spark, sf_dir, "part").select(F.col("p_type").alias("name")).distinct()
+    # a handful of distinct types: ranking them in one window is bounded
+    ranked = types.select("name", F.dense_rank().over(Window.orderBy("name")).alias("id"))
+    unknown = spark.createDataFrame([(LEGACY_UNKNOWN, 0)], "name string, id int")
+    return unknown.unionByName(ranked.select("name", F.col("id").cast("int")))
+
+
+def legacy_items(spark: SparkSession, sf_dir: str, genre_names: list[str]) -> DataFrame:
+    """Legacy item rows: id, title (every 9th without year), dd-Mon-yyyy date
+    (blank for every 13th), video date, url, one 0/1 flag per genre."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    year = (F.lit(YEAR_BASE) + F.col("p_size")).cast("string")
+    months = F.array(*[F.lit(m) for m in MONTHS])
+    date = F.when(key % 13 == 0, F.lit("")).otherwise(F.concat(
+        F.lpad((key % 28 + 1).cast("string"), 2, "0"), F.lit("-"),
+        F.element_at(months, (key % 12 + 1).cast("int")), F.lit("-"), year))
+    title = F.when(key % 9 == 0, F.col("p_name")).otherwise(F.concat(F.col("p_name"), F.lit(" ("), year, F.lit(")")))
+    second = F.lit(1) + F.col("p_size") % (len(genre_names) - 1)
+    flags = []
+    for i, g in enumerate(genre_names):
+        if i == 0:
+            flag = (key % 11 == 0)
+        else:
+            flag = (key % 11 != 0) & ((F.col("p_type") == g) | (second == i))
+        flags.append(flag.cast("int").alias(f"g_{i}"))
+    return part.select(key.cast("bigint").alias("movie_id"), title.alias("title"), date.alias("release_date"),
+                       F.lit("").alias("video_release_date"),
+                       F.concat(F.lit("http://example.invalid/item/"), key.cast("string")).alias("url"), *flags)
