@@ -54,22 +54,27 @@ CANDIDATE_SCHEMA = T.StructType([
 
 def doc_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ngram_max: int = 2) -> DataFrame:
-    """(doc_id, term_ids array<bigint>, weights array<double>), L2-normalised."""
+    """(doc_id, terms array<string>, weights array<double>), L2-normalised.
+
+    Terms stay strings: a dictionary id would have to be assigned by a
+    non-deterministic expression, which breaks exchange reuse and would let a
+    recomputed partition renumber terms after an executor loss.  Each block
+    task factorises its own terms locally instead.
+    """
     counts = term_counts(docs, id_col, text_col, ngram_max)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    dfs = (counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-           .withColumn("term_id", F.monotonically_increasing_id()))
+    dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
     w = (counts.join(dfs, "term")
-         .select("doc_id", "term_id",
+         .select("doc_id", "term",
                  ((F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf).alias("w")))
-    vec = w.groupBy("doc_id").agg(F.collect_list(F.struct("term_id", "w")).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, s: acc + s["w"] * s["w"]))
-    return vec.select(
-        "doc_id",
-        F.transform("v", lambda s: s["term_id"]).alias("term_ids"),
-        F.transform("v", lambda s: s["w"]).alias("_w"), norm.alias("_norm"),
-    ).select("doc_id", "term_ids", F.transform("_w", lambda x: x / F.col("_norm")).alias("weights"))
+    # The norm is an aggregate of the same groupBy: a per-document value the
+    # lambda below reads as a plain column (an array expression here would be
+    # inlined into the lambda and re-evaluated per element).
+    vec = w.groupBy("doc_id").agg(F.collect_list(F.struct("term", "w")).alias("v"),
+                                  F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    return vec.select("doc_id", F.transform("v", lambda s: s["term"]).alias("terms"),
+                      F.transform("v", lambda s: s["w"] / F.col("_norm")).alias("weights"))
 
 
 def choose_blocks(n_docs: int, parallelism: int) -> int:
@@ -82,11 +87,11 @@ def choose_blocks(n_docs: int, parallelism: int) -> int:
 # -- in-group kernel ----------------------------------------------------------
 
 def _flatten(side: pd.DataFrame):
-    lens = side["term_ids"].map(len).to_numpy()
+    lens = side["terms"].map(len).to_numpy()
     rows = np.repeat(np.arange(len(side)), lens)
     if lens.sum() == 0:
-        return rows, np.zeros(0, np.int64), np.zeros(0, np.float64)
-    terms = np.concatenate(side["term_ids"].to_numpy()).astype(np.int64)
+        return rows, np.zeros(0, dtype=object), np.zeros(0, np.float64)
+    terms = np.concatenate(side["terms"].to_numpy())
     weights = np.concatenate(side["weights"].to_numpy()).astype(np.float64)
     return rows, terms, weights
 
@@ -96,6 +101,9 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame | None) -> np.ndarray:
     diagonal = right is None
     lr, lt, lw = _flatten(left)
     rr, rt, rw = (lr, lt, lw) if diagonal else _flatten(right)
+    # local dictionary: the same string gets the same code on both sides
+    codes, _ = pd.factorize(np.concatenate([lt, rt]) if not diagonal else lt)
+    lt, rt = (codes[:lt.size], codes[lt.size:]) if not diagonal else (codes, codes)
     n_l, n_r = len(left), (len(left) if diagonal else len(right))
     scores = np.zeros((n_l, n_r), dtype=np.float64)
     shared = np.intersect1d(lt, rt)
@@ -190,13 +198,13 @@ def topk_neighbours(spark: SparkSession, vectors: DataFrame, k: int, n_blocks: i
     """(src, dst, rank, q, score) top-K cosine neighbours per document."""
     nb = F.lit(n_blocks)
     blk = F.pmod(F.xxhash64("doc_id"), nb).cast("int")
-    v = vectors.select("doc_id", "term_ids", "weights", blk.alias("b"))
+    v = vectors.select("doc_id", "terms", "weights", blk.alias("b"))
     as_left = v.select(F.col("b").alias("pi"), F.explode(F.sequence(F.col("b"), nb - 1)).alias("pj"),
-                       F.lit(0).alias("side"), "doc_id", "term_ids", "weights")
+                       F.lit(0).alias("side"), "doc_id", "terms", "weights")
     as_right = (v.where(F.col("b") > 0)
                 .select(F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("pi"),
                         F.col("b").alias("pj"), F.lit(1).alias("side"),
-                        "doc_id", "term_ids", "weights"))
+                        "doc_id", "terms", "weights"))
     cands = (as_left.unionByName(as_right)
              .groupBy("pi", "pj")
              .applyInPandas(_block_pair_kernel(k), CANDIDATE_SCHEMA))

@@ -84,7 +84,8 @@ def _documents(spark, sf_dir, english_only: bool):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     if english_only:
         docs = docs.where(F.col("lang") == "en")
-    return docs.select("doc_id", "text")
+    from kinora.session import spread
+    return spread(docs.select("doc_id", "text"), "doc_id")
 
 
 def _feature_items(spark, sf_dir):

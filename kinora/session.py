@@ -71,3 +71,19 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # pragma: no cover - connect sessions
         return 8
+
+
+def spread(df, *keys: str, factor: int = 2):
+    """Hash-partition a CPU-heavy *scan* over the cluster when it has fewer
+    partitions than the cluster has cores (a single-row-group file is one
+    task).  Large inputs already have enough splits and pass through without a
+    shuffle.  Call it on scans only: on a plan with shuffles, asking for the
+    partition count makes adaptive execution run those stages."""
+    target = default_parallelism(df.sparkSession) * factor
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - connect sessions have no rdd
+        return df
+    if current >= default_parallelism(df.sparkSession):
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

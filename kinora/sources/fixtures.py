@@ -42,9 +42,10 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rating rows: user_id, movie_id bigint, rating double, timestamp bigint."""
-    li = (table(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_partkey", "l_quantity", "l_tax")
-          .where(F.col("l_partkey") % RATING_KEY_MODULUS != 0))
+    from kinora.session import spread
+    li = spread(table(spark, sf_dir, "lineitem")
+                .select("l_orderkey", "l_partkey", "l_quantity", "l_tax")
+                .where(F.col("l_partkey") % RATING_KEY_MODULUS != 0), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     bonus = F.when((F.col("l_quantity") > 45) & (F.col("l_tax") >= 0.08), F.lit(0.5)).otherwise(F.lit(0.0))
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
