@@ -841,3 +841,7 @@ def _metrics_sql() -> str:
 
 
 ORACLE_SQL["pipeline_metrics"] = _metrics_sql()
+
+
+ORACLE_SQL["catalog_append_stream"] = ORACLE_SQL["catalog_append"]
+ORACLE_SQL["cache_versioned"] = ORACLE_SQL["cache_upsert"]

@@ -517,3 +517,35 @@ def q_request_validation(spark, sf_dir):
 def q_pipeline_metrics(spark, sf_dir):
     from kinora.plans.pipeline import metrics_table
     return metrics_table(spark, _build(spark, sf_dir))
+
+
+# -- streaming form of the append ------------------------------------------------------
+@register("catalog_append_stream")
+def q_catalog_append_stream(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import external
+    from kinora.streaming import feed_append
+    base = work_dir(spark, "feed-stream")
+    feed_append.land_feed(external.feed(spark, sf_dir), f"{base}/landing")
+    ts = spark.range(1).select(_run_stamp(spark, sf_dir)).first()[0]
+    feed_append.run_feed_append(spark, f"{base}/landing", _build(spark, sf_dir).raw_movies.select("title"),
+                                f"{base}/items", f"{base}/ratings", f"{base}/_checkpoint", int(ts))
+    return spark.read.parquet(f"{base}/items").select("movie_id", "title", "genres", "seed_rating")
+
+
+# -- versioned cache write (merge, then switch) ---------------------------------------------
+@register("cache_versioned")
+def q_cache_versioned(spark, sf_dir):
+    from kinora.operators import linkage
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    items, hits, details = _link_inputs(spark, sf_dir)
+    base = work_dir(spark, "media-cache")
+    old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
+    sinks.write_version(old.select("movie_id", "found", "tmdb_id", "source"), base, 1)
+    current = sinks.read_latest(spark, base)
+    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
+        "source", F.lit("new")).select("movie_id", "found", "tmdb_id", "source")
+    # the merged version is written next to the one being read, never over it
+    sinks.write_version(linkage.cache_upsert(current, new), base, 2)
+    return sinks.read_latest(spark, base)
