@@ -8,8 +8,6 @@ each partition keeps only its best rows, nothing is globally sorted.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,20 +25,32 @@ PLACEHOLDER_GENRES = ("Unknown", "")
 SORT_MODES = ("popularity", "rating", "votes", "title", "year")
 
 
-@dataclass
 class ServingTables:
-    movies: DataFrame            # movie_id, title, genres, release_year
-    ratings_summary: DataFrame   # movie_id, rating_count, avg_rating, popularity_score
-    # movie_id, recommended_movie_id, rank, similarity_score - a DataFrame or a
-    # zero-argument factory, so reads that never touch neighbours never build them
-    recs: object
-    popular_movies: DataFrame    # movie_id, rank, popularity_score
-
-    @property
-    def recommendations(self) -> DataFrame:
-        if callable(self.recs):
-            self.recs = self.recs()
-        return self.recs
+    """The four serving tables.  Each argument is a DataFrame or a zero-argument
+    factory; a factory runs on first use only, so a read that never touches a
+    table never builds it.
+
+    * movies:          movie_id, title, genres, release_year
+    * ratings_summary: movie_id, rating_count, avg_rating, popularity_score
+    * recommendations: movie_id, recommended_movie_id, rank, similarity_score
+    * popular_movies:  movie_id, rank, popularity_score
+    """
+
+    NAMES = ("movies", "ratings_summary", "recommendations", "popular_movies")
+
+    def __init__(self, movies, ratings_summary, recommendations, popular_movies):
+        self._src = dict(zip(self.NAMES, (movies, ratings_summary, recommendations, popular_movies)))
+
+    def _get(self, name: str) -> DataFrame:
+        v = self._src[name]
+        if callable(v):
+            v = self._src[name] = v()
+        return v
+
+    movies = property(lambda self: self._get("movies"))
+    ratings_summary = property(lambda self: self._get("ratings_summary"))
+    recommendations = property(lambda self: self._get("recommendations"))
+    popular_movies = property(lambda self: self._get("popular_movies"))
 
 
 MOVIE_COLS = ["movie_id", "title", "genres", "release_year"]

@@ -41,7 +41,8 @@ from kinora.session import default_parallelism
 SCORE_QUANTUM = 1e9      # scores are ranked on rint(score * 1e9)
 OUTPUT_DECIMALS = 4      # stored similarity has 4 decimals
 
-MAX_BLOCK = 2048         # documents per block (bounds one group's memory)
+MAX_BLOCK = 2048         # documents per block (bounds the score block: 2048^2 doubles)
+MAX_BLOCK_ENTRIES = 4_000_000  # (term, weight) entries per block (bounds one group's input)
 MIN_BLOCK = 128
 PAIR_CHUNK = 8_000_000   # sparse-tail pairs expanded at once inside a group
 
@@ -77,8 +78,11 @@ def doc_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.transform("v", lambda s: s["w"] / F.col("_norm")).alias("weights"))
 
 
-def choose_blocks(n_docs: int, parallelism: int) -> int:
-    by_size = math.ceil(n_docs / MAX_BLOCK)
+def choose_blocks(n_docs: int, parallelism: int, n_chars: int = 0) -> int:
+    """Number of hash blocks.  ``n_chars`` (total text length) bounds the
+    number of vector entries: a token takes >= 3 characters with its
+    separator, and uni- plus bigrams give at most two entries per token."""
+    by_size = max(math.ceil(n_docs / MAX_BLOCK), math.ceil((2 * n_chars / 3) / MAX_BLOCK_ENTRIES))
     # enough block pairs (B(B+1)/2) to occupy the cluster, blocks not too small
     by_tasks = min(math.ceil(math.sqrt(4 * parallelism)), math.ceil(n_docs / MIN_BLOCK))
     return max(1, by_size, by_tasks)
@@ -220,8 +224,10 @@ def content_neighbours(spark: SparkSession, items: DataFrame, k: int, id_col: st
                        text_col: str = "feature_text", n_blocks: int | None = None) -> DataFrame:
     """Serving-table form: movie_id, recommended_movie_id, rank, similarity_score."""
     if n_blocks is None:
-        # one count of the (cheap) input decides the block layout
-        n_blocks = choose_blocks(items.count(), default_parallelism(spark))
+        # one pass over the (cheap) input decides the block layout
+        stats = items.agg(F.count(F.lit(1)).alias("n"),
+                          F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("c")).first()
+        n_blocks = choose_blocks(int(stats["n"]), default_parallelism(spark), int(stats["c"]))
     vec = doc_vectors(items, id_col, text_col)
     nn = topk_neighbours(spark, vec, k, n_blocks)
     return nn.select(F.col("src").alias(id_col), F.col("dst").alias(f"recommended_{id_col}"),

@@ -84,11 +84,25 @@ class CatalogueBuild:
         spark = self.raw_movies.sparkSession
         return similarity.content_neighbours(spark, self.feature_items, k, n_blocks=n_blocks)
 
-    def serving(self, k: int = DEFAULT_TOP_K, recommendations: DataFrame | None = None):
+    def stored_recommendations(self, k: int = DEFAULT_TOP_K) -> DataFrame:
+        """The neighbour table as the serving layer sees it: written once as a
+        table in the shared folder, then read by every query.  Each reference
+        to an ``applyInPandas`` result would otherwise re-run the block
+        product, since Python UDF plans are not reused."""
+        from kinora.session import materialize
+        return materialize(self.recommendations(k), "recommendations")
+
+    def serving(self, k: int = DEFAULT_TOP_K, recommendations: DataFrame | None = None,
+                stored: bool = True):
+        """Serving tables.  ``stored``: each is written once to the shared
+        folder on first use (as the serving store would hold it) and every
+        read scans that table; otherwise they stay lazy plans."""
         from kinora.operators.serving import ServingTables
+        from kinora.session import materialize
+        keep = (lambda df, name: materialize(df, name)) if stored else (lambda df, name: df)
         return ServingTables(
-            movies=self.clean_movies.select("movie_id", "title", "genres", "release_year"),
-            ratings_summary=self.ratings_summary,
-            recs=recommendations if recommendations is not None else (lambda: self.recommendations(k)),
-            popular_movies=self.popular_movies(),
+            lambda: keep(self.clean_movies.select("movie_id", "title", "genres", "release_year"), "movies"),
+            lambda: keep(self.ratings_summary, "ratings-summary"),
+            recommendations if recommendations is not None else (lambda: self.stored_recommendations(k)),
+            lambda: keep(self.popular_movies(), "popular-movies"),
         )

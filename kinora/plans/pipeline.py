@@ -4,9 +4,9 @@ recommend -> serve -> report.
 ``run_pipeline`` composes the lazily defined products of ``CatalogueBuild``
 and writes the processed artefacts and the four serving tables.  Intermediate
 products that several outputs read (the item-level rating table, the cleaned
-catalogue, the neighbour table) are cut out of the lineage with reliable
-checkpoints in the shared checkpoint folder, so a lost executor recomputes from
-the last checkpoint, not from the raw ratings.
+catalogue, the neighbour table) are cut out of the lineage as
+tables written to the shared checkpoint folder, so a lost executor recomputes
+from the last written table, not from the raw ratings.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kinora.operators import metrics as M
 from kinora.plans.build import PIPELINE_TOP_K, POPULAR_TOP_N, CatalogueBuild
-from kinora.session import checkpoint_dir, work_dir
+from kinora.session import checkpoint_dir, materialize, work_dir
 from kinora.sources import sinks
 
 
@@ -68,8 +68,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
     t = time.time()
     # item-level rating table and cleaned catalogue feed every later stage
-    b.__dict__["item_stats"] = b.item_stats.checkpoint(eager=True)
-    b.__dict__["clean_movies"] = b.clean_movies.checkpoint(eager=True)
+    b.__dict__["item_stats"] = materialize(b.item_stats, "item-stats")
+    b.__dict__["clean_movies"] = materialize(b.clean_movies, "clean-movies")
     timings["clean"] = time.time() - t
 
     t = time.time()
@@ -78,11 +78,11 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     timings["transform"] = time.time() - t
 
     t = time.time()
-    recs = b.recommendations(k).checkpoint(eager=True)
+    recs = materialize(b.recommendations(k), "recommendations")
     timings["recommend"] = time.time() - t
 
     t = time.time()
-    serving = b.serving(k, recommendations=recs)
+    serving = b.serving(k, recommendations=recs, stored=False)
     paths = sinks.write_serving(serving, f"{out_dir}/serving")
     timings["serve"] = time.time() - t
 

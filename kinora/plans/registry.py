@@ -344,12 +344,11 @@ def q_cache_upsert(spark, sf_dir):
 @register("enrich_coverage")
 def q_enrich_coverage(spark, sf_dir):
     from kinora.operators import linkage
-    from kinora.session import checkpoint_dir
+    from kinora.session import materialize
     items, hits, details = _link_inputs(spark, sf_dir)
-    checkpoint_dir(spark)
-    # The earlier run's cache is a stored table: persist it (reliable checkpoint
-    # in the shared folder) instead of re-deriving it inside this plan.
-    old = _old_cache(items, hits, details).checkpoint(eager=True)
+    # The earlier run's cache is a stored table: write it to the shared folder
+    # instead of re-deriving it inside this plan.
+    old = materialize(_old_cache(items, hits, details), "media-cache-old")
     todo = linkage.enrich_todo(items, old)
     merged = linkage.cache_upsert(old, _records(todo, hits, details))
     return linkage.coverage(items, merged)

@@ -87,3 +87,17 @@ def spread(df, *keys: str, factor: int = 2):
     if current >= default_parallelism(df.sparkSession):
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def materialize(df, purpose: str):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    One job computes and writes the data (a reliable ``checkpoint()`` runs the
+    plan once to count and again to save); readers then scan files that any
+    executor can reach, so a lost executor never forces recomputation of what
+    came before.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinora.operators import append
+from kinora.session import materialize
 
 FEED_SCHEMA = T.StructType([
     T.StructField("page", T.IntegerType()),
@@ -53,7 +54,7 @@ def _process_batch(spark: SparkSession, base_titles: DataFrame, items_path: str,
         top = earlier.agg(F.max("movie_id")).first()[0]
         start = append.FIRST_NEW_ID if top is None else int(top) + 1
         items = append.new_items(batch, titles, start).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        items = items.checkpoint(eager=True)  # ids are fixed before both writes read them
+        items = materialize(items, "feed-batch")  # ids are fixed before both writes read them
         (items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(items_path))
         (append.seed_ratings(items, F.lit(run_ts)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
