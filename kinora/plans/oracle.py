@@ -845,3 +845,34 @@ ORACLE_SQL["pipeline_metrics"] = _metrics_sql()
 
 ORACLE_SQL["catalog_append_stream"] = ORACLE_SQL["catalog_append"]
 ORACLE_SQL["cache_versioned"] = ORACLE_SQL["cache_upsert"]
+
+
+def _sql_extra() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["legacy_ratings_tsv"] = with_(RAW_RATINGS) + "SELECT * FROM raw_ratings"
+    q["sql_on_parquet_path"] = (with_(*BASE, SUMMARY)
+                                + "SELECT movie_id, avg_rating, rating_count FROM ratings_summary WHERE rating_count >= 40")
+    base = (RAW_MOVIES, CLEAN_MOVIES, HITS, LINK_ITEMS, *link_ctes("link_items"))
+    old = ("items_old AS (SELECT * FROM link_items WHERE release_year <= 1985)", *_rename_links("_old"),
+           records_cte("recs_old", "items_old", "links_old"))
+    q["media_cache_json"] = with_(*base, DETAILS, *old) + "SELECT movie_id, found, tmdb_id FROM recs_old"
+    q["leaderboard_top5"] = with_(*SERVING) + """
+SELECT CAST(row_number() OVER (ORDER BY rating_count DESC, movie_id) AS INTEGER) AS rank,
+       movie_id, title, genres, release_year, avg_rating, rating_count, popularity_score
+FROM rated ORDER BY rating_count DESC, movie_id LIMIT 5"""
+    q["media_view"] = with_(*SERVING, HITS, LINK_ITEMS, *link_ctes("link_items"), DETAILS,
+                            records_cte("recs", "link_items", "links")) + """
+SELECT r.movie_id, r.found, c.title, coalesce(r.overview, '') AS overview, coalesce(r.director, '') AS director,
+       coalesce(r.cast_names, '') AS cast_text,
+       CASE WHEN r.runtime IS NOT NULL AND r.runtime <> 0
+            THEN CAST(CAST(floor(r.runtime / 60) AS BIGINT) AS VARCHAR) || 'h ' || CAST(r.runtime % 60 AS VARCHAR) || 'm'
+       END AS runtime_text,
+       CASE WHEN coalesce(r.tmdb_rating, 0.0) <> 0
+            THEN printf('%.1f', floor(r.tmdb_rating * 10 + 0.5) / 10) END AS tmdb_rating_text,
+       format('{:,}', c.rating_count) AS votes_text,
+       r.trailer_key
+FROM recs r JOIN catalog_view c ON r.movie_id = c.movie_id"""
+    return q
+
+
+ORACLE_SQL.update(_sql_extra())

@@ -548,3 +548,66 @@ def q_cache_versioned(spark, sf_dir):
     # the merged version is written next to the one being read, never over it
     sinks.write_version(linkage.cache_upsert(current, new), base, 2)
     return sinks.read_latest(spark, base)
+
+
+# -- more sources: headerless TSV, SQL on a Parquet path, JSON cache ------------------------
+@register("legacy_ratings_tsv")
+def q_legacy_ratings_tsv(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import files, fixtures, sinks
+    path = sinks.land_csv(fixtures.raw_ratings(spark, sf_dir), work_dir(spark, "landed-tsv"), sep="\t",
+                          header=False)
+    return files.read_legacy_ratings(spark, path)
+
+
+@register("sql_on_parquet_path")
+def q_sql_on_parquet_path(spark, sf_dir):
+    from kinora.operators.serving import TOP_RATED_MIN_VOTES
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    path = sinks.write_table(_build(spark, sf_dir).ratings_summary, work_dir(spark, "summary-parquet"))
+    return spark.sql(f"SELECT movie_id, avg_rating, rating_count FROM parquet.`{path}` "
+                     f"WHERE rating_count >= {int(TOP_RATED_MIN_VOTES)}")
+
+
+@register("media_cache_json")
+def q_media_cache_json(spark, sf_dir):
+    from kinora.session import work_dir
+    from kinora.sources import files
+    items, hits, details = _link_inputs(spark, sf_dir)
+    base = work_dir(spark, "media-cache-json")
+    cols = ["movie_id", "found", "tmdb_id"]
+    old = _old_cache(items, hits, details).select(*cols)
+    old.write.mode("overwrite").json(f"{base}/good")
+    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).select(*cols)
+    broken = new.select(F.to_json(F.struct(*cols)).alias("value")).unionByName(
+        spark.range(1).select(F.lit('{"movie_id": 1, "found": tru').alias("value")))
+    broken.coalesce(1).write.mode("overwrite").text(f"{base}/broken")
+    schema = old.schema
+    return files.read_json_cache(spark, f"{base}/*", schema)
+
+
+# -- leaderboard slice and media view --------------------------------------------------------
+@register("leaderboard_top5")
+def q_leaderboard_top5(spark, sf_dir):
+    from kinora.operators import serving
+    return serving.most_rated(_serving(spark, sf_dir)).where(F.col("rank") <= 5)
+
+
+@register("media_view")
+def q_media_view(spark, sf_dir):
+    from kinora.functions import display
+    from kinora.operators import serving
+    items, hits, details = _link_inputs(spark, sf_dir)
+    rec = _records(items, hits, details)
+    view = serving.catalog_view(_serving(spark, sf_dir)).select("movie_id", "title", "rating_count")
+    return rec.join(view, "movie_id").select(
+        "movie_id", "found", "title",
+        F.coalesce("overview", F.lit("")).alias("overview"),
+        F.coalesce("director", F.lit("")).alias("director"),
+        F.array_join(F.coalesce("cast", F.array().cast("array<string>")), ", ").alias("cast_text"),
+        display.runtime_text("runtime").alias("runtime_text"),
+        F.when(F.coalesce("tmdb_rating", F.lit(0.0)) != 0, display.rating_text("tmdb_rating"))
+         .alias("tmdb_rating_text"),
+        F.format_number(F.col("rating_count"), 0).alias("votes_text"),
+        "trailer_key")

@@ -102,3 +102,20 @@ def genre_names_from_dictionary(genres: DataFrame) -> list[str]:
     define the item file's column layout, so it is read on the driver."""
     rows = genres.where(F.col("name").isNotNull()).orderBy("id").select("name").collect()
     return [r["name"] for r in rows]
+
+
+def read_json_cache(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a JSON record cache.  A file holding any unreadable record counts
+    as empty (the whole file is dropped, not just the bad line), as a corrupt
+    cache document is discarded."""
+    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    raw = (spark.read.schema(full).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+           .withColumn("_file", F.input_file_name()))
+    # the filter reads a data column too: Spark refuses scans that need only
+    # the corrupt-record column
+    first = schema.fields[0].name
+    bad = F.col("_corrupt_record").isNotNull() & (
+        F.length(F.concat_ws("|", F.col("_corrupt_record"), F.col(first).cast("string"))) > 0)
+    bad_files = raw.where(bad).select("_file").distinct()
+    return raw.join(bad_files, "_file", "left_anti").drop("_file", "_corrupt_record")

@@ -34,15 +34,29 @@ FEED_SCHEMA = T.StructType([
     T.StructField("vote_average", T.DoubleType()),
 ])
 
+# A landed page: {"page": n, "results": [{pos, title, release_date, genre_ids, vote_average}, ...]}
+PAGE_SCHEMA = T.StructType([
+    T.StructField("page", T.IntegerType()),
+    T.StructField("results", T.ArrayType(T.StructType([f for f in FEED_SCHEMA.fields if f.name != "page"]))),
+])
+
 ITEM_SCHEMA = "movie_id bigint, title string, genres string, seed_rating double, batch_id bigint"
 
 
 def land_feed(feed: DataFrame, landing_dir: str) -> str:
-    """Write feed rows as JSON files, one folder of files per page range."""
-    feed.select(*[f.name for f in FEED_SCHEMA.fields]).write.mode("append").json(landing_dir)
+    """Write feed rows as page documents (JSON), as the feed service returns
+    them.  One page holds a bounded number of results."""
+    result = F.struct(*[f.name for f in FEED_SCHEMA.fields if f.name != "page"])
+    (feed.groupBy("page").agg(F.array_sort(F.collect_list(result)).alias("results"))
+     .write.mode("append").json(landing_dir))
     return landing_dir
 
 
+def page_rows(pages: DataFrame) -> DataFrame:
+    """Landed page documents -> one row per result."""
+    return pages.select("page", F.explode("results").alias("r")).select("page", "r.*")
+
+
 def _process_batch(spark: SparkSession, base_titles: DataFrame, items_path: str, ratings_path: str,
                    run_ts: int):
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +67,7 @@ def _process_batch(spark: SparkSession, base_titles: DataFrame, items_path: str,
         titles = base_titles.select("title").unionByName(earlier.select("title"))
         top = earlier.agg(F.max("movie_id")).first()[0]
         start = append.FIRST_NEW_ID if top is None else int(top) + 1
-        items = append.new_items(batch, titles, start).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        items = append.new_items(page_rows(batch), titles, start).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         items = materialize(items, "feed-batch")  # ids are fixed before both writes read them
         (items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(items_path))
@@ -68,7 +82,7 @@ def run_feed_append(spark: SparkSession, landing_dir: str, base_titles: DataFram
     """Process every landed page not yet seen, then stop (availableNow)."""
     from kinora.session import checkpoint_dir
     checkpoint_dir(spark)
-    stream = spark.readStream.schema(FEED_SCHEMA).json(landing_dir)
+    stream = spark.readStream.schema(PAGE_SCHEMA).json(landing_dir)
     query = (stream.writeStream
              .foreachBatch(_process_batch(spark, base_titles, items_path, ratings_path, run_ts))
              .option("checkpointLocation", checkpoint_location)
