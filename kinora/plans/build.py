@@ -1,8 +1,14 @@
 """Lazy wiring of the batch products for one input (raw items + raw ratings).
 
-``CatalogueBuild`` holds DataFrame definitions only; nothing runs until an
-action.  Every registered query and the full pipeline share this wiring, so a
-product is defined exactly once.
+``CatalogueBuild`` holds DataFrame definitions; every registered query and the
+full pipeline share this wiring, so a product is defined exactly once.
+
+With ``store=True`` the two tables everything else derives from - the
+item-level rating table and the cleaned catalogue - are written once to the
+shared folder on first use.  Summary, global mean, transformed catalogue,
+leaderboard and metrics then read those small tables instead of re-running the
+rating de-duplication in every job (scalar subqueries and separate actions do
+not share shuffles).
 """
 
 from __future__ import annotations
@@ -22,10 +28,18 @@ POPULAR_TOP_N = 50        # size of the popularity leaderboard
 
 
 class CatalogueBuild:
-    def __init__(self, raw_movies: DataFrame, raw_ratings: DataFrame, m: int = catalog.BAYES_M):
+    def __init__(self, raw_movies: DataFrame, raw_ratings: DataFrame, m: int = catalog.BAYES_M,
+                 store: bool = False):
         self.raw_movies = raw_movies
         self.raw_ratings = raw_ratings
         self.m = m
+        self.store = store
+
+    def _stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        if not self.store:
+            return df
+        from kinora.session import materialize
+        return materialize(df, purpose)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "CatalogueBuild":
@@ -34,7 +48,7 @@ class CatalogueBuild:
     # -- cleaning ------------------------------------------------------------
     @cached_property
     def clean_movies(self) -> DataFrame:
-        return catalog.clean_catalog(self.raw_movies)
+        return self._stored(catalog.clean_catalog(self.raw_movies), "clean-movies")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -42,7 +56,7 @@ class CatalogueBuild:
 
     @cached_property
     def item_stats(self) -> DataFrame:
-        return ratings.item_rating_stats(self.pairs)
+        return self._stored(ratings.item_rating_stats(self.pairs), "item-stats")
 
     @cached_property
     def known_stats(self) -> DataFrame:
@@ -92,17 +106,15 @@ class CatalogueBuild:
         from kinora.session import materialize
         return materialize(self.recommendations(k), "recommendations")
 
-    def serving(self, k: int = DEFAULT_TOP_K, recommendations: DataFrame | None = None,
-                stored: bool = True):
-        """Serving tables.  ``stored``: each is written once to the shared
-        folder on first use (as the serving store would hold it) and every
-        read scans that table; otherwise they stay lazy plans."""
+    def serving(self, k: int = DEFAULT_TOP_K, recommendations: DataFrame | None = None):
+        """Serving tables as lazy factories: a read that never touches a table
+        never builds it.  The neighbour table is written once to the shared
+        folder when first used (``stored_recommendations``); the other three
+        derive cheaply from the core tables."""
         from kinora.operators.serving import ServingTables
-        from kinora.session import materialize
-        keep = (lambda df, name: materialize(df, name)) if stored else (lambda df, name: df)
         return ServingTables(
-            lambda: keep(self.clean_movies.select("movie_id", "title", "genres", "release_year"), "movies"),
-            lambda: keep(self.ratings_summary, "ratings-summary"),
+            lambda: self.clean_movies.select("movie_id", "title", "genres", "release_year"),
+            lambda: self.ratings_summary,
             recommendations if recommendations is not None else (lambda: self.stored_recommendations(k)),
-            lambda: keep(self.popular_movies(), "popular-movies"),
+            lambda: self.popular_movies(),
         )

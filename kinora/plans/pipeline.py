@@ -63,13 +63,12 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     t0 = time.time()
     checkpoint_dir(spark)
     out_dir = out_dir or work_dir(spark, "pipeline")
-    b = CatalogueBuild.from_tables(spark, sf_dir)
+    b = CatalogueBuild.from_tables(spark, sf_dir, store=True)
     timings = {}
 
     t = time.time()
     # item-level rating table and cleaned catalogue feed every later stage
-    b.__dict__["item_stats"] = materialize(b.item_stats, "item-stats")
-    b.__dict__["clean_movies"] = materialize(b.clean_movies, "clean-movies")
+    b.item_stats, b.clean_movies  # written to the shared folder here
     timings["clean"] = time.time() - t
 
     t = time.time()
@@ -82,7 +81,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     timings["recommend"] = time.time() - t
 
     t = time.time()
-    serving = b.serving(k, recommendations=recs, stored=False)
+    serving = b.serving(k, recommendations=recs)
     paths = sinks.write_serving(serving, f"{out_dir}/serving")
     timings["serve"] = time.time() - t
 

@@ -25,7 +25,7 @@ def register(name: str):
 
 
 def _build(spark: SparkSession, sf_dir: str) -> CatalogueBuild:
-    return CatalogueBuild.from_tables(spark, sf_dir)
+    return CatalogueBuild.from_tables(spark, sf_dir, store=True)
 
 
 # -- minimum slice -------------------------------------------------------------
