@@ -83,8 +83,12 @@ def choose_blocks(n_docs: int, parallelism: int, n_chars: int = 0) -> int:
     number of vector entries: a token takes >= 3 characters with its
     separator, and uni- plus bigrams give at most two entries per token."""
     by_size = max(math.ceil(n_docs / MAX_BLOCK), math.ceil((2 * n_chars / 3) / MAX_BLOCK_ENTRIES))
-    # enough block pairs (B(B+1)/2) to occupy the cluster, blocks not too small
-    by_tasks = min(math.ceil(math.sqrt(4 * parallelism)), math.ceil(n_docs / MIN_BLOCK))
+    # fewest blocks whose B(B+1)/2 block pairs still give every core a group:
+    # more blocks only add replication
+    b = 1
+    while b * (b + 1) // 2 < parallelism:
+        b += 1
+    by_tasks = min(b, math.ceil(n_docs / MIN_BLOCK))
     return max(1, by_size, by_tasks)
 
 
