@@ -37,14 +37,18 @@ def token_array(text: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
     return F.filter(toks, lambda t: ~t.isin(list(stop_words)))
 
 
+# Zero-width match at each token start of the space-joined token string; the
+# lookahead captures "token next-token" (tokens never contain spaces).
+BIGRAM_PATTERN = r"(?:^| )(?=([^ ]+ [^ ]+))"
+
+
 def gram_array(toks: Column) -> Column:
-    """Unigrams followed by bigrams of adjacent tokens."""
-    n = F.size(toks)
-    bigrams = F.when(
-        n >= 2,
-        F.zip_with(F.slice(toks, 1, n - 1), F.slice(toks, 2, n - 1),
-                   lambda a, b: F.concat(a, F.lit(" "), b)),
-    ).otherwise(F.array().cast("array<string>"))
+    """Unigrams followed by bigrams of adjacent tokens.
+
+    Bigrams come from one regex over the joined tokens rather than a
+    ``zip_with`` lambda: same pairs, but codegen'd instead of interpreted.
+    Pass a column reference so the token array is computed once."""
+    bigrams = F.regexp_extract_all(F.array_join(toks, " "), F.lit(BIGRAM_PATTERN), 1)
     return F.concat(toks, bigrams)
 
 
@@ -58,26 +62,20 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ngram_max: int = 2) -> DataFrame:
     """(doc_id, term, tf_count) for uni- (and bi-) grams."""
-    toks = token_array(F.col(text_col))
-    grams = gram_array(toks) if ngram_max >= 2 else toks
-    return (docs.select(F.col(id_col).alias("doc_id"), F.explode(grams).alias("term"))
+    toks = docs.select(F.col(id_col).alias("doc_id"), token_array(F.col(text_col)).alias("t"))
+    grams = gram_array(F.col("t")) if ngram_max >= 2 else F.col("t")
+    return (toks.select("doc_id", F.explode(grams).alias("term"))
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf_count")))
 
 
 def tfidf_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  ngram_max: int = 2, with_term_id: bool = False) -> DataFrame:
-    """(doc_id, term, weight[, term_id]) with L2-normalised sublinear TF-IDF."""
+                  ngram_max: int = 2) -> DataFrame:
+    """(doc_id, term, weight) with L2-normalised sublinear TF-IDF."""
     counts = term_counts(docs, id_col, text_col, ngram_max)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if with_term_id:
-        # Unique (not dense) integer ids so the block product ships 8-byte keys.
-        dfs = dfs.withColumn("term_id", F.monotonically_increasing_id())
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
     raw = counts.join(dfs, "term").withColumn(
         "w", (F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-    cols = ["doc_id", "term", (F.col("w") / norm).alias("weight")]
-    if with_term_id:
-        cols.append("term_id")
-    return raw.select(*cols)
+    return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
