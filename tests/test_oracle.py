@@ -23,7 +23,20 @@ def test_every_query_has_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    res = compare(E.queries()[key](spark, SF_SMALL), con, E.oracle_sql()[key])
+    df = E.queries()[key](spark, SF_SMALL)
+    res = compare(df, con, E.oracle_sql()[key])
     assert res["ok"], res
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan], f"{key}: all-pairs join operator in plan"
+
+
+def test_rating_scan_is_pruned_and_filtered(spark):
+    plan = E.queries()["clean_ratings"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "lineitem.parquet" in line][0]
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_tax:double>" in scan
+    assert "PushedFilters: [IsNotNull(l_partkey)" in scan
