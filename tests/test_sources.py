@@ -61,3 +61,12 @@ def test_stream_append_pages_and_replay(spark):
     feed_append.run_feed_append(spark, f"{d}/landing", base, f"{d}/items", f"{d}/ratings", f"{d}/ckpt2", 42)
     assert spark.read.parquet(f"{d}/items").count() == 2
     assert spark.read.parquet(f"{d}/ratings").count() == 20
+
+
+def test_spread_only_touches_small_scans(spark):
+    from kinora.session import default_parallelism, spread
+    many = spark.range(0, 1000, numPartitions=default_parallelism(spark) * 2)
+    assert spread(many) is many                      # enough splits: no shuffle added
+    one = spark.range(0, 1000, numPartitions=1)
+    spreaded = spread(one, "id")
+    assert spreaded.rdd.getNumPartitions() > 1 and spreaded.count() == 1000
