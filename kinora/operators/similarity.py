@@ -42,7 +42,10 @@ SCORE_QUANTUM = 1e9      # scores are ranked on rint(score * 1e9)
 OUTPUT_DECIMALS = 4      # stored similarity has 4 decimals
 
 MAX_BLOCK = 2048         # documents per block (bounds the score block: 2048^2 doubles)
-MAX_BLOCK_ENTRIES = 4_000_000  # (term, weight) entries per block (bounds one group's input)
+# (term, weight) entries per block: a group holds two blocks, i.e. at most ~4M
+# Python string objects plus weights (~250 MB in the worker) and one dense
+# 2048 x 2048 score block (32 MB)
+MAX_BLOCK_ENTRIES = 2_000_000
 MIN_BLOCK = 128
 PAIR_CHUNK = 8_000_000   # sparse-tail pairs expanded at once inside a group
 

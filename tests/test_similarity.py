@@ -103,5 +103,5 @@ def test_choose_blocks():
     assert similarity.choose_blocks(100, 8) == 1
     assert similarity.choose_blocks(3_000, 8) == 4          # 10 block pairs for 8 cores
     assert similarity.choose_blocks(10_000, 8) == 5         # 2048 documents per block at most
-    assert similarity.choose_blocks(1000, 8, n_chars=60_000_000) == 10   # bounded by entries
+    assert similarity.choose_blocks(1000, 8, n_chars=60_000_000) == 20   # bounded by entries
     assert similarity.choose_blocks(1_000_000, 8) == math.ceil(1_000_000 / similarity.MAX_BLOCK)
