@@ -58,3 +58,19 @@ def test_popular_ranks_are_contiguous(spark):
     b = sf_build(spark)
     ranks = sorted(r["rank"] for r in b.popular_movies(20).collect())
     assert ranks == list(range(1, 21))
+
+
+def test_hot_pair_collapses_map_side(spark):
+    """One (user, item) pair holding a third of all rating rows: the keep-first
+    result is exact and the plan reduces the pair before its shuffle."""
+    hot = spark.range(0, 3000).select(F.lit(7).cast("bigint").alias("user_id"), F.lit(1).cast("bigint").alias("movie_id"),
+                                       (F.lit(0.5) + (F.col("id") % 10) / 2).alias("rating"),
+                                       (F.lit(1000) - F.col("id") % 997).cast("bigint").alias("timestamp"))
+    cold = spark.range(0, 6000).select((F.col("id") + 100).alias("user_id"), (F.col("id") % 3 + 1).alias("movie_id"),
+                                        F.lit(4.0).alias("rating"), F.col("id").alias("timestamp"))
+    pairs = ratings.rating_pairs(hot.unionByName(cold).repartition(8))
+    row = pairs.where("user_id = 7").first()
+    # first copy by (timestamp, rating): timestamp 4 is reached by ids 996, 1993, 2990 -> ratings 3.5, 2.0, 0.5
+    assert (row.copies, row.timestamp, row.rating) == (3000, 4, 0.5)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "partial_count" in plan
