@@ -42,10 +42,11 @@ SCORE_QUANTUM = 1e9      # scores are ranked on rint(score * 1e9)
 OUTPUT_DECIMALS = 4      # stored similarity has 4 decimals
 
 MAX_BLOCK = 2048         # documents per block (bounds the score block: 2048^2 doubles)
-# (term, weight) entries per block: a group holds two blocks, i.e. at most ~4M
-# Python string objects plus weights (~250 MB in the worker) and one dense
-# 2048 x 2048 score block (32 MB)
-MAX_BLOCK_ENTRIES = 2_000_000
+# Upper estimate of (term, weight) entries per block (2/3 entry per character of
+# text; prose has about a third of that).  A group holds two blocks: ~2-3M
+# string objects plus weights in practice (~250 MB in the worker) and one dense
+# 2048 x 2048 score block (32 MB).
+MAX_BLOCK_ENTRIES = 4_000_000
 MIN_BLOCK = 128
 PAIR_CHUNK = 8_000_000   # sparse-tail pairs expanded at once inside a group
 
