@@ -138,17 +138,17 @@ def enrich_records(items: DataFrame, links: DataFrame, hits: DataFrame, details:
     first = lambda arr: F.try_element_at(arr, F.lit(1))  # noqa: E731 - NULL when empty
     trailer = F.coalesce(first(F.filter(yt, lambda v: v["type"] == "Trailer"))["key"], first(yt)["key"])
     director = first(F.filter(crew, lambda c: c["job"] == "Director"))["name"]
-    h = hits.select("ext_id", F.col("title").alias("tmdb_title"), "poster_path",
+    h = hits.select("ext_id", F.col("title").alias("meta_title"), "poster_path",
                     F.col("backdrop_path").alias("hit_backdrop"), F.col("overview").alias("hit_overview"),
-                    F.col("vote_average").alias("tmdb_rating"))
+                    F.col("vote_average").alias("meta_rating"))
     matched = links.select("movie_id", "ext_id").join(h, "ext_id").join(d, "ext_id", "left")
     rec = matched.select(
-        "movie_id", F.lit(True).alias("found"), F.col("ext_id").alias("tmdb_id"), "tmdb_title",
+        "movie_id", F.lit(True).alias("found"), F.col("ext_id").alias("meta_id"), "meta_title",
         "poster_path",
         F.coalesce(_nz(F.col("hit_backdrop")), _nz(F.col("d.backdrop_path"))).alias("backdrop_path"),
         F.coalesce(_nz(F.col("d.overview")), _nz(F.col("hit_overview")), F.lit("")).alias("overview"),
         F.coalesce(_nz(F.col("d.tagline")), F.lit("")).alias("tagline"),
-        F.col("d.runtime").alias("runtime"), "tmdb_rating",
+        F.col("d.runtime").alias("runtime"), "meta_rating",
         F.coalesce(director, F.lit("")).alias("director"),
         F.coalesce(F.slice(F.transform(cast, lambda c: c["name"]), 1, CAST_LIMIT),
                    F.array().cast("array<string>")).alias("cast"),

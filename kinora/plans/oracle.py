@@ -573,11 +573,11 @@ DETAILS = """det AS (
 
 def records_cte(name: str, items: str, links: str) -> str:
     return f"""{name} AS (
-  SELECT l.movie_id, true AS found, l.ext_id AS tmdb_id, h.title AS tmdb_title, h.poster_path,
+  SELECT l.movie_id, true AS found, l.ext_id AS meta_id, h.title AS meta_title, h.poster_path,
          coalesce(nullif(h.backdrop_path, ''), nullif(d.d_backdrop, '')) AS backdrop_path,
          coalesce(nullif(d.d_overview, ''), nullif(h.overview, ''), '') AS overview,
          coalesce(nullif(d.d_tagline, ''), '') AS tagline,
-         d.d_runtime AS runtime, h.vote_average AS tmdb_rating,
+         d.d_runtime AS runtime, h.vote_average AS meta_rating,
          coalesce(d.d_director, '') AS director, coalesce(d.d_cast, '') AS cast_names,
          d.d_trailer AS trailer_key
   FROM {links} l JOIN hits h ON l.ext_id = h.ext_id LEFT JOIN det d ON d.ext_id = l.ext_id
@@ -620,9 +620,9 @@ SELECT movie_id, title FROM link_items WHERE movie_id NOT IN (SELECT movie_id FR
     new = (f"items_new AS (SELECT * FROM link_items WHERE release_year >= 1980)", *_rename_links("_new"),
            records_cte("recs_new", "items_new", "links_new"))
     q["cache_upsert"] = with_(*base, DETAILS, *old, *new) + """
-SELECT movie_id, found, tmdb_id, 'new' AS source FROM recs_new
+SELECT movie_id, found, meta_id, 'new' AS source FROM recs_new
 UNION ALL
-SELECT movie_id, found, tmdb_id, 'old' FROM recs_old WHERE movie_id NOT IN (SELECT movie_id FROM recs_new)"""
+SELECT movie_id, found, meta_id, 'old' FROM recs_old WHERE movie_id NOT IN (SELECT movie_id FROM recs_new)"""
     todo = ("items_todo AS (SELECT * FROM link_items WHERE movie_id NOT IN (SELECT movie_id FROM recs_old))",
             *_rename_links("_todo"), records_cte("recs_todo", "items_todo", "links_todo"))
     q["enrich_coverage"] = with_(*base, DETAILS, *old, *todo) + """
@@ -855,7 +855,7 @@ def _sql_extra() -> dict[str, str]:
     base = (RAW_MOVIES, CLEAN_MOVIES, HITS, LINK_ITEMS, *link_ctes("link_items"))
     old = ("items_old AS (SELECT * FROM link_items WHERE release_year <= 1985)", *_rename_links("_old"),
            records_cte("recs_old", "items_old", "links_old"))
-    q["media_cache_json"] = with_(*base, DETAILS, *old) + "SELECT movie_id, found, tmdb_id FROM recs_old"
+    q["media_cache_json"] = with_(*base, DETAILS, *old) + "SELECT movie_id, found, meta_id FROM recs_old"
     q["leaderboard_top5"] = with_(*SERVING) + """
 SELECT CAST(row_number() OVER (ORDER BY rating_count DESC, movie_id) AS INTEGER) AS rank,
        movie_id, title, genres, release_year, avg_rating, rating_count, popularity_score
@@ -867,8 +867,8 @@ SELECT r.movie_id, r.found, c.title, coalesce(r.overview, '') AS overview, coale
        CASE WHEN r.runtime IS NOT NULL AND r.runtime <> 0
             THEN CAST(CAST(floor(r.runtime / 60) AS BIGINT) AS VARCHAR) || 'h ' || CAST(r.runtime % 60 AS VARCHAR) || 'm'
        END AS runtime_text,
-       CASE WHEN coalesce(r.tmdb_rating, 0.0) <> 0
-            THEN printf('%.1f', floor(r.tmdb_rating * 10 + 0.5) / 10) END AS tmdb_rating_text,
+       CASE WHEN coalesce(r.meta_rating, 0.0) <> 0
+            THEN printf('%.1f', floor(r.meta_rating * 10 + 0.5) / 10) END AS meta_rating_text,
        format('{:,}', c.rating_count) AS votes_text,
        r.trailer_key
 FROM recs r JOIN catalog_view c ON r.movie_id = c.movie_id"""

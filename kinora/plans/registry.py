@@ -338,7 +338,7 @@ def q_cache_upsert(spark, sf_dir):
     old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
     new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
         "source", F.lit("new"))
-    return linkage.cache_upsert(old, new).select("movie_id", "found", "tmdb_id", "source")
+    return linkage.cache_upsert(old, new).select("movie_id", "found", "meta_id", "source")
 
 
 @register("enrich_coverage")
@@ -541,10 +541,10 @@ def q_cache_versioned(spark, sf_dir):
     items, hits, details = _link_inputs(spark, sf_dir)
     base = work_dir(spark, "media-cache")
     old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
-    sinks.write_version(old.select("movie_id", "found", "tmdb_id", "source"), base, 1)
+    sinks.write_version(old.select("movie_id", "found", "meta_id", "source"), base, 1)
     current = sinks.read_latest(spark, base)
     new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
-        "source", F.lit("new")).select("movie_id", "found", "tmdb_id", "source")
+        "source", F.lit("new")).select("movie_id", "found", "meta_id", "source")
     # the merged version is written next to the one being read, never over it
     sinks.write_version(linkage.cache_upsert(current, new), base, 2)
     return sinks.read_latest(spark, base)
@@ -576,7 +576,7 @@ def q_media_cache_json(spark, sf_dir):
     from kinora.sources import files
     items, hits, details = _link_inputs(spark, sf_dir)
     base = work_dir(spark, "media-cache-json")
-    cols = ["movie_id", "found", "tmdb_id"]
+    cols = ["movie_id", "found", "meta_id"]
     old = _old_cache(items, hits, details).select(*cols)
     old.write.mode("overwrite").json(f"{base}/good")
     new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).select(*cols)
@@ -607,7 +607,7 @@ def q_media_view(spark, sf_dir):
         F.coalesce("director", F.lit("")).alias("director"),
         F.array_join(F.coalesce("cast", F.array().cast("array<string>")), ", ").alias("cast_text"),
         display.runtime_text("runtime").alias("runtime_text"),
-        F.when(F.coalesce("tmdb_rating", F.lit(0.0)) != 0, display.rating_text("tmdb_rating"))
-         .alias("tmdb_rating_text"),
+        F.when(F.coalesce("meta_rating", F.lit(0.0)) != 0, display.rating_text("meta_rating"))
+         .alias("meta_rating_text"),
         F.format_number(F.col("rating_count"), 0).alias("votes_text"),
         "trailer_key")

@@ -29,12 +29,12 @@ def test_csv_roundtrip_with_quotes(spark):
 
 def test_json_cache_drops_corrupt_file(spark):
     d = scratch()
-    good = spark.createDataFrame([(1, True, 101), (2, False, None)], "movie_id bigint, found boolean, tmdb_id bigint")
+    good = spark.createDataFrame([(1, True, 101), (2, False, None)], "movie_id bigint, found boolean, meta_id bigint")
     good.write.json(f"{d}/a")
-    spark.createDataFrame([('{"movie_id": 3, "found": true, "tmdb_id": 103}',), ('{"movie_id": 4, "fou',)],
+    spark.createDataFrame([('{"movie_id": 3, "found": true, "meta_id": 103}',), ('{"movie_id": 4, "fou',)],
                           "value string").coalesce(1).write.text(f"{d}/b")
     got = files.read_json_cache(spark, f"{d}/*", good.schema).orderBy("movie_id").collect()
-    assert [(r.movie_id, r.found, r.tmdb_id) for r in got] == [(1, True, 101), (2, False, None)]
+    assert [(r.movie_id, r.found, r.meta_id) for r in got] == [(1, True, 101), (2, False, None)]
 
 
 def test_versioned_write_reads_newest(spark):
