@@ -8,7 +8,8 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Texts are hashed in runs of about this many bytes, which bounds a worker's arrays.
 RUN_BYTES = 1 << 20
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of long texts small, unless the session names another size."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

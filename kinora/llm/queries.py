@@ -33,3 +33,10 @@ def op8(spark, sf_dir):
     from kinora.llm.warc import warc_archive
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc_archive(pages, min_revisit_bytes=0)
+
+
+@register("op2_pii_spans")
+def op2(spark, sf_dir):
+    from kinora.llm import pii
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs))
