@@ -40,3 +40,28 @@ def op2(spark, sf_dir):
     from kinora.llm import pii
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.find(docs, pii.fit(docs))
+
+
+@register("op10_minhash_dedup")
+def op10(spark, sf_dir):
+    from kinora.llm.minhash_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), least=85)
+
+
+SQL["op10_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM shingles p JOIN shingles q ON p.x = q.x AND p.doc_id <> q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN low ON low.a = s.doc_id"""
