@@ -65,3 +65,13 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM
 low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM sets s JOIN low ON low.a = s.doc_id"""
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    from kinora.llm import toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(toxicity.remainder("doc_id") != 2)
+    rows = toxicity.score(docs, toxicity.fit(docs, learned))
+    return rows.select("doc_id", (toxicity.remainder("doc_id") == 2).alias("held_out"), "score",
+                       F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))

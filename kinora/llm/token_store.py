@@ -19,11 +19,14 @@ shards; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,50 +42,104 @@ from kinora.session import materialize, work_dir
 MAGIC = b"TOKZ0001"
 #: Most bytes of one sampled array that dictionary training sees.
 SAMPLE_BYTES = 16 << 10
-#: Entries after which a worker's word cache starts anew, and the longest word it keeps.
-CACHE_WORDS, CACHE_CHARS = 200_000, 40
+#: Words that each of a worker's two cache generations holds, and the longest of them.
+CACHE_WORDS, CACHE_CHARS = 250_000, 40
 # Between non-space and non-space a single space opens a new pre-token of a byte-level
-# tokenizer, so texts can be cut there without changing an id.
+# tokenizer and a single line end is one, so such texts can be cut there without
+# changing an id.  Texts with other white space are cut at their lone spaces only.
 CUT = re.compile(r"(?<!\s) (?!\s)")
+LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
+TAILS = ".,;:!?"
 
 
 class Encoder:
-    """Whole-text encoding by a byte-level tokenizer, each distinct word once."""
+    """Whole-text encoding by a byte-level tokenizer of the tokenizers library, each
+    distinct word once as long as the cache holds it."""
 
     def __init__(self, path: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = {2: "H", 4: "I"}[self.width.itemsize]
         self.end = np.array([end_id], self.width).tobytes()
-        self.cache: dict[str, bytes] = {}
-
-    def _bytes(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, self.width).tobytes() for e in found]
+        # What byte-level pre-tokenization writes for each byte.
+        show = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {b: show(bytes([b]).decode())[0][0] for b in range(128)}
+        for c in map(chr, range(0xC0, 0x180)):
+            self.shown.update(zip(c.encode(), show(c)[0][0], strict=True))
+        self.spaced, self.bare = _Words(self, " "), _Words(self, "")
+        self.line, self.tails = self.whole("\n"), {c: self.whole(c) for c in TAILS}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+
+    def word(self, word: str, before: str) -> bytes:
+        """Ids of one word; a word of Latin letters alone is one pre-token."""
+        if sys.byteorder != "little" or not LATIN.fullmatch(word):
+            return self.whole(before + word)
+        shown = (before + word).encode().decode("latin-1").translate(self.shown)
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text, the end id last."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
         out = []
         for text in texts:
-            first, *rest = CUT.split(text)
-            words = [first, *(" " + w for w in rest)]
-            known = self.cache
-            if new := list({w for w in words if w not in known}):
-                own = dict(zip(new, self._bytes(new), strict=True))
-                known.update((w, b) for w, b in own.items() if len(w) <= CACHE_CHARS)
-                out.append(b"".join([own[w] if w in own else known[w] for w in words]) + self.end)
-            else:
-                out.append(b"".join([known[w] for w in words]) + self.end)
+            first, *rest = text.split(" ")
+            try:
+                if "" in rest or not first:
+                    raise Irregular
+                ids = [self.bare[first], *map(self.spaced.__getitem__, rest), self.end]
+            except Irregular:
+                first, *rest = CUT.split(text)
+                ids = [self.whole(first), *[self.whole(" " + w) for w in rest], self.end]
+            out.append(b"".join(ids))
         return out
 
 
+class Irregular(Exception):
+    """White space that is not a single space or line end between words."""
+
+
+class _Words(dict):
+    """Ids by word, in two generations: a full one becomes the old one, and what is asked
+    for again moves on to the new one."""
+
+    def __init__(self, encoder: Encoder, before: str) -> None:
+        self.encoder, self.before, self.old = encoder, before, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            parts = word.split()
+            if len(parts) != 1 or parts[0] != word:
+                if "\n".join(parts) != word or not parts:
+                    raise Irregular
+                return self.encoder.line.join([self[parts[0]], *map(self.encoder.bare.__getitem__, parts[1:])])
+            stem, tail = word[:-1], word[-1:]
+            if tail in self.encoder.tails and stem and (stem[-1].isalpha() or stem[-1].isdigit()):
+                ids = self[stem] + self.encoder.tails[tail]  # a letter or digit and a mark part
+            else:
+                ids = self.encoder.word(word, self.before)
+        if len(word) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """One encoder per worker process, so that its cache outlives a task."""
+    return Encoder(path, end_id)
+
+
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int, dictionary: bytes | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id)
+        encoder = encoder_of(tokenizer, end_id)
         pack = None
         if dictionary is not None:
             pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary)
@@ -167,7 +224,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sa
     for r in found:
         manifest["shards"].append(r.asDict() | {"start": start})
         start += r.n_tokens
-    manifest |= {"n_tokens": start, "tokenizer_width": int(Encoder(tokenizer, end_id).width.itemsize)}
+    manifest |= {"n_tokens": start, "tokenizer_width": int(encoder_of(tokenizer, end_id).width.itemsize)}
     common.write_file(f"{path}/dictionary.zdict", [dictionary])
     common.write_file(f"{path}/manifest.json", [json.dumps(manifest).encode()])
     return manifest

@@ -10,7 +10,8 @@ from kinora.session import work_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", None, " ", "a  b", "Hello world,  don't\n stop\t now", " lead and trail ", "naïve café　über  x\x1cy",
-         "word " * 4000, "x" * 30_000, "<|endoftext|> kept as text", "a  b \n\n c", "a b", "a b"]
+         "word " * 4000, "x" * 30_000, "<|endoftext|> kept as text", "it's we'll I'd 's x's. don't, a.b, (x). 12. 1,2; ñandú! Straße? 東京. ٣. ½, x²; _.",
+         "a line\nanother line, here.\nlast\n", "tab\there", "nbsp\u00a0x y", "ĀžƏ Ǆe", "e\u0301x, y", "a  b \n\n c", "a b", "a b"]
 
 
 def plain(texts):
@@ -26,6 +27,23 @@ def test_word_cache_gives_the_ids_of_whole_texts():
     assert got == plain(TEXTS)
 
 
+def test_words_at_random():
+    import random
+    rng = random.Random(3)
+    parts = ["the", "The", "é", "'s", "'", ".", ",", "!", "\n", " ", "  ", "1", "²", "½", "x", "ß", "東", "\t", "\u2003", "\x1c", "_", "😀", "’"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(4000)]
+    encoder = token_store.Encoder(TOKENIZER, 2)
+    got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(texts)]
+    assert got == plain(texts)
+
+
+def test_full_cache_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 7)
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(30)) for i in range(20)]
+    encoder = token_store.Encoder(TOKENIZER, 2)
+    assert [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(texts)] == plain(texts)
+
+
 def test_files_read_back_in_order(spark):
     rows = [(100 - i, t, "clash") for i, t in enumerate(TEXTS)] + [(None, "no id", "clash")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string")
