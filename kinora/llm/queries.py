@@ -75,3 +75,9 @@ def op3(spark, sf_dir):
     rows = toxicity.score(docs, toxicity.fit(docs, learned))
     return rows.select("doc_id", (toxicity.remainder("doc_id") == 2).alias("held_out"), "score",
                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@register("op7_hnsw")
+def op7(spark, sf_dir):
+    from kinora.llm.hnsw import nearest
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
