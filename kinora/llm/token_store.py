@@ -43,13 +43,14 @@ MAGIC = b"TOKZ0001"
 #: Most bytes of one sampled array that dictionary training sees.
 SAMPLE_BYTES = 16 << 10
 #: Words that each of a worker's two cache generations holds, and the longest of them.
-CACHE_WORDS, CACHE_CHARS = 250_000, 40
+CACHE_WORDS, CACHE_CHARS = 600_000, 40
 # Between non-space and non-space a single space opens a new pre-token of a byte-level
 # tokenizer and a single line end is one, so such texts can be cut there without
 # changing an id.  Texts with other white space are cut at their lone spaces only.
 CUT = re.compile(r"(?<!\s) (?!\s)")
 LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
-TAILS = ".,;:!?"
+# A run of ASCII marks after a letter is a pre-token of its own.
+MARKED = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f])([!-/:-@\[-`{-~]+)", re.DOTALL)
 
 
 class Encoder:
@@ -70,8 +71,9 @@ class Encoder:
         self.shown = {b: show(bytes([b]).decode())[0][0] for b in range(128)}
         for c in map(chr, range(0xC0, 0x180)):
             self.shown.update(zip(c.encode(), show(c)[0][0], strict=True))
+        self.space = self.shown[0x20]
         self.spaced, self.bare = _Words(self, " "), _Words(self, "")
-        self.line, self.tails = self.whole("\n"), {c: self.whole(c) for c in TAILS}
+        self.line, self.marks = self.whole("\n"), _Words(self, "")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
@@ -80,7 +82,9 @@ class Encoder:
         """Ids of one word; a word of Latin letters alone is one pre-token."""
         if sys.byteorder != "little" or not LATIN.fullmatch(word):
             return self.whole(before + word)
-        shown = (before + word).encode().decode("latin-1").translate(self.shown)
+        shown = self.space + word if before else word
+        if not word.isascii():
+            shown = (before + word).encode().decode("latin-1").translate(self.shown)
         return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -118,9 +122,9 @@ class _Words(dict):
                 if "\n".join(parts) != word or not parts:
                     raise Irregular
                 return self.encoder.line.join([self[parts[0]], *map(self.encoder.bare.__getitem__, parts[1:])])
-            stem, tail = word[:-1], word[-1:]
-            if tail in self.encoder.tails and stem and (stem[-1].isalpha() or stem[-1].isdigit()):
-                ids = self[stem] + self.encoder.tails[tail]  # a letter or digit and a mark part
+            marked = None if word[-1].isalnum() else MARKED.fullmatch(word)
+            if marked:
+                ids = self[marked[1]] + self.encoder.marks[marked[2]]
             else:
                 ids = self.encoder.word(word, self.before)
         if len(word) <= CACHE_CHARS:
