@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Texts are hashed in runs of about this many bytes, which bounds a worker's arrays.
 RUN_BYTES = 1 << 20
@@ -33,6 +34,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def extended(df: DataFrame, run, **added: str) -> DataFrame:
+    """``df`` with more columns, made by ``run(name)``: a function over its Arrow batches
+    that gets the batch's own name of a column by ``name(column)`` and yields all columns
+    and the added ones in order.  Columns may have any name."""
+    names = df.columns
+    inner = [f"c{i}" for i in range(len(names))]
+    own = dict(zip(names, inner, strict=True))
+    kinds = T.StructType([*(T.StructField(c, f.dataType) for c, f in zip(inner, df.schema.fields, strict=True)),
+                          *(T.StructField(f"a{i}", T._parse_datatype_string(t)) for i, t in enumerate(added.values()))])
+    out = df.toDF(*inner).mapInArrow(run(own.__getitem__), kinds)
+    return out.select(*[F.col(c).alias(n) for n, c in own.items()], *[F.col(f"a{i}").alias(n) for i, n in enumerate(added)])
+
+
+def with_columns(batch: pa.RecordBatch, *more: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *(f"a{i}" for i in range(len(more)))])
+
+
 # -- files that tasks write and read -------------------------------------------
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder that all executors share."""

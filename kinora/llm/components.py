@@ -8,30 +8,29 @@ from pyspark.sql import functions as F
 from kinora.session import materialize
 
 
+def _near(links: DataFrame) -> DataFrame:
+    """Per node its smallest and largest neighbour."""
+    both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b); a component's name is its
     smallest node.
 
     Each round points a node's larger neighbours at the smallest node near it, then the
-    node and its smaller neighbours at the smallest of these.  Rounds work on the links
-    alone, write them to the shared folder, and stop when nothing changes; their number
-    grows with the logarithm of a component's width.  A hub's neighbours are reduced
-    behind a partial aggregate, and adaptive execution splits its join."""
-    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    links = materialize(links, "links")
-    before = None
-    while True:
+    node and its smaller neighbours at the smallest of these.  It ends when every node
+    either has larger neighbours only or one neighbour, a smaller one.  Rounds work on
+    the links alone and write them to the shared folder; their number grows with the
+    logarithm of a component's width.  A hub's neighbours are reduced behind a partial
+    aggregate, and adaptive execution splits its join."""
+    links = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not _near(links).where("low < u and low <> high").isEmpty():
+        low = _near(links).select("u", F.least("low", "u").alias("m"))
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialize(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionAll(low.select("u", F.col("m").alias("v")))
-                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        links = materialize(small, "links")
-        mark = links.agg(F.count("u").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == before or not mark.n:
-            break
-        before = mark
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        links = materialize(large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                            .unionAll(low.select("u", F.col("m").alias("v")))
+                            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    return _near(links).select(F.col("u").alias("node"), F.least("u", "low").alias("component"))

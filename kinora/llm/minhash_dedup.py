@@ -14,7 +14,8 @@ probability 0.9998, closer ones more surely.
    sweeps from one document over those not reached yet, the most central first, so a
    group of near copies costs about one sweep.  A group of more than ``GROUP_SHINGLES``
    is cut into blocks and every pair of blocks is a task: no link is lost.
-5. Components of the exact links give the result.
+5. A group's smallest linked document names it; what the tasks of a cut group found
+   is joined as components of a graph once more.
 
 Cases: a document without words has an empty set and no link; with fewer than five
 words the whole sequence is one shingle; A-Z are lower-cased only.  A null doc_id takes
@@ -126,15 +127,30 @@ def linked(sets: list[np.ndarray], least: int) -> list[tuple[int, int]]:
     return out
 
 
+def _rooted(ids: list[int], pairs: list[tuple[int, int]]) -> dict[int, int]:
+    """Smallest id reachable from each id that has links or repeats."""
+    parent = {i: i for i in ids}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+    for x, y in pairs:
+        low, high = sorted((root(ids[x]), root(ids[y])))
+        parent[high] = low
+    return {i: root(i) for i in parent}
+
+
 def _links(sets: DataFrame, least: int) -> DataFrame:
-    """Exact links within each (grp, block pair), streamed in sorted order."""
+    """(a, b): every document that has an exact link within its (group, block pair), and
+    the smallest it reaches there; rows are streamed in sorted order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, own = None, [], []
 
         def flush():
-            found = linked(own, least) if len(own) > 1 else []
+            found = [(x, y) for x, y in _rooted(ids, linked(own, least)).items() if x != y] if len(own) > 1 else []
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x, _ in found], pa.int64()), pa.array([ids[y] for _, y in found], pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
             columns = [batch.column(c) for c in ("grp", "i", "j", "doc_id", "shingles")]
@@ -172,7 +188,9 @@ def near_duplicates(docs: DataFrame, least: int = 85, tables_per_side: int = 10,
     members = materialize(members.join(weight, "component").select(
         F.col("node").alias("doc_id"), F.col("component").alias("grp"), blocks.alias("blocks")), "members")
     sets = _sets(docs.select("doc_id", "text").join(members, "doc_id"))
-    links = connected_components(_links(sets.where(F.length("shingles") > 0), least))
+    links = _links(sets.where(F.length("shingles") > 0), least).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if not members.where("blocks > 1").isEmpty():  # what the tasks of a cut group found meets here
+        links = connected_components(links.select(F.col("node").alias("a"), F.col("component").alias("b")))
     return classes.select("doc_id", "n_shingles", "rep").join(links, classes.rep == links.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component", "rep")).alias("kept"))

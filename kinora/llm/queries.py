@@ -81,3 +81,29 @@ def op3(spark, sf_dir):
 def op7(spark, sf_dir):
     from kinora.llm.hnsw import nearest
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op9_decontaminate")
+def op9(spark, sf_dir):
+    from kinora.llm.decontaminate import flag
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = flag(docs, table(spark, sf_dir, "benchmark"), least=80)
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
+                        F.array_join("items", ",").alias("items"))
+
+
+@register("op5_unigram_counts")
+def op5(spark, sf_dir):
+    from kinora.llm.unigram_count import token_counts
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op6_merge_dropout")
+def op6(spark, sf_dir):
+    from kinora.llm import merge_dropout
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = merge_dropout.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, seed=6, dropout=0.1)
+    rows = merge_dropout.decode(rows, model)
+    return rows.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                       F.crc32(F.encode(F.coalesce(F.array_join(F.col("ids").cast("array<string>"), ","), F.lit("")), "UTF-8")).alias("ids_crc32"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinora.llm import common
 from kinora.session import materialize
@@ -255,12 +254,10 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     spark = docs.sparkSession
     common.small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches):
-            part = batch.slice(a, b - a)
-            p = sent.value.score(sent.value.evidence(data, offsets))
-            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(names))], pa.array(p)], [*names, column])
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    def made(name):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, a, b, data, offsets in common.each_run(batches, name("text")):
+                yield common.with_columns(batch.slice(a, b - a), pa.array(sent.value.score(sent.value.evidence(data, offsets))))
+        return run
+    return common.extended(docs, made, **{column: "double"})
