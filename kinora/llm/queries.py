@@ -107,3 +107,9 @@ def op6(spark, sf_dir):
     return rows.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                        F.crc32(F.encode(F.coalesce(F.array_join(F.col("ids").cast("array<string>"), ","), F.lit("")), "UTF-8")).alias("ids_crc32"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@register("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    from kinora.llm.suffix_dedup import digest, remove_repeats
+    return digest(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
