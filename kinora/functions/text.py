@@ -70,6 +70,13 @@ def normalise_name(col) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(_c(col), F.lit(""))), "[^a-z0-9]", "")
 
 
+def link_key(col) -> Column:
+    """``normalise_name``; of a name without such characters the lower-cased name
+    itself, so that names in other scripts are told apart and none is a key of all."""
+    key = normalise_name(col)
+    return F.when(key == "", F.lower(strip_ws(F.coalesce(_c(col), F.lit(""))))).otherwise(key)
+
+
 def year_from_date(col) -> Column:
     """First four characters of a date string when they are all digits."""
     head = F.substring(F.coalesce(_c(col), F.lit("")), 1, 4)

@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinora.functions import text
+from kinora.session import materialize
 
 # FIXED VALUES ------------------------------------------------------------------
 FIRST_NEW_ID = 600000
-MAX_PAGES = 100
 SEED_USERS = (900, 910)              # users 900..909 rate every new item
 NO_GENRES = "(no genres listed)"
 UNKNOWN_GENRE = "Unknown"
@@ -40,12 +40,14 @@ def genre_map_column() -> Column:
     return F.create_map(*[x for k, v in GENRE_MAP.items() for x in (F.lit(k), F.lit(v))])
 
 
-def consecutive_ids(df: DataFrame, order: list[str], start: int, id_col: str) -> DataFrame:
+def consecutive_ids(df: DataFrame, order: list[str], start: int | Column, id_col: str) -> DataFrame:
     """Number rows start, start+1, ... in ``order`` without a global window.
 
-    Rows are range-partitioned and sorted on ``order``; each partition's row
-    count (one row per partition) gives prefix offsets; a row's id is its
-    partition offset plus its position inside the partition.
+    Rows are range-partitioned, sorted on ``order`` and written once with their
+    partition and place in it: the bounds of a range exchange are sampled, so
+    counts and rows must come from the same one.  Each partition's row count
+    (one row per partition) gives prefix offsets; a row's id is its partition
+    offset plus its place.
     """
     n_parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     ranged = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
@@ -53,34 +55,43 @@ def consecutive_ids(df: DataFrame, order: list[str], start: int, id_col: str) ->
               .withColumn("_mid", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + index within partition
     ranged = ranged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    ranged = materialize(ranged.drop("_mid"), "numbered")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     # one row per partition: a bounded broadcast
     out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_local")).cast("bigint")).drop(
-        "_pid", "_mid", "_local", "_off")
+    return out.withColumn(id_col, (start + F.col("_off") + F.col("_local")).cast("bigint")).drop(
+        "_pid", "_local", "_off")
 
 
-def accepted_feed(feed: DataFrame) -> DataFrame:
-    """Pages 1..100 up to (excluding) the first missing or empty page."""
-    pages = feed.where(F.col("page").between(1, MAX_PAGES)).select("page").distinct()
+def accepted_feed(feed: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Pages from 1 up to (excluding) the first missing or empty page, of the
+    first ``max_pages`` if a limit is wanted."""
+    wanted = F.col("page") >= 1 if max_pages is None else F.col("page").between(1, max_pages)
+    pages = feed.where(wanted).select("page").distinct()
     gap_after = (pages.select((F.col("page") + 1).alias("page"))
                  .join(pages, "page", "left_anti").agg(F.min("page")).scalar())
     has_first = pages.agg(F.max((F.col("page") == 1).cast("int"))).scalar()
-    stop = F.when(has_first == 1, F.least(gap_after, F.lit(MAX_PAGES + 1))).otherwise(F.lit(1))
+    stop = F.when(has_first == 1, gap_after).otherwise(F.lit(1))
     return feed.where((F.col("page") >= 1) & (F.col("page") < stop))
 
 
-def new_items(feed: DataFrame, existing_titles: DataFrame, start_id: int = FIRST_NEW_ID) -> DataFrame:
+def new_items(feed: DataFrame, existing: DataFrame, max_pages: int | None = None) -> DataFrame:
     """feed(page, pos, title, release_date, genre_ids, vote_average) ->
-    (movie_id, title, genres, seed_rating) for titles not seen before."""
-    rows = accepted_feed(feed).select(
+    (movie_id, title, genres, seed_rating) for titles not seen before.
+
+    Ids start after the largest ``movie_id`` of ``existing(title[, movie_id])``,
+    at FIRST_NEW_ID at least."""
+    start = F.lit(FIRST_NEW_ID).cast("bigint")
+    if "movie_id" in existing.columns:
+        start = F.greatest(start, F.coalesce(existing.agg(F.max("movie_id") + 1).scalar(), start))
+    rows = accepted_feed(feed, max_pages).select(
         "page", "pos", text.compose_title("title", "release_date").alias("full_title"),
         "genre_ids", "vote_average")
     first = (rows.groupBy("full_title")
              .agg(F.min(F.struct("page", "pos", "genre_ids", "vote_average")).alias("_r"))
              .select("full_title", "_r.*"))
-    fresh = first.join(existing_titles.select(F.col("title").alias("full_title")).distinct(),
+    fresh = first.join(existing.select(F.col("title").alias("full_title")).distinct(),
                        "full_title", "left_anti")
     names = F.transform(F.coalesce("genre_ids", F.array().cast("array<int>")),
                         lambda g: F.coalesce(genre_map_column()[g], F.lit(UNKNOWN_GENRE)))
@@ -89,7 +100,7 @@ def new_items(feed: DataFrame, existing_titles: DataFrame, start_id: int = FIRST
     seed = F.greatest(F.lit(0.5), F.least(F.lit(5.0), F.rint((vote / 2) * 2) / 2))
     items = fresh.select("page", "pos", F.col("full_title").alias("title"), genres.alias("genres"),
                          seed.alias("seed_rating"))
-    return consecutive_ids(items, ["page", "pos"], start_id, "movie_id").select(
+    return consecutive_ids(items, ["page", "pos"], start, "movie_id").select(
         "movie_id", "title", "genres", "seed_rating")
 
 

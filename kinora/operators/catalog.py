@@ -16,15 +16,17 @@ def clean_catalog(raw_movies: DataFrame) -> DataFrame:
     """De-duplicate by id, clean titles, de-duplicate by cleaned title, add year.
 
     Keep-first is made total: per id the smallest (title, genres); per cleaned
-    title the smallest movie_id.  Both steps are aggregations, so a hot title
+    title the smallest movie_id; NULLs come last.  Both steps are aggregations, so a hot title
     is reduced map-side before its shuffle.
     """
     by_id = (raw_movies.groupBy("movie_id")
-             .agg(F.min(F.struct("title", "genres")).alias("_r"))
+             .agg(F.min(F.struct(F.col("title").isNull().alias("_t"), "title",
+                                F.col("genres").isNull().alias("_g"), "genres")).alias("_r"))
              .select("movie_id", text.clean_title(F.col("_r.title")).alias("title"),
                      F.col("_r.genres").alias("genres")))
     by_title = (by_id.groupBy("title")
-                .agg(F.min(F.struct("movie_id", "genres")).alias("_r"))
+                .agg(F.min(F.struct(F.col("movie_id").isNull().alias("_m"), "movie_id",
+                                   F.col("genres").isNull().alias("_g"), "genres")).alias("_r"))
                 .select(F.col("_r.movie_id").alias("movie_id"), "title",
                         F.col("_r.genres").alias("genres")))
     return by_title.select("movie_id", "title", text.release_year("title").alias("release_year"),

@@ -32,13 +32,14 @@ ACCEPT_FIRST_PASS = 12.0
 VOTE_CAP = 5000
 SECOND_PASS_CANDIDATES = 2
 CAST_LIMIT = 8
-SALT_BUCKETS = 16
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int,
-                  salt_col: str, buckets: int = SALT_BUCKETS) -> DataFrame:
+                  salt_col: str, buckets: int | None = None) -> DataFrame:
     """Exact top-n per key in two window stages: within (key, salt), then within key.
-    A hot key is spread over ``buckets`` tasks; stage 2 sees <= n * buckets rows."""
+    A hot key is spread over ``buckets`` tasks (the shuffle width, unless given);
+    stage 2 sees <= n * buckets rows."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(salt_col), F.lit(buckets))
     s1 = (df.withColumn("_salt", salt)
           .withColumn("_r1", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
@@ -49,10 +50,10 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int,
 
 def search_index(hits: DataFrame) -> DataFrame:
     """(key, ext_id, hit_year, votes): a hit is findable by either normalised name."""
-    keys = F.array_distinct(F.array(text.normalise_name("title"), text.normalise_name("original_title")))
+    keys = F.array_distinct(F.array(text.link_key("title"), text.link_key("original_title")))
     return hits.select(F.explode(keys).alias("key"), "ext_id",
                        text.year_from_date("release_date").alias("hit_year"),
-                       F.col("vote_count").alias("votes"))
+                       F.col("vote_count").alias("votes")).where("key <> ''")
 
 
 def search_results(hits: DataFrame, with_year: bool) -> DataFrame:
@@ -75,7 +76,7 @@ def link_items(items: DataFrame, hits: DataFrame) -> DataFrame:
         parsed["candidates"].alias("candidates"))
     cands = base.select("movie_id", "year", "candidates",
                         F.posexplode("candidates").alias("cpos", "cand"))
-    cands = cands.withColumn("key", text.normalise_name("cand"))
+    cands = cands.withColumn("key", text.link_key("cand")).where("key <> ''")
 
     pool1 = (cands.where(F.col("year").isNotNull())
              .join(search_results(hits, True), ["key", "year"])
@@ -96,13 +97,13 @@ def link_items(items: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def _score(pool: DataFrame, base: DataFrame, hits: DataFrame) -> DataFrame:
-    h = hits.select("ext_id", text.normalise_name("title").alias("nt"),
-                    text.normalise_name("original_title").alias("no"),
+    h = hits.select("ext_id", text.link_key("title").alias("nt"),
+                    text.link_key("original_title").alias("no"),
                     text.year_from_date("release_date").alias("hit_year"),
                     "vote_count", "poster_path")
     j = pool.join(base.select("movie_id", "year", "candidates"), "movie_id").join(h, "ext_id")
-    name_hit = F.exists("candidates", lambda c: (text.normalise_name(c) == F.col("nt"))
-                        | (text.normalise_name(c) == F.col("no")))
+    name_hit = F.exists("candidates", lambda c: (text.link_key(c) != "") & ((text.link_key(c) == F.col("nt"))
+                        | (text.link_key(c) == F.col("no"))))
     diff = F.abs(F.col("hit_year") - F.col("year"))
     year_part = (F.when(F.col("year").isNull() | F.col("hit_year").isNull(), F.lit(0.0))
                  .when(diff == 0, F.lit(6.0)).when(diff == 1, F.lit(3.0)).otherwise(F.lit(-5.0)))

@@ -39,7 +39,7 @@ def dq_checks(t: ServingTables, genre_rows: DataFrame | None = None, genre: str
         dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
             F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
         parts.append(_row(name, "primary_key", dup))
-        nulls = df.agg(sum(F.sum(F.col(c).isNull().cast("long")) for c in NOT_NULL[name]).alias("v"))
+        nulls = df.agg(sum(F.count_if(F.col(c).isNull()) for c in NOT_NULL[name]).alias("v"))
         parts.append(_row(name, "not_null", nulls))
     ids = t.movies.select("movie_id")
     for name, col in (("ratings_summary", "movie_id"), ("popular_movies", "movie_id"),
@@ -63,12 +63,12 @@ def dq_neighbours(recs: DataFrame) -> DataFrame:
     r = recs.withColumn("_prev", F.lag("similarity_score").over(w))
     per_src = recs.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("mx"),
                                            F.min("rank").alias("mn"))
-    gaps = per_src.agg(F.sum(((F.col("mx") != F.col("n")) | (F.col("mn") != 1)).cast("long")).alias("v"))
+    gaps = per_src.agg(F.count_if((F.col("mx") != F.col("n")) | (F.col("mn") != 1)).alias("v"))
     return r.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum((~F.col("similarity_score").between(0.0, 1.0)).cast("long")).alias("score_out_of_range"),
-        F.sum((F.col("movie_id") == F.col("recommended_movie_id")).cast("long")).alias("self_pairs"),
-        F.sum((F.col("_prev") < F.col("similarity_score")).cast("long")).alias("order_violations"),
+        F.count_if(~F.col("similarity_score").between(0.0, 1.0)).alias("score_out_of_range"),
+        F.count_if(F.col("movie_id") == F.col("recommended_movie_id")).alias("self_pairs"),
+        F.count_if(F.col("_prev") < F.col("similarity_score")).alias("order_violations"),
     ).select("rows", "score_out_of_range", "self_pairs", "order_violations",
              gaps.scalar().alias("rank_gaps"))
 
@@ -78,5 +78,5 @@ def dq_popular(board: DataFrame) -> DataFrame:
     return board.agg(
         F.count(F.lit(1)).alias("rows"),
         (F.max("rank") - F.count(F.lit(1))).cast("bigint").alias("rank_gap"),
-        F.sum((F.col("popularity_score") <= 0).cast("long")).alias("non_positive_score"),
-        F.sum((F.col("rating_count") <= 0).cast("long")).alias("no_votes"))
+        F.count_if(F.col("popularity_score") <= 0).alias("non_positive_score"),
+        F.count_if(F.col("rating_count") <= 0).alias("no_votes"))

@@ -32,7 +32,7 @@ def rating_pairs(raw_ratings: DataFrame) -> DataFrame:
     """(user_id, movie_id) -> kept copy + copy counts.
 
     Keep-first order is (timestamp, rating): ties on both carry an identical
-    payload, so the kept row is fully determined.
+    payload, so the kept row is fully determined.  NULLs come last.
     """
     return (raw_ratings
             .select("user_id", "movie_id", "rating", "timestamp",
@@ -40,7 +40,8 @@ def rating_pairs(raw_ratings: DataFrame) -> DataFrame:
             .groupBy("user_id", "movie_id")
             .agg(F.count(F.lit(1)).alias("copies"),
                  F.sum("_bad").alias("invalid_copies"),
-                 F.min(F.struct("timestamp", "rating")).alias("_first"))
+                 F.min(F.struct(F.col("timestamp").isNull().alias("_t"), "timestamp",
+                                F.col("rating").isNull().alias("_r"), "rating")).alias("_first"))
             .select("user_id", "movie_id", "copies", "invalid_copies",
                     F.col("_first.rating").alias("rating"),
                     F.col("_first.timestamp").alias("timestamp"),

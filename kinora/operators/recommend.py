@@ -73,9 +73,10 @@ def search_batch(t: ServingTables, queries: DataFrame, limit: int = SEARCH_LIMIT
     details = t.movies.select(*MOVIE_COLS).join(t.ratings_summary, "movie_id", "left")
     cands = (probe.join(index, "gram").select("query_id", "q", "movie_id")
              .join(details, "movie_id")
-             .where(F.expr("title ILIKE concat('%', q, '%')")))
+             .withColumn("_like", F.replace(F.col("q"), F.lit("\\"), F.lit("\\\\")))  # no escape character
+             .where(F.expr("title ILIKE concat('%', _like, '%')")))
     lt, lq = F.lower(F.col("title")), F.lower(F.col("q"))
-    rel = F.when(lt == lq, 1).when(F.expr("lower(title) LIKE concat(lower(q), '%')"), 2).otherwise(3)
+    rel = F.when(lt == lq, 1).when(F.expr("lower(title) LIKE concat(lower(_like), '%')"), 2).otherwise(3)
     w = Window.partitionBy("query_id").orderBy(rel, F.col("popularity_score").desc_nulls_last(),
                                                F.col("movie_id"))
     ranked = cands.withColumn("position", F.row_number().over(w).cast("int")).where(

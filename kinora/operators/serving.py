@@ -90,12 +90,17 @@ def sort_order(sort_by: str) -> list[Column]:
     return modes.get(sort_by, modes["popularity"]) + [c("movie_id").asc()]
 
 
+def _plain(pattern: str) -> str:
+    """A LIKE pattern without an escape character: a backslash is a character."""
+    return pattern.replace("\\", "\\\\")
+
+
 def genre_predicate(genre: str | None) -> Column | None:
     """Case-insensitive substring on the pipe string; blank/None -> no filter.
     '%' and '_' in the input keep their wildcard meaning, as in the reference."""
     if genre is None or not genre.strip():
         return None
-    return F.col("genres").ilike(f"%{genre.strip()}%")
+    return F.col("genres").ilike(f"%{_plain(genre.strip())}%")
 
 
 def list_movies(t: ServingTables, page: int = 1, page_size: int = PAGE_SIZE_DEFAULT,
@@ -121,7 +126,7 @@ def _relevance(query: str) -> Column:
     """1 exact (case-insensitive), 2 prefix, 3 contains."""
     lt = F.lower(F.col("title"))
     return (F.when(lt == F.lower(F.lit(query)), 1)
-            .when(lt.like(query.lower() + "%"), 2)
+            .when(lt.like(_plain(query.lower()) + "%"), 2)
             .otherwise(3))
 
 
@@ -132,7 +137,7 @@ def search_titles(t: ServingTables, query: str, limit: int = SEARCH_LIMIT_DEFAUL
         raise ValueError("search query cannot be empty or only whitespace")
     _check("limit", limit, 1, SEARCH_LIMIT_MAX)
     view = t.movies.select(*MOVIE_COLS).join(t.ratings_summary, "movie_id", "left")
-    hits = view.where(F.col("title").ilike(f"%{q}%")).withColumn("_rel", _relevance(q))
+    hits = view.where(F.col("title").ilike(f"%{_plain(q)}%")).withColumn("_rel", _relevance(q))
     top = hits.orderBy(F.col("_rel"), F.col("popularity_score").desc_nulls_last(),
                        F.col("movie_id")).limit(limit)
     return top.select(*MOVIE_COLS,

@@ -190,11 +190,13 @@ def _row_topk(scores: np.ndarray, src_ids: np.ndarray, dst_ids: np.ndarray, k: i
 
 
 def _block_pair_kernel(k: int):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf["side"] == 0].reset_index(drop=True)
         right = pdf[pdf["side"] == 1].reset_index(drop=True)
         l_ids = left["doc_id"].to_numpy(np.int64)
-        if right.empty:
+        if key[0] != key[1] and (left.empty or right.empty):  # a block without documents
+            return pd.DataFrame({"src": [], "dst": [], "q": []}).astype("int64")
+        if key[0] == key[1]:
             s = score_block(left, None)
             out = _row_topk(s, l_ids, l_ids, k, exclude_diagonal=True)
         else:

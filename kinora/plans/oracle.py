@@ -27,7 +27,7 @@ RAW_RATINGS = """raw_ratings AS (
            + CASE WHEN l.l_quantity > 45 AND l.l_tax >= 0.08 THEN 0.5 ELSE 0.0 END AS rating,
          CAST(epoch(o.o_orderdate) AS BIGINT) AS "timestamp"
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_partkey % 17 <> 0)"""
+  )"""
 
 # -- cleaning ----------------------------------------------------------------
 CLEAN_MOVIES = f"""by_id AS (
@@ -184,7 +184,7 @@ FEATURE_DOCS = f"""feature_docs AS (
            CAST(release_year AS VARCHAR))) AS text
   FROM clean_movies)"""
 
-EN_DOCS = "en_docs AS (SELECT doc_id, text FROM documents WHERE lang = 'en')"
+ALL_DOCS = "all_docs AS (SELECT doc_id, text FROM documents)"
 ALL_DOCS = "all_docs AS (SELECT doc_id, text FROM documents)"
 
 
@@ -200,11 +200,11 @@ def _sql_similarity() -> dict[str, str]:
 SELECT doc_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token FROM toks"""
     q["ngrams"] = with_(ALL_DOCS, *tfidf_ctes("all_docs")[:3]) + """
 SELECT doc_id, term, c AS tf_count FROM tf"""
-    q["tfidf_weights"] = with_(EN_DOCS, *tfidf_ctes("en_docs")) + f"""
+    q["tfidf_weights"] = with_(ALL_DOCS, *tfidf_ctes("all_docs")) + f"""
 SELECT doc_id, term, {sql_round_even('w', 9)} AS weight FROM wn"""
     q["content_topk"] = content_topk_sql(15)
     q["content_topk100"] = content_topk_sql(100)
-    q["doc_similarity_topk"] = (with_(EN_DOCS, *tfidf_ctes("en_docs"), *topk_ctes(10))
+    q["doc_similarity_topk"] = (with_(ALL_DOCS, *tfidf_ctes("all_docs"), *topk_ctes(10))
                                 + "SELECT src AS doc_id, dst AS neighbour_id, rnk AS rank, similarity_score FROM nn")
     return q
 
@@ -559,12 +559,12 @@ def link_ctes(items: str) -> tuple[str, ...]:
 
 DETAILS = """det AS (
   SELECT CAST(conv_id + 100000 AS BIGINT) AS ext_id,
-         substring(arg_min(text, turn), 1, 24) AS d_overview,
+         arg_min(text, turn) AS d_overview,
          CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'A story' END AS d_tagline,
          CAST(sum(length(text)) % 120 + 60 AS INTEGER) AS d_runtime,
          CASE WHEN conv_id % 3 = 0 THEN NULL ELSE '/d' || CAST(conv_id AS VARCHAR) || '.jpg' END AS d_backdrop,
-         arg_min(substring(text, 1, 24), turn) FILTER (WHERE role = 'user') AS d_director,
-         array_to_string(list_slice(list(substring(text, 1, 24) ORDER BY turn), 1, 8), ', ') AS d_cast,
+         arg_min(text, turn) FILTER (WHERE role = 'user') AS d_director,
+         array_to_string(list_slice(list(text ORDER BY turn), 1, 8), ', ') AS d_cast,
          coalesce(arg_min('k' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR), turn) FILTER (WHERE turn % 6 = 0),
                   arg_min('k' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR), turn) FILTER (WHERE turn % 2 = 0))
            AS d_trailer
@@ -660,14 +660,14 @@ FEED = f"""feed AS (
          (s_acctbal + 1000.0) / 1100.0 AS vote_average
   FROM supplier
   UNION ALL
-  SELECT CAST(floor(floor(p_partkey / 50) / 20) + 1 AS INTEGER), CAST(20 + floor(p_partkey / 50) % 20 AS INTEGER),
+  SELECT CAST(floor(p_partkey / 20) + 1 AS INTEGER), CAST(20 + p_partkey % 20 AS INTEGER),
          p_name, CAST(1960 + p_size AS VARCHAR) || '-05-05', [{_feed_ids()}[p_size % 19 + 1]], CAST(NULL AS DOUBLE)
-  FROM part WHERE p_partkey % 50 = 0)"""
+  FROM part)"""
 
-NEW_ITEMS = f"""pages AS (SELECT DISTINCT page FROM feed WHERE page BETWEEN 1 AND 100),
+NEW_ITEMS = f"""pages AS (SELECT DISTINCT page FROM feed WHERE page >= 1),
 stop_page AS (
   SELECT CASE WHEN EXISTS (SELECT 1 FROM pages WHERE page = 1)
-              THEN least((SELECT min(page + 1) FROM pages WHERE page + 1 NOT IN (SELECT page FROM pages)), 101)
+              THEN (SELECT min(page + 1) FROM pages WHERE page + 1 NOT IN (SELECT page FROM pages))
               ELSE 1 END AS s),
 composed AS (
   SELECT page, pos,
@@ -685,7 +685,7 @@ named AS (
                            lambda g: coalesce({_genre_case('g')}, 'Unknown')) AS names
   FROM fresh),
 new_items AS (
-  SELECT CAST(600000 + row_number() OVER (ORDER BY page, pos) - 1 AS BIGINT) AS movie_id,
+  SELECT CAST((SELECT greatest(600000, max(movie_id) + 1) FROM raw_movies) + row_number() OVER (ORDER BY page, pos) - 1 AS BIGINT) AS movie_id,
          full_title AS title,
          CASE WHEN len(names) > 0 THEN array_to_string(names, '|') ELSE '(no genres listed)' END AS genres,
          greatest(CAST(0.5 AS DOUBLE), least(CAST(5.0 AS DOUBLE),

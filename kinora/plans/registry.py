@@ -79,11 +79,9 @@ def q_rating_histogram(spark, sf_dir):
 
 
 # -- features and similarity ---------------------------------------------------
-def _documents(spark, sf_dir, english_only: bool):
+def _documents(spark, sf_dir):
     from kinora.sources.fixtures import table
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    if english_only:
-        docs = docs.where(F.col("lang") == "en")
+    docs = table(spark, sf_dir, "documents")
     from kinora.session import spread
     return spread(docs.select("doc_id", "text"), "doc_id")
 
@@ -97,20 +95,20 @@ def _feature_items(spark, sf_dir):
 @register("tokens")
 def q_tokens(spark, sf_dir):
     from kinora.operators import tfidf
-    return tfidf.tokens(_documents(spark, sf_dir, False))
+    return tfidf.tokens(_documents(spark, sf_dir))
 
 
 @register("ngrams")
 def q_ngrams(spark, sf_dir):
     from kinora.operators import tfidf
-    return tfidf.term_counts(_documents(spark, sf_dir, False))
+    return tfidf.term_counts(_documents(spark, sf_dir))
 
 
 @register("tfidf_weights")
 def q_tfidf_weights(spark, sf_dir):
     from kinora.functions.rounding import round_even
     from kinora.operators import tfidf
-    w = tfidf.tfidf_weights(_documents(spark, sf_dir, True))
+    w = tfidf.tfidf_weights(_documents(spark, sf_dir))
     return w.select("doc_id", "term", round_even(F.col("weight"), 9).alias("weight"))
 
 
@@ -131,7 +129,7 @@ def q_content_topk100(spark, sf_dir):
 @register("doc_similarity_topk")
 def q_doc_similarity_topk(spark, sf_dir):
     from kinora.operators import similarity
-    nn = similarity.content_neighbours(spark, _documents(spark, sf_dir, True), 10,
+    nn = similarity.content_neighbours(spark, _documents(spark, sf_dir), 10,
                                        id_col="doc_id", text_col="text")
     return nn.select("doc_id", F.col("recommended_doc_id").alias("neighbour_id"), "rank",
                      "similarity_score")
@@ -365,7 +363,7 @@ def _new_items(spark, sf_dir):
     from kinora.operators import append
     from kinora.sources import external
     b = _build(spark, sf_dir)
-    return append.new_items(external.feed(spark, sf_dir), b.raw_movies.select("title"))
+    return append.new_items(external.feed(spark, sf_dir), b.raw_movies.select("movie_id", "title"))
 
 
 @register("catalog_append")

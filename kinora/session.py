@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,12 +52,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster (tests): nothing names a shared folder.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        # One process (tests): nothing names a shared folder and none is needed.
         configured = tempfile.mkdtemp(prefix="kinora-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that functions in
+    its modules run wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="kinora-package-"), "kinora.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("kinora", os.path.relpath(path, root)))
+    sc.addPyFile(target)  # served by the driver
+    _SHIPPED.add(sc.applicationId)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)

@@ -43,7 +43,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     turn = F.col("turn")
     job = F.when(F.col("role") == "user", F.lit("Director")).otherwise(F.lit("Producer"))
-    name = F.substring(F.col("text"), 1, 24)
+    name = F.col("text")
     entry = F.struct(
         turn.alias("turn"),
         F.struct(job.alias("job"), name.alias("name")).alias("crew"),
@@ -55,7 +55,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").alias("len"))
     g = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("t"))
     doc = F.struct(
-        F.substring(F.try_element_at("t", F.lit(1))["crew"]["name"], 1, 60).alias("overview"),
+        F.try_element_at("t", F.lit(1))["crew"]["name"].alias("overview"),
         F.when(F.col("conv_id") % 2 == 0, F.lit("")).otherwise(F.lit("A story")).alias("tagline"),
         (F.aggregate("t", F.lit(0), lambda a, x: a + x["len"]) % 120 + 60).alias("runtime"),
         F.when(F.col("conv_id") % 3 == 0, F.lit(None).cast("string"))
@@ -76,8 +76,8 @@ FEED_GENRE_IDS = [28, 12, 16, 35, 80, 99, 18, 10751, 14, 36, 27, 10402, 9648, 10
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paged feed rows: page, pos, title, release_date, genre_ids, vote_average.
 
-    Suppliers are new titles (with a comma to strip); every 50th part repeats
-    an existing catalogue title (skipped by the append) and may repeat itself.
+    Suppliers are new titles (with a comma to strip); every part repeats an
+    existing catalogue title (skipped by the append) and may repeat itself.
     """
     ids = F.array(*[F.lit(i) for i in FEED_GENRE_IDS])
     sup = table(spark, sf_dir, "supplier")
@@ -91,8 +91,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(F.try_element_at(ids, (k % 20 + 1).cast("int")),
                     F.try_element_at(ids, (k % 7 + 1).cast("int")))).alias("genre_ids"),
         ((F.col("s_acctbal") + 1000.0) / 1100.0).alias("vote_average"))
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 50 == 0)
-    j = F.floor(F.col("p_partkey") / 50)
+    part = table(spark, sf_dir, "part")
+    j = F.col("p_partkey")
     p_rows = part.select(
         (F.floor(j / 20) + 1).cast("int").alias("page"), (F.lit(20) + j % 20).cast("int").alias("pos"),
         F.col("p_name").alias("title"),

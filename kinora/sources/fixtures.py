@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 # FIXED VALUES of the fixture mapping -------------------------------------------
 YEAR_BASE = 1960          # release year = YEAR_BASE + p_size
-RATING_KEY_MODULUS = 17   # ratings of parts with l_partkey % 17 = 0 are left out
 EXTERNAL_ID_OFFSET = 100000
 # -------------------------------------------------------------------------------
 
@@ -44,8 +43,7 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rating rows: user_id, movie_id bigint, rating double, timestamp bigint."""
     from kinora.session import spread
     li = spread(table(spark, sf_dir, "lineitem")
-                .select("l_orderkey", "l_partkey", "l_quantity", "l_tax")
-                .where(F.col("l_partkey") % RATING_KEY_MODULUS != 0), "l_orderkey")
+                .select("l_orderkey", "l_partkey", "l_quantity", "l_tax"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     bonus = F.when((F.col("l_quantity") > 45) & (F.col("l_tax") >= 0.08), F.lit(0.5)).otherwise(F.lit(0.0))
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(

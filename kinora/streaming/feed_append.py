@@ -18,6 +18,7 @@ sees, as in the reference's single pass.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,7 @@ PAGE_SCHEMA = T.StructType([
     T.StructField("results", T.ArrayType(T.StructType([f for f in FEED_SCHEMA.fields if f.name != "page"]))),
 ])
 
+PAGE_ROW_SCHEMA = T.StructType([*FEED_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 ITEM_SCHEMA = "movie_id bigint, title string, genres string, seed_rating double, batch_id bigint"
 
 
@@ -57,17 +59,29 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return pages.select("page", F.explode("results").alias("r")).select("page", "r.*")
 
 
+def _written(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that earlier batches wrote; empty before the first."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _process_batch(spark: SparkSession, base_titles: DataFrame, items_path: str, ratings_path: str,
                    run_ts: int):
+    pages_path = items_path.rstrip("/") + "_pages"
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        try:
-            earlier = spark.read.schema(ITEM_SCHEMA).parquet(items_path).where(F.col("batch_id") < batch_id)
-        except Exception:  # first batch: nothing written yet
-            earlier = spark.createDataFrame([], ITEM_SCHEMA)
-        titles = base_titles.select("title").unionByName(earlier.select("title"))
-        top = earlier.agg(F.max("movie_id")).first()[0]
-        start = append.FIRST_NEW_ID if top is None else int(top) + 1
-        items = append.new_items(page_rows(batch), titles, start).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        # Pages land in any order and number, so the stop rule looks at all of them.
+        (page_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(pages_path))
+        landed = _written(spark, pages_path, PAGE_ROW_SCHEMA).where(F.col("batch_id") <= batch_id).drop("batch_id")
+        earlier = _written(spark, items_path, ITEM_SCHEMA).where(F.col("batch_id") < batch_id)
+        ids = F.col("movie_id") if "movie_id" in base_titles.columns else F.lit(None)
+        existing = base_titles.select(ids.cast("bigint").alias("movie_id"), "title").unionByName(earlier.select("movie_id", "title"))
+        items = append.new_items(landed, existing).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         items = materialize(items, "feed-batch")  # ids are fixed before both writes read them
         (items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(items_path))

@@ -37,3 +37,29 @@ def test_seed_ratings(spark):
     r = append.seed_ratings(items, F.lit(1234)).collect()
     assert len(r) == 20 and {x.user_id for x in r} == set(range(900, 910))
     assert all(0.5 <= x.rating <= 5.0 and x.timestamp == 1234 for x in r)
+
+
+def test_all_pages_and_ids_after_the_largest(spark):
+    rows = [(p, 0, f"T{p}", "", [], None) for p in range(1, 151)]
+    existing = spark.createDataFrame([(700000, "x")], "movie_id bigint, title string")
+    got = append.new_items(spark.createDataFrame(rows, FEED), existing).orderBy("movie_id").collect()
+    assert [r.movie_id for r in got] == list(range(700001, 700151))
+    assert append.new_items(spark.createDataFrame(rows, FEED), existing, max_pages=100).count() == 100
+
+
+def test_ids_of_many_rows_are_distinct_and_without_gaps(spark):
+    df = spark.range(200_000).select(F.xxhash64("id").alias("page"), "id")
+    out = append.consecutive_ids(df, ["page"], 5, "nid").agg(F.min("nid"), F.max("nid"), F.countDistinct("nid")).first()
+    assert tuple(out) == (5, 200_004, 200_000)
+
+
+def test_stream_keeps_pages_that_land_later(spark, tmp_path):
+    from kinora.streaming.feed_append import land_feed, run_feed_append
+    base = spark.createDataFrame([(1, "x")], "movie_id bigint, title string")
+    paths = [str(tmp_path / n) for n in ("landing", "items", "ratings", "check")]
+    for pages in ((2, 4), (1,), (3,)):
+        rows = [(p, i, f"T{p}-{i}", "", [], None) for p in pages for i in range(2)]
+        land_feed(spark.createDataFrame(rows, FEED), paths[0])
+        run_feed_append(spark, *paths[:1], base, *paths[1:], 7)
+    items = spark.read.parquet(paths[1]).collect()
+    assert len(items) == 8 and len({r.movie_id for r in items}) == 8

@@ -105,3 +105,14 @@ def test_choose_blocks():
     assert similarity.choose_blocks(10_000, 8) == 5         # 2048 documents per block at most
     assert similarity.choose_blocks(1000, 8, n_chars=60_000_000) == 10   # bounded by entries
     assert similarity.choose_blocks(1_000_000, 8) == math.ceil(1_000_000 / similarity.MAX_BLOCK)
+
+
+def test_empty_blocks_change_nothing(spark):
+    """One, two and five documents, and one without terms, over many blocks."""
+    texts = ["red green blue", "red green stone", "blue stone glass", "glass glass red", "the of"]
+    for n in (1, 2, 5):
+        items = spark.createDataFrame(list(enumerate(texts[:n])), "movie_id long, feature_text string")
+        one, *others = ([tuple(r) for r in similarity.content_neighbours(spark, items, 3, n_blocks=b).orderBy("movie_id", "rank").collect()]
+                        for b in (1, 2, 17))
+        assert all(o == one for o in others)
+        assert len({r[:2] for r in one}) == len(one)
