@@ -117,9 +117,14 @@ def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
               include_not_found: bool = True) -> DataFrame:
     """requests(request_id, movie_id) -> recommendation rows with a status:
     'ok' (stored neighbours), 'fallback' (no stored neighbour: popular items,
-    the source excluded, re-ranked, similarity 0.0) or 'not_found'."""
+    the source excluded, re-ranked, similarity 0.0) or 'not_found'.
+
+    A ``top_k`` column of the requests, where there is one, asks for each request's
+    own number of rows, of at most ``top_k``; a null there asks for ``top_k``."""
     _check("top_k", top_k, 1, TOP_K_MAX)
-    reqs = requests.select("request_id", F.col("movie_id").alias("source_id"))
+    wanted = F.col("top_k").cast("int") if "top_k" in requests.columns else F.lit(None).cast("int")
+    reqs = requests.select("request_id", F.col("movie_id").alias("source_id"),
+                           F.greatest(F.lit(0), F.least(F.coalesce(wanted, F.lit(top_k)), F.lit(top_k))).alias("_k"))
     movies = t.movies.select(*MOVIE_COLS)
     known = reqs.join(movies.select(F.col("movie_id").alias("source_id")), "source_id", "left_semi")
     missing = reqs.join(movies.select(F.col("movie_id").alias("source_id")), "source_id", "left_anti")
@@ -131,13 +136,13 @@ def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
         *MOVIE_COLS, F.coalesce("avg_rating", F.lit(0.0)).alias("avg_rating"),
         F.coalesce("rating_count", F.lit(0).cast("bigint")).alias("rating_count"),
         F.coalesce("popularity_score", F.lit(0.0)).alias("popularity_score"))
-    ok = (known.join(recs, "source_id").join(details, "movie_id")
+    ok = (known.join(recs, "source_id").where(F.col("rank") <= F.col("_k")).join(details, "movie_id")
           .select("request_id", "source_id", F.lit("ok").alias("status"),
                   F.lit(False).alias("is_fallback"), *REC_COLS))
 
     sources_with_recs = t.recommendations.select(F.col("movie_id").alias("source_id")).distinct()
     lonely = known.join(sources_with_recs, "source_id", "left_anti")
-    picked = F.slice(F.filter("_pool", lambda x: x["movie_id"] != F.col("source_id")), 1, top_k)
+    picked = F.slice(F.filter("_pool", lambda x: x["movie_id"] != F.col("source_id")), F.lit(1), F.col("_k"))
     fb = (lonely.withColumn("_pool", _popular_array(t, top_k + 1))
           .select("request_id", "source_id", F.posexplode(picked).alias("pos", "r"))
           .select("request_id", "source_id", F.lit("fallback").alias("status"),
@@ -153,6 +158,19 @@ def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
     return ok.unionByName(fb).unionByName(nf)
 
 
+#: Why a request has the rows it has, by status.
+REASONS = {"ok": "similar items", "fallback": "no similar items: popular items instead", "not_found": "unknown item",
+           "no_match": "no title matches", "rejected": "neither id nor title"}
+
+
+def summarise(recs: DataFrame, key: str = "request_id") -> DataFrame:
+    """Per request of ``recommend`` or ``recommend_by_request``: status, fallback flag,
+    reason and the number of rows."""
+    reason = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    return (recs.groupBy(key, "status", "is_fallback").agg(F.count("movie_id").alias("result_count"))
+            .withColumn("reason", reason[F.col("status")]))
+
+
 def similar_breakdown(t: ServingTables, requests: DataFrame, limit: int = 5) -> DataFrame:
     """Per known source: method label and its first ``limit`` recommendations."""
     _check("limit", limit, 1, 20)

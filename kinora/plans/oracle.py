@@ -385,6 +385,13 @@ def _sql_recommend() -> dict[str, str]:
     q: dict[str, str] = {}
     q["recommend_with_fallback"] = (with_(*SERVING, REQUESTS, ID_REQS, *_nn(10), *recommend_ctes(10))
                                     + "SELECT * FROM rec_rows")
+    q["recommend_per_row"] = (with_(*SERVING, REQUESTS, ID_REQS, *_nn(10), *recommend_ctes(10))
+                              + "SELECT * FROM rec_rows WHERE rank IS NULL OR rank <= request_id % 10 + 1")
+    q["recommend_summary"] = (with_(*SERVING, REQUESTS, ID_REQS, *_nn(10), *recommend_ctes(10))
+                              + "SELECT request_id, status, is_fallback, count(movie_id) AS result_count, "
+                                "CASE status WHEN 'ok' THEN 'similar items' WHEN 'not_found' THEN 'unknown item' "
+                                "ELSE 'no similar items: popular items instead' END AS reason "
+                                "FROM rec_rows GROUP BY request_id, status, is_fallback")
     q["similar_breakdown"] = with_(*SERVING, REQUESTS, ID_REQS, *_nn(5), *recommend_ctes(5)) + f"""
 SELECT r.request_id, r.source_id, m.title AS source_title, m.genres AS source_genres,
        'TF-IDF N-Gram Vectorization + Cosine Similarity' AS similarity_method, r.rank,
@@ -781,6 +788,8 @@ SELECT movie_id,
 FROM legacy"""
     q["sink_roundtrip"] = with_(*CORE) + "SELECT * FROM transformed"
     q["serving_movies"] = with_(RAW_MOVIES, CLEAN_MOVIES) + "SELECT movie_id, title, genres, release_year FROM clean_movies"
+    q["serving_recommendations"] = content_topk_sql(15)
+    q["serving_popular_movies"] = with_(*CORE, POPULAR.format(n=50)) + "SELECT * FROM popular_movies"
     q["serving_ratings_summary"] = with_(*BASE, SUMMARY) + "SELECT * FROM ratings_summary"
     disp = ("CASE WHEN regexp_matches(dt, '(?i)^(.*?),\\s*(The|A|An)(\\s*\\(.*\\))?$') "
             "THEN regexp_replace(dt, '(?i)^(.*?),\\s*(The|A|An)(\\s*\\(.*\\))?$', '\\2 \\1\\3') ELSE dt END")

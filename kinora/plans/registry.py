@@ -228,6 +228,20 @@ def q_recommend_with_fallback(spark, sf_dir):
     return recommend.recommend(_serving(spark, sf_dir, 10), _id_requests(spark, sf_dir), 10)
 
 
+@register("recommend_per_row")
+def q_recommend_per_row(spark, sf_dir):
+    """Every request asks for its own number of rows, 1 to 10."""
+    from kinora.operators import recommend
+    reqs = _id_requests(spark, sf_dir).withColumn("top_k", (F.col("request_id") % 10 + 1).cast("int"))
+    return recommend.recommend(_serving(spark, sf_dir, 10), reqs, 10)
+
+
+@register("recommend_summary")
+def q_recommend_summary(spark, sf_dir):
+    from kinora.operators import recommend
+    return recommend.summarise(recommend.recommend(_serving(spark, sf_dir, 10), _id_requests(spark, sf_dir), 10))
+
+
 @register("similar_breakdown")
 def q_similar_breakdown(spark, sf_dir):
     from kinora.operators import recommend
@@ -487,6 +501,16 @@ def q_serving_ratings_summary(spark, sf_dir):
     return _written_serving(spark, sf_dir)["ratings_summary"]
 
 
+@register("serving_recommendations")
+def q_serving_recommendations(spark, sf_dir):
+    return _written_serving(spark, sf_dir)["recommendations"]
+
+
+@register("serving_popular_movies")
+def q_serving_popular_movies(spark, sf_dir):
+    return _written_serving(spark, sf_dir)["popular_movies"]
+
+
 # -- display, request validation, pipeline metrics -----------------------------------
 @register("display_card")
 def q_display_card(spark, sf_dir):

@@ -53,9 +53,10 @@ def land_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
 
 
 def write_version(df: DataFrame, base: str, version: int) -> str:
-    """Append ``df`` as version ``version`` of the table at ``base``."""
+    """Write ``df`` as version ``version`` of the table at ``base``; written again, a
+    version is replaced, so a retried run does not double its rows."""
     (df.withColumn("version", F.lit(int(version)).cast("bigint"))
-     .write.mode("append").partitionBy("version").parquet(base))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(base))
     return base
 
 
