@@ -113,3 +113,15 @@ def op6(spark, sf_dir):
 def op4(spark, sf_dir):
     from kinora.llm.suffix_dedup import digest, remove_repeats
     return digest(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+# Base32 of a digest: four letters for each five hexadecimal digits.
+SQL["op8_warc_archive"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+firsts AS (SELECT s, strlen(h) AS n, min(page_id) AS first FROM p GROUP BY s, strlen(h))
+SELECT p.page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(p.s, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id = f.first THEN NULL ELSE f.first END AS refers_to
+FROM p JOIN firsts f ON f.s = p.s AND f.n = strlen(p.h)"""
