@@ -51,6 +51,18 @@ def with_columns(batch: pa.RecordBatch, *more: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *(f"a{i}" for i in range(len(more)))])
 
 
+_CLAIMED: list = [None, None]
+
+
+def claim(name: str | None, clear=None) -> None:
+    """Workers outlive tasks: an operator that keeps words in one says so here, and the
+    next operator that starts in the worker clears what the one before kept."""
+    if _CLAIMED[0] != name:
+        if _CLAIMED[1] is not None:
+            _CLAIMED[1]()
+        _CLAIMED[:] = [name, clear]
+
+
 # -- files that tasks write and read -------------------------------------------
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder that all executors share."""
@@ -192,6 +204,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> Iterator[
 
 def each_run(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = RUN_BYTES):
     """(batch, first row, end row, bytes, offsets) of each run of documents of the batches."""
+    claim(None)
     for batch in batches:
         data, offsets = utf8(batch.column(column))
         for a, b in runs(offsets, most):

@@ -143,6 +143,7 @@ def encoder_of(path: str, end_id: int) -> Encoder:
 
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int, dictionary: bytes | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("token_store", encoder_of.cache_clear)
         encoder = encoder_of(tokenizer, end_id)
         pack = None
         if dictionary is not None:

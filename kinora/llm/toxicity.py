@@ -208,7 +208,7 @@ def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_ngrams: int = 3_000_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_ngrams: int = 600_000) -> Model:
     """Both models and the calibration from labelled rows (doc_id, toxic); three quarters
     of those given, by a second hash of the id, are for the counts and the rest for the
     calibration."""
@@ -230,6 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_ngrams: i
         return Model(*(np.zeros(0) for _ in range(4)), np.zeros(3))
     hashes = (kept.column(c).to_numpy().view(np.uint64) for c in ("key", "context", "low", "low_context"))
     model = Model(*estimate(*hashes, t, o), np.zeros(3))
+    del kept, t, o, hashes
     held = labels.where(third)
     share = {r.toxic: r["count"] for r in held.groupBy("toxic").count().collect()}
     sent = docs.sparkSession.sparkContext.broadcast(model)
