@@ -13,7 +13,7 @@ with a smaller doc_id; strings are judged on the input.
    before they are sent, so a group of copies costs one entry a chunk.
 4. Where an anchor has one context only, the smallest document decides.  Contexts that
    differ may still share windows: one copy of each is sent to the anchor's bucket.
-   There they are joined to one text with an own end mark each, whose transform is
+   There they are joined to one text with an end mark each, whose transform is
    extended backwards breadth-first: level by level every interval of suffixes with a
    common prefix of l bytes is extended by the byte before it, which gives all common
    prefixes of l + 1 bytes, up to WINDOW, where it stops.  The smallest document of each
@@ -113,13 +113,20 @@ def _entries(ids: np.ndarray, offsets: np.ndarray, data: np.ndarray):
 
 
 def _least(keys: np.ndarray, values: np.ndarray):
-    """Distinct keys in order with the least and the largest of their values."""
-    order = np.lexsort((values, keys))
+    """Distinct keys in order with the least and the largest of their values, and a place of each."""
+    order = np.argsort(keys)
     keys, values = keys[order], values[order]
-    new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(keys)) - 1 if len(first) else first
-    return keys[first], values[first], values[last]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    if not len(first):
+        return keys, values, values, order
+    return keys[first], np.minimum.reduceat(values, first), np.maximum.reduceat(values, first), order[first]
+
+
+def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which of the values are in a sorted list."""
+    if not len(listed):
+        return np.zeros(len(values), bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
 def _pack(*arrays: np.ndarray) -> list[bytes]:
@@ -166,14 +173,14 @@ def _hashes(chunks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 _, gram, _, _, _, doc = _entries(*_read(batch, i))
-                gram, low, high = _least(gram, doc)
-                bucket = _bucket(gram, buckets)
-                for b in np.unique(bucket).tolist():
-                    own = bucket == b
-                    h = gram[own].astype(np.uint32)  # the bucket's share of the hash: 32 bits are enough to find copies
-                    order = np.argsort(h, kind="stable")
-                    yield _rows({"bucket": [b], "chunk": [batch.column("chunk")[i].as_py()],
-                                 "hashes": _pack(np.diff(h[order], prepend=np.uint32(0))), "several": [np.packbits((low != high)[own][order]).tobytes()]})
+                # Bucket above, 32 bits of the hash below: enough to find copies.
+                key, low, high, _ = _least(_bucket(gram, buckets).astype(np.uint64) << np.uint64(32) | gram & np.uint64(0xFFFFFFFF), doc)
+                of = (key >> np.uint64(32)).astype(np.int64)
+                cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else []
+                for a, b in zip(cut, cut[1:], strict=False):
+                    yield _rows({"bucket": [int(of[a])], "chunk": [batch.column("chunk")[i].as_py()],
+                                 "hashes": _pack(np.diff(key[a:b].astype(np.uint32), prepend=np.uint32(0))),
+                                 "several": [np.packbits(low[a:b] != high[a:b]).tobytes()]})
     return chunks.mapInArrow(run, "bucket int, chunk long, hashes binary, several binary")
 
 
@@ -183,13 +190,13 @@ def _shared(hashes: DataFrame, n: int) -> DataFrame:
         for bucket, rows in _by_bucket(batches):
             own = [np.cumsum(_unpack(r["hashes"], np.uint32), dtype=np.uint32) for r in rows]
             flags = [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(h)).astype(bool) for r, h in zip(rows, own, strict=True)]
-            every = np.concatenate([np.unique(h) for h in own] + [h[f] for h, f in zip(own, flags, strict=True)])
-            values, counts = np.unique(every, return_counts=True)
-            more = values[counts > 1]
+            every = np.sort(np.concatenate(own + [h[f] for h, f in zip(own, flags, strict=True)]))
+            more = every[1:][every[1:] == every[:-1]]
+            more = more[np.concatenate([[True], more[1:] != more[:-1]])] if len(more) else more
             for r, h in zip(rows, own, strict=True):
-                found = h[np.isin(h, more)]
+                found = h[_among(h, more)]
                 if len(found):
-                    yield _rows({"bucket": [bucket], "chunk": [r["chunk"]], "hashes": _pack(np.unique(found))})
+                    yield _rows({"bucket": [bucket], "chunk": [r["chunk"]], "hashes": _pack(found)})
     return _sorted(hashes, n).mapInArrow(run, "bucket int, chunk long, hashes binary")
 
 
@@ -213,9 +220,8 @@ def _contexts(chunks: DataFrame, buckets: int) -> DataFrame:
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for r in replies:
                     own = order[cut[r["bucket"]]:cut[r["bucket"] + 1]]
-                    own = own[np.isin(h[own], _unpack(r["hashes"], np.uint32))]
-                    _, first = np.unique(context[own], return_index=True)
-                    keys, low, high = _least(context[own], doc[own])
+                    own = own[_among(h[own], _unpack(r["hashes"], np.uint32))]
+                    keys, low, high, first = _least(context[own], doc[own])
                     names = ("hashes", "contexts", "low", "high")
                     yield _rows({"bucket": [r["bucket"]], "chunk": [batch.column("chunk")[i].as_py()]} |
                                 {k: [v] for k, v in zip(names, _pack(h[own][first], keys, low, high - low), strict=True)})
@@ -270,33 +276,40 @@ def _bytes(chunks: DataFrame, buckets: int) -> DataFrame:
 
 
 # -- 4: the transform -------------------------------------------------------------
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffixes of a text of int64 symbols in order, by doubling; end marks differ, so
-    comparisons end at them."""
-    n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    width = 1
+def suffix_order(text: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Suffixes, up to their end mark (0), of a text of uint16 symbols in order, equal ones
+    by their owner: by doubling from seven packed symbols on."""
+    n, width = len(text), 7
+    ended = text == 0
+    key = np.zeros(n, np.int64)
+    live = np.ones(n, bool)  # no end mark so far
+    for i in range(width):
+        live[:n - i] &= ~ended[i:]
+        key <<= 9
+        key[:n - i] |= np.where(live[:n - i], text[i:], 0)
     while True:
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        if not live.any():
+            return np.argsort(rank * len(text) + owner)
         nxt = np.zeros(n, np.int64)
         nxt[:n - width] = rank[width:] + 1
-        key = rank * (n + 1) + nxt
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        new = np.concatenate([[0], (sorted_[1:] != sorted_[:-1]).astype(np.int64)])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n - 1 or width >= n:
-            return order
+        key = rank * (n + 1) + np.where(live, nxt, 0)
+        live[:n - width] &= live[width:]
+        live[n - width:] = False
         width *= 2
 
 
 def common_intervals(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """The interval, in suffix order, of each suffix among those with the same first
-    ``most`` symbols, by breadth-first backward extension on the transform."""
+    ``most`` symbols, by breadth-first backward extension on the transform; every end
+    mark counts as a symbol of its own."""
     before = text[order - 1]  # the transform: the symbol before each suffix
-    back = np.argsort(before, kind="stable")  # suffix i of the extended string comes from back[i]
+    back = np.argsort(before, kind="stable").astype(np.int32)  # suffix i of the extended string comes from back[i]
     starts = text[order]
-    other = np.concatenate([[True], starts[1:] != starts[:-1]])
+    other = np.concatenate([[True], starts[1:] != starts[:-1]]) | (starts == 0)
     edge = other.copy()  # intervals of one symbol
     for _ in range(1, most):
         interval = np.cumsum(edge, dtype=np.int32)[back]
@@ -313,15 +326,12 @@ def least_documents(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     n = len(texts)
     sizes = np.array([len(t) for t in texts])
     size = sizes + 1
-    text = np.empty(size.sum(), np.int64)
     last = np.cumsum(size) - 1
-    mark = np.zeros(len(text), bool)
-    mark[last] = True
-    text[~mark] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + n
-    text[last] = np.arange(n)  # an own end mark each, below every byte
-    order = suffix_order(text)
-    interval = common_intervals(text, order, WINDOW)
+    text = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.uint16) + np.uint16(1)
+    text[last] = 0
     owner = np.repeat(np.arange(n), size)
+    order = suffix_order(text, owner)
+    interval = common_intervals(text, order, WINDOW)
     left = last[owner] - np.arange(len(text))
     value = np.where(left >= WINDOW, docs[owner], NOBODY)
     first = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
@@ -337,7 +347,7 @@ def _answers(contexts: DataFrame, texts: DataFrame, n: int) -> DataFrame:
         for bucket, both in _by_bucket(batches):
             rows = [r for r in both if not r["texts"]]
             h, c, low, high, row = _gathered(rows)
-            known, least, _ = _least(c, low)
+            known, least, _, _ = _least(c, low)
             many: dict[int, np.ndarray] = {}
             sent = [r for r in both if r["texts"]]
             if sent:
@@ -368,8 +378,8 @@ def _answers(contexts: DataFrame, texts: DataFrame, n: int) -> DataFrame:
                 own = row == i
                 mine, top = c[own], high[own]
                 m = least[np.searchsorted(known, mine)]
-                plain = (m < top) & ~np.isin(mine, listed)
-                odd = mine[np.isin(mine, listed)]
+                other = _among(mine, listed)
+                plain, odd = (m < top) & ~other, mine[other]
                 if plain.any() or len(odd):
                     vectors = [many[int(x)] for x in odd.tolist()]
                     blobs = _pack(mine[plain], m[plain], odd, np.array([len(v) for v in vectors], np.uint8), np.concatenate([*vectors, np.zeros(0, np.int64)]))
