@@ -25,7 +25,7 @@ import itertools
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +35,15 @@ from kinora.llm import common
 from kinora.llm.pieces import MARK, Memo, Pieces, words
 
 #: Words of one run, and words that each of a worker's two memo generations holds per stream.
-BLOCK, MEMO_WORDS = 32, 120_000
+BLOCK, MEMO_WORDS = 32, 250_000
 #: Words of more symbols keep their candidates in a heap, shorter ones in a list.
-SHORT = 40
+SHORT = 32
+#: Words that are segmented at the same time.
+ROWS = 2048
 _NONE = 1 << 60
 # A letter with marks after it parts there if no piece joins the two.
-_MARKED = re.compile(r"(.*[^\W\d_])([!-/:-@\[-^`{-~]+)", re.DOTALL)
-_JOINED = re.compile(r"[^\W\d_][!-/:-@\[-^`{-~]")
+_MARKED = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\[-^`{-~]+)", re.DOTALL)
+_JOINED = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][!-/:-@\[-^`{-~]")
 _LITERAL = "" + MARK
 _MASK = (1 << 64) - 1
 
@@ -59,12 +61,23 @@ class Codec:
         self.ids = self.pieces.ids
         best = sorted(self.ids, key=lambda p: (-self.pieces.scores[p], self.ids[p]))
         self.rank = {p: r for r, p in enumerate(best)}
-        self.parts = not any(map(_JOINED.search, self.ids))
+        joined = {m[0][1] for p in self.ids for m in _JOINED.finditer(p)}
+        self.parts = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - joined  # marks that no piece joins to a letter
         self.key = hashlib.blake2b(str(seed).encode(), digest_size=32).digest()
         self.bound = int(dropout * (1 << 53))
         self.streams = streams if self.bound else 1
         self.salts = [int.from_bytes(self._hash(b"stream", s), "little") | 1 for s in range(self.streams)]
         self.memo = [Memo(functools.partial(self._word, s), MEMO_WORDS) for s in range(self.streams)]
+        self.line = self._ids(["\n"])
+        # For many words at once: ids of single characters, and ranks of pairs of pieces.
+        self.single = np.full((1 << 16) + 1, -1, np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1 and ord(piece) < 1 << 16:
+                self.single[ord(piece)] = i
+        pairs = {(self.ids[p[:i]] << 32) + self.ids[p[i:]]: r for p, r in self.rank.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids}
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.pair_rank = np.array([pairs[k] for k in self.pairs.tolist()], np.int64)
+        self.merged = np.array([self.ids[p] for p in best], np.int32)
         self.text = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.pieces.bytes.items()}
 
     def _hash(self, *parts) -> bytes:
@@ -134,13 +147,17 @@ class Codec:
         return [MARK if c == " " else _LITERAL if c == MARK else c for c in part]
 
     def _word(self, stream: int, word: str) -> bytes:
-        """Ids of a word after its mark; a line end is in no piece, so words part there."""
+        """Ids of a word after its mark, or, if a space ends it, of one without a mark.  A
+        line end is in no piece and some marks join no letter, so words part there."""
+        memo = self.memo[stream]
         if "\n" in word:
-            first, *lines = (" " + word).split("\n")
-            return self._ids(["\n"]).join([self._part(stream, first), *(self._part(stream, x) for x in lines)])
-        if self.parts and word and not word[-1].isalnum() and (marked := _MARKED.fullmatch(word)):
-            return self.memo[stream][marked[1]] + self._part(stream, marked[2])
-        return self._part(stream, " " + word)
+            first, *lines = word.split("\n")
+            return b"".join([memo[first], *[self.line + memo[x + " "] if x else self.line for x in lines]])
+        bare = word[-1:] == " " and word.strip(" ") != ""
+        own = word[:-1] if bare else word
+        if self.parts and own and not own[-1].isalnum() and (marked := _MARKED.fullmatch(own)) and marked[2][0] in self.parts:
+            return memo[marked[1] + word[len(own):]] + memo[marked[2] + " "]
+        return self._part(stream, own if bare else " " + own)
 
     def _part(self, stream: int, part: str) -> bytes:
         if not part:
@@ -148,17 +165,113 @@ class Codec:
         own = self.salts[stream] * (zlib.crc32(part.encode()) * 2 + 1) + len(part)
         return self._ids(self._merged(self._symbols(part), own))
 
-    def encode(self, doc_id, text: str) -> bytes:
-        """Serialised 16-bit ids of a whole text."""
+    def _simple(self, word: str) -> Iterator[str]:
+        """The words without line ends and marks that ``_word`` needs for one."""
+        if "\n" in word:
+            first, *lines = word.split("\n")
+            for x in (first, *(x + " " for x in lines if x)):
+                yield from self._simple(x)
+            return
+        own = word[:-1] if word[-1:] == " " and word.strip(" ") else word
+        marked = _MARKED.fullmatch(own) if own and not own[-1].isalnum() else None
+        yield marked[1] + word[len(own):] if marked and marked[2][0] in self.parts else word
+
+    def fill(self, stream: int, wanted: set[str]) -> None:
+        """Segment the words that the stream's memo lacks, many at once."""
+        memo = self.memo[stream]
+        todo = []
+        for word in {p for w in wanted if w not in memo for p in self._simple(w)}:
+            if word in memo:
+                continue
+            if (ids := memo.old.get(word)) is not None:
+                memo.put(word, ids)
+                continue
+            part = word[:-1] if word[-1:] == " " and word.strip(" ") else " " + word
+            if 0 < len(part) <= SHORT and " " not in part[1:] and MARK not in part:
+                todo.append((len(part), part, word))
+        todo.sort()  # like lengths together
+        for a in range(0, len(todo), ROWS):
+            _, parts, own = zip(*todo[a:a + ROWS], strict=True)
+            for word, ids in zip(own, self._many(stream, parts), strict=True):
+                if ids is not None:
+                    memo.put(word, ids)
+
+    def _many(self, stream: int, parts: Sequence[str]) -> list[bytes | None]:
+        """What ``_part`` gives for each, None where a character is no piece.  All parts
+        take their next candidate at the same time, as ``_merged`` does for one."""
+        size = np.array([len(p) for p in parts])
+        points = np.frombuffer("".join(parts).replace(" ", MARK).encode("utf-32-le"), np.uint32)
+        row = np.repeat(np.arange(len(parts)), size)
+        symbols = np.full((len(parts), size.max() + 1), -1, np.int32)
+        symbols[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = self.single[np.minimum(points, 1 << 16)]
+        known = (symbols >= 0).sum(axis=1) == size
+        out = np.full(symbols.shape, -1, np.int32)
+        salt = self.salts[stream]
+        own = np.array([(salt * (zlib.crc32(p.encode()) * 2 + 1) + len(p)) & _MASK for p in parts], np.uint64)
+        rows = np.flatnonzero(known)
+        symbols, own = symbols[rows], own[rows]
+        place = np.broadcast_to(np.arange(symbols.shape[1], dtype=np.int16), symbols.shape).copy()
+        columns = np.arange(symbols.shape[1])
+
+        def rank(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            key = (left.astype(np.int64) << 32) + right
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.pair_rank[at], _NONE)
+        ranks = np.full(symbols.shape, _NONE, np.int64)
+        ranks[:, :-1] = rank(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            i = ranks.argmin(axis=1)  # the leftmost of the best
+            best = ranks[np.arange(len(rows)), i]
+            done = best == _NONE
+            if done.any():
+                out[rows[done]] = symbols[done]
+                rows, symbols, place, ranks, own, i, best = (x[~done] for x in (rows, symbols, place, ranks, own, i, best))
+                if not len(rows):
+                    break
+            r = np.arange(len(rows))
+            with np.errstate(over="ignore"):
+                x = own + (place[r, i].astype(np.uint64) << np.uint64(16) | best.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            skip = ((x ^ (x >> np.uint64(29))) >> np.uint64(11)) < np.uint64(self.bound)
+            ranks[r[skip], i[skip]] = _NONE
+            m, i = r[~skip], i[~skip]
+            if not len(m):
+                continue
+            symbols[m, i] = self.merged[best[~skip]]
+            right = np.minimum(columns + (columns > i[:, None]), len(columns) - 1)  # without the symbol merged into its left
+            for x in (symbols, place):
+                x[m] = np.take_along_axis(x[m], right, axis=1)
+            ranks[m] = np.take_along_axis(ranks[m], np.minimum(columns + (columns >= i[:, None]), len(columns) - 1), axis=1)
+            ranks[m, i] = rank(symbols[m, i], symbols[m, i + 1])
+            before = i > 0
+            ranks[m[before], i[before] - 1] = rank(symbols[m[before], i[before] - 1], symbols[m[before], i[before]])
+        left = out >= 0
+        raw, cut = out[left].astype("<u2").tobytes(), np.concatenate([[0], np.cumsum(left.sum(axis=1)) * 2]).tolist()
+        return [raw[a:b] if k else None for a, b, k in zip(cut, cut[1:], known.tolist(), strict=False)]
+
+    def _blocks(self, doc_id, text: str) -> Iterator[tuple[int, list[str]]]:
+        """(stream, words) of each run of words of a text."""
         every = words(text)
         if self.streams == 1:
-            return b"".join(map(self.memo[0].__getitem__, every))
-        out = []
+            yield 0, every
+            return
         draw = int.from_bytes(self._hash(doc_id), "little") | 1
         for i in range(0, len(every), BLOCK):
-            memo = self.memo[_mix(draw, i // BLOCK) % self.streams]
-            out += map(memo.__getitem__, every[i:i + BLOCK])
-        return b"".join(out)
+            yield _mix(draw, i // BLOCK) % self.streams, every[i:i + BLOCK]
+
+    def encode_many(self, ids: list, texts: list[str]) -> list[bytes]:
+        """Serialised 16-bit ids of whole texts."""
+        blocks = [list(self._blocks(i, t)) for i, t in zip(ids, texts, strict=True)]
+        wanted: list[set[str]] = [set() for _ in range(self.streams)]
+        for own in blocks:
+            for stream, block in own:
+                wanted[stream].update(block)
+        for stream, found in enumerate(wanted):
+            self.fill(stream, found)
+        return [b"".join([x for stream, block in own for x in map(self.memo[stream].__getitem__, block)]) for own in blocks]
+
+    def encode(self, doc_id, text: str) -> bytes:
+        return self.encode_many([doc_id], [text])[0]
 
     def decode(self, ids) -> str:
         """The text of a sequence of ids, without the mark before it."""
@@ -171,19 +284,21 @@ def codec_of(path: str, seed: int, dropout: float, streams: int) -> Codec:
     return Codec(path, seed, dropout, streams)
 
 
-def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, streams: int = 4, column: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, streams: int = 2, column: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text in ``column``."""
     common.small_batches(docs.sparkSession)
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            common.claim("merge_dropout", codec_of.cache_clear)
             codec = codec_of(model, seed, dropout, streams)
             for batch in batches:
                 _, offsets = common.utf8(batch.column(name("text")))
                 for a, b in common.runs(offsets):
                     part = batch.slice(a, b - a)
-                    found = [None if t is None else np.frombuffer(codec.encode(i, t), "<u2").astype(np.int32)
-                             for i, t in zip(part.column(name("doc_id")).to_pylist(), part.column(name("text")).to_pylist(), strict=True)]
+                    texts = part.column(name("text")).to_pylist()
+                    every = codec.encode_many(part.column(name("doc_id")).to_pylist(), [t or "" for t in texts])
+                    found = [None if t is None else np.frombuffer(e, "<u2").astype(np.int32) for t, e in zip(texts, every, strict=True)]
                     yield common.with_columns(part, pa.array(found, pa.list_(pa.int32())))
         return run
     return common.extended(docs, made, **{column: "array<int>"})
@@ -194,9 +309,10 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            common.claim("merge_dropout", codec_of.cache_clear)
             codec = codec_of(model, 0, 0.0, 1)
             for batch in batches:
-                texts = [None if not x.is_valid else codec.decode(x.values.to_pylist()) for x in batch.column(name(ids))]
+                texts = [None if not x.is_valid else codec.decode(x.values.to_numpy().tolist()) for x in batch.column(name(ids))]
                 yield common.with_columns(batch, pa.array(texts, pa.string()))
         return run
     return common.extended(rows, made, **{column: "string"})

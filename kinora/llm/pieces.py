@@ -50,9 +50,12 @@ class Memo(dict):
         value = self.old.get(word)
         if value is None:
             value = self.make(word)
+        self.put(word, value)
+        return value
+
+    def put(self, word: str, value) -> None:
         if len(word) <= self.chars:
             if len(self) >= self.size:
                 self.old = dict(self)
                 self.clear()
             self[word] = value
-        return value

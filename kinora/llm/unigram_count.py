@@ -76,8 +76,14 @@ class Counter:
         return count[n]
 
     def _word(self, word: str) -> int:
-        first, *lines = (MARK + word.replace(" ", MARK)).split("\n")
-        return self.best(first) + sum(1 + self.best(line) for line in lines)
+        """Pieces of a word after its mark, or, if a space ends it, of one without a mark;
+        a line end is one byte and in no piece, so words part there."""
+        if "\n" in word:
+            first, *lines = word.split("\n")
+            return self.memo[first] + sum(1 + (self.memo[x + " "] if x else 0) for x in lines)
+        if word[-1:] == " " and word.strip(" "):
+            return self.best(word[:-1])
+        return self.best(MARK + word.replace(" ", MARK))
 
     def count(self, text: str) -> int:
         return sum(map(self.memo.__getitem__, words(text.replace(MARK, " ") if MARK in text else text)))
@@ -94,6 +100,7 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
     common.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("unigram_count", counter_of.cache_clear)
         counter = counter_of(model)
         for batch in batches:
             counts = [counter.count(t.as_py() or "") for t in batch.column("text")]

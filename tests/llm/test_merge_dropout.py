@@ -63,6 +63,18 @@ def test_each_skip_follows_the_hash():
         assert codec._merged(list(word), own) == codec._heap_merged(list(word), own) == plain(list(word), own)
 
 
+def test_many_words_at_once_are_segmented_like_one():
+    codec = M.Codec(MODEL, 5, 0.3, 4)
+    rng = random.Random(10)
+    parts = [rng.choice([" ", ""]) + "".join(rng.choices("abetionsrhdé0東жẞ😀", weights=[6] * 11 + [1] * 6, k=rng.randint(1, 30))) for _ in range(2000)]
+    known = 0
+    for stream in (0, 3):
+        for part, got in zip(parts, codec._many(stream, parts), strict=True):
+            assert got is None or got == codec._part(stream, part)
+            known += got is not None
+    assert known > 1000
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert M.decode(M.encode(docs, MODEL), MODEL, column="back").collect() == []
