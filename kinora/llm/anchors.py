@@ -27,7 +27,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     up, down = POWERS.upto(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_VALUE[data] * up[:n], out=total[1:])
-    gram = mix((total[GRAM:] - total[:-GRAM]) * down[:n - GRAM + 1])
+    gram = total[GRAM:] - total[:-GRAM]
+    gram *= down[:n - GRAM + 1]
+    gram *= np.uint64(MULT)  # its high bits depend on all others and go to the low ones
+    gram ^= gram >> np.uint64(32)
+    gram *= np.uint64(MULT)
     # Hash above, place below: the least is the leftmost of the least hashes.
     low = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
     width, span = 1, REACH + 1

@@ -44,7 +44,7 @@ from kinora.llm import common
 from kinora.llm.anchors import WINDOW, anchors
 from kinora.session import materialize, work_dir
 
-CHUNK, GROUP = 8 << 20, 1 << 19
+CHUNK, GROUP = 8 << 20, 1 << 17
 #: Anchors of a bucket, as bytes of text they come from (one anchor in about 13 bytes).
 BUCKET_BYTES = 8 << 20
 NOBODY = np.int64(2**63 - 1)
