@@ -2,10 +2,11 @@
 
 Candidate merges of neighbouring symbols stand in an agenda, best score and then
 leftmost first.  Each candidate taken from it is skipped with probability ``dropout`` by
-a keyed hash of (stream, word, place, piece), so the same seed gives the same ids
-anywhere and another seed other segmentations.  A run of ``BLOCK`` words draws one of
-``streams`` streams by a keyed hash of the document's id and the run's number; a
-worker thus segments a word once per stream and not once per occurrence.
+a keyed hash of (seed, doc_id, occurrence, place, piece), where a word's occurrence is its
+number in the document, so the same seed gives the same ids anywhere, another seed other
+segmentations, and every occurrence of a word its own draws.  A worker keeps of each word
+the ids and the candidates taken when none is skipped; an occurrence that skips none of
+these has these ids, any other is segmented afresh, many at once.
 
 What is left of a word is encoded as its pieces, and as byte pieces where a character
 has none, so decoding gives back the text whatever was skipped.  A literal space mark
@@ -24,7 +25,6 @@ import heapq
 import itertools
 import re
 import struct
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kinora.llm import common
-from kinora.llm.pieces import MARK, Memo, Pieces, words
+from kinora.llm.pieces import MARK, Pieces, words
 
-#: Words of one run, and words that each of a worker's two memo generations holds per stream.
-BLOCK, MEMO_WORDS = 32, 250_000
+#: Words that a worker keeps; with more it forgets all before the next run of texts.
+MEMO_WORDS = 400_000
 #: Words of more symbols keep their candidates in a heap, shorter ones in a list.
 SHORT = 32
-#: Words that are segmented at the same time.
-ROWS = 2048
+#: Words that are segmented at the same time, and occurrences whose draws are.
+ROWS, DRAWS = 2048, 1 << 16
 _NONE = 1 << 60
+# Symbols from here on are characters without a piece.
+_BYTES = 1 << 20
 # A letter with marks after it parts there if no piece joins the two.
 _MARKED = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\[-^`{-~]+)", re.DOTALL)
 _JOINED = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][!-/:-@\[-^`{-~]")
@@ -55,8 +57,69 @@ def _mix(key: int, place: int = 0, rank: int = 0) -> int:
     return (x ^ (x >> 29)) >> 11
 
 
+def _skipped(own: np.ndarray, code: np.ndarray, bound: int) -> np.ndarray:
+    """Whether ``_mix`` of each key and (place << 16 | rank) is below the bound."""
+    x = own + code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(29))) >> np.uint64(11)) < np.uint64(bound)
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind) -> None:
+        self.data, self.n = np.empty(1024, kind), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.data):
+            self.data = np.concatenate([self.data[:self.n], np.empty(self.n + len(more), self.data.dtype)])
+        self.data[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
+def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places at, at + 1, ... of each of several ranges, one after another."""
+    return np.arange(size.sum()) + np.repeat(at - np.cumsum(size) + size, size)
+
+
+class Words(dict):
+    """Numbers of words, and their parts' texts, ids and candidates.  A word that parts
+    further has a negative number, of its row in ``several``."""
+
+    def __init__(self, split) -> None:
+        self.split, self.parts, self.several, self.done = split, [], [], 0
+        self.ids, self.codes, self.at = Grown(np.uint16), Grown(np.uint32), {k: Grown(np.int64) for k in ("size", "ids", "n_ids", "codes", "n_codes")}
+        self.chars = 0
+
+    def __missing__(self, word: str) -> int:
+        found = self.split(word)
+        if isinstance(found, str):
+            number = len(self.parts)
+            self.parts.append(found)
+            self.chars += len(found)
+        else:
+            items: list[int] = []
+            for w in found:
+                i = self[w]
+                items += [i] if i >= 0 else self.several[-1 - i]
+            self.several.append(items)
+            number = -len(self.several)
+        self[word] = number
+        return number
+
+    def add(self, ids: np.ndarray, n_ids: np.ndarray, codes: np.ndarray, n_codes: np.ndarray) -> None:
+        """What the next parts in order have."""
+        for name, flat, n in (("ids", ids, n_ids), ("codes", codes, n_codes)):
+            store = getattr(self, name)
+            self.at[name].extend(store.n + np.cumsum(n) - n)
+            self.at["n_" + name].extend(n)
+            store.extend(flat)
+        self.at["size"].extend(np.fromiter(map(len, self.parts[self.done:]), np.int64, len(n_ids)))
+        self.done += len(n_ids)
+
+
 class Codec:
-    def __init__(self, path: str, seed: int, dropout: float, streams: int) -> None:
+    def __init__(self, path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> None:
         self.pieces = Pieces(path)
         self.ids = self.pieces.ids
         best = sorted(self.ids, key=lambda p: (-self.pieces.scores[p], self.ids[p]))
@@ -65,10 +128,7 @@ class Codec:
         self.parts = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - joined  # marks that no piece joins to a letter
         self.key = hashlib.blake2b(str(seed).encode(), digest_size=32).digest()
         self.bound = int(dropout * (1 << 53))
-        self.streams = streams if self.bound else 1
-        self.salts = [int.from_bytes(self._hash(b"stream", s), "little") | 1 for s in range(self.streams)]
-        self.memo = [Memo(functools.partial(self._word, s), MEMO_WORDS) for s in range(self.streams)]
-        self.line = self._ids(["\n"])
+        self.memo_words, self.memo = memo_words, Words(self._split)
         # For many words at once: ids of single characters, and ranks of pairs of pieces.
         self.single = np.full((1 << 16) + 1, -1, np.int32)
         for piece, i in self.ids.items():
@@ -83,11 +143,11 @@ class Codec:
     def _hash(self, *parts) -> bytes:
         return hashlib.blake2b(repr(parts).encode(), digest_size=8, key=self.key).digest()
 
-    def _merged(self, symbols: list[str], own: int) -> list[str]:
+    def _merged(self, symbols: list[str], own: int, bound: int | None = None) -> list[str]:
         """The symbols left of a part whose key is ``own``."""
         if len(symbols) > SHORT:
-            return self._heap_merged(symbols, own)
-        rank, bound = self.rank.get, self.bound
+            return self._heap_merged(symbols, own, bound)
+        rank, bound = self.rank.get, self.bound if bound is None else bound
         place = list(range(len(symbols)))
         pairs = [rank(a + b, _NONE) for a, b in itertools.pairwise(symbols)]
         while pairs and (best := min(pairs)) != _NONE:
@@ -103,8 +163,8 @@ class Codec:
                 pairs[i] = rank(symbols[i] + symbols[i + 1], _NONE)
         return symbols
 
-    def _heap_merged(self, symbols: list[str], own: int) -> list[str]:
-        n = len(symbols)
+    def _heap_merged(self, symbols: list[str], own: int, bound: int | None = None) -> list[str]:
+        n, bound = len(symbols), self.bound if bound is None else bound
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[int, int, int, int]] = []
 
@@ -119,7 +179,7 @@ class Codec:
             best, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
                 continue  # a part has been merged since
-            if self.bound and _mix(own, left, best) < self.bound:
+            if bound and _mix(own, left, best) < bound:
                 continue
             symbols[left] += symbols[right]
             symbols[right] = ""
@@ -146,72 +206,64 @@ class Codec:
             return list(part.replace(" ", MARK))
         return [MARK if c == " " else _LITERAL if c == MARK else c for c in part]
 
-    def _word(self, stream: int, word: str) -> bytes:
-        """Ids of a word after its mark, or, if a space ends it, of one without a mark.  A
-        line end is in no piece and some marks join no letter, so words part there."""
-        memo = self.memo[stream]
-        if "\n" in word:
+    def _split(self, word: str) -> str | list[str]:
+        """The text of a word after its mark, or, if a space ends it, of one without a mark.
+        A line end is in no piece and some marks join no letter, so words part there: such
+        a word gives the words it has."""
+        if "\n" in word and word != "\n ":
             first, *lines = word.split("\n")
-            return b"".join([memo[first], *[self.line + memo[x + " "] if x else self.line for x in lines]])
+            return [first, *itertools.chain.from_iterable(("\n ", x + " ") if x else ("\n ",) for x in lines)]
         bare = word[-1:] == " " and word.strip(" ") != ""
         own = word[:-1] if bare else word
         if self.parts and own and not own[-1].isalnum() and (marked := _MARKED.fullmatch(own)) and marked[2][0] in self.parts:
-            return memo[marked[1] + word[len(own):]] + memo[marked[2] + " "]
-        return self._part(stream, own if bare else " " + own)
+            return [marked[1] + word[len(own):], marked[2] + " "]
+        return own if bare else " " + own
 
-    def _part(self, stream: int, part: str) -> bytes:
-        if not part:
-            return b""
-        own = self.salts[stream] * (zlib.crc32(part.encode()) * 2 + 1) + len(part)
+    def _part(self, own: int, part: str) -> bytes:
+        """Ids of a part whose key is ``own``."""
         return self._ids(self._merged(self._symbols(part), own))
 
-    def _simple(self, word: str) -> Iterator[str]:
-        """The words without line ends and marks that ``_word`` needs for one."""
-        if "\n" in word:
-            first, *lines = word.split("\n")
-            for x in (first, *(x + " " for x in lines if x)):
-                yield from self._simple(x)
-            return
-        own = word[:-1] if word[-1:] == " " and word.strip(" ") else word
-        marked = _MARKED.fullmatch(own) if own and not own[-1].isalnum() else None
-        yield marked[1] + word[len(own):] if marked and marked[2][0] in self.parts else word
-
-    def fill(self, stream: int, wanted: set[str]) -> None:
-        """Segment the words that the stream's memo lacks, many at once."""
-        memo = self.memo[stream]
-        todo = []
-        for word in {p for w in wanted if w not in memo for p in self._simple(w)}:
-            if word in memo:
-                continue
-            if (ids := memo.old.get(word)) is not None:
-                memo.put(word, ids)
-                continue
-            part = word[:-1] if word[-1:] == " " and word.strip(" ") else " " + word
-            if 0 < len(part) <= SHORT and " " not in part[1:] and MARK not in part:
-                todo.append((len(part), part, word))
-        todo.sort()  # like lengths together
-        for a in range(0, len(todo), ROWS):
-            _, parts, own = zip(*todo[a:a + ROWS], strict=True)
-            for word, ids in zip(own, self._many(stream, parts), strict=True):
-                if ids is not None:
-                    memo.put(word, ids)
-
-    def _many(self, stream: int, parts: Sequence[str]) -> list[bytes | None]:
-        """What ``_part`` gives for each, None where a character is no piece.  All parts
-        take their next candidate at the same time, as ``_merged`` does for one."""
-        size = np.array([len(p) for p in parts])
-        points = np.frombuffer("".join(parts).replace(" ", MARK).encode("utf-32-le"), np.uint32)
+    def _many(self, own, parts: Sequence[str]) -> list[bytes]:
+        """What ``_part`` gives for each; one key for all, or one for each."""
+        ids, n, _, _ = self._segmented(np.broadcast_to(np.asarray(own, np.uint64), len(parts)), parts, self.bound)
+        cut = np.concatenate([[0], np.cumsum(n) * 2]).tolist()
+        raw = ids.astype("<u2").tobytes()
+        return [raw[a:b] for a, b in itertools.pairwise(cut)]
+
+    def _segmented(self, own: np.ndarray, parts: Sequence[str], bound: int):
+        """(ids, their number a part, candidates taken, their number a part) under the parts'
+        keys.  ``ROWS`` parts of like length take their next candidate at the same time, as
+        ``_merged`` does for one; longer ones than ``SHORT`` do so alone, without candidates."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        order = np.argsort(size, kind="stable")
+        short = int(np.searchsorted(size[order], SHORT, "right"))
+        found = [self._rows(own[rows], [parts[i] for i in rows.tolist()], size[rows], bound)
+                 for rows in (order[a:min(a + ROWS, short)] for a in range(0, short, ROWS))]
+        for i in order[short:].tolist():
+            ids = np.frombuffer(self._ids(self._merged(self._symbols(parts[i]), int(own[i]), bound)), "<u2")
+            found.append((ids, np.array([len(ids)]), np.zeros(0, np.uint32), np.zeros(1, np.int64)))
+        if not found:
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids, n, codes, m = (np.concatenate(x) for x in zip(*found, strict=True))
+        back = np.argsort(order)
+        return ids[_spread((np.cumsum(n) - n)[back], n[back])], n[back], codes[_spread((np.cumsum(m) - m)[back], m[back])], m[back]
+
+    def _rows(self, own: np.ndarray, parts: Sequence[str], size: np.ndarray, bound: int):
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
         row = np.repeat(np.arange(len(parts)), size)
-        symbols = np.full((len(parts), size.max() + 1), -1, np.int32)
-        symbols[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = self.single[np.minimum(points, 1 << 16)]
-        known = (symbols >= 0).sum(axis=1) == size
+        single = self.single[np.minimum(points, 1 << 16)]
+        single[points == 32] = self.single[ord(MARK)]
+        odd = np.flatnonzero((single < 0) | (points == ord(MARK)))
+        if len(odd):
+            own_id = {c: _BYTES + c if chr(c) == MARK else self.ids.get(MARK if c == 32 else chr(c), _BYTES + (ord(MARK) if c == 32 else c)) for c in set(points[odd].tolist())}
+            single[odd] = [own_id[c] for c in points[odd].tolist()]
+        symbols = np.full((len(parts), int(size.max()) + 1), -1, np.int32)
+        symbols[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = single
         out = np.full(symbols.shape, -1, np.int32)
-        salt = self.salts[stream]
-        own = np.array([(salt * (zlib.crc32(p.encode()) * 2 + 1) + len(p)) & _MASK for p in parts], np.uint64)
-        rows = np.flatnonzero(known)
-        symbols, own = symbols[rows], own[rows]
+        rows = np.arange(len(parts))
         place = np.broadcast_to(np.arange(symbols.shape[1], dtype=np.int16), symbols.shape).copy()
         columns = np.arange(symbols.shape[1])
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rank(left: np.ndarray, right: np.ndarray) -> np.ndarray:
             key = (left.astype(np.int64) << 32) + right
@@ -229,15 +281,16 @@ class Codec:
                 if not len(rows):
                     break
             r = np.arange(len(rows))
-            with np.errstate(over="ignore"):
-                x = own + (place[r, i].astype(np.uint64) << np.uint64(16) | best.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            skip = ((x ^ (x >> np.uint64(29))) >> np.uint64(11)) < np.uint64(self.bound)
-            ranks[r[skip], i[skip]] = _NONE
-            m, i = r[~skip], i[~skip]
-            if not len(m):
-                continue
-            symbols[m, i] = self.merged[best[~skip]]
+            code = place[r, i].astype(np.uint32) << np.uint32(16) | best.astype(np.uint32)
+            taken.append((rows, code))
+            m = r
+            if bound:
+                skip = _skipped(own, code, bound)
+                ranks[r[skip], i[skip]] = _NONE
+                m, i, best = r[~skip], i[~skip], best[~skip]
+                if not len(m):
+                    continue
+            symbols[m, i] = self.merged[best]
             right = np.minimum(columns + (columns > i[:, None]), len(columns) - 1)  # without the symbol merged into its left
             for x in (symbols, place):
                 x[m] = np.take_along_axis(x[m], right, axis=1)
@@ -246,29 +299,60 @@ class Codec:
             before = i > 0
             ranks[m[before], i[before] - 1] = rank(symbols[m[before], i[before] - 1], symbols[m[before], i[before]])
         left = out >= 0
-        raw, cut = out[left].astype("<u2").tobytes(), np.concatenate([[0], np.cumsum(left.sum(axis=1)) * 2]).tolist()
-        return [raw[a:b] if k else None for a, b, k in zip(cut, cut[1:], known.tolist(), strict=False)]
-
-    def _blocks(self, doc_id, text: str) -> Iterator[tuple[int, list[str]]]:
-        """(stream, words) of each run of words of a text."""
-        every = words(text)
-        if self.streams == 1:
-            yield 0, every
-            return
-        draw = int.from_bytes(self._hash(doc_id), "little") | 1
-        for i in range(0, len(every), BLOCK):
-            yield _mix(draw, i // BLOCK) % self.streams, every[i:i + BLOCK]
+        n, ids = left.sum(axis=1), out[left]
+        if (out >= _BYTES).any():
+            wide = [[self.pieces.bytes[b] for b in chr(x - _BYTES).encode()] if x >= _BYTES else [x] for x in ids.tolist()]
+            n = np.bincount(np.repeat(np.arange(len(parts)), n), weights=[len(x) for x in wide], minlength=len(parts)).astype(np.int64)
+            ids = np.array(list(itertools.chain.from_iterable(wide)))
+        of = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in taken)])
+        codes = np.concatenate([np.zeros(0, np.uint32), *(c for _, c in taken)])
+        return ids.astype(np.uint16), n, codes[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(parts))
 
     def encode_many(self, ids: list, texts: list[str]) -> list[bytes]:
         """Serialised 16-bit ids of whole texts."""
-        blocks = [list(self._blocks(i, t)) for i, t in zip(ids, texts, strict=True)]
-        wanted: list[set[str]] = [set() for _ in range(self.streams)]
-        for own in blocks:
-            for stream, block in own:
-                wanted[stream].update(block)
-        for stream, found in enumerate(wanted):
-            self.fill(stream, found)
-        return [b"".join([x for stream, block in own for x in map(self.memo[stream].__getitem__, block)]) for own in blocks]
+        if len(self.memo) > self.memo_words or self.memo.chars > 64 * MEMO_WORDS:
+            self.memo = Words(self._split)
+        memo = self.memo
+        numbers = [np.array(list(map(memo.__getitem__, words(t))), np.int64) for t in texts]
+        if memo.several:
+            numbers = [self._parted(n) for n in numbers]
+        if memo.done < len(memo.parts):
+            todo = [p if len(p) <= SHORT or not self.bound else "" for p in memo.parts[memo.done:]]  # long ones wait for a key
+            memo.add(*self._segmented(np.zeros(len(todo), np.uint64), todo, 0))
+        size = np.fromiter(map(len, numbers), np.int64, len(numbers))
+        every = np.concatenate([np.zeros(0, np.int64), *numbers])
+        flat, n = [], np.zeros(len(every), np.int64)
+        draw = np.fromiter((int.from_bytes(self._hash(i), "little") for i in ids), np.uint64, len(ids))
+        own = common.mix(np.repeat(draw, size) + _spread(np.zeros(len(size), np.int64), size).astype(np.uint64) * np.uint64(common.MULT))
+        for a in range(0, len(every), DRAWS):
+            found, n[a:a + DRAWS] = self._drawn(every[a:a + DRAWS], own[a:a + DRAWS])
+            flat.append(found)
+        raw = b"".join([x.astype("<u2").tobytes() for x in flat])
+        cut = np.concatenate([[0], np.cumsum(n) * 2])[np.concatenate([[0], np.cumsum(size)])].tolist()
+        return [raw[a:b] for a, b in itertools.pairwise(cut)]
+
+    def _parted(self, numbers: np.ndarray) -> np.ndarray:
+        """Numbers of words with those of the words they part into."""
+        if not (numbers < 0).any():
+            return numbers
+        several = self.memo.several
+        return np.array([*itertools.chain.from_iterable([i] if i >= 0 else several[-1 - i] for i in numbers.tolist())], np.int64)
+
+    def _drawn(self, numbers: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number an occurrence) of words under their occurrences' keys."""
+        memo = self.memo
+        get = lambda k: memo.at[k].data[numbers]
+        at, n = get("ids"), get("n_ids")
+        if not self.bound:
+            return memo.ids.data[_spread(at, n)], n
+        m = get("n_codes")
+        word = np.repeat(np.arange(len(numbers)), m)
+        fresh = get("size") > SHORT
+        fresh[word[_skipped(own[word], memo.codes.data[_spread(get("codes"), m)], self.bound)]] = True
+        again = np.flatnonzero(fresh)
+        ids, size, _, _ = self._segmented(own[again], [memo.parts[i] for i in numbers[again].tolist()], self.bound)
+        at[again], n[again] = memo.ids.n + np.cumsum(size) - size, size
+        return np.concatenate([memo.ids.data[:memo.ids.n], ids])[_spread(at, n)], n
 
     def encode(self, doc_id, text: str) -> bytes:
         return self.encode_many([doc_id], [text])[0]
@@ -279,19 +363,19 @@ class Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec_of(path: str, seed: int, dropout: float, streams: int) -> Codec:
+def codec_of(path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> Codec:
     """One codec per worker process, so that its memo outlives a task."""
-    return Codec(path, seed, dropout, streams)
+    return Codec(path, seed, dropout, memo_words)
 
 
-def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, streams: int = 2, column: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, column: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text in ``column``."""
     common.small_batches(docs.sparkSession)
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common.claim("merge_dropout", codec_of.cache_clear)
-            codec = codec_of(model, seed, dropout, streams)
+            codec = codec_of(model, seed, dropout)
             for batch in batches:
                 _, offsets = common.utf8(batch.column(name("text")))
                 for a, b in common.runs(offsets):
@@ -310,7 +394,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common.claim("merge_dropout", codec_of.cache_clear)
-            codec = codec_of(model, 0, 0.0, 1)
+            codec = codec_of(model, 0, 0.0)
             for batch in batches:
                 texts = [None if not x.is_valid else codec.decode(x.values.to_numpy().tolist()) for x in batch.column(name(ids))]
                 yield common.with_columns(batch, pa.array(texts, pa.string()))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -75,6 +76,27 @@ def test_many_words_at_once_are_segmented_like_one():
     assert known > 1000
 
 
+def test_every_occurrence_draws_for_itself():
+    """Segmentations of one word in one document and across documents, against random keys."""
+    codec, rng = M.Codec(MODEL, 6, 0.1), random.Random(12)
+    for word in ("the", "internationalisation"):
+        got = Counter(codec.encode(i, word) for i in range(4000))
+        random_keys = Counter(codec._part(rng.getrandbits(64), " " + word) for _ in range(4000))
+        assert len(got) > 2 and all(abs(n - got[k]) < 200 for k, n in random_keys.items())
+    repeated = ids(codec, 1, " ".join(["internationalisation"] * 300))
+    assert codec.decode(repeated) == " ".join(["internationalisation"] * 300)
+    starts = [i for i, x in enumerate(repeated) if codec.text[x].startswith(b" ")] + [len(repeated)]
+    assert len({tuple(repeated[a:b]) for a, b in zip(starts, starts[1:], strict=False)}) > 10
+
+
+def test_what_a_worker_keeps_does_not_matter():
+    texts = [(i, t) for i, t, _ in ROWS if t is not None]
+    one, few = M.Codec(MODEL, 5, 0.3), M.Codec(MODEL, 5, 0.3, 4)
+    every = one.encode_many(*map(list, zip(*texts, strict=True)))
+    assert every == [few.encode(i, t) for i, t in texts]
+    assert [one.decode(np.frombuffer(e, "<u2").tolist()) for e in every] == [t for _, t in texts]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert M.decode(M.encode(docs, MODEL), MODEL, column="back").collect() == []
