@@ -12,9 +12,9 @@ that into a score between 0 and 1.
 
 The models are fitted on a bounded sample of labelled rows: of each class the
 ``per_class`` labelled documents of smallest hashed id, whole texts, and another such
-sample for the calibration, weighted to the classes' true shares.  ``max_ngrams`` bounds
-the model that scoring broadcasts: if more were counted, the rarest ones back off.  Every
-document is scored on its whole text, from the text alone.
+sample for the calibration, weighted to the classes' true shares.  Every n-gram of the
+sample is in the model, whatever its count; the sample bounds what scoring broadcasts.
+Every document is scored on its whole text, from the text alone.
 
 Cases: null and empty texts, or texts without words, score as the calibration puts a
 text of no evidence; repeated rows score alike; without labelled rows of both classes
@@ -34,7 +34,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinora.llm import common
-from kinora.session import materialize
 
 ORDER = 12
 DISCOUNT = 0.75
@@ -208,7 +207,7 @@ def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_ngrams: int = 600_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     """Both models and the calibration from labelled rows (doc_id, toxic); three quarters
     of those given, by a second hash of the id, are for the counts and the rest for the
     calibration."""
@@ -216,15 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_ngrams: i
     labels = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     third = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3
-    rows = materialize(_count(_texts(docs, _sample(labels.where(~third), per_class))), "toxicity-ngrams")
-    counts = rows.groupBy((F.col("t") + F.col("o")).alias("c")).count().orderBy(F.desc("c")).limit(1_000_000).collect()
-    least, total = 1, 0
-    for r in counts:
-        total += r["count"]
-        if total > max_ngrams:
-            least = r.c + 1
-            break
-    kept = rows.where(F.col("t") + F.col("o") >= least).toArrow()
+    kept = _count(_texts(docs, _sample(labels.where(~third), per_class))).toArrow()
     t, o = (kept.column(c).to_numpy().astype(np.float64) for c in ("t", "o"))
     if not t.sum() or not o.sum():
         return Model(*(np.zeros(0) for _ in range(4)), np.zeros(3))

@@ -35,6 +35,17 @@ def test_held_out_accuracy(spark):
     assert all(0 <= p <= 1 for p in got.values())
 
 
+def test_no_ngram_is_left_out_of_a_large_model(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(1000)), i % 2) for i in range(140)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], LABELS)
+    counted = labels.where("pmod(xxhash64(doc_id, 1), 4) <> 3").join(docs, "doc_id").select("text").collect()
+    data, offsets = common.utf8(pa.array([r.text for r in counted]))
+    starts, lengths, _, _ = X.word_bytes(data, offsets)
+    every = np.unique(X.ngram_keys(data, starts, lengths)[1])
+    assert len(every) > 600_000 and np.array_equal(X.fit(docs, labels).keys, every)
+
+
 def test_odd_rows(spark):
     rows = corpus(400)
     odd = [(None, None, None), (7000, "", None), (7001, "1234 !!", None), (7002, "zorgleabc " * 20_000, None), (7003, "same", None), (7003, "same", None)]
