@@ -18,10 +18,13 @@ with a smaller doc_id; strings are judged on the input.
    common prefix of l bytes is extended by the byte before it, which gives all common
    prefixes of l + 1 bytes, up to WINDOW, where it stops.  The smallest document of each
    interval left is that of all strings of WINDOW bytes.
-5. Each chunk learns these documents for its contexts, removes and counts.
+5. An anchor with more contexts than ``HOT``, counted once a chunk, takes no part in 3
+   and 4: its windows are dealt by their own hash, with the smallest document of each
+   chunk, so that no bucket holds all that surrounds a common passage.
+6. Each chunk learns these documents for its contexts and windows, removes and counts.
 
 Anchors are dealt to buckets by hash, so a task holds a bounded number; contexts of a
-bucket are transformed in groups of ``GROUP`` bytes that never part an anchor.
+bucket are transformed in groups of about ``GROUP`` bytes that never part an anchor.
 
 Cases: a null text is an empty one; documents shorter than WINDOW keep all; rows of one
 doc_id do not remove each other; a null doc_id is larger than any other, and such rows do
@@ -41,10 +44,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinora.llm import common
-from kinora.llm.anchors import WINDOW, anchors
+from kinora.llm.anchors import GRAM, WINDOW, anchors
 from kinora.session import materialize, work_dir
 
 CHUNK, GROUP = 8 << 20, 1 << 17
+#: Contexts of one anchor that are transformed together.
+HOT = GROUP // (2 * WINDOW - GRAM)
 #: Anchors of a bucket, as bytes of text they come from (one anchor in about 13 bytes).
 BUCKET_BYTES = 8 << 20
 NOBODY = np.int64(2**63 - 1)
@@ -172,20 +177,24 @@ def _hashes(chunks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                _, gram, _, _, _, doc = _entries(*_read(batch, i))
+                _, gram, _, _, context, doc = _entries(*_read(batch, i))
                 # Bucket above, 32 bits of the hash below: enough to find copies.
-                key, low, high, _ = _least(_bucket(gram, buckets).astype(np.uint64) << np.uint64(32) | gram & np.uint64(0xFFFFFFFF), doc)
+                anchor = _bucket(gram, buckets).astype(np.uint64) << np.uint64(32) | gram & np.uint64(0xFFFFFFFF)
+                key, low, high, _ = _least(anchor, doc)
+                different = np.unique(context, return_index=True)[1]
+                count = np.bincount(np.searchsorted(key, anchor[different]), minlength=len(key)).astype(np.uint32)
                 of = (key >> np.uint64(32)).astype(np.int64)
                 cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else []
                 for a, b in zip(cut, cut[1:], strict=False):
                     yield _rows({"bucket": [int(of[a])], "chunk": [batch.column("chunk")[i].as_py()],
                                  "hashes": _pack(np.diff(key[a:b].astype(np.uint32), prepend=np.uint32(0))),
-                                 "several": [np.packbits(low[a:b] != high[a:b]).tobytes()]})
-    return chunks.mapInArrow(run, "bucket int, chunk long, hashes binary, several binary")
+                                 "several": [np.packbits(low[a:b] != high[a:b]).tobytes()], "counts": _pack(count[a:b])})
+    return chunks.mapInArrow(run, "bucket int, chunk long, hashes binary, several binary, counts binary")
 
 
 def _shared(hashes: DataFrame, n: int) -> DataFrame:
-    """Per chunk and bucket the hashes that another document has too."""
+    """Per chunk and bucket the hashes that another document has too, those of anchors with
+    more than ``HOT`` contexts apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
             own = [np.cumsum(_unpack(r["hashes"], np.uint32), dtype=np.uint32) for r in rows]
@@ -193,11 +202,16 @@ def _shared(hashes: DataFrame, n: int) -> DataFrame:
             every = np.sort(np.concatenate(own + [h[f] for h, f in zip(own, flags, strict=True)]))
             more = every[1:][every[1:] == every[:-1]]
             more = more[np.concatenate([[True], more[1:] != more[:-1]])] if len(more) else more
-            for r, h in zip(rows, own, strict=True):
-                found = h[_among(h, more)]
-                if len(found):
-                    yield _rows({"bucket": [bucket], "chunk": [r["chunk"]], "hashes": _pack(found)})
-    return _sorted(hashes, n).mapInArrow(run, "bucket int, chunk long, hashes binary")
+            total = np.zeros(len(more), np.int64)  # contexts
+            found = [_among(h, more) for h in own]
+            for r, h, f in zip(rows, own, found, strict=True):
+                total[np.searchsorted(more, h[f])] += _unpack(r["counts"], np.uint32)[f]
+            many = more[total > HOT]
+            for r, h, f in zip(rows, own, found, strict=True):
+                if f.any():
+                    hot = f & _among(h, many)
+                    yield _rows({"bucket": [bucket], "chunk": [r["chunk"]], "hashes": _pack(h[f & ~hot]), "hot": _pack(h[hot]) if hot.any() else [None]})
+    return _sorted(hashes, n).mapInArrow(run, "bucket int, chunk long, hashes binary, hot binary")
 
 
 # -- 3: contexts of these anchors -----------------------------------------------
@@ -221,6 +235,8 @@ def _contexts(chunks: DataFrame, buckets: int) -> DataFrame:
                 for r in replies:
                     own = order[cut[r["bucket"]]:cut[r["bucket"] + 1]]
                     own = own[_among(h[own], _unpack(r["hashes"], np.uint32))]
+                    if not len(own):
+                        continue
                     keys, low, high, first = _least(context[own], doc[own])
                     names = ("hashes", "contexts", "low", "high")
                     yield _rows({"bucket": [r["bucket"]], "chunk": [batch.column("chunk")[i].as_py()]} |
@@ -389,11 +405,67 @@ def _answers(contexts: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     return _sorted(both, n).mapInArrow(run, "bucket int, chunk long, one binary, least binary, odd binary, sizes binary, each binary")
 
 
-# -- 5: removal -------------------------------------------------------------------
+# -- 5: windows of anchors with many contexts ----------------------------------------
+def _windows(offsets: np.ndarray, data: np.ndarray, ids: np.ndarray, entries, hot: np.ndarray):
+    """(place, hash, doc_id) of each window in the contexts of the listed anchors."""
+    _, gram, start, end, _, _ = entries
+    own = _among(gram.astype(np.uint32), hot)
+    edge = np.zeros(len(data) + 1, np.int64)
+    np.add.at(edge, start[own], 1)
+    np.add.at(edge, end[own] - WINDOW + 1, -1)
+    at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+    total = np.zeros(len(at), np.uint64)
+    for i in range(WINDOW):
+        total += common.BYTE_VALUE[data[at + i]] * np.uint64(pow(common.MULT, i + 1, 1 << 64))
+    return at, common.mix(total), ids[np.searchsorted(offsets, at, "right") - 1]
+
+
+def _hot(replies: list[dict]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint32), *(_unpack(r["hot"], np.uint32) for r in replies if r["hot"])]))
+
+
+def _strings(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket of windows those of each chunk with their least and largest document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                replies = batch.column("replies")[i].as_py()
+                if not replies:
+                    continue
+                ids, offsets, data = _read(batch, i)
+                _, window, doc = _windows(offsets, data, ids, _entries(ids, offsets, data), _hot(replies))
+                key, low, high, _ = _least(window, doc)
+                bucket = _bucket(key, buckets)
+                order = np.argsort(bucket, kind="stable")
+                cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+                for a, b in zip(cut, cut[1:], strict=False):
+                    own = order[a:b]
+                    packed = _pack(key[own], low[own], high[own] - low[own])
+                    yield _rows({"bucket": [int(bucket[own[0]])], "chunk": [batch.column("chunk")[i].as_py()]} |
+                                {k: [v] for k, v in zip(("windows", "low", "high"), packed, strict=True)})
+    return chunks.mapInArrow(run, "bucket int, chunk long, windows binary, low binary, high binary")
+
+
+def _earlier(strings: DataFrame, n: int) -> DataFrame:
+    """Per chunk the windows that a smaller document than some of its own has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            keys, low, high = ([_unpack(r[k], t) for r in rows] for k, t in (("windows", np.uint64), ("low", np.int64), ("high", np.int64)))
+            known, least, _, _ = _least(np.concatenate(keys), np.concatenate(low))
+            for r, k, a, more in zip(rows, keys, low, high, strict=True):
+                m = least[np.searchsorted(known, k)]
+                if (odd := m < a + more).any():
+                    packed = _pack(k[odd], m[odd])
+                    yield _rows({"bucket": [bucket], "chunk": [r["chunk"]], "windows": [packed[0]], "least": [packed[1]]})
+    return _sorted(strings, n).mapInArrow(run, "bucket int, chunk long, windows binary, least binary")
+
+
+# -- 6: removal -------------------------------------------------------------------
 def _cover(ids: np.ndarray, offsets: np.ndarray, data: np.ndarray, replies: list[dict]) -> np.ndarray:
     """Which bytes of a chunk go."""
     edge = np.zeros(len(data) + 1, np.int64)
-    _, _, start, end, context, doc = _entries(ids, offsets, data)
+    entries = _entries(ids, offsets, data)
+    _, _, start, end, context, doc = entries
     order = np.argsort(context, kind="stable")
     ordered = context[order]
 
@@ -404,7 +476,15 @@ def _cover(ids: np.ndarray, offsets: np.ndarray, data: np.ndarray, replies: list
         which = np.repeat(np.arange(len(keys)), count)
         return which, order[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
 
+    if any(r["windows"] for r in replies):
+        known, least, _, _ = _least(*(np.concatenate([_unpack(r[k], t) for r in replies if r["windows"]]) for k, t in (("windows", np.uint64), ("least", np.int64))))
+        at, window, own = _windows(offsets, data, ids, entries, _hot(replies))
+        at = at[_among(window, known) & (least[np.minimum(np.searchsorted(known, window), len(known) - 1)] < own)]
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + WINDOW, -1)
     for r in replies:
+        if not r["one"]:
+            continue
         which, at = places(_unpack(r["one"], np.uint64))
         at = at[_unpack(r["least"], np.int64)[which] < doc[at]]
         np.add.at(edge, start[at], 1)
@@ -451,8 +531,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     contexts = materialize(_contexts(_with(chunks, shared, "hashes"), buckets), "contexts")
     wanted = _wanted(contexts, n)
     texts = _bytes(_with(chunks, wanted, "contexts"), buckets)
-    answers = _answers(contexts, texts, n)
-    return _removed(_with(chunks, answers, "one", "least", "odd", "sizes", "each"))
+    answers = _answers(contexts, texts, n).withColumns({"windows": F.lit(None).cast("binary"), "hot": F.lit(None).cast("binary")})
+    hot = shared.where("hot is not null").select("bucket", "chunk", "hot")
+    if not hot.isEmpty():
+        earlier = _earlier(_strings(_with(chunks, hot, "hot"), buckets), n)
+        answers = answers.unionByName(earlier, allowMissingColumns=True).unionByName(hot, allowMissingColumns=True)
+    return _removed(_with(chunks, answers, "one", "least", "odd", "sizes", "each", "windows", "hot"))
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -73,6 +73,25 @@ def test_documents_longer_than_a_run_of_anchors():
     assert (np.cumsum(covered[:-1]) > 0).all() and (doc == 0).all()
 
 
+def test_a_passage_in_many_documents_with_distinct_edges(spark):
+    """No anchor sends more contexts to its bucket than one transform takes."""
+    rng = random.Random(4)
+    edge = lambda: "".join(rng.choices("abcdefgh ", k=60))
+    passage = "one passage that very many of the documents have in common, whatever stands around it; "
+    rows = [(i, edge() + passage + edge()) for i in range(2500)]
+    rows += [(3000, rows[7][1][:100] + edge()), (-1, passage[5:70]), (3001, passage[:60]), (None, edge() + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = S._chunks(docs).cache()
+    shared = S._shared(S._hashes(chunks, 2), 2)
+    sent = {}
+    for r in S._contexts(S._with(chunks, shared, "hashes"), 2).collect():
+        for h, c in zip(S._unpack(r.hashes, np.uint32).tolist(), S._unpack(r.contexts, np.uint64).tolist(), strict=True):
+            sent.setdefault((r.bucket, h), set()).add(c)
+    chunks.unpersist()
+    assert max(map(len, sent.values()), default=0) <= 1771
+    check(spark, rows)
+
+
 def test_empty(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
