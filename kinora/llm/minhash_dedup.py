@@ -3,8 +3,10 @@
 Two collections of ``tables_per_side`` short bundles of ``rows`` minhashes each are
 computed per document; every pair of a bundle of the first and one of the second is a
 table key, so ``tables_per_side ** 2`` tables cost only ``2 * tables_per_side * rows``
-minhashes.  With the defaults two documents of similarity 0.85 meet in a table with
-probability 0.9998, closer ones more surely.
+minhashes.  Their numbers follow from the least similarity asked for: documents that are
+just so similar miss each other in all tables with a probability of at most ``MISS``, one
+in 6,667, and closer ones more rarely.  At 0.85 that takes 10 bundles a side (one in
+6,832 is missed), at 0.80 14 (one in 11,511).
 
 1. One pass makes each document's set of 5-word shingles, its digest and its bundles.
 2. Documents of equal sets fall into one class, the smallest doc_id stands for it.
@@ -27,6 +29,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,23 @@ from kinora.session import materialize
 
 #: Shingles that one task links at once (8 bytes each, several copies in memory).
 GROUP_SHINGLES = 2_000_000
+#: Probability that two documents of the least similarity asked for meet in no table.
+MISS = 1.5e-4
+#: Bundles a side beyond which shorter bundles are taken, and the fewest.
+MOST_TABLES, FEWEST_TABLES = 16, 10
+
+
+def banding(least: int) -> tuple[int, int]:
+    """(bundles a side, minhashes a bundle) for a similarity in hundredths: a pair misses
+    with 1 - (1 - (1 - s ** rows) ** tables) ** 2, less than twice the inner power."""
+    if not 0 < least <= 100:
+        raise ValueError(f"no similarity in hundredths: {least}")
+    for rows in (3, 2, 1):
+        apart = 1 - (least / 100) ** rows
+        tables = math.ceil(math.log(MISS / 2) / math.log(apart)) if apart else 1
+        if tables <= MOST_TABLES:
+            break
+    return max(tables, FEWEST_TABLES), rows
 
 
 def _functions(n: int) -> np.ndarray:
@@ -170,10 +190,13 @@ def _links(sets: DataFrame, least: int) -> DataFrame:
     return dealt.repartition(n, "grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, least: int = 85, tables_per_side: int = 10, rows: int = 3,
+def near_duplicates(docs: DataFrame, least: int = 85, tables_per_side: int | None = None, rows: int | None = None,
                     group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; ``least`` is the similarity in hundredths."""
+    """doc_id, n_shingles, component_id, kept; ``least`` is the similarity in hundredths.
+    Bundles and minhashes are those of ``banding`` unless both are given."""
     common.small_batches(docs.sparkSession)
+    if tables_per_side is None or rows is None:
+        tables_per_side, rows = banding(least)
     sig = materialize(signatures(docs, tables_per_side, rows), "signatures")
     reps = sig.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     classes = materialize(sig.join(reps, ["h1", "h2"], "left").withColumn(

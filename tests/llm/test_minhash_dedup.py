@@ -107,3 +107,19 @@ def test_components(spark):
             name[a] = name[b] = min(name[a], name[b])
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in name.items() if any(k in e and e[0] != e[1] for e in edges)}
+
+
+def test_banding_follows_the_similarity():
+    assert M.banding(85) == (10, 3) and M.banding(80) == (14, 3)
+    for least in range(1, 101):
+        tables, rows = M.banding(least)
+        assert 1 - (1 - (1 - (least / 100) ** rows) ** tables) ** 2 <= M.MISS
+
+
+def test_pairs_at_a_lower_threshold_meet(spark):
+    """Pairs of similarity 0.8 exactly: 45 shingles each, 40 in both."""
+    rows = []
+    for i in range(3000):
+        words = [f"{i}x{k}" for k in range(49)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:24], "other", *words[25:]]))]
+    assert sum(not r.kept for r in run(spark, rows, least=80)) >= 2999
