@@ -12,6 +12,9 @@ An item is held if some passage of the document is within ``floor(n * (100 - lea
 3. Candidates are verified by the exact edit distance of the item to any part of the
    window, widened by the edits allowed.
 
+Items that allow no edit, as short ones do, need no walk: their words' hash is looked up
+among the runs of as many words, and the words are compared.
+
 Windows start where they can match at all: of n words with e edits at least one run of
 ``ceil((n - e) / (e + 1))`` stays whole, so the window of a match shares one of the
 item's runs of two or three words, at a place that fixes the window.  Nothing is lost
@@ -21,7 +24,7 @@ The benchmark is sent to the tasks in blocks of ``block_words`` words: one for t
 sizes, else the documents are read once for each block.
 
 Cases: null and empty texts hold nothing; an item of fewer than ``min_words`` words, or
-a null one, is not searched (such words are in any text); repeated items are separate
+a null one, is not searched (with ``min_words`` 1 only items without words are left out); repeated items are separate
 items; an empty benchmark or table works; all columns are kept.
 """
 
@@ -57,9 +60,14 @@ class Items:
         self.n = counts[kept]
         self.edits = self.n * (100 - least) // 100
         run = np.minimum(-(-(self.n - self.edits) // (self.edits + 1)), 3)
-        self.seeds = {}
-        for g in np.unique(run).tolist():
-            own = [(common.grams(self.words[i], np.zeros(self.n[i], np.int64), g)[0], i) for i in np.flatnonzero(run == g)]
+        self.seeds, self.exact = {}, {}
+        for g in np.unique(self.n[self.edits == 0]).tolist():
+            own = np.flatnonzero((self.n == g) & (self.edits == 0))
+            whole = np.concatenate([common.grams(self.words[i], np.zeros(g, np.int64), g)[0] for i in own])
+            order = np.argsort(whole, kind="stable")
+            self.exact[g] = (whole[order], own[order], np.array([self.words[i] for i in own[order]]))
+        for g in np.unique(run[self.edits > 0]).tolist():
+            own = [(common.grams(self.words[i], np.zeros(self.n[i], np.int64), g)[0], i) for i in np.flatnonzero((run == g) & (self.edits > 0))]
             seed = np.concatenate([s for s, _ in own])
             item = np.concatenate([np.full(len(s), i) for s, i in own])
             at = np.concatenate([np.arange(len(s)) for s, _ in own])
@@ -116,6 +124,14 @@ class Items:
         out: set[tuple[int, int]] = set()
         if not len(self.n) or not len(hashes):
             return out
+        for g, (whole, own, spelled) in self.exact.items():
+            gram, of, place = common.grams(hashes, doc, g)
+            low, high = np.searchsorted(whole, gram, "left"), np.searchsorted(whole, gram, "right")
+            for t in range(int((high - low).max(initial=0))):  # items of the same words
+                hit = np.flatnonzero(low + t < high)
+                pick = low[hit] + t
+                same = (hashes[place[hit][:, None] + np.arange(g)] == spelled[pick]).all(axis=1)
+                out.update(zip(of[hit[same]].tolist(), own[pick[same]].tolist(), strict=True))
         start, item = self.windows(hashes, doc)
         for a in range(0, len(start), WINDOWS):
             s, i = start[a:a + WINDOWS], item[a:a + WINDOWS]

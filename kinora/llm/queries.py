@@ -87,7 +87,7 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     from kinora.llm.decontaminate import flag
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = flag(docs, table(spark, sf_dir, "benchmark"), least=80)
+    found = flag(docs, table(spark, sf_dir, "benchmark"), least=80, min_words=1)
     return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
                         F.array_join("items", ",").alias("items"))
 

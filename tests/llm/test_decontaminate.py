@@ -91,3 +91,23 @@ def test_recall_of_the_sampled_walks():
             assert near or edits
             hits, total = hits + near * (edits > 0), total + (edits > 0)
     assert hits / total >= 0.95
+
+
+def test_short_items_are_found_by_their_words(spark):
+    docs, items = corpus(4)
+    items += [(600, docs[3][1].split()[0]), (601, "w1 W2"), (602, "w1 w2"), (603, "no such words here"), (604, ""), (605, "all of the text")]
+    items += [(700 + i, " ".join(docs[i][1].split()[2:2 + i % 5])) for i in range(40)]
+    docs += [(950, "All of\nthe  text", ""), (951, "all of the", ""), (952, "text", "")]
+    got = D.flag(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), "held", min_words=1, block_words=60).collect()
+    want = {i: sorted(k for k, x in items if x and distance(x.lower().split(), text.lower().split()) <= len(x.split()) * 20 // 100) for i, text, _ in docs}
+    assert {r.doc_id: r.held for r in got} == want and want[950] == [605]
+
+
+def test_the_query_and_the_stage_search_short_items(spark, tmp_path):
+    import corpus_pipeline
+    from kinora.llm.queries import QUERIES
+    docs = spark.createDataFrame([(1, "it holds four short words there"), (2, "it does not")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "four short words")], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id: r["items"] for r in QUERIES["op9_decontaminate"](spark, str(tmp_path)).collect()} == {1: "7", 2: ""}
+    assert [r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [2]
