@@ -125,3 +125,37 @@ SELECT p.page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes,
   CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN p.page_id = f.first THEN NULL ELSE f.first END AS refers_to
 FROM p JOIN firsts f ON f.s = p.s AND f.n = strlen(p.h)"""
+
+
+@register("op12_filter_audit")
+def op12(spark, sf_dir):
+    from kinora.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS smallest FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS (SELECT part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d, coalesce(w.doc_id > smallest, false) AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+g AS (SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+    || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS y),
+o AS (SELECT p.y || q.y || r.y || s.y || t.y AS filter_order FROM x p, x q, x r, x s, x t
+  WHERE len(list_distinct([p.y, q.y, r.y, s.y, t.y])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+rows AS (SELECT part, filter_order, step, own, n, good, toxic, fails = own AS only_own, contains(fails, own) AS failing,
+    fails <> '' AND regexp_matches(fails, '[' || earlier || '-]') AS gone FROM g, steps),
+r AS (SELECT part, filter_order, step, own, sum(CASE WHEN gone OR failing THEN 0 ELSE n END) AS kept,
+    sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN only_own THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN failing AND NOT gone THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failing AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM rows GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
