@@ -159,3 +159,9 @@ r AS (SELECT part, filter_order, step, own, sum(CASE WHEN gone OR failing THEN 0
 SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
   CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
+
+@register("op11_simhash_dedup")
+def op11(spark, sf_dir):
+    from kinora.llm.simhash import simhash_components
+    return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"), errors=4)
