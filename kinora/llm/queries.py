@@ -165,3 +165,35 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 def op11(spark, sf_dir):
     from kinora.llm.simhash import simhash_components
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"), errors=4)
+
+
+@register("op13_conversation_trie")
+def op13(spark, sf_dir):
+    from kinora.llm.conversation_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# The crc32 of a decimal number is taken byte by byte: -1 stands for one shift.
+SQL["op13_conversation_trie"] = r"""
+WITH t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, {'k': k, 'w': w} AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+u AS (SELECT c.conv_id, 0 AS part, pos, k FROM c JOIN o ON o.conv_id = c.base WHERE pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, k FROM c JOIN o ON o.conv_id = c.conv_id WHERE pos > h),
+s AS (SELECT c.conv_id, coalesce(any_value(l), []) AS s FROM c LEFT JOIN
+  (SELECT conv_id, list(k ORDER BY part, pos) AS l FROM u GROUP BY conv_id) q ON q.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, d, s[1:d] AS p, len(s) = d AS ends, CASE WHEN d > 0 THEN s[d].w ELSE 0 END AS w
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM s)),
+n AS (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY d, p),
+k AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.p = n.p),
+a AS (SELECT a.a AS d, p[1:a.a] AS p, sum((n_convs - 1) * w) AS saved, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM m) a GROUP BY ALL)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(a.leaves AS BIGINT) AS n_leaves,
+  CAST(a.saved AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN a ON a.d = m.d AND a.p = m.p LEFT JOIN n up ON up.d = m.d - 1 AND up.p = m.p[1:m.d - 1]"""
