@@ -3,25 +3,29 @@ emitting all pairs of a shared term.
 
 Plan
 ----
-1. ``doc_vectors``: one row per document - term ids and L2-normalised TF-IDF
-   weights (Spark: tf/df aggregates, join on term, collect per document).
-2. Documents are hashed into B blocks.  Each document row is replicated to the
-   B block pairs it takes part in: as the left side of (b, j) for j >= b and as
-   the right side of (i, b) for i < b.  Every unordered block pair is one group.
-3. ``applyInPandas`` per block pair computes the score block exactly:
-   terms shared by many documents of both blocks go through one dense matrix
-   product (BLAS); the sparse tail is accumulated per shared term with
-   ``bincount``.  Work per group is bounded by the block size, whatever the
-   term frequencies are - a term present in a third of all documents costs
-   the same as any other dense column.
-4. Each group emits only its local top-K per source (ranked by the score
-   quantised to 1e-9, then neighbour id), both directions for off-diagonal
-   blocks.  Because local and global orders are the same total order, the
-   global top-K is the top-K of the union: a row_number per source over at
-   most K * B candidates.
-
-Self pairs and non-positive scores are dropped; the stored score is the
-quantised score rounded half-even to 4 decimals.
+1. ``doc_vectors`` is the term index: TF-IDF vectors as a stored table, over a stored
+   dictionary of the terms that at least two documents share (a term of one document
+   moves no score, only its norm).  A vector's entries stand rarest first, with the norm
+   of its rare part (terms of at most ``RARE`` documents) and of the rest.
+2. ``rare_first`` (once there are more blocks than neighbours wanted): documents meet
+   others on rare terms only, at most ``RARE`` a term, so this join grows with the vectors
+   and not with their square.  The sum over rare terms is a lower bound of a score and
+   the K-th one a document's bound; without a shared rare term no score exceeds the norm
+   of the rest (Cauchy-Schwarz).  Where the bound is above that norm the document is
+   settled: its neighbours are among its partners, of which only those whose upper bound
+   reaches the K-th lower one are scored in full.
+3. ``topk_neighbours`` scores the other documents by blocks: each pair of a block of
+   theirs and a block of all documents is one task.  Terms shared by many documents of
+   both blocks go through one dense matrix product, the sparse tail is accumulated per
+   shared term with ``bincount``: a term present in a third of all documents costs the
+   same as any other dense column.
+4. Each task emits only its local top-K per source (ranked by the score quantised to
+   1e-9, then neighbour id).  Because local and global orders are the same total order,
+   the global top-K is the top-K of the union: a row_number per source over at most
+   K * B candidates.
+
+Self pairs and non-positive scores are dropped; the stored score is the quantised score
+rounded half-even to 4 decimals.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinora.operators.tfidf import term_counts
-from kinora.session import default_parallelism
+from kinora.session import default_parallelism, materialize
 
 # FIXED VALUES: ranking quantum and output rounding.
 SCORE_QUANTUM = 1e9      # scores are ranked on rint(score * 1e9)
@@ -49,6 +53,11 @@ MAX_BLOCK = 2048         # documents per block (bounds the score block: 2048^2 d
 MAX_BLOCK_ENTRIES = 4_000_000
 MIN_BLOCK = 128
 PAIR_CHUNK = 8_000_000   # sparse-tail pairs expanded at once inside a group
+DENSE = 256.0            # a pair in the sparse tail costs about this many dense products
+RARE = 8                 # a rare term has this many documents at most
+TOPK_ROWS = 256          # source rows ranked at once inside a group
+# Lower and upper bounds are compared with this margin over the ranking quantum.
+MARGIN = 4e-9
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("src", T.LongType()),
@@ -59,27 +68,32 @@ CANDIDATE_SCHEMA = T.StructType([
 
 def doc_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ngram_max: int = 2) -> DataFrame:
-    """(doc_id, terms array<string>, weights array<double>), L2-normalised.
-
-    Terms stay strings: a dictionary id would have to be assigned by a
-    non-deterministic expression, which breaks exchange reuse and would let a
-    recomputed partition renumber terms after an executor loss.  Each block
-    task factorises its own terms locally instead.
-    """
-    counts = term_counts(docs, id_col, text_col, ngram_max)
+    """The term index: (doc_id, terms array<bigint> rarest first, weights array<double>
+    of the L2-normalised vector, n_rare, rare and rest: the norms of the first ``n_rare``
+    entries and of the others), a stored table.
+
+    Term numbers come from a stored dictionary, so a recomputed task can not renumber
+    terms.  Counts are stored too: the dictionary and the vectors both read them."""
+    counts = materialize(term_counts(docs, id_col, text_col, ngram_max), "term-counts")
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
-    w = (counts.join(dfs, "term")
-         .select("doc_id", "term",
-                 ((F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf).alias("w")))
-    # The norm is an aggregate of the same groupBy: a per-document value the
-    # lambda below reads as a plain column (an array expression here would be
-    # inlined into the lambda and re-evaluated per element).
-    vec = w.groupBy("doc_id").agg(F.collect_list(F.struct("term", "w")).alias("v"),
-                                  F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return vec.select("doc_id", F.transform("v", lambda s: s["term"]).alias("terms"),
-                      F.transform("v", lambda s: s["w"] / F.col("_norm")).alias("weights"))
+    terms = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+                        .withColumn("tid", F.monotonically_increasing_id()), "terms")
+    df = F.coalesce("df", F.lit(1))
+    idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + df)) + F.lit(1.0)
+    w = (counts.join(terms, "term", "left")
+         .select("doc_id", "tid", "df", ((F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf).alias("w")))
+    square = F.col("w") * F.col("w")
+    # collect_list leaves out nulls: terms of one document count in the norm only
+    vec = w.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("tid").isNotNull(), F.struct("df", "tid", "w")))).alias("v"),
+        F.sqrt(F.sum(square)).alias("_norm"),
+        F.sum((F.col("df") <= RARE).cast("int")).alias("n_rare"),
+        F.sqrt(F.sum(F.when(F.col("df") <= RARE, square).otherwise(0.0))).alias("_rare"),
+        F.sqrt(F.sum(F.when(F.col("df") > RARE, square).otherwise(0.0))).alias("_rest"))
+    return materialize(vec.where(F.size("v") > 0).select(
+        "doc_id", F.col("v.tid").alias("terms"), F.transform("v", lambda s: s["w"] / F.col("_norm")).alias("weights"),
+        F.coalesce("n_rare", F.lit(0)).cast("int").alias("n_rare"), (F.col("_rare") / F.col("_norm")).alias("rare"),
+        (F.col("_rest") / F.col("_norm")).alias("rest")), "vectors")
 
 
 def choose_blocks(n_docs: int, parallelism: int, n_chars: int = 0) -> int:
@@ -113,22 +127,23 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame | None) -> np.ndarray:
     diagonal = right is None
     lr, lt, lw = _flatten(left)
     rr, rt, rw = (lr, lt, lw) if diagonal else _flatten(right)
-    # local dictionary: the same string gets the same code on both sides
-    codes, _ = pd.factorize(np.concatenate([lt, rt]) if not diagonal else lt)
+    # local dictionary: the same term gets the same code on both sides
+    codes, names = pd.factorize(np.concatenate([lt, rt]) if not diagonal else lt)
     lt, rt = (codes[:lt.size], codes[lt.size:]) if not diagonal else (codes, codes)
     n_l, n_r = len(left), (len(left) if diagonal else len(right))
     scores = np.zeros((n_l, n_r), dtype=np.float64)
-    shared = np.intersect1d(lt, rt)
+    both = (np.bincount(lt, minlength=len(names)) > 0) & (np.bincount(rt, minlength=len(names)) > 0)
+    shared = np.flatnonzero(both)
     if shared.size == 0:
         return scores
-    lm, rm = np.isin(lt, shared), np.isin(rt, shared)
-    lr, lw, lt = lr[lm], lw[lm], np.searchsorted(shared, lt[lm])
-    rr, rw, rt = rr[rm], rw[rm], np.searchsorted(shared, rt[rm])
+    lm, rm, place = both[lt], both[rt], np.cumsum(both) - 1
+    lr, lw, lt = lr[lm], lw[lm], place[lt[lm]]
+    rr, rw, rt = rr[rm], rw[rm], place[rt[rm]]
     v = shared.size
     df_l, df_r = np.bincount(lt, minlength=v), np.bincount(rt, minlength=v)
     # A term is cheaper as a dense column once its pair count is a visible
     # fraction of the block (BLAS vs. per-pair numpy work).
-    heavy = (df_l.astype(np.float64) * df_r) * 32.0 > float(n_l) * n_r
+    heavy = (df_l.astype(np.float64) * df_r) * DENSE > float(n_l) * n_r
     if heavy.any():
         hid = np.cumsum(heavy) - 1
         h = int(heavy.sum())
@@ -163,65 +178,112 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame | None) -> np.ndarray:
     return scores
 
 
-def _row_topk(scores: np.ndarray, src_ids: np.ndarray, dst_ids: np.ndarray, k: int,
-              exclude_diagonal: bool) -> pd.DataFrame:
+def _row_topk(scores: np.ndarray, src_ids: np.ndarray, dst_ids: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best positive scores of each row, never of a document with itself."""
     n_src, n_dst = scores.shape
-    if n_src == 0 or n_dst == 0:
-        return pd.DataFrame({"src": [], "dst": [], "q": []})
-    q = np.rint(scores * SCORE_QUANTUM).astype(np.int64)
+    out = {"src": [np.zeros(0, np.int64)], "dst": [np.zeros(0, np.int64)], "q": [np.zeros(0, np.int64)]}
+    order = np.argsort(dst_ids, kind="stable")
     dst_rank = np.empty(n_dst, dtype=np.int64)
-    dst_rank[np.argsort(dst_ids, kind="stable")] = np.arange(n_dst)
-    key = -q * n_dst + dst_rank[None, :]
-    invalid = scores <= 0.0
-    if exclude_diagonal:
-        np.fill_diagonal(invalid, True)
-    big = np.iinfo(np.int64).max
-    key[invalid] = big
-    kk = min(k, n_dst)
-    if kk < n_dst:
-        idx = np.argpartition(key, kk - 1, axis=1)[:, :kk]
-    else:
-        idx = np.broadcast_to(np.arange(n_dst), (n_src, n_dst))
-    rows = np.repeat(np.arange(n_src), idx.shape[1])
-    cols = idx.reshape(-1)
-    keep = key[rows, cols] != big
-    rows, cols = rows[keep], cols[keep]
-    return pd.DataFrame({"src": src_ids[rows], "dst": dst_ids[cols], "q": q[rows, cols]})
+    dst_rank[order] = np.arange(n_dst)
+    kk, big = min(k, n_dst), np.iinfo(np.int64).max
+    for at in range(0, n_src if n_dst else 0, TOPK_ROWS):
+        part, ids = scores[at:at + TOPK_ROWS], src_ids[at:at + TOPK_ROWS]
+        q = np.rint(part * SCORE_QUANTUM).astype(np.int64)
+        key = np.where(part > 0.0, dst_rank[None, :] - q * n_dst, big)
+        place = np.minimum(np.searchsorted(dst_ids, ids, sorter=order), n_dst - 1)
+        own = np.flatnonzero(dst_ids[order[place]] == ids)
+        key[own, order[place[own]]] = big
+        idx = np.argpartition(key, kk - 1, axis=1)[:, :kk] if kk < n_dst else np.broadcast_to(np.arange(n_dst), key.shape)
+        rows, cols = np.repeat(np.arange(len(ids)), idx.shape[1]), idx.reshape(-1)
+        keep = key[rows, cols] != big
+        rows, cols = rows[keep], cols[keep]
+        for name, values in (("src", ids[rows]), ("dst", dst_ids[cols]), ("q", q[rows, cols])):
+            out[name].append(values)
+    return pd.DataFrame({name: np.concatenate(values) for name, values in out.items()}).astype("int64")
 
 
-def _block_pair_kernel(k: int):
+def _block_pair_kernel(k: int, one_way: bool):
+    """Local top-K of a block pair; ``one_way``: of the left side's documents only."""
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf["side"] == 0].reset_index(drop=True)
         right = pdf[pdf["side"] == 1].reset_index(drop=True)
-        l_ids = left["doc_id"].to_numpy(np.int64)
-        if key[0] != key[1] and (left.empty or right.empty):  # a block without documents
+        l_ids, r_ids = left["doc_id"].to_numpy(np.int64), right["doc_id"].to_numpy(np.int64)
+        if left.empty or (right.empty and (one_way or key[0] != key[1])):  # a block without documents
             return pd.DataFrame({"src": [], "dst": [], "q": []}).astype("int64")
+        if one_way:
+            return _row_topk(score_block(left, right), l_ids, r_ids, k)
         if key[0] == key[1]:
-            s = score_block(left, None)
-            out = _row_topk(s, l_ids, l_ids, k, exclude_diagonal=True)
-        else:
-            r_ids = right["doc_id"].to_numpy(np.int64)
-            s = score_block(left, right)
-            out = pd.concat([_row_topk(s, l_ids, r_ids, k, False),
-                             _row_topk(s.T, r_ids, l_ids, k, False)], ignore_index=True)
-        return out.astype({"src": "int64", "dst": "int64", "q": "int64"})
+            return _row_topk(score_block(left, None), l_ids, l_ids, k)
+        s = score_block(left, right)
+        return pd.concat([_row_topk(s, l_ids, r_ids, k), _row_topk(s.T, r_ids, l_ids, k)], ignore_index=True)
     return kernel
 
 
-def topk_neighbours(spark: SparkSession, vectors: DataFrame, k: int, n_blocks: int) -> DataFrame:
-    """(src, dst, rank, q, score) top-K cosine neighbours per document."""
-    nb = F.lit(n_blocks)
-    blk = F.pmod(F.xxhash64("doc_id"), nb).cast("int")
-    v = vectors.select("doc_id", "terms", "weights", blk.alias("b"))
-    as_left = v.select(F.col("b").alias("pi"), F.explode(F.sequence(F.col("b"), nb - 1)).alias("pj"),
-                       F.lit(0).alias("side"), "doc_id", "terms", "weights")
-    as_right = (v.where(F.col("b") > 0)
-                .select(F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("pi"),
-                        F.col("b").alias("pj"), F.lit(1).alias("side"),
-                        "doc_id", "terms", "weights"))
-    cands = (as_left.unionByName(as_right)
-             .groupBy("pi", "pj")
-             .applyInPandas(_block_pair_kernel(k), CANDIDATE_SCHEMA))
+def block_candidates(vectors: DataFrame, k: int, n_blocks: int, sources: DataFrame | None = None,
+                     source_blocks: int = 1) -> DataFrame:
+    """(src, dst, q): local top-K of every block pair.  Without ``sources`` each unordered
+    pair of blocks is scored once for both sides; with ``sources`` (vectors of some
+    documents) each of their blocks meets every block of all documents."""
+    def dealt(df: DataFrame, n: int) -> DataFrame:
+        return df.select("doc_id", "terms", "weights", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("b"))
+
+    def side(df: DataFrame, own: str, other: str, low, high, number: int) -> DataFrame:
+        return df.select(F.col("b").alias(own), F.explode(F.sequence(low, high)).alias(other), F.lit(number).alias("side"),
+                         "doc_id", "terms", "weights")
+    v = dealt(vectors, n_blocks)
+    if sources is None:
+        pairs = side(v, "pi", "pj", F.col("b"), F.lit(n_blocks - 1), 0).unionByName(
+            side(v.where("b > 0"), "pj", "pi", F.lit(0), F.col("b") - 1, 1))
+    else:
+        pairs = side(dealt(sources, source_blocks), "pi", "pj", F.lit(0), F.lit(n_blocks - 1), 0).unionByName(
+            side(v, "pj", "pi", F.lit(0), F.lit(source_blocks - 1), 1))
+    return pairs.groupBy("pi", "pj").applyInPandas(_block_pair_kernel(k, sources is not None), CANDIDATE_SCHEMA)
+
+
+def _dots(batches):
+    """(src, dst, q) of rows that hold both vectors."""
+    for pdf in batches:
+        q = []
+        for ta, wa, tb, wb in zip(pdf["ta"], pdf["wa"], pdf["tb"], pdf["wb"]):
+            _, i, j = np.intersect1d(ta, tb, assume_unique=True, return_indices=True)
+            q.append(np.rint(float(np.dot(np.asarray(wa)[i], np.asarray(wb)[j])) * SCORE_QUANTUM))
+        yield pd.DataFrame({"src": pdf["src"], "dst": pdf["dst"], "q": np.array(q, np.float64).astype(np.int64)})
+
+
+def rare_first(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(settled documents: doc_id; (src, dst, q) that hold their top-K)."""
+    postings = vectors.where("n_rare > 0").select(
+        "doc_id", "rare", "rest", F.explode(F.arrays_zip(F.slice("terms", 1, F.col("n_rare")).alias("term"),
+                                                         F.slice("weights", 1, F.col("n_rare")).alias("w"))).alias("e"))
+    postings = postings.select("doc_id", "rare", "rest", F.col("e.term").alias("term"), F.col("e.w").alias("w"))
+    # A lower bound never exceeds the norm of the rare part, so others can not be settled.
+    a = postings.where(F.col("rare") > F.col("rest")).select(F.col("doc_id").alias("src"), F.col("rest").alias("rest_a"), "term", F.col("w").alias("wa"))
+    b = postings.select(F.col("doc_id").alias("dst"), F.col("rest").alias("rest_b"), "term", F.col("w").alias("wb"))
+    pairs = materialize(a.join(b, "term").where("src <> dst").groupBy("src", "dst").agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("low"), F.first("rest_a").alias("rest_a"), F.first("rest_b").alias("rest_b")), "rare-pairs")
+    kth = pairs.withColumn("r", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("low")))).where(F.col("r") == k)
+    bounds = materialize(kth.where(F.col("low") > F.col("rest_a") + MARGIN).select("src", F.col("low").alias("bound")), "settled")
+    open_ = pairs.join(bounds, "src").where(F.col("low") + F.col("rest_a") * F.col("rest_b") + MARGIN >= F.col("bound")).select("src", "dst")
+    def named(own: str, terms: str, weights: str) -> DataFrame:
+        return vectors.select(F.col("doc_id").alias(own), F.col("terms").alias(terms), F.col("weights").alias(weights))
+    scored = open_.join(named("src", "ta", "wa"), "src").join(named("dst", "tb", "wb"), "dst").mapInPandas(_dots, CANDIDATE_SCHEMA)
+    return bounds.select(F.col("src").alias("doc_id")), scored.where("q > 0")
+
+
+def topk_neighbours(spark: SparkSession, vectors: DataFrame, k: int, n_blocks: int, settle: bool = False) -> DataFrame:
+    """(src, dst, rank, q, score) top-K cosine neighbours per document.
+
+    ``settle`` takes the documents that ``rare_first`` settles out of the block product;
+    it needs the columns of ``doc_vectors``."""
+    if settle:
+        settled, cands = rare_first(vectors, k)
+        left = materialize(vectors.join(settled, "doc_id", "left_anti"), "open-vectors")
+        n_open, n_all = left.count(), vectors.count()
+        if n_open:
+            blocks = max(1, math.ceil(n_blocks * n_open / n_all))
+            cands = cands.unionByName(block_candidates(vectors, k, n_blocks, left, blocks))
+    else:
+        cands = block_candidates(vectors, k, n_blocks)
     w = Window.partitionBy("src").orderBy(F.col("q").desc(), F.col("dst").asc())
     ranked = cands.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
     scale = SCORE_QUANTUM / 10 ** OUTPUT_DECIMALS
@@ -231,14 +293,17 @@ def topk_neighbours(spark: SparkSession, vectors: DataFrame, k: int, n_blocks: i
 
 
 def content_neighbours(spark: SparkSession, items: DataFrame, k: int, id_col: str = "movie_id",
-                       text_col: str = "feature_text", n_blocks: int | None = None) -> DataFrame:
-    """Serving-table form: movie_id, recommended_movie_id, rank, similarity_score."""
+                       text_col: str = "feature_text", n_blocks: int | None = None, settle: bool | None = None) -> DataFrame:
+    """Serving-table form: movie_id, recommended_movie_id, rank, similarity_score.
+
+    Settling a document moves about k vectors to it, the block product n_blocks copies of
+    its own: unless ``settle`` says so, the cheaper one is taken.  Results are the same."""
     if n_blocks is None:
         # one pass over the (cheap) input decides the block layout
         stats = items.agg(F.count(F.lit(1)).alias("n"),
                           F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("c")).first()
         n_blocks = choose_blocks(int(stats["n"]), default_parallelism(spark), int(stats["c"]))
     vec = doc_vectors(items, id_col, text_col)
-    nn = topk_neighbours(spark, vec, k, n_blocks)
+    nn = topk_neighbours(spark, vec, k, n_blocks, n_blocks > k if settle is None else settle)
     return nn.select(F.col("src").alias(id_col), F.col("dst").alias(f"recommended_{id_col}"),
                      "rank", F.col("score").alias("similarity_score"))

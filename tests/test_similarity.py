@@ -116,3 +116,33 @@ def test_empty_blocks_change_nothing(spark):
                         for b in (1, 2, 17))
         assert all(o == one for o in others)
         assert len({r[:2] for r in one}) == len(one)
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_settled_documents_match_brute_force(spark, k):
+    """Groups of near copies settle on rare terms; prose of common words does not."""
+    rng = np.random.default_rng(3)
+    texts = corpus(50)
+    for g in range(6):
+        body = [f"g{g}x{i}" for i in range(12)]
+        for c in range(6):
+            texts[5000 + 10 * g + c] = " ".join(body[:int(rng.integers(8, 13))] + list(rng.choice([f"w{i}" for i in range(40)], 2)))
+    texts |= {6000: "", 6001: "the of", 6002: texts[5000]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    vec = similarity.doc_vectors(docs)
+    settled = similarity.rare_first(vec, k)[0].count()
+    assert 0 < settled < vec.count()
+    for blocks in (1, 3):
+        got = similarity.topk_neighbours(spark, vec, k, blocks, settle=True).select("src", "dst", "rank").collect()
+        assert sorted(tuple(r) for r in got) == brute_topk(reference_vectors(texts), k)
+
+
+def test_all_documents_settled_or_none(spark):
+    texts = {i: " ".join(f"a{i // 3}b{j}" for j in range(9)) for i in range(30)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    vec = similarity.doc_vectors(docs)
+    assert similarity.rare_first(vec, 2)[0].count() == 30
+    got = similarity.topk_neighbours(spark, vec, 2, 2, settle=True).select("src", "dst", "rank").collect()
+    assert sorted(tuple(r) for r in got) == brute_topk(reference_vectors(texts), 2)
+    none = spark.createDataFrame([(1, ""), (2, None)], "doc_id bigint, text string")
+    assert similarity.content_neighbours(spark, none, 3, "doc_id", "text", settle=True).count() == 0
