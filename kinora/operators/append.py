@@ -14,6 +14,8 @@ so no global window pulls the feed into one task; the user range is an
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,16 +66,21 @@ def consecutive_ids(df: DataFrame, order: list[str], start: int | Column, id_col
         "_pid", "_local", "_off")
 
 
+def first_unreachable(passable: DataFrame, start: int = 1) -> Column:
+    """The first page from ``start`` on that is not among ``passable(page)``, as a scalar:
+    pages are walked in order and the walk ends there."""
+    spark = passable.sparkSession
+    held = passable.where(F.col("page") >= start).select(F.col("page").cast("int").alias("page")).distinct()
+    after = held.select((F.col("page") + 1).alias("page")).unionByName(
+        spark.range(1).select(F.lit(start).cast("int").alias("page")))
+    return after.join(held, "page", "left_anti").agg(F.min("page")).scalar()
+
+
 def accepted_feed(feed: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """Pages from 1 up to (excluding) the first missing or empty page, of the
-    first ``max_pages`` if a limit is wanted."""
+    """Rows of the pages from 1 up to (excluding) the first missing or empty page, of
+    the first ``max_pages`` if a limit is wanted."""
     wanted = F.col("page") >= 1 if max_pages is None else F.col("page").between(1, max_pages)
-    pages = feed.where(wanted).select("page").distinct()
-    gap_after = (pages.select((F.col("page") + 1).alias("page"))
-                 .join(pages, "page", "left_anti").agg(F.min("page")).scalar())
-    has_first = pages.agg(F.max((F.col("page") == 1).cast("int"))).scalar()
-    stop = F.when(has_first == 1, gap_after).otherwise(F.lit(1))
-    return feed.where((F.col("page") >= 1) & (F.col("page") < stop))
+    return feed.where((F.col("page") >= 1) & (F.col("page") < first_unreachable(feed.where(wanted).select("page"))))
 
 
 def new_items(feed: DataFrame, existing: DataFrame, max_pages: int | None = None) -> DataFrame:
@@ -82,10 +89,15 @@ def new_items(feed: DataFrame, existing: DataFrame, max_pages: int | None = None
 
     Ids start after the largest ``movie_id`` of ``existing(title[, movie_id])``,
     at FIRST_NEW_ID at least."""
+    return fresh_items(accepted_feed(feed, max_pages), existing)
+
+
+def fresh_items(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """``new_items`` of feed rows that are all to be taken."""
     start = F.lit(FIRST_NEW_ID).cast("bigint")
     if "movie_id" in existing.columns:
         start = F.greatest(start, F.coalesce(existing.agg(F.max("movie_id") + 1).scalar(), start))
-    rows = accepted_feed(feed, max_pages).select(
+    rows = rows.select(
         "page", "pos", text.compose_title("title", "release_date").alias("full_title"),
         "genre_ids", "vote_average")
     first = (rows.groupBy("full_title")
@@ -104,8 +116,16 @@ def new_items(feed: DataFrame, existing: DataFrame, max_pages: int | None = None
         "movie_id", "title", "genres", "seed_rating")
 
 
-def seed_ratings(items: DataFrame, timestamp: Column) -> DataFrame:
-    """Ten ratings per new item: seed rating plus noise in {-0.5, 0, +0.5}, clamped."""
+def run_stamp(at: float | None = None) -> Column:
+    """The time of a run in whole seconds, read once on the driver: all its rows, and
+    those of a task that runs again, carry the same stamp."""
+    return F.lit(int(time.time() if at is None else at)).cast("bigint")
+
+
+def seed_ratings(items: DataFrame, timestamp: Column | None = None) -> DataFrame:
+    """Ten ratings per new item: seed rating plus noise in {-0.5, 0, +0.5}, clamped; the
+    stamp is the run's time unless given."""
+    timestamp = run_stamp() if timestamp is None else timestamp
     users = F.explode(F.sequence(F.lit(SEED_USERS[0]), F.lit(SEED_USERS[1] - 1)))
     r = (items.select("movie_id", "seed_rating", users.alias("user_id"))
          .withColumn("user_id", F.col("user_id").cast("bigint")))

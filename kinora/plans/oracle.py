@@ -853,6 +853,30 @@ ORACLE_SQL["pipeline_metrics"] = _metrics_sql()
 
 
 ORACLE_SQL["catalog_append_stream"] = ORACLE_SQL["catalog_append"]
+ORACLE_SQL["feed_page_status"] = with_(RAW_MOVIES, FEED) + """
+, p AS (SELECT DISTINCT page, (SELECT max(page) FROM feed) AS top FROM feed),
+k AS (SELECT page, CASE WHEN page <> top - 4 AND page % 9 = 0 THEN 'raised' ELSE 'ok' END AS kind,
+    CASE WHEN page = top - 4 THEN 2 ELSE 1 END AS landings FROM p)
+SELECT page, kind, CAST(landings AS BIGINT) AS landings,
+       page < (SELECT min(a) FROM (SELECT 1 AS a UNION SELECT page + 1 FROM k) WHERE a NOT IN (SELECT page FROM k)) AS passed
+FROM k"""
+
+
+def _after_append() -> str:
+    """Items and their seed ratings joined to the raw tables, then the usual summary."""
+    before = RAW_MOVIES.replace("raw_movies AS", "old_movies AS")
+    new = NEW_ITEMS.replace("raw_movies", "old_movies")
+    ratings = RAW_RATINGS.replace("raw_ratings AS", "old_ratings AS")
+    movies = "raw_movies AS (SELECT movie_id, title, genres FROM old_movies UNION ALL SELECT movie_id, title, genres FROM new_items)"
+    seeds = """raw_ratings AS (SELECT * FROM old_ratings UNION ALL
+  SELECT CAST(u AS BIGINT), n.movie_id, greatest(CAST(0.5 AS DOUBLE), least(CAST(5.0 AS DOUBLE),
+         n.seed_rating + CAST((n.movie_id * 31 + u) % 3 - 1 AS DOUBLE) * 0.5)),
+         (SELECT CAST(max(epoch(o_orderdate)) AS BIGINT) FROM orders)
+  FROM new_items n, range(900, 910) AS t(u))"""
+    return with_(before, FEED, new, ratings, movies, seeds, CLEAN_MOVIES, DEDUP_RATINGS, SUMMARY) + "SELECT * FROM ratings_summary"
+
+
+ORACLE_SQL["summary_after_append"] = _after_append()
 ORACLE_SQL["cache_versioned"] = ORACLE_SQL["cache_upsert"]
 
 

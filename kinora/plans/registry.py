@@ -541,6 +541,10 @@ def q_pipeline_metrics(spark, sf_dir):
 
 
 # -- streaming form of the append ------------------------------------------------------
+def _run_seconds(spark, sf_dir) -> int:
+    return int(spark.range(1).select(_run_stamp(spark, sf_dir)).first()[0])
+
+
 @register("catalog_append_stream")
 def q_catalog_append_stream(spark, sf_dir):
     from kinora.session import work_dir
@@ -548,12 +552,52 @@ def q_catalog_append_stream(spark, sf_dir):
     from kinora.streaming import feed_append
     base = work_dir(spark, "feed-stream")
     feed_append.land_feed(external.feed(spark, sf_dir), f"{base}/landing")
-    ts = spark.range(1).select(_run_stamp(spark, sf_dir)).first()[0]
-    feed_append.run_feed_append(spark, f"{base}/landing", _build(spark, sf_dir).raw_movies.select("title"),
-                                f"{base}/items", f"{base}/ratings", f"{base}/_checkpoint", int(ts))
+    feed_append.run_feed_append(spark, f"{base}/landing", _build(spark, sf_dir).raw_movies.select("movie_id", "title"),
+                                f"{base}/items", f"{base}/ratings", f"{base}/_checkpoint", _run_seconds(spark, sf_dir))
     return spark.read.parquet(f"{base}/items").select("movie_id", "title", "genres", "seed_rating")
 
 
+@register("feed_page_status")
+def q_feed_page_status(spark, sf_dir):
+    """Feed pages over two runs: every ninth page raises, the fifth last is refused at first
+    and repeated by the second run.  Per page what became of it and whether the walk passed it."""
+    from kinora.session import work_dir
+    from kinora.sources import external
+    from kinora.streaming import feed_append
+    base = work_dir(spark, "feed-status")
+    feed = external.feed(spark, sf_dir)
+    top = int(feed.agg(F.max("page")).first()[0])
+    raised, refused = F.col("page") % 9 == 0, F.col("page") == top - 4
+    pages = feed.select("page").distinct()
+    failures = pages.where(raised | refused).select("page", F.when(refused, 503).alias("status"), F.when(raised & ~refused, "timed out").alias("error"))
+    catalogue = _build(spark, sf_dir).raw_movies.select("movie_id", "title")
+    for rows, failed in ((feed.where(~raised & ~refused), failures), (feed.where(refused), None)):
+        feed_append.land_feed(rows, f"{base}/landing", failed)
+        feed_append.run_feed_append(spark, f"{base}/landing", catalogue, f"{base}/items", f"{base}/ratings",
+                                    f"{base}/_checkpoint", _run_seconds(spark, sf_dir))
+    ledger = spark.read.schema(feed_append.LEDGER_SCHEMA).parquet(f"{base}/items_pages")
+    end = spark.read.schema(feed_append.WALK_SCHEMA).parquet(f"{base}/items_walk").agg(F.max("next_page")).scalar()
+    return ledger.groupBy("page").agg(F.max_by("kind", "batch_id").alias("kind"), F.count(F.lit(1)).alias("landings")).withColumn(
+        "passed", F.col("page") < end)
+
+
+@register("summary_after_append")
+def q_summary_after_append(spark, sf_dir):
+    """The rating summary over catalogue and ratings after the feed was appended to both
+    stored sources by one commit."""
+    from kinora.operators import append
+    from kinora.session import materialize, work_dir
+    from kinora.sources.commits import SnapshotStore
+    b = _build(spark, sf_dir)
+    store = SnapshotStore(spark, work_dir(spark, "sources"))
+    store.commit("sources", {"movies": b.raw_movies, "ratings": b.raw_ratings})
+    items = materialize(_new_items(spark, sf_dir), "appended-items")
+    store.commit("feed", {"movies": items.select("movie_id", "title", "genres"),
+                          "ratings": append.seed_ratings(items, _run_stamp(spark, sf_dir))})
+    now = store.snapshot()
+    return CatalogueBuild(now.read("movies"), now.read("ratings"), store=True).ratings_summary
+
+
 # -- versioned cache write (merge, then switch) ---------------------------------------------
 @register("cache_versioned")
 def q_cache_versioned(spark, sf_dir):

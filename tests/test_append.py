@@ -63,3 +63,96 @@ def test_stream_keeps_pages_that_land_later(spark, tmp_path):
         run_feed_append(spark, *paths[:1], base, *paths[1:], 7)
     items = spark.read.parquet(paths[1]).collect()
     assert len(items) == 8 and len({r.movie_id for r in items}) == 8
+
+
+def _feed(spark, pages):
+    return spark.createDataFrame([(p, i, f"T{p}-{i}", "", [], None) for p in pages for i in range(2)], FEED)
+
+
+def _paths(tmp_path):
+    return [str(tmp_path / n) for n in ("landing", "items", "ratings", "check")]
+
+
+def test_stream_skips_raised_pages_and_stops_at_refused_ones(spark, tmp_path):
+    from kinora.streaming.feed_append import land_feed, run_feed_append
+    base = spark.createDataFrame([(1, "T5-1"), (600001, "y")], "movie_id bigint, title string")
+    paths = _paths(tmp_path)
+    failures = spark.createDataFrame([(2, None, "timed out"), (4, 503, None), (6, None, None)], "page int, status int, error string")
+    land_feed(_feed(spark, (1, 3, 5, 7)), paths[0], failures)
+    run_feed_append(spark, paths[0], base, *paths[1:], 7)
+
+    def titles():
+        return {r.movie_id: r.title for r in spark.read.parquet(paths[1]).collect()}
+    assert titles() == {600002: "T1-0", 600003: "T1-1", 600004: "T3-0", 600005: "T3-1"}
+    land_feed(_feed(spark, (4,)), paths[0])  # the refused page is repeated: the walk goes on to the empty one
+    run_feed_append(spark, paths[0], base, *paths[1:], 7)
+    assert titles() == {600002: "T1-0", 600003: "T1-1", 600004: "T3-0", 600005: "T3-1", 600006: "T4-0", 600007: "T4-1", 600008: "T5-0"}
+    land_feed(_feed(spark, (6,)), paths[0], spark.createDataFrame([(2, 200, None)], "page int, status int, error string"))
+    run_feed_append(spark, paths[0], base, *paths[1:], 7)
+    assert sorted(titles())[-4:] == [600009, 600010, 600011, 600012]
+    assert sorted(r.batch_id for r in spark.read.parquet(paths[1] + "_walk").collect()) == [0, 1, 2]
+    assert spark.read.parquet(paths[2]).count() == 10 * len(titles())
+
+
+def test_a_batch_reads_no_page_the_walk_has_passed(spark, tmp_path):
+    from kinora.streaming import feed_append as S
+    ledger, walk = str(tmp_path / "pages"), str(tmp_path / "walk")
+
+    def batch(pages):
+        return spark.createDataFrame([(p, 200, None, [(0, f"T{p}", "", [], None)]) for p in pages], S.PAGE_SCHEMA)
+    assert S.take_reachable(spark, batch(range(1, 2500)), 0, ledger, walk).count() == 2499
+    rows = S.take_reachable(spark, batch([2500, 2502]), 1, ledger, walk)
+    assert [r.page for r in rows.collect()] == [2500]
+    scan = [line for line in rows._jdf.queryExecution().toString().split("\n") if "PartitionFilters" in line and "pages#" in line]
+    assert scan and all(">= 2)" in line for line in scan)
+    again = S.take_reachable(spark, batch([2500, 2502]), 1, ledger, walk)  # replayed
+    assert [r.page for r in again.collect()] == [2500]
+    assert sorted(r.page for r in S.take_reachable(spark, batch([2501]), 2, ledger, walk).collect()) == [2501, 2502]
+
+
+def test_catalogue_without_ids_is_refused(spark, tmp_path):
+    import pytest
+
+    from kinora.streaming.feed_append import run_feed_append
+    paths = _paths(tmp_path)
+    with pytest.raises(ValueError):
+        run_feed_append(spark, paths[0], spark.createDataFrame([("x",)], "title string"), *paths[1:])
+
+
+def test_items_and_ratings_land_together(spark, tmp_path):
+    from kinora.sources.commits import SnapshotStore
+    from kinora.streaming.feed_append import land_feed, run_feed_append
+    paths, store = _paths(tmp_path), SnapshotStore(spark, str(tmp_path / "store"))
+    base = spark.createDataFrame([(1, "x", "g")], "movie_id bigint, title string, genres string")
+    store.commit("start", {"movies": base, "ratings": spark.createDataFrame([], "user_id bigint, movie_id bigint, rating double, timestamp bigint")})
+    old = store.snapshot()
+    land_feed(_feed(spark, (1, 2)), paths[0])
+    run_feed_append(spark, paths[0], base, *paths[1:], store=store)
+    now = store.snapshot()
+    assert (old.version, now.version) == (1, 2)
+    assert old.read("movies").count() == 1 and old.read("ratings").count() == 0  # a pinned reader
+    assert now.read("movies").count() == 5 and now.read("ratings").count() == 40
+    assert now.read("ratings").select("timestamp").distinct().count() == 1
+
+
+def test_a_commit_is_whole_and_made_once(spark, tmp_path):
+    import pytest
+
+    from kinora.sources.commits import SnapshotStore
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    one = spark.createDataFrame([(1, "a")], "id bigint, t string")
+    assert store.version() == 0 and store.snapshot().tables() == []
+    with pytest.raises(KeyError):
+        store.snapshot().read("one")
+    assert store.commit("first", {"one": one, "two": one}) == 1
+    assert store.commit("first", {"one": one.unionAll(one)}) == 1  # a replay changes nothing
+    failing = one.select("id", F.raise_error(F.lit("lost")).cast("string").alias("t"))
+    with pytest.raises(Exception, match="lost"):
+        store.commit("second", {"one": one, "two": failing})  # table one was staged already
+    assert store.version() == 1 and store.snapshot().read("one").count() == 1
+    assert store.commit("second", {"one": one, "two": one}) == 2
+    with pytest.raises(ValueError, match="columns"):
+        store.commit("third", {"one": one.select("id")})
+    assert [store.snapshot(v).read("two").count() for v in (1, 2)] == [1, 2]
+    with pytest.raises(ValueError):
+        store.snapshot(9)
