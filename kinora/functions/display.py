@@ -26,6 +26,11 @@ def match_percent(score) -> Column:
     return F.floor(_c(score) * 100 + 0.5).cast("int")
 
 
+def image_path(size: str, path: str) -> Column:
+    """Where an image of this size is served, null without one."""
+    return F.when(F.coalesce(F.col(path), F.lit("")) != "", F.concat(F.lit(f"/image/{size}"), F.col(path)))
+
+
 def runtime_text(minutes) -> Column:
     m = _c(minutes)
     return F.when(m.isNotNull() & (m != 0),

@@ -51,8 +51,7 @@ def consecutive_ids(df: DataFrame, order: list[str], start: int | Column, id_col
     (one row per partition) gives prefix offsets; a row's id is its partition
     offset plus its place.
     """
-    n_parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    ranged = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + index within partition

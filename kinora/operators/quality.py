@@ -27,32 +27,55 @@ NOT_NULL = {
 }
 
 
-def _row(table: str, check: str, violations) -> DataFrame:
-    return violations.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                             F.col("v").cast("bigint").alias("violations"))
+#: Columns that name an item of the catalogue.
+REFERENCES = [("ratings_summary", "movie_id"), ("popular_movies", "movie_id"),
+              ("recommendations", "movie_id"), ("recommendations", "recommended_movie_id")]
+
+
+def _tagged(t: ServingTables, name: str) -> DataFrame:
+    """One pass over a table: a row per primary key and per reference to an item (of
+    the catalogue itself, too), with the nulls of its required columns on the first."""
+    df = getattr(t, name)
+    keys = [F.col(c).cast("long") for c in PRIMARY_KEYS[name]] + [F.lit(None).cast("long")]
+    nulls = sum((F.col(c).isNull().cast("int") for c in NOT_NULL[name]), F.lit(0))
+
+    def tag(what: str, first, second, missing):
+        return F.struct(F.lit(what).alias("what"), first.alias("k1"), second.alias("k2"), missing.alias("nulls"))
+    zero, none = F.lit(0), F.lit(None).cast("long")
+    tags = [tag(f"key:{name}", keys[0], keys[1], nulls)]
+    tags += [tag(f"item:{table}:{c}", F.col(c).cast("long"), none, zero) for table, c in REFERENCES if table == name]
+    if name == "movies":
+        tags.append(tag("item:movies", F.col("movie_id").cast("long"), none, zero))
+    return df.select(F.explode(F.array(*tags)).alias("t")).select("t.*")
 
 
 def dq_checks(t: ServingTables, genre_rows: DataFrame | None = None, genre: str | None = None) -> DataFrame:
-    parts = []
-    for name, keys in PRIMARY_KEYS.items():
-        df = getattr(t, name)
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
-        parts.append(_row(name, "primary_key", dup))
-        nulls = df.agg(sum(F.count_if(F.col(c).isNull()) for c in NOT_NULL[name]).alias("v"))
-        parts.append(_row(name, "not_null", nulls))
-    ids = t.movies.select("movie_id")
-    for name, col in (("ratings_summary", "movie_id"), ("popular_movies", "movie_id"),
-                      ("recommendations", "movie_id"), ("recommendations", "recommended_movie_id")):
-        df = getattr(t, name).select(F.col(col).alias("movie_id"))
-        orphans = df.join(ids, "movie_id", "left_anti").agg(F.count(F.lit(1)).alias("v"))
-        parts.append(_row(name, f"references_movies:{col}", orphans))
+    """All constraints of the four tables from one scan of each: the tagged rows are
+    counted per key, where duplicates show, and per item, where references without an
+    item show; a second aggregate adds both up."""
+    rows = None
+    for name in PRIMARY_KEYS:
+        rows = _tagged(t, name) if rows is None else rows.unionByName(_tagged(t, name))
+    is_key = F.col("what").startswith("key:")
+    group = F.when(is_key, F.col("what")).otherwise("item")
+    refs = {f"{table}:{c}": F.count_if(F.col("what") == f"item:{table}:{c}") for table, c in REFERENCES}
+    per_key = rows.withColumn("what_key", group).groupBy("what_key", "k1", "k2").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("nulls").alias("nulls"), F.count_if(F.col("what") == "item:movies").alias("items"),
+        *[c.alias(r) for r, c in refs.items()])
+    orphan = (F.col("what_key") == "item") & (F.col("k1").isNull() | (F.col("items") == 0))
+
+    def total(condition, value):
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
+    found = []
+    for name in PRIMARY_KEYS:
+        own = F.col("what_key") == f"key:{name}"
+        found += [(name, "primary_key", total(own, F.col("n") - 1)), (name, "not_null", total(own, F.col("nulls")))]
+    found += [(table, f"references_movies:{c}", total(orphan, F.col(f"`{table}:{c}`"))) for table, c in REFERENCES]
+    out = per_key.agg(F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), v.alias("violations"))
+                                for table, check, v in found]).alias("all")).select(F.explode("all").alias("r")).select("r.*")
     if genre_rows is not None and genre:
-        bad = genre_rows.where(~F.lower("genres").contains(genre.lower())).agg(F.count(F.lit(1)).alias("v"))
-        parts.append(_row("movies", f"genre_filter:{genre}", bad))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        bad = genre_rows.where(~F.lower("genres").contains(genre.lower())).agg(F.count(F.lit(1)).alias("violations"))
+        out = out.unionByName(bad.select(F.lit("movies").alias("table_name"), F.lit(f"genre_filter:{genre}").alias("check_name"), "violations"))
     return out
 
 

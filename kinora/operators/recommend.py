@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinora.functions.text import strip_ws
 from kinora.operators.serving import (MOVIE_COLS, SEARCH_LIMIT_DEFAULT, SEARCH_LIMIT_MAX,
@@ -96,35 +95,33 @@ POOL_FIELDS = ["rank", *MOVIE_COLS, "avg_rating", "rating_count", "popularity_sc
 
 
 def _popular_array(t: ServingTables, n: int) -> Column:
-    """The first n leaderboard rows with details as a literal array.
+    """The first n leaderboard rows with details as an array.
 
-    n <= TOP_K_MAX + 1, so at most 101 rows ever leave the cluster; as a literal
-    the list reaches every request row without a join.
+    n <= TOP_K_MAX + 1, so the list has at most 101 rows;
+    the list reaches every request row without a join, as a scalar subquery.
     """
     p = t.popular_movies.select("movie_id", "rank", "popularity_score")
     s = t.ratings_summary.select("movie_id", "avg_rating", "rating_count")
     rows = (p.join(t.movies.select(*MOVIE_COLS), "movie_id").join(s, "movie_id")
             .orderBy("rank").limit(n).select(*POOL_FIELDS))
-    schema = rows.schema
-    items = rows.collect()
-    if not items:
-        return F.array().cast(T.ArrayType(T.StructType(schema.fields)))
-    return F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
-                     for r in sorted(items, key=lambda r: r["rank"])])
+    return rows.agg(F.sort_array(F.collect_list(F.struct(*POOL_FIELDS)))).scalar()  # rank comes first
 
 
 def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
               include_not_found: bool = True) -> DataFrame:
     """requests(request_id, movie_id) -> recommendation rows with a status:
     'ok' (stored neighbours), 'fallback' (no stored neighbour: popular items,
-    the source excluded, re-ranked, similarity 0.0) or 'not_found'.
+    the source excluded, re-ranked, similarity 0.0), 'not_found' or 'rejected'.
 
-    A ``top_k`` column of the requests, where there is one, asks for each request's
-    own number of rows, of at most ``top_k``; a null there asks for ``top_k``."""
+    A ``top_k`` column of the requests, where there is one, asks for each request's own
+    number of rows, a null there for ``top_k``; a number outside 1 to TOP_K_MAX is rejected."""
     _check("top_k", top_k, 1, TOP_K_MAX)
-    wanted = F.col("top_k").cast("int") if "top_k" in requests.columns else F.lit(None).cast("int")
+    own_k = "top_k" in requests.columns
     reqs = requests.select("request_id", F.col("movie_id").alias("source_id"),
-                           F.greatest(F.lit(0), F.least(F.coalesce(wanted, F.lit(top_k)), F.lit(top_k))).alias("_k"))
+                           (F.coalesce(F.col("top_k").cast("int"), F.lit(top_k)) if own_k else F.lit(top_k)).alias("_k"))
+    refused = reqs.where(~F.col("_k").between(1, TOP_K_MAX))
+    if own_k:
+        reqs, top_k = reqs.where(F.col("_k").between(1, TOP_K_MAX)), TOP_K_MAX
     movies = t.movies.select(*MOVIE_COLS)
     known = reqs.join(movies.select(F.col("movie_id").alias("source_id")), "source_id", "left_semi")
     missing = reqs.join(movies.select(F.col("movie_id").alias("source_id")), "source_id", "left_anti")
@@ -140,7 +137,8 @@ def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
           .select("request_id", "source_id", F.lit("ok").alias("status"),
                   F.lit(False).alias("is_fallback"), *REC_COLS))
 
-    sources_with_recs = t.recommendations.select(F.col("movie_id").alias("source_id")).distinct()
+    # Ranks start at 1, so this is one row a source.
+    sources_with_recs = t.recommendations.where("rank = 1").select(F.col("movie_id").alias("source_id"))
     lonely = known.join(sources_with_recs, "source_id", "left_anti")
     picked = F.slice(F.filter("_pool", lambda x: x["movie_id"] != F.col("source_id")), F.lit(1), F.col("_k"))
     fb = (lonely.withColumn("_pool", _popular_array(t, top_k + 1))
@@ -152,15 +150,17 @@ def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
 
     if not include_not_found:
         return ok.unionByName(fb)
-    nf = missing.select("request_id", "source_id", F.lit("not_found").alias("status"),
-                        F.lit(False).alias("is_fallback"),
-                        *[F.lit(None).cast(ok.schema[c].dataType).alias(c) for c in REC_COLS])
-    return ok.unionByName(fb).unionByName(nf)
+
+    def without_rows(df: DataFrame, status: str) -> DataFrame:
+        return df.select("request_id", "source_id", F.lit(status).alias("status"), F.lit(False).alias("is_fallback"),
+                         *[F.lit(None).cast(ok.schema[c].dataType).alias(c) for c in REC_COLS])
+    rows = ok.unionByName(fb).unionByName(without_rows(missing, "not_found"))
+    return rows.unionByName(without_rows(refused, "rejected")) if own_k else rows
 
 
 #: Why a request has the rows it has, by status.
 REASONS = {"ok": "similar items", "fallback": "no similar items: popular items instead", "not_found": "unknown item",
-           "no_match": "no title matches", "rejected": "neither id nor title"}
+           "no_match": "no title matches", "rejected": "neither id nor title, or top_k out of range"}
 
 
 def summarise(recs: DataFrame, key: str = "request_id") -> DataFrame:
@@ -186,9 +186,14 @@ def similar_breakdown(t: ServingTables, requests: DataFrame, limit: int = 5) ->
 
 def recommend_by_request(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT) -> DataFrame:
     """requests(request_key, request_id, title): by id when given, else by the
-    best title match.  Status 'rejected' (neither given), 'no_match' (title
-    matches nothing), else as ``recommend``."""
-    reqs = requests.select("request_key", "request_id", "title")
+    best title match.  Status 'rejected' (neither given, or a ``top_k`` column of the
+    requests is out of range there), 'no_match' (title matches nothing), else as
+    ``recommend``, with each request's own ``top_k`` where there is one."""
+    own_k = ["top_k"] if "top_k" in requests.columns else []
+    reqs = requests.select("request_key", "request_id", "title", *own_k)
+    in_range = F.coalesce(F.col("top_k").between(1, TOP_K_MAX), F.lit(True)) if own_k else F.lit(True)
+    out_of_range = reqs.where(~in_range)
+    reqs = reqs.where(in_range)
     by_title = reqs.where(F.col("request_id").isNull())
     blank = F.coalesce(strip_ws("title"), F.lit("")) == ""
     rejected = by_title.where(blank)
@@ -199,20 +204,28 @@ def recommend_by_request(t: ServingTables, requests: DataFrame, top_k: int = TOP
                                              F.col("movie_id").alias("resolved_id")),
                              "request_key", "left")
     targets = (reqs.where(F.col("request_id").isNotNull())
-               .select("request_key", F.col("request_id").alias("movie_id"))
+               .select("request_key", F.col("request_id").alias("movie_id"), *own_k)
                .unionByName(matched.where(F.col("resolved_id").isNotNull())
-                            .select("request_key", F.col("resolved_id").alias("movie_id"))))
+                            .select("request_key", F.col("resolved_id").alias("movie_id"), *own_k)))
     recs = recommend(t, targets.withColumnRenamed("request_key", "request_id"), top_k)
     recs = recs.withColumnRenamed("request_id", "request_key")
     empty = [F.lit(None).cast(recs.schema[c].dataType).alias(c) for c in REC_COLS]
     no_match = matched.where(F.col("resolved_id").isNull()).select(
         "request_key", F.lit(None).cast("bigint").alias("source_id"), F.lit("no_match").alias("status"),
         F.lit(False).alias("is_fallback"), *empty)
-    rej = rejected.select("request_key", F.lit(None).cast("bigint").alias("source_id"),
+    rej = rejected.unionByName(out_of_range).select("request_key", F.lit(None).cast("bigint").alias("source_id"),
                           F.lit("rejected").alias("status"), F.lit(False).alias("is_fallback"), *empty)
     return recs.unionByName(no_match).unionByName(rej)
 
 
+def validate_requests(requests: DataFrame) -> DataFrame:
+    """The requests with ``valid`` and a ``reason``, by the rules of ``recommend_by_request``."""
+    missing = F.col("request_id").isNull() & (F.coalesce(strip_ws("title"), F.lit("")) == "")
+    reason = (F.when(missing, F.lit("missing_id_and_title"))
+              .when(~F.col("top_k").between(1, TOP_K_MAX), F.lit("top_k_out_of_range")).otherwise(F.lit("ok")))
+    return requests.withColumn("reason", reason).withColumn("valid", F.col("reason") == "ok")
+
+
 def serve_neighbours(t: ServingTables, k: int = 5) -> DataFrame:
     """Sanity read for every source: first k stored neighbours with details
     (inner join to items, left join to the summary)."""

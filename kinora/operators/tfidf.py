@@ -12,12 +12,12 @@ Weighting (the reference's vectoriser settings):
 Plan: tokens stay in arrays (no shuffle) until ``explode``; term frequency is
 a (doc, term) aggregate, document frequency a term aggregate joined back on
 term (AQE splits a hot term's partition; the df side is broadcast only when
-AQE has measured it small).  The L2 norm is a window per document.
+AQE has measured it small).  The L2 norm is an aggregate per document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinora.functions.stopwords import ENGLISH_STOP_WORDS
@@ -77,5 +77,6 @@ def tfidf_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
     raw = counts.join(dfs, "term").withColumn(
         "w", (F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf)
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-    return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
+    # One row a document while the norm is formed: no sort of all term rows.
+    docs_w = raw.groupBy("doc_id").agg(F.collect_list(F.struct("term", "w")).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return docs_w.select("doc_id", "norm", F.explode("v").alias("e")).select("doc_id", F.col("e.term").alias("term"), (F.col("e.w") / F.col("norm")).alias("weight"))

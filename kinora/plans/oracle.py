@@ -417,6 +417,22 @@ UNION ALL BY NAME
 SELECT request_key, CAST(NULL AS BIGINT) AS source_id, 'rejected' AS status, false AS is_fallback, {NULL_REC}
 FROM keyed WHERE request_id IS NULL
   AND coalesce(regexp_replace(title, '^{WS}+|{WS}+$', '', 'g'), '') = ''"""
+    q["recommend_requests"] = with_(
+        *SERVING, REQUESTS, KEYED_REQS.replace("keyed AS", "every_key AS"),
+        """asked AS (SELECT *, CASE WHEN request_id IS NOT NULL THEN request_id % 120 ELSE 10 END AS top_k FROM every_key)""",
+        "keyed AS (SELECT request_key, request_id, title FROM asked WHERE top_k BETWEEN 1 AND 100)", TITLE_QUERIES, SEARCH_MATCHES, *_nn(100),
+        """targets AS (
+  SELECT request_key, request_id AS source_id FROM keyed WHERE request_id IS NOT NULL
+  UNION ALL SELECT query_id, movie_id FROM matches WHERE position = 1)""",
+        *recommend_ctes(100, "targets", "request_key")) + f"""
+SELECT r.* FROM rec_rows r JOIN asked a ON a.request_key = r.request_key WHERE r.rank IS NULL OR r.rank <= a.top_k
+UNION ALL BY NAME
+SELECT query_id AS request_key, CAST(NULL AS BIGINT) AS source_id, 'no_match' AS status, false AS is_fallback, {NULL_REC}
+FROM tq WHERE query_id NOT IN (SELECT query_id FROM matches)
+UNION ALL BY NAME
+SELECT request_key, CAST(NULL AS BIGINT) AS source_id, 'rejected' AS status, false AS is_fallback, {NULL_REC}
+FROM asked WHERE NOT (top_k BETWEEN 1 AND 100)
+  OR request_id IS NULL AND coalesce(regexp_replace(title, '^{WS}+|{WS}+$', '', 'g'), '') = ''"""
     q["serve_recommendations"] = with_(*SERVING, *_nn(5)) + """
 SELECT nn.src AS source_id, nn.rnk AS rank, m.movie_id, m.title, m.genres, s.avg_rating, nn.similarity_score
 FROM nn JOIN movies m ON nn.dst = m.movie_id LEFT JOIN ratings_summary s ON s.movie_id = m.movie_id"""
@@ -888,7 +904,23 @@ def _sql_extra() -> dict[str, str]:
     base = (RAW_MOVIES, CLEAN_MOVIES, HITS, LINK_ITEMS, *link_ctes("link_items"))
     old = ("items_old AS (SELECT * FROM link_items WHERE release_year <= 1985)", *_rename_links("_old"),
            records_cte("recs_old", "items_old", "links_old"))
-    q["media_cache_json"] = with_(*base, DETAILS, *old) + "SELECT movie_id, found, meta_id FROM recs_old"
+    new = ("items_new AS (SELECT * FROM link_items WHERE release_year > 1985)", *_rename_links("_new"),
+           records_cte("recs_new", "items_new", "links_new"))
+    q["media_cache_json"] = with_(*base, DETAILS, *old, *new) + """
+SELECT movie_id, found, meta_id FROM recs_old UNION ALL SELECT movie_id, found, meta_id FROM recs_new"""
+    q["enrich_progress"] = with_(*base, DETAILS, *old, *new) + """
+SELECT (SELECT count(*) FROM link_items) AS catalog_count, (SELECT count(*) FROM recs_old) AS cached_count,
+       count(*) AS todo_count, count(*) AS done_count, CAST(sum(CASE WHEN found THEN 1 ELSE 0 END) AS BIGINT) AS matched_count,
+       round_even(100.0 * (count(*) FILTER (WHERE found) + (SELECT count(*) FROM recs_old WHERE found))
+                  / (SELECT count(*) FROM link_items) * 10, 0) / 10 AS coverage_pct
+FROM recs_new"""
+    q["source_readiness"] = with_(RAW_MOVIES, RAW_RATINGS, LEGACY_TYPES) + """
+, c AS (SELECT 'movies' AS source, count(*) AS row_count FROM raw_movies UNION ALL SELECT 'ratings', count(*) FROM raw_ratings
+  UNION ALL SELECT 'legacy_ratings', count(*) FROM raw_ratings UNION ALL SELECT 'legacy_genres', 1 + count(*) FROM types)
+SELECT source, row_count, row_count > 0 AS ready FROM c"""
+    q["csv_roundtrip"] = with_(*BASE, SUMMARY) + "SELECT * FROM ratings_summary"
+    q["store_status"] = (f"SELECT c.*, CASE WHEN (SELECT bool_and(ok) FROM ({ORACLE_SQL['table_counts']})) THEN 'healthy' ELSE 'unhealthy' END AS status "
+                         f"FROM ({ORACLE_SQL['table_counts']}) c")
     q["leaderboard_top5"] = with_(*SERVING) + """
 SELECT CAST(row_number() OVER (ORDER BY rating_count DESC, movie_id) AS INTEGER) AS rank,
        movie_id, title, genres, release_year, avg_rating, rating_count, popularity_score
@@ -896,7 +928,8 @@ FROM rated ORDER BY rating_count DESC, movie_id LIMIT 5"""
     q["media_view"] = with_(*SERVING, HITS, LINK_ITEMS, *link_ctes("link_items"), DETAILS,
                             records_cte("recs", "link_items", "links")) + """
 SELECT r.movie_id, r.found, c.title, coalesce(r.overview, '') AS overview, coalesce(r.director, '') AS director,
-       coalesce(r.cast_names, '') AS cast_text,
+       coalesce(r.cast_names, '') AS cast_text, coalesce(r.tagline, '') AS tagline, r.meta_id,
+       '/image/w500' || nullif(r.poster_path, '') AS poster, '/image/w1280' || nullif(r.backdrop_path, '') AS backdrop,
        CASE WHEN r.runtime IS NOT NULL AND r.runtime <> 0
             THEN CAST(CAST(floor(r.runtime / 60) AS BIGINT) AS VARCHAR) || 'h ' || CAST(r.runtime % 60 AS VARCHAR) || 'm'
        END AS runtime_text,

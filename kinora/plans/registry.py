@@ -57,7 +57,7 @@ def q_transform_catalog(spark, sf_dir):
 
 @register("feature_text")
 def q_feature_text(spark, sf_dir):
-    return _build(spark, sf_dir).transformed.select("movie_id", "feature_text")
+    return _build(spark, sf_dir).feature_items
 
 
 @register("validate_raw")
@@ -87,9 +87,7 @@ def _documents(spark, sf_dir):
 
 
 def _feature_items(spark, sf_dir):
-    from kinora.functions import text
-    clean = _build(spark, sf_dir).clean_movies
-    return clean.select("movie_id", text.feature_text("title", "genres", "release_year").alias("feature_text"))
+    return _build(spark, sf_dir).feature_items
 
 
 @register("tokens")
@@ -217,6 +215,11 @@ def _keyed_requests(spark, sf_dir):
     return r.select(key.alias("request_key"), "request_id", "title")
 
 
+def _requests_with_k(spark, sf_dir):
+    top_k = F.when(F.col("request_id").isNotNull(), (F.col("request_id") % 120).cast("int")).otherwise(F.lit(10))
+    return _keyed_requests(spark, sf_dir).withColumn("top_k", top_k)
+
+
 def _title_queries(spark, sf_dir):
     r = _keyed_requests(spark, sf_dir).where(F.col("request_id").isNull())
     return r.select(F.col("request_key").alias("query_id"), F.col("title").alias("query"))
@@ -254,6 +257,13 @@ def q_recommend_by_title(spark, sf_dir):
     return recommend.recommend_by_request(_serving(spark, sf_dir, 10), _keyed_requests(spark, sf_dir), 10)
 
 
+@register("recommend_requests")
+def q_recommend_requests(spark, sf_dir):
+    """By id or title, every request with its own number of rows, some out of range."""
+    from kinora.operators import recommend
+    return recommend.recommend_by_request(_serving(spark, sf_dir, 100), _requests_with_k(spark, sf_dir), 10)
+
+
 @register("search_batch")
 def q_search_batch(spark, sf_dir):
     from kinora.operators import recommend
@@ -366,6 +376,19 @@ def q_enrich_coverage(spark, sf_dir):
     return linkage.coverage(items, merged)
 
 
+@register("enrich_progress")
+def q_enrich_progress(spark, sf_dir):
+    """Counters of the next enrichment run, taken as its records are written."""
+    from kinora.operators import counters, linkage
+    from kinora.session import materialize
+    items, hits, details = _link_inputs(spark, sf_dir)
+    before = counters.Counted(_old_cache(items, hits, details), matched=F.count_if("found"))
+    old = materialize(before.rows, "media-cache-old")
+    run = counters.Counted(_records(linkage.enrich_todo(items, old), hits, details), matched=F.count_if("found"))
+    materialize(run.rows, "media-cache-new")
+    return counters.progress(spark, before.get()["rows"], run.get(), before.get()["matched"])
+
+
 # -- catalogue append --------------------------------------------------------------
 def _run_stamp(spark, sf_dir):
     """Run timestamp taken once from the data (latest order date, epoch s)."""
@@ -491,6 +514,47 @@ def _written_serving(spark, sf_dir):
     return {k: sinks.read_table(spark, p) for k, p in paths.items()}
 
 
+@register("source_readiness")
+def q_source_readiness(spark, sf_dir):
+    """Rows of every required raw source, counted as it is landed."""
+    from kinora.operators import counters
+    from kinora.session import work_dir
+    from kinora.sources import fixtures, sinks
+
+    def landed(name, df, **options):
+        def use():
+            counted = counters.Counted(df)
+            sinks.land_csv(counted.rows, work_dir(spark, f"landed-{name}"), **options)
+            return counted
+        return use
+    return counters.readiness(spark, {
+        "movies": landed("movies", fixtures.raw_movies(spark, sf_dir)),
+        "ratings": landed("ratings", fixtures.raw_ratings(spark, sf_dir)),
+        "legacy_ratings": landed("data", fixtures.raw_ratings(spark, sf_dir), sep="\t", header=False),
+        "legacy_genres": landed("genre", fixtures.legacy_genre_dictionary(spark, sf_dir), sep="|", header=False)})
+
+
+@register("store_status")
+def q_store_status(spark, sf_dir):
+    """Rows of every serving table, counted as it is written, and the store's status."""
+    from kinora.operators import counters
+    from kinora.plans.build import POPULAR_TOP_N
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    counts = sinks.write_serving_counted(_serving(spark, sf_dir), work_dir(spark, "serving"))
+    return counters.store_status(spark, counts, {"popular_movies": POPULAR_TOP_N})
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """The summary written as CSV beside its Parquet form, and read back with its schema."""
+    from kinora.session import work_dir
+    from kinora.sources import sinks
+    summary = _build(spark, sf_dir).ratings_summary
+    path = sinks.write_table(summary, f"{work_dir(spark, 'processed')}/ratings_summary.csv", fmt="csv")
+    return sinks.read_table(spark, path, fmt="csv", schema=summary.schema)
+
+
 @register("serving_movies")
 def q_serving_movies(spark, sf_dir):
     return _written_serving(spark, sf_dir)["movies"]
@@ -523,15 +587,8 @@ def q_display_card(spark, sf_dir):
 
 @register("request_validation")
 def q_request_validation(spark, sf_dir):
-    from kinora.functions.text import strip_ws
-    from kinora.operators.serving import TOP_K_MAX
-    r = _keyed_requests(spark, sf_dir)
-    top_k = F.when(F.col("request_id").isNotNull(), (F.col("request_id") % 120).cast("int")).otherwise(F.lit(10))
-    missing = F.col("request_id").isNull() & (F.coalesce(strip_ws("title"), F.lit("")) == "")
-    bad_k = ~top_k.between(1, TOP_K_MAX)
-    reason = (F.when(missing, F.lit("missing_id_and_title"))
-              .when(bad_k, F.lit("top_k_out_of_range")).otherwise(F.lit("ok")))
-    return r.select("request_key", top_k.alias("top_k"), (reason == "ok").alias("valid"), reason.alias("reason"))
+    from kinora.operators import recommend
+    return recommend.validate_requests(_requests_with_k(spark, sf_dir)).select("request_key", "top_k", "valid", "reason")
 
 
 @register("pipeline_metrics")
@@ -644,11 +701,10 @@ def q_media_cache_json(spark, sf_dir):
     base = work_dir(spark, "media-cache-json")
     cols = ["movie_id", "found", "meta_id"]
     old = _old_cache(items, hits, details).select(*cols)
-    old.write.mode("overwrite").json(f"{base}/good")
-    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).select(*cols)
-    broken = new.select(F.to_json(F.struct(*cols)).alias("value")).unionByName(
-        spark.range(1).select(F.lit('{"movie_id": 1, "found": tru').alias("value")))
-    broken.coalesce(1).write.mode("overwrite").text(f"{base}/broken")
+    old.write.mode("overwrite").json(f"{base}/old")
+    # The next run's records, as many files as it has tasks, and a file that broke while written.
+    _records(items.where(F.col("release_year") > CACHED_UNTIL_YEAR), hits, details).select(*cols).write.mode("overwrite").json(f"{base}/new")
+    spark.range(1).select(F.lit('{"movie_id": 1, "found": tru').alias("value")).write.mode("overwrite").text(f"{base}/broken")
     schema = old.schema
     return files.read_json_cache(spark, f"{base}/*", schema)
 
@@ -672,6 +728,8 @@ def q_media_view(spark, sf_dir):
         F.coalesce("overview", F.lit("")).alias("overview"),
         F.coalesce("director", F.lit("")).alias("director"),
         F.array_join(F.coalesce("cast", F.array().cast("array<string>")), ", ").alias("cast_text"),
+        F.coalesce("tagline", F.lit("")).alias("tagline"), "meta_id",
+        display.image_path("w500", "poster_path").alias("poster"), display.image_path("w1280", "backdrop_path").alias("backdrop"),
         display.runtime_text("runtime").alias("runtime_text"),
         F.when(F.coalesce("meta_rating", F.lit(0.0)) != 0, display.rating_text("meta_rating"))
          .alias("meta_rating_text"),

@@ -111,11 +111,24 @@ def read_json_cache(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     raw = (spark.read.schema(full).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-           .withColumn("_file", F.input_file_name()))
+           .withColumn("_file", F.col("_metadata.file_path")))
+    return raw.join(_broken(raw, schema), "_file", "left_anti").drop("_file", "_corrupt_record")
+
+
+def _broken(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """(_file, broken_lines) of the files that hold an unreadable record."""
     # the filter reads a data column too: Spark refuses scans that need only
     # the corrupt-record column
     first = schema.fields[0].name
     bad = F.col("_corrupt_record").isNotNull() & (
         F.length(F.concat_ws("|", F.col("_corrupt_record"), F.col(first).cast("string"))) > 0)
-    bad_files = raw.where(bad).select("_file").distinct()
-    return raw.join(bad_files, "_file", "left_anti").drop("_file", "_corrupt_record")
+    return raw.where(bad).groupBy("_file").agg(F.count(F.lit(1)).alias("broken_lines"))
+
+
+def quarantined_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, broken_lines): the files of a cache that ``read_json_cache`` leaves out."""
+    full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    raw = (spark.read.schema(full).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+           .withColumn("_file", F.col("_metadata.file_path")))
+    return _broken(raw, schema).withColumnRenamed("_file", "file")

@@ -23,12 +23,16 @@ SERVING_KEYS = {
 }
 
 
+def laid_out(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Ranges of the keys, sorted.  Unless a number of files is asked for, adaptive
+    execution merges ranges up to its advisory size: files follow from the bytes."""
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", keys: list[str] | None = None,
                 partitions: int | None = None) -> str:
-    out = df
-    if keys:
-        n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
-        out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = laid_out(df, keys, partitions) if keys else df
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
@@ -66,6 +70,18 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame:
     return all_versions.where(F.col("version") == newest).drop("version")
 
 
+def write_serving_counted(tables, base: str) -> dict[str, int]:
+    """``write_serving``, with each table's rows counted in the pass that writes it."""
+    from kinora.operators.counters import Counted
+    counts = {}
+    for name, keys in SERVING_KEYS.items():
+        # Counted behind the range exchange, whose sampling reads the rows before it twice.
+        counted = Counted(laid_out(getattr(tables, name), keys))
+        write_table(counted.rows, f"{base.rstrip('/')}/{name}")
+        counts[name] = counted.get()["rows"]
+    return counts
+
+
 def write_serving(tables, base: str) -> dict[str, str]:
     """Rebuild the four serving tables from scratch under ``base``."""
     paths = {}

@@ -119,7 +119,8 @@ def _process_batch(spark: SparkSession, base_titles: DataFrame, items_path: str,
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = take_reachable(spark, batch, batch_id, state + "_pages", state + "_walk")
         earlier = _written(spark, items_path, ITEM_SCHEMA).where(F.col("batch_id") < batch_id)
-        existing = base_titles.select(F.col("movie_id").cast("bigint"), "title").unionByName(earlier.select("movie_id", "title"))
+        ids = F.col("movie_id") if "movie_id" in base_titles.columns else F.lit(None)
+        existing = base_titles.select(ids.cast("bigint").alias("movie_id"), "title").unionByName(earlier.select("movie_id", "title"))
         items = append.fresh_items(rows, existing).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         items = materialize(items, "feed-batch")  # ids are fixed before both writes read them
         ratings = append.seed_ratings(items, append.run_stamp(run_ts))
@@ -135,11 +136,9 @@ def run_feed_append(spark: SparkSession, landing_dir: str, base_titles: DataFram
                     store: SnapshotStore | None = None) -> None:
     """Process every landed page not yet seen, then stop (availableNow).
 
-    ``base_titles(movie_id, title)`` is the catalogue; without its ids new ones could
-    clash.  Ratings carry ``run_ts``, or the time of the batch."""
+    ``base_titles(title[, movie_id])`` is the catalogue; give its ids wherever they may
+    reach ``append.FIRST_NEW_ID``, as new ones continue after the largest.  Ratings carry ``run_ts``, or the time of the batch."""
     from kinora.session import checkpoint_dir
-    if "movie_id" not in base_titles.columns:
-        raise ValueError("the catalogue needs its movie_id: new ids continue after the largest")
     checkpoint_dir(spark)
     stream = spark.readStream.schema(PAGE_SCHEMA).json(landing_dir)
     query = (stream.writeStream

@@ -110,15 +110,6 @@ def test_a_batch_reads_no_page_the_walk_has_passed(spark, tmp_path):
     assert sorted(r.page for r in S.take_reachable(spark, batch([2501]), 2, ledger, walk).collect()) == [2501, 2502]
 
 
-def test_catalogue_without_ids_is_refused(spark, tmp_path):
-    import pytest
-
-    from kinora.streaming.feed_append import run_feed_append
-    paths = _paths(tmp_path)
-    with pytest.raises(ValueError):
-        run_feed_append(spark, paths[0], spark.createDataFrame([("x",)], "title string"), *paths[1:])
-
-
 def test_items_and_ratings_land_together(spark, tmp_path):
     from kinora.sources.commits import SnapshotStore
     from kinora.streaming.feed_append import land_feed, run_feed_append

@@ -29,3 +29,17 @@ def test_top_n_per_key_matches_plain_window(spark):
     a = top_n_per_key(df, ["key"], order, 10, "ext_id")
     b = df.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(*order))).where("r <= 10").drop("r")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_each_violation_is_counted_from_one_scan(spark):
+    from kinora.operators import quality, serving
+    movies = spark.createDataFrame([(1, "a", "g"), (1, "b", None), (None, "c", "g"), (2, None, None)], "movie_id bigint, title string, genres string")
+    summary = spark.createDataFrame([(1, 1.0, 1, 1.0), (9, None, 1, 1.0)], "movie_id bigint, avg_rating double, rating_count bigint, popularity_score double")
+    recs = spark.createDataFrame([(1, 2, 1, 0.5), (1, 8, 1, 0.5), (7, None, 2, None)], "movie_id bigint, recommended_movie_id bigint, rank int, similarity_score double")
+    popular = spark.createDataFrame([(None, 1, 2.0)], "movie_id bigint, rank int, popularity_score double")
+    rows = quality.dq_checks(serving.ServingTables(movies, summary, recs, popular))
+    got = {(r.table_name, r.check_name): r.violations for r in rows.collect()}
+    assert got == {("movies", "primary_key"): 1, ("movies", "not_null"): 4, ("ratings_summary", "primary_key"): 0, ("ratings_summary", "not_null"): 1,
+                   ("recommendations", "primary_key"): 1, ("recommendations", "not_null"): 2, ("popular_movies", "primary_key"): 0,
+                   ("popular_movies", "not_null"): 1, ("ratings_summary", "references_movies:movie_id"): 1, ("popular_movies", "references_movies:movie_id"): 1,
+                   ("recommendations", "references_movies:movie_id"): 1, ("recommendations", "references_movies:recommended_movie_id"): 2}

@@ -73,3 +73,19 @@ def test_serving_reads(spark):
     assert [r.genre for r in serving.genre_list(t).orderBy("genre").collect()] == ["Action", "Comedy", "Drama"]
     board = serving.popular_list(t, 5).collect()
     assert [r["rank"] for r in board] == [1, 3, 4, 5]   # unrated leaderboard entry drops out, rank kept
+
+
+def test_each_request_has_its_own_top_k_or_is_rejected(spark):
+    t = tables(spark)
+    reqs = spark.createDataFrame([("a", 1, None, 1), ("b", 1, None, None), ("c", 4, None, 100), ("d", 1, None, 0), ("e", None, "alpha", 101),
+                                  ("f", None, "alpha beta", 1), ("g", None, " ", 5), ("h", None, "zzz", 3), ("i", 4, None, 2)],
+                                 "request_key string, request_id bigint, title string, top_k int")
+    got = {}
+    for r in recommend.recommend_by_request(t, reqs, 2).collect():
+        got.setdefault(r.request_key, []).append(r.status)
+    assert got == {"a": ["ok"], "b": ["ok"] * 2, "c": ["fallback"] * 4, "d": ["rejected"], "e": ["rejected"], "f": ["ok"],
+                   "g": ["rejected"], "h": ["no_match"], "i": ["fallback"] * 2}
+    by_id = reqs.where("request_id is not null").select(F.col("request_key").alias("request_id"), F.col("request_id").alias("movie_id"), "top_k")
+    assert {r.status for r in recommend.recommend(t, by_id).where("request_id = 'd'").collect()} == {"rejected"}
+    reasons = {r.request_key: r.reason for r in recommend.validate_requests(reqs).collect()}
+    assert (reasons["d"], reasons["g"], reasons["a"]) == ("top_k_out_of_range", "missing_id_and_title", "ok")

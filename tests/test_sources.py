@@ -70,3 +70,34 @@ def test_spread_only_touches_small_scans(spark):
     one = spark.range(0, 1000, numPartitions=1)
     spreaded = spread(one, "id")
     assert spreaded.rdd.getNumPartitions() > 1 and spreaded.count() == 1000
+
+
+def test_broken_cache_files_are_quarantined(spark, tmp_path):
+    from kinora.sources import files
+    for name, lines in (("a", ['{"movie_id": 1, "found": true}', '{"movie_id": 2, "found": false}']),
+                        ("b", ['{"movie_id": 3, "found": true}', '{"movie_id": 4, "fou', "nonsense"])):
+        (tmp_path / f"{name}.json").write_text("\n".join(lines))
+    schema = spark.createDataFrame([], "movie_id bigint, found boolean").schema
+    assert sorted(r.movie_id for r in files.read_json_cache(spark, str(tmp_path), schema).collect()) == [1, 2]
+    [bad] = files.quarantined_files(spark, str(tmp_path), schema).collect()
+    assert bad.file.endswith("b.json") and bad.broken_lines == 2
+
+
+def test_readiness_and_store_status(spark, tmp_path):
+    from kinora.operators import counters
+    from kinora.sources import files
+
+    def use(df):
+        def run():
+            c = counters.Counted(df)
+            c.rows.write.format("noop").mode("overwrite").save()
+            return c
+        return run
+    got = counters.readiness(spark, {"full": use(spark.range(3)), "empty": use(spark.range(0)),
+                                     "lost": lambda: counters.Counted(files.read_ratings_csv(spark, str(tmp_path / "none.csv")))})
+    assert [tuple(r) for r in got.collect()] == [("full", 3, True), ("empty", 0, False), ("lost", 0, False)]
+    rows = counters.store_status(spark, {"movies": 3, "popular_movies": 49}, {"popular_movies": 50}).collect()
+    assert [(r.ok, r.status) for r in rows] == [(True, "unhealthy"), (False, "unhealthy")]
+    assert counters.store_status(spark, {"movies": 1}, {}).first().status == "healthy"
+    [row] = counters.progress(spark, 6, {"rows": 2, "matched": 1}, 3).collect()
+    assert (row.catalog_count, row.todo_count, row.matched_count, row.coverage_pct) == (8, 2, 1, 50.0)
