@@ -61,7 +61,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Texts that spell an added token are left to the library, which yields its id.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.model = self.tokenizer.model
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.width.itemsize]
@@ -91,6 +93,9 @@ class Encoder:
         """Serialised ids of each text, the end id last."""
         out = []
         for text in texts:
+            if self.added and self.added.search(text):
+                out.append(self.whole(text) + self.end)
+                continue
             first, *rest = text.split(" ")
             try:
                 if "" in rest or not first:

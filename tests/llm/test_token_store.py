@@ -10,14 +10,13 @@ from kinora.session import work_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", None, " ", "a  b", "Hello world,  don't\n stop\t now", " lead and trail ", "naïve café　über  x\x1cy",
-         "word " * 4000, "x" * 30_000, "<|endoftext|> kept as text", "it's we'll I'd 's x's. don't, a.b, (x). 12. 1,2; ñandú! Straße? 東京. ٣. ½, x²; _.",
+         "word " * 4000, "x" * 30_000, "<|endoftext|> kept as text", "a <|endoftext|> b", "x<|endoftext|><|endoftext|> \n y<|endoftext|", "it's we'll I'd 's x's. don't, a.b, (x). 12. 1,2; ñandú! Straße? 東京. ٣. ½, x²; _.",
          "a line\nanother line, here.\nlast\n", "tab\there", "nbsp\u00a0x y", "ĀžƏ Ǆe", "e\u0301x, y", "a  b \n\n c", "a b", "a b"]
 
 
 def plain(texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
@@ -30,7 +29,7 @@ def test_word_cache_gives_the_ids_of_whole_texts():
 def test_words_at_random():
     import random
     rng = random.Random(3)
-    parts = ["the", "The", "é", "'s", "'", ".", ",", "!", "\n", " ", "  ", "1", "²", "½", "x", "ß", "東", "\t", "\u2003", "\x1c", "_", "😀", "’"]
+    parts = ["the", "The", "é", "'s", "'", ".", ",", "!", "\n", " ", "  ", "1", "²", "½", "x", "ß", "東", "\t", "\u2003", "\x1c", "_", "😀", "’", "<|endoftext|>", "<|"]
     texts = ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(4000)]
     encoder = token_store.Encoder(TOKENIZER, 2)
     got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(texts)]
