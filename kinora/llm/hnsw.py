@@ -1,22 +1,27 @@
 """Nearest neighbours by inner product with one small-world graph per shard.
 
-Every distinct usable vector is dealt to a shard by a hash.  A shard's task builds a
-hierarchical navigable small-world graph and keeps it as flat neighbour arrays (one
-int32 matrix per level).  Inner product becomes a distance by one more coordinate,
-``sqrt(M**2 - |x|**2)`` with M the largest norm, which is 0 for a query.  The queries
-are searched in every shard, each shard's best are scored exactly, in double precision
-on the original vectors, and a query's best of all shards are merged.
+Distinct usable vectors are parted by norm, a factor of four a class, and each class is
+dealt to shards by a hash, so the vectors of a shard are of comparable length.  A shard's
+task builds a hierarchical navigable small-world graph and keeps it as flat neighbour
+arrays (one int32 matrix per level).  Vectors in the graph are scaled by the power of two
+above their class and queries to unit length, which changes no order; inner product
+becomes a distance by one more coordinate, ``sqrt(1 - |x|**2)``, which is 0 for a query.
+So neither a few very long vectors nor the scale of all cost the graph its digits.  The
+queries are searched in every shard, each shard's best are scored exactly, in double
+precision on the original vectors, and a query's best of all shards are merged.
 
 Equal vectors share one graph node with their ``k + 1`` smallest ids, all that a search
 for k can return, so a very common vector neither fills a graph nor a result.
 
-The shard count follows the rows (``shard_rows``) and is at least the session's
-parallelism; recall does not fall as shards are added, since every shard is searched.
+The shard count follows the rows (``shard_rows``), the session's parallelism and the
+classes (at most 1,100 of double precision); recall does not fall as shards are added,
+since every shard is searched.
 
 Cases: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part, as queries or candidates; a null vec_id takes none;
 rows that repeat an id with one vector count once; fewer candidates than k give shorter
-lists; an empty table gives no rows; further columns are ignored.
+lists; scores are sums in double precision, which any float column fits (components of
+double columns beyond about 1e150 would overflow them); an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,7 +72,7 @@ class Graph:
                 return at
             d = self._distance(q, near)
             i = int(d.argmin())
-            if d[i] >= best:
+            if not d[i] < best:
                 return at
             at, best = int(near[i]), d[i]
 
@@ -166,6 +171,24 @@ def _zero_is_one(v: Column) -> Column:
     return F.transform(v, lambda x: x + F.lit(0.0))
 
 
+def _exponent(v: Column) -> Column:
+    """Half the binary logarithm of the norm, rounded down: no square over- or underflows."""
+    top = F.array_max(F.transform(v, F.abs))
+    rest = F.aggregate(F.transform(v, lambda x: x / top), F.lit(0.0), lambda a, x: a + x * x)
+    return F.floor((F.log2(top) + F.log2(rest) / 2) / 2).cast("int")
+
+
+def _scaled(x: np.ndarray, exponent: int) -> np.ndarray:
+    """Rows of norm below 1 with the coordinate that makes them unit vectors."""
+    x = np.ldexp(x, -2 * (exponent + 1))
+    return np.column_stack([x, np.sqrt(np.maximum(1 - (x * x).sum(1), 0))]).astype(np.float32)
+
+
+def _unit(q: np.ndarray) -> np.ndarray:
+    q = q / np.abs(q).max()
+    return np.append(q / np.sqrt((q * q).sum()), 0).astype(np.float32)
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = 50_000, links: int = 16, width: int = 80,
             search_width: int = 120) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` candidates of largest inner
@@ -173,17 +196,21 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = 50
     on vec_id."""
     spark = rows.sparkSession
     usable = materialize(_usable(rows).withColumn("v", _zero_is_one(F.col("v"))), "vectors")
-    shape = usable.agg(F.count("v").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
+    # At most one row per class of norms.
+    classes = usable.groupBy(_exponent(F.col("v")).alias("e")).count().orderBy("e").collect()
     schema = "query_id long, vec_id long, score double"
-    if not shape.n:
+    if not classes:
         return spark.createDataFrame([], schema).withColumn("rank", F.lit(1)).select("query_id", "rank", "vec_id", "score")
-    longest = float(np.sqrt(shape.m)) * (1 + 1e-9)
-    shards = max(spark.sparkContext.defaultParallelism, -(-shape.n // shard_rows))
+    n, wide = sum(c["count"] for c in classes), spark.sparkContext.defaultParallelism
+    shares = [max(1, -(-c["count"] // shard_rows), round(wide * c["count"] / n)) for c in classes]
+    shards = sum(shares)
+    dealt = spark.createDataFrame([(c.e, s, sum(shares[:i])) for i, (c, s) in enumerate(zip(classes, shares, strict=True))], "e int, share int, before int")
     # A vector's k + 1 smallest ids; the rank limit is applied before the shuffle too.
     first = Window.partitionBy("v").orderBy("vec_id")
     nodes = (usable.distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
              .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    nodes = nodes.withColumn("e", _exponent(F.col("v"))).join(F.broadcast(dealt), "e").select(
+        "v", "ids", "e", (F.col("before") + F.pmod(F.xxhash64("v"), F.col("share"))).cast("int").alias("shard"))
     asked = materialize(usable.where(is_query).distinct().select("vec_id", "v"), "queries")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,16 +226,18 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = 50
             x = t.column("v").combine_chunks().flatten().to_numpy().reshape(n, -1)
             order = np.lexsort(x.T)  # rows come in any order, the graph must not
             x, ids = np.ascontiguousarray(x[order]), t.column("ids").combine_chunks().take(pa.array(order))
-            extra = np.sqrt(np.maximum(longest ** 2 - (x * x).sum(1), 0))
-            graph = Graph(np.column_stack([x, extra]).astype(np.float32), links, width)
+            exponent = t.column("e")[0].as_py()
+            graph = Graph(_scaled(x, exponent), links, width)
             sizes = np.array([len(i) for i in ids])
             blob = [x.tobytes(), ids.flatten().to_numpy().astype(np.int64).tobytes(), sizes.astype(np.int64).tobytes(),
                     graph.level.tobytes(), *(a.tobytes() for a in graph.near)]
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([n], pa.int64()), pa.array([graph.entry], pa.int64()),
-                                              pa.array([blob], pa.list_(pa.binary()))], ["shard", "n", "entry", "parts"])
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([n], pa.int64()), pa.array([exponent], pa.int32()),
+                                              pa.array([graph.entry], pa.int64()), pa.array([blob], pa.list_(pa.binary()))],
+                                             ["shard", "n", "e", "entry", "parts"])
 
-    index = materialize(nodes.select("shard", "v", "ids").repartition(shards, "shard")
-                        .mapInArrow(build, "shard int, n long, entry long, parts array<binary>"), "hnsw")
+    # A shard a task: none waits behind another one's graph.
+    index = materialize(nodes.select("shard", "v", "ids", "e").repartitionById(shards, "shard")
+                        .mapInArrow(build, "shard int, n long, e int, entry long, parts array<binary>"), "hnsw")
     # Queries in blocks of a bounded size, each against every shard: a stated query set.
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
@@ -218,21 +247,20 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = 50
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                n, entry, parts = (batch.column(c)[i] for c in ("n", "entry", "parts"))
+                n, exponent, entry, parts = (batch.column(c)[i] for c in ("n", "e", "entry", "parts"))
                 blob = [b.as_buffer() for b in parts]
                 x = np.frombuffer(blob[0], np.float64).reshape(n.as_py(), -1)
                 ids, sizes, level = (np.frombuffer(b, np.int64) for b in blob[1:4])
                 starts = np.cumsum(sizes) - sizes
                 graph = Graph(np.zeros((0, x.shape[1] + 1), np.float32), links, width)
-                extra = np.sqrt(np.maximum(longest ** 2 - (x * x).sum(1), 0))
-                graph.x = np.column_stack([x, extra]).astype(np.float32)
+                graph.x = _scaled(x, exponent.as_py())
                 graph.half, graph.seen, graph.level, graph.entry = (graph.x ** 2).sum(1) / 2, np.zeros(len(x), np.int64), level, entry.as_py()
                 graph.near = [np.frombuffer(b, np.int32).reshape(-1, 2 * links if j == 0 else links) for j, b in enumerate(blob[4:])]
                 graph.row = [np.cumsum(level >= j) - 1 for j in range(len(graph.near))]
                 out: list[tuple] = []
                 for query in batch.column("queries")[i].values.to_pylist():
                     q = np.array(query["v"])
-                    found = graph.search(np.append(q, 0).astype(np.float32), k + 1, search_width)
+                    found = graph.search(_unit(q), k + 1, search_width)
                     score = np.repeat(np.array([np.dot(x[f], q) for f in found]), sizes[found])
                     own = np.concatenate([ids[starts[f]:starts[f] + sizes[f]] for f in found])
                     score, own = score[own != query["vec_id"]], own[own != query["vec_id"]]
@@ -241,6 +269,6 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = 50
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
     common.small_batches(spark)
-    found = pairs.select("n", "entry", "parts", "queries").repartition(shards * blocks).mapInArrow(search, schema)
+    found = pairs.select("n", "e", "entry", "parts", "queries").repartition(shards * blocks).mapInArrow(search, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

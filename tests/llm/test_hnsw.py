@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from kinora.llm.hnsw import Graph, nearest
@@ -61,3 +62,30 @@ def test_recall(spark):
 def test_graph_is_deterministic():
     x = np.random.default_rng(3).normal(size=(400, 6)).astype(np.float32)
     assert all((a == b).all() for a, b in zip(Graph(x).near, Graph(x).near, strict=True))
+
+
+@pytest.mark.parametrize(("scale", "longer"), [(1.0, 1e4), (1.0, 3e8), (1e-25, 300.0), (1e20, 1.0), (1e145, 1.0), (1e-140, 1e4)])
+def test_recall_on_uneven_and_extreme_norms(spark, scale, longer):
+    """One vector much longer than the others, at scales whose squares leave double precision."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 8))
+    x *= scale / np.linalg.norm(x, axis=1)[:, None]
+    x[17] *= longer
+    x[18:40] *= 0.01
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, score int")
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 50 == 0, 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = x / scale
+    hits = 0
+    for q in range(0, 1200, 50):
+        score = unit @ unit[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score)[:10].tolist()))
+    assert len(got) == 24 and hits >= 0.9 * 240
+
+
+def test_search_ends_on_distances_that_are_no_numbers():
+    x = np.random.default_rng(6).normal(size=(60, 4)).astype(np.float32)
+    x[7] = np.nan
+    assert len(Graph(x).search(x[0], 5, 20))
