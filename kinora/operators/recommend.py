@@ -5,7 +5,8 @@
   loop join, candidates come from an equi-join on a character n-gram index:
   every lower-cased literal run of the query is a substring of the matching
   title, so each title candidate shares the query's *rarest* gram.  The exact
-  ILIKE predicate then verifies each candidate.
+  ILIKE predicate then verifies each candidate.  The index is a stored serving
+  table (``TitleIndex``), built once per catalogue and read by every search.
 * ``recommend``: stored neighbours per requested item; items with no stored
   neighbour at all get the popularity list (minus the item, re-ranked).  The
   popular list is bounded (top_k + 1 rows) and reaches every request row as a
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 from kinora.functions.text import strip_ws
 from kinora.operators.serving import (MOVIE_COLS, SEARCH_LIMIT_DEFAULT, SEARCH_LIMIT_MAX,
                                       TOP_K_DEFAULT, TOP_K_MAX, ServingTables, _check)
+from kinora.session import materialize
 
 # FIXED VALUES
 GRAM = 3                                  # n-gram size of the title index
 SIMILARITY_METHOD = "TF-IDF N-Gram Vectorization + Cosine Similarity"
 SEGMENT_PER_LIST = 15                     # rows shown per segment
 MATCH_ALL = ""                            # probe gram of a query made of wildcards only
+POSTINGS = 4096                           # titles in a chunk of a gram's postings, about
 
 REC_COLS = ["rank", "movie_id", "title", "genres", "release_year", "avg_rating",
             "rating_count", "popularity_score", "similarity_score"]
@@ -47,6 +50,23 @@ def title_gram_index(movies: DataFrame) -> DataFrame:
     return movies.select("movie_id", F.explode(grams).alias("gram"))
 
 
+class TitleIndex:
+    """The stored index of the title search.
+
+    ``postings`` (gram, chunk, n, ids) holds a gram's titles, files sorted by gram so that
+    a read skips pages of others, in chunks of about ``POSTINGS`` titles at most: no gram,
+    the match-all one included, makes a row that grows with the catalogue.  ``grams``
+    (gram, df: in how many titles it occurs) reads two narrow columns of it.
+    """
+
+    def __init__(self, t: ServingTables, postings: int | None = None):
+        chunks = F.greatest(F.lit(1), t.movies.agg(F.ceil(F.count(F.lit(1)) / (postings or POSTINGS))).scalar())
+        posted = (title_gram_index(t.movies).groupBy("gram", F.pmod(F.xxhash64("movie_id"), chunks).alias("chunk"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.collect_list("movie_id").alias("ids")))
+        self.postings = materialize(posted.sortWithinPartitions("gram", "chunk"), "title-postings")
+        self.grams = self.postings.groupBy("gram").agg(F.sum("n").alias("df"))
+
+
 def _query_grams(q: Column) -> Column:
     """Grams every matching title must contain: grams of each literal run."""
     runs = F.filter(F.split(F.lower(q), "[%_]"), lambda x: x != "")
@@ -62,15 +82,14 @@ def search_batch(t: ServingTables, queries: DataFrame, limit: int = SEARCH_LIMIT
     _check("limit", limit, 1, SEARCH_LIMIT_MAX)
     qs = (queries.select("query_id", strip_ws("query").alias("q"))
           .where(F.col("q") != ""))
-    index = title_gram_index(t.movies)
-    gram_df = index.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    index = t.search_index(TitleIndex)
     probe = (qs.select("query_id", "q", F.explode(_query_grams(F.col("q"))).alias("gram"))
-             .join(gram_df, "gram")   # a gram no title has: the query matches nothing
+             .join(index.grams, "gram")   # a gram no title has: the query matches nothing
              .withColumn("_r", F.row_number().over(
                  Window.partitionBy("query_id").orderBy("df", "gram")))
              .where("_r = 1").select("query_id", "q", "gram"))
     details = t.movies.select(*MOVIE_COLS).join(t.ratings_summary, "movie_id", "left")
-    cands = (probe.join(index, "gram").select("query_id", "q", "movie_id")
+    cands = (probe.join(index.postings, "gram").select("query_id", "q", F.explode("ids").alias("movie_id"))
              .join(details, "movie_id")
              .withColumn("_like", F.replace(F.col("q"), F.lit("\\"), F.lit("\\\\")))  # no escape character
              .where(F.expr("title ILIKE concat('%', _like, '%')")))

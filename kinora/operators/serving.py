@@ -41,6 +41,14 @@ class ServingTables:
     def __init__(self, movies, ratings_summary, recommendations, popular_movies):
         self._src = dict(zip(self.NAMES, (movies, ratings_summary, recommendations, popular_movies)))
 
+        self._search = None
+
+    def search_index(self, build):
+        """The title index: ``build(tables)`` on first use, the stored one afterwards."""
+        if self._search is None:
+            self._search = build(self)
+        return self._search
+
     def _get(self, name: str) -> DataFrame:
         v = self._src[name]
         if callable(v):

@@ -89,3 +89,30 @@ def test_each_request_has_its_own_top_k_or_is_rejected(spark):
     assert {r.status for r in recommend.recommend(t, by_id).where("request_id = 'd'").collect()} == {"rejected"}
     reasons = {r.request_key: r.reason for r in recommend.validate_requests(reqs).collect()}
     assert (reasons["d"], reasons["g"], reasons["a"]) == ("top_k_out_of_range", "missing_id_and_title", "ok")
+
+
+def test_title_index_is_built_once_and_chunks_change_nothing(spark):
+    t = tables(spark)
+    q = spark.createDataFrame([("a", "alpha"), ("b", "%"), ("c", "a (19"), ("d", "zzz")], "query_id string, query string")
+
+    def rows(t):
+        return sorted(map(tuple, recommend.search_batch(t, q, 5).collect()))
+    want = rows(t)
+    index = t.search_index(recommend.TitleIndex)
+    assert rows(t) == want and t.search_index(recommend.TitleIndex) is index
+    small = tables(spark)
+    small.search_index(lambda t: recommend.TitleIndex(t, postings=1))
+    assert rows(small) == want
+    assert small.search_index(None).postings.agg(F.max(F.size("ids"))).first()[0] <= 5
+    df = {r.gram: r.df for r in index.grams.collect()}
+    assert df[recommend.MATCH_ALL] == 5 and df["alp"] == 2
+
+
+def test_entry_without_an_optional_library():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as E; "
+            "from kinora.plans.registry import QUERIES; assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(QUERIES)")
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, timeout=120).returncode == 0
