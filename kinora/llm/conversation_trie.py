@@ -61,6 +61,7 @@ def numbered(conversations: DataFrame) -> DataFrame:
                                                               F.size(F.array_remove(F.split(text, SPACE, -1), "")).cast("long").alias("words"))
     rows = rows.select("conv_id", "turn", F.conv(F.substring("digest", 1, 15), 16, 10).cast("long").alias("k1"),
                        F.conv(F.substring("digest", 16, 15), 16, 10).cast("long").alias("k2"), "words")
+    rows = materialize(rows, "digests")  # the range exchange reads its input twice: not the texts
     order = [F.asc("conv_id"), F.asc_nulls_first("turn"), F.asc("k1"), F.asc("k2")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
