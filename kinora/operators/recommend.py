@@ -10,13 +10,14 @@
 * ``recommend``: stored neighbours per requested item; items with no stored
   neighbour at all get the popularity list (minus the item, re-ranked).  The
   popular list is bounded (top_k + 1 rows) and reaches every request row as a
-  scalar-subquery array - no cross join.
+  literal array - no cross join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinora.functions.text import strip_ws
 from kinora.operators.serving import (MOVIE_COLS, SEARCH_LIMIT_DEFAULT, SEARCH_LIMIT_MAX,
@@ -114,16 +115,22 @@ POOL_FIELDS = ["rank", *MOVIE_COLS, "avg_rating", "rating_count", "popularity_sc
 
 
 def _popular_array(t: ServingTables, n: int) -> Column:
-    """The first n leaderboard rows with details as an array.
+    """The first n leaderboard rows with details as a literal array.
 
-    n <= TOP_K_MAX + 1, so the list has at most 101 rows;
-    the list reaches every request row without a join, as a scalar subquery.
+    n <= TOP_K_MAX + 1, so at most 101 rows ever leave the cluster; as a literal the list
+    reaches every request row without a join.  (As a scalar subquery it breaks the analysis
+    of later joins of the result with the tables it was made from.)
     """
     p = t.popular_movies.select("movie_id", "rank", "popularity_score")
     s = t.ratings_summary.select("movie_id", "avg_rating", "rating_count")
     rows = (p.join(t.movies.select(*MOVIE_COLS), "movie_id").join(s, "movie_id")
             .orderBy("rank").limit(n).select(*POOL_FIELDS))
-    return rows.agg(F.sort_array(F.collect_list(F.struct(*POOL_FIELDS)))).scalar()  # rank comes first
+    schema = rows.schema
+    items = rows.collect()
+    if not items:
+        return F.array().cast(T.ArrayType(T.StructType(schema.fields)))
+    return F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
+                     for r in sorted(items, key=lambda r: r["rank"])])
 
 
 def recommend(t: ServingTables, requests: DataFrame, top_k: int = TOP_K_DEFAULT,
