@@ -26,9 +26,13 @@ def match_percent(score) -> Column:
     return F.floor(_c(score) * 100 + 0.5).cast("int")
 
 
+# FIXED VALUE: where the service hands out images.
+IMAGE_ROUTE = "/api/media/image"
+
+
 def image_path(size: str, path: str) -> Column:
     """Where an image of this size is served, null without one."""
-    return F.when(F.coalesce(F.col(path), F.lit("")) != "", F.concat(F.lit(f"/image/{size}"), F.col(path)))
+    return F.when(F.coalesce(F.col(path), F.lit("")) != "", F.concat(F.lit(f"{IMAGE_ROUTE}/{size}/"), F.ltrim(F.col(path), F.lit("/"))))
 
 
 def runtime_text(minutes) -> Column:

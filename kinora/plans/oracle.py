@@ -929,7 +929,8 @@ FROM rated ORDER BY rating_count DESC, movie_id LIMIT 5"""
                             records_cte("recs", "link_items", "links")) + """
 SELECT r.movie_id, r.found, c.title, coalesce(r.overview, '') AS overview, coalesce(r.director, '') AS director,
        coalesce(r.cast_names, '') AS cast_text, coalesce(r.tagline, '') AS tagline, r.meta_id,
-       '/image/w500' || nullif(r.poster_path, '') AS poster, '/image/w1280' || nullif(r.backdrop_path, '') AS backdrop,
+       '/api/media/image/w500/' || ltrim(nullif(r.poster_path, ''), '/') AS poster_url,
+       '/api/media/image/w1280/' || ltrim(nullif(r.backdrop_path, ''), '/') AS backdrop_url,
        CASE WHEN r.runtime IS NOT NULL AND r.runtime <> 0
             THEN CAST(CAST(floor(r.runtime / 60) AS BIGINT) AS VARCHAR) || 'h ' || CAST(r.runtime % 60 AS VARCHAR) || 'm'
        END AS runtime_text,

@@ -729,7 +729,8 @@ def q_media_view(spark, sf_dir):
         F.coalesce("director", F.lit("")).alias("director"),
         F.array_join(F.coalesce("cast", F.array().cast("array<string>")), ", ").alias("cast_text"),
         F.coalesce("tagline", F.lit("")).alias("tagline"), "meta_id",
-        display.image_path("w500", "poster_path").alias("poster"), display.image_path("w1280", "backdrop_path").alias("backdrop"),
+        display.image_path("w500", "poster_path").alias("poster_url"),
+        display.image_path("w1280", "backdrop_path").alias("backdrop_url"),
         display.runtime_text("runtime").alias("runtime_text"),
         F.when(F.coalesce("meta_rating", F.lit(0.0)) != 0, display.rating_text("meta_rating"))
          .alias("meta_rating_text"),
