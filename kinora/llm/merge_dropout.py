@@ -5,8 +5,9 @@ leftmost first.  Each candidate taken from it is skipped with probability ``drop
 a keyed hash of (seed, doc_id, occurrence, place, piece), where a word's occurrence is its
 number in the document, so the same seed gives the same ids anywhere, another seed other
 segmentations, and every occurrence of a word its own draws.  A worker keeps of each word
-the ids and the candidates taken when none is skipped; an occurrence that skips none of
-these has these ids, any other is segmented afresh, many at once.
+that it has met twice the ids and the candidates taken when none is skipped: the root of a
+tree whose further nodes have those of a skip more.  An occurrence goes down by its own draws
+to the node that skips what it skips; where the tree ends it is segmented afresh, many at once.
 
 What is left of a word is encoded as its pieces, and as byte pieces where a character
 has none, so decoding gives back the text whatever was skipped.  A literal space mark
@@ -38,9 +39,19 @@ from kinora.llm.pieces import MARK, Pieces, words
 MEMO_WORDS = 400_000
 #: Words of more symbols keep their candidates in a heap, shorter ones in a list.
 SHORT = 32
+#: Candidates that a worker keeps, of all its words' trees.
+MEMO_CODES = 6_000_000
 #: Words that are segmented at the same time, and occurrences whose draws are.
 ROWS, DRAWS = 2048, 1 << 16
-_NONE = 1 << 60
+#: Ids that are decoded at the same time; a longer document stands alone.
+DECODED = 1 << 18
+#: Fewer new nodes than this of one depth are not worth making.
+FEW = 48
+#: A node's skips are the bits of one number, so those after that many candidates have no node.
+_BITS = 64
+# Of a place in the trees without a node: not met yet, met once, not to have one.
+_NEW, _MET, _ALONE = -1, -2, -3
+_NONE = (1 << 31) - 1
 # Symbols from here on are characters without a piece.
 _BYTES = 1 << 20
 # A letter with marks after it parts there if no piece joins the two.
@@ -77,18 +88,65 @@ class Grown:
         self.n += len(more)
 
 
+class Pairs:
+    """Ranks of pairs of ids, in a table by hash; a pair stands in the first free slot from its own on."""
+
+    def __init__(self, ranks: dict[int, int]) -> None:
+        keys = np.array(sorted(ranks), np.int64)
+        values = np.array([ranks[k] for k in keys.tolist()], np.int32)
+        bits = max(4, len(keys).bit_length() + 2)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int32)
+        at = self._slot(keys)
+        while len(keys):
+            slot, first = np.unique(at, return_index=True)
+            first = first[self.keys[slot] == -1]
+            self.keys[at[first]], self.ranks[at[first]] = keys[first], values[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values, at = keys[left], values[left], (at[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks, ``_NONE`` where there is no such pair."""
+        keys = ((left.astype(np.int64) << 32) + right).ravel()
+        at = self._slot(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.ranks[at], _NONE).astype(np.int32)
+        go = np.flatnonzero((there != keys) & (there != -1))
+        at = at[go]
+        while len(go):
+            at = at + 1 & self.mask
+            there = self.keys[at]
+            same = there == keys[go]
+            out[go[same]] = self.ranks[at[same]]
+            on = ~same & (there != -1)
+            go, at = go[on], at[on]
+        return out.reshape(left.shape)
+
+
 def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places at, at + 1, ... of each of several ranges, one after another."""
     return np.arange(size.sum()) + np.repeat(at - np.cumsum(size) + size, size)
 
 
 class Words(dict):
-    """Numbers of words, and their parts' texts, ids and candidates.  A word that parts
-    further has a negative number, of its row in ``several``."""
+    """Numbers of words, and their parts' texts and trees.  A word that parts further has
+    a negative number, of its row in ``several``.
+
+    A node has the ids and candidates of a part under some skips; a slot stands for a
+    part's root, or for the node that skips one of a node's candidates more."""
 
     def __init__(self, split) -> None:
-        self.split, self.parts, self.several, self.done = split, [], [], 0
-        self.ids, self.codes, self.at = Grown(np.uint16), Grown(np.uint32), {k: Grown(np.int64) for k in ("size", "ids", "n_ids", "codes", "n_codes")}
+        self.split, self.parts, self.several = split, [], []
+        self.flat, self.n_flat = Grown(np.int64), Grown(np.int64)  # of several
+        self.ids, self.codes = Grown(np.uint16), Grown(np.uint32)
+        self.size, self.root = Grown(np.int64), Grown(np.int64)  # of parts: characters, slot
+        self.node, self.owner = Grown(np.int32), Grown(np.int32)  # of slots: node, and node it is of or -1 - part
+        self.at = {k: Grown(np.int64) for k in ("ids", "n_ids", "codes", "n_codes", "slots", "begin", "part")}  # of nodes
+        self.skips = Grown(np.uint64)
         self.chars = 0
 
     def __missing__(self, word: str) -> int:
@@ -107,15 +165,54 @@ class Words(dict):
         self[word] = number
         return number
 
-    def add(self, ids: np.ndarray, n_ids: np.ndarray, codes: np.ndarray, n_codes: np.ndarray) -> None:
-        """What the next parts in order have."""
+    def parted(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers with those of the words that words part into, and how many each has become."""
+        more = self.several[self.n_flat.n:]
+        self.flat.extend(np.fromiter(itertools.chain.from_iterable(more), np.int64))
+        self.n_flat.extend(np.fromiter(map(len, more), np.int64, len(more)))
+        n = np.ones(len(numbers), np.int64)
+        wide = np.flatnonzero(numbers < 0)
+        size = self.n_flat.data[:self.n_flat.n]
+        which = -1 - numbers[wide]
+        n[wide] = size[which]
+        out = np.repeat(numbers, n)
+        first = (np.cumsum(n) - n)[wide]
+        out[_spread(first, n[wide])] = self.flat.data[_spread((np.cumsum(size) - size)[which], n[wide])]
+        return out, n
+
+    def plant(self) -> None:
+        """A slot for each part that has none."""
+        parts = np.arange(self.root.n, len(self.parts))
+        self.root.extend(self.node.n + parts - parts[:1].sum())
+        self.size.extend(np.fromiter(map(len, self.parts[len(self.parts) - len(parts):]), np.int64, len(parts)))
+        self.node.extend(np.full(len(parts), _NEW, np.int32))
+        self.owner.extend((-1 - parts).astype(np.int32))
+
+    def meaning(self, slots: np.ndarray):
+        """(part, skips, first candidate not drawn for yet) of each slot's node."""
+        owner = self.owner.data[slots].astype(np.int64)
+        root, up = owner < 0, np.maximum(owner, 0)
+        step = np.where(root, 0, slots - self.at["slots"].data[up])
+        part = np.where(root, -1 - owner, self.at["part"].data[up])
+        skips = np.where(root, np.uint64(0), self.skips.data[up] | np.uint64(1) << step.astype(np.uint64))
+        return part, skips, np.where(root, 0, step + 1)
+
+    def add(self, slots: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, codes: np.ndarray, n_codes: np.ndarray) -> None:
+        """The nodes of slots."""
+        part, skips, begin = self.meaning(slots)
+        first = self.at["ids"].n
+        self.node.data[slots] = np.arange(first, first + len(slots))
         for name, flat, n in (("ids", ids, n_ids), ("codes", codes, n_codes)):
             store = getattr(self, name)
             self.at[name].extend(store.n + np.cumsum(n) - n)
             self.at["n_" + name].extend(n)
             store.extend(flat)
-        self.at["size"].extend(np.fromiter(map(len, self.parts[self.done:]), np.int64, len(n_ids)))
-        self.done += len(n_ids)
+        self.at["slots"].extend(self.node.n + np.cumsum(n_codes) - n_codes)
+        self.at["begin"].extend(begin)
+        self.at["part"].extend(part)
+        self.skips.extend(skips)
+        self.node.extend(np.where(_spread(np.zeros(len(n_codes), np.int64), n_codes) < _BITS, _NEW, _ALONE).astype(np.int32))
+        self.owner.extend(np.repeat(np.arange(first, first + len(slots), dtype=np.int32), n_codes))
 
 
 class Codec:
@@ -135,8 +232,7 @@ class Codec:
             if len(piece) == 1 and ord(piece) < 1 << 16:
                 self.single[ord(piece)] = i
         pairs = {(self.ids[p[:i]] << 32) + self.ids[p[i:]]: r for p, r in self.rank.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids}
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.pair_rank = np.array([pairs[k] for k in self.pairs.tolist()], np.int64)
+        self.pairs = Pairs(pairs)
         self.merged = np.array([self.ids[p] for p in best], np.int32)
         self.text = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.pieces.bytes.items()}
 
@@ -230,14 +326,14 @@ class Codec:
         raw = ids.astype("<u2").tobytes()
         return [raw[a:b] for a, b in itertools.pairwise(cut)]
 
-    def _segmented(self, own: np.ndarray, parts: Sequence[str], bound: int):
+    def _segmented(self, own: np.ndarray, parts: Sequence[str], bound: int, skips: np.ndarray | None = None):
         """(ids, their number a part, candidates taken, their number a part) under the parts'
-        keys.  ``ROWS`` parts of like length take their next candidate at the same time, as
+        keys, or with the candidates skipped that ``skips`` has bits for.  ``ROWS`` parts of like length take their next candidate at the same time, as
         ``_merged`` does for one; longer ones than ``SHORT`` do so alone, without candidates."""
         size = np.fromiter(map(len, parts), np.int64, len(parts))
         order = np.argsort(size, kind="stable")
         short = int(np.searchsorted(size[order], SHORT, "right"))
-        found = [self._rows(own[rows], [parts[i] for i in rows.tolist()], size[rows], bound)
+        found = [self._rows(own[rows] if skips is None else skips[rows], [parts[i] for i in rows.tolist()], size[rows], bound, skips is not None)
                  for rows in (order[a:min(a + ROWS, short)] for a in range(0, short, ROWS))]
         for i in order[short:].tolist():
             ids = np.frombuffer(self._ids(self._merged(self._symbols(parts[i]), int(own[i]), bound)), "<u2")
@@ -248,7 +344,7 @@ class Codec:
         back = np.argsort(order)
         return ids[_spread((np.cumsum(n) - n)[back], n[back])], n[back], codes[_spread((np.cumsum(m) - m)[back], m[back])], m[back]
 
-    def _rows(self, own: np.ndarray, parts: Sequence[str], size: np.ndarray, bound: int):
+    def _rows(self, own: np.ndarray, parts: Sequence[str], size: np.ndarray, bound: int, fixed: bool = False):
         points = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
         row = np.repeat(np.arange(len(parts)), size)
         single = self.single[np.minimum(points, 1 << 16)]
@@ -265,11 +361,8 @@ class Codec:
         columns = np.arange(symbols.shape[1])
         taken: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def rank(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-            key = (left.astype(np.int64) << 32) + right
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.pair_rank[at], _NONE)
-        ranks = np.full(symbols.shape, _NONE, np.int64)
+        rank = self.pairs.get
+        ranks = np.full(symbols.shape, _NONE, np.int32)
         ranks[:, :-1] = rank(symbols[:, :-1], symbols[:, 1:])
         while len(rows):
             i = ranks.argmin(axis=1)  # the leftmost of the best
@@ -284,8 +377,9 @@ class Codec:
             code = place[r, i].astype(np.uint32) << np.uint32(16) | best.astype(np.uint32)
             taken.append((rows, code))
             m = r
-            if bound:
-                skip = _skipped(own, code, bound)
+            if bound or fixed:
+                step = len(taken) - 1  # all rows have taken as many
+                skip = _skipped(own, code, bound) if not fixed else own >> np.uint64(step) & np.uint64(1) > 0 if step < _BITS else np.zeros(len(rows), bool)
                 ranks[r[skip], i[skip]] = _NONE
                 m, i, best = r[~skip], i[~skip], best[~skip]
                 if not len(m):
@@ -310,50 +404,74 @@ class Codec:
 
     def encode_many(self, ids: list, texts: list[str]) -> list[bytes]:
         """Serialised 16-bit ids of whole texts."""
-        if len(self.memo) > self.memo_words or self.memo.chars > 64 * MEMO_WORDS:
-            self.memo = Words(self._split)
+        flat, n = self.encoded(ids, texts)
+        raw, cut = flat.astype("<u2").tobytes(), np.concatenate([[0], np.cumsum(n) * 2]).tolist()
+        return [raw[a:b] for a, b in itertools.pairwise(cut)]
+
+    def encoded(self, ids: list, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number a text) of whole texts."""
         memo = self.memo
-        numbers = [np.array(list(map(memo.__getitem__, words(t))), np.int64) for t in texts]
-        if memo.several:
-            numbers = [self._parted(n) for n in numbers]
-        if memo.done < len(memo.parts):
-            todo = [p if len(p) <= SHORT or not self.bound else "" for p in memo.parts[memo.done:]]  # long ones wait for a key
-            memo.add(*self._segmented(np.zeros(len(todo), np.uint64), todo, 0))
+        if len(memo) > self.memo_words or memo.chars > 64 * MEMO_WORDS or memo.codes.n > MEMO_CODES:
+            memo = self.memo = Words(self._split)
+        numbers = [list(map(memo.__getitem__, words(t))) for t in texts]
         size = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        every = np.concatenate([np.zeros(0, np.int64), *numbers])
-        flat, n = [], np.zeros(len(every), np.int64)
+        every = np.fromiter(itertools.chain.from_iterable(numbers), np.int64, int(size.sum()))
+        if memo.several:
+            every, n = memo.parted(every)
+            size = np.diff(np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(size)])])
+        memo.plant()
+        flat, n = [np.zeros(0, np.uint16)], np.zeros(len(every), np.int64)
         draw = np.fromiter((int.from_bytes(self._hash(i), "little") for i in ids), np.uint64, len(ids))
         own = common.mix(np.repeat(draw, size) + _spread(np.zeros(len(size), np.int64), size).astype(np.uint64) * np.uint64(common.MULT))
         for a in range(0, len(every), DRAWS):
             found, n[a:a + DRAWS] = self._drawn(every[a:a + DRAWS], own[a:a + DRAWS])
             flat.append(found)
-        raw = b"".join([x.astype("<u2").tobytes() for x in flat])
-        cut = np.concatenate([[0], np.cumsum(n) * 2])[np.concatenate([[0], np.cumsum(size)])].tolist()
-        return [raw[a:b] for a, b in itertools.pairwise(cut)]
-
-    def _parted(self, numbers: np.ndarray) -> np.ndarray:
-        """Numbers of words with those of the words they part into."""
-        if not (numbers < 0).any():
-            return numbers
-        several = self.memo.several
-        return np.array([*itertools.chain.from_iterable([i] if i >= 0 else several[-1 - i] for i in numbers.tolist())], np.int64)
+        return np.concatenate(flat), np.diff(np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(size)])])
 
     def _drawn(self, numbers: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, their number an occurrence) of words under their occurrences' keys."""
         memo = self.memo
-        get = lambda k: memo.at[k].data[numbers]
-        at, n = get("ids"), get("n_ids")
-        if not self.bound:
-            return memo.ids.data[_spread(at, n)], n
-        m = get("n_codes")
-        word = np.repeat(np.arange(len(numbers)), m)
-        fresh = get("size") > SHORT
-        fresh[word[_skipped(own[word], memo.codes.data[_spread(get("codes"), m)], self.bound)]] = True
-        again = np.flatnonzero(fresh)
+        at, n = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        long = memo.size.data[numbers] > SHORT if self.bound else np.zeros(len(numbers), bool)
+        alone = [np.flatnonzero(long)]
+        rows = np.flatnonzero(~long)  # occurrences on their way, and the slots they are at
+        slots = memo.root.data[numbers[rows]]
+        while len(rows):
+            bare = np.flatnonzero(memo.node.data[slots] < 0)
+            if len(bare):
+                self._grow(slots[bare])
+            node = memo.node.data[slots].astype(np.int64)
+            found = node >= 0
+            alone.append(rows[~found])
+            rows, node = rows[found], node[found]
+            get = lambda k: memo.at[k].data[node]  # noqa: E731, B023
+            at[rows], n[rows] = get("ids"), get("n_ids")
+            if not self.bound:
+                break
+            begin = get("begin")
+            left = get("n_codes") - begin
+            which = np.repeat(np.arange(len(rows)), left)
+            place = _spread(begin, left)
+            skip = np.flatnonzero(_skipped(own[rows[which]], memo.codes.data[np.repeat(get("codes"), left) + place], self.bound))
+            which, first = np.unique(which[skip], return_index=True)
+            slots = get("slots")[which] + place[skip[first]]
+            rows = rows[which]
+        again = np.concatenate(alone)
         ids, size, _, _ = self._segmented(own[again], [memo.parts[i] for i in numbers[again].tolist()], self.bound)
         at[again], n[again] = memo.ids.n + np.cumsum(size) - size, size
         return np.concatenate([memo.ids.data[:memo.ids.n], ids])[_spread(at, n)], n
 
+    def _grow(self, slots: np.ndarray) -> None:
+        """Nodes for the slots that are met a second time; without dropout for all."""
+        memo = self.memo
+        slots, count = np.unique(slots, return_counts=True)
+        state = memo.node.data[slots]
+        make = slots[(state == _MET) | (state == _NEW) & ((count > 1) | (self.bound == 0))]
+        memo.node.data[slots[state == _NEW]] = _MET
+        if len(make) >= FEW or not self.bound:
+            part, skips, _ = memo.meaning(make)
+            memo.add(make, *self._segmented(np.zeros(len(make), np.uint64), [memo.parts[i] for i in part.tolist()], 0, skips))
+
     def encode(self, doc_id, text: str) -> bytes:
         return self.encode_many([doc_id], [text])[0]
 
@@ -361,6 +479,42 @@ class Codec:
         """The text of a sequence of ids, without the mark before it."""
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
+    @functools.cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all ids, where an id's begin, their number); an unknown id has -1."""
+        top = max(self.text) + 1
+        size = np.full(top, -1, np.int64)
+        for i, t in self.text.items():
+            size[i] = len(t)
+        n = np.maximum(size, 0)
+        return np.frombuffer(b"".join(self.text[i] for i in sorted(self.text)), np.uint8), np.cumsum(n) - n, size
+
+    def decode_many(self, lists: pa.Array) -> pa.Array:
+        """What ``decode`` gives for each list of ids, null for a null one."""
+        data, at, size = self._bytes
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        each = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        plain = not len(ids) or (ids.dtype.kind in "iu" and int(ids.min()) >= 0 and int(ids.max()) < len(size) and int(size[ids].min()) >= 0)
+        if plain:
+            n = size[ids]
+            raw = data[_spread(at[ids], n)]
+            cut = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(each)])]
+            some = np.flatnonzero(each > 0)
+            plain = len(raw) < 1 << 31 and bool((raw[cut[some]] == 0x20).all()) if len(some) else True
+        if plain:
+            keep = np.ones(len(raw) if len(ids) else 0, bool)
+            keep[cut[some]] = False
+            text = raw[keep] if len(ids) else np.zeros(0, np.uint8)
+            offsets = (cut - np.concatenate([[0], np.cumsum(each > 0)])).astype(np.int32)
+            valid = lists.is_valid()
+            mask = None if lists.null_count == 0 else pa.array(valid).buffers()[1]
+            made = pa.Array.from_buffers(pa.binary(), len(lists), [mask, pa.py_buffer(offsets), pa.py_buffer(text)])
+            try:
+                return made.cast(pa.string())
+            except pa.ArrowInvalid:
+                pass  # bytes that are no text are replaced one by one
+        return pa.array([None if not x.is_valid else self.decode(x.values.to_numpy().tolist()) for x in lists], pa.string())
+
 
 @functools.lru_cache(maxsize=2)
 def codec_of(path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> Codec:
@@ -380,10 +534,10 @@ def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, col
                 _, offsets = common.utf8(batch.column(name("text")))
                 for a, b in common.runs(offsets):
                     part = batch.slice(a, b - a)
-                    texts = part.column(name("text")).to_pylist()
-                    every = codec.encode_many(part.column(name("doc_id")).to_pylist(), [t or "" for t in texts])
-                    found = [None if t is None else np.frombuffer(e, "<u2").astype(np.int32) for t, e in zip(texts, every, strict=True)]
-                    yield common.with_columns(part, pa.array(found, pa.list_(pa.int32())))
+                    texts = part.column(name("text"))
+                    found, n = codec.encoded(part.column(name("doc_id")).to_pylist(), [t or "" for t in texts.to_pylist()])
+                    cut = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                    yield common.with_columns(part, pa.ListArray.from_arrays(cut, pa.array(found.astype(np.int32)), mask=texts.is_null()))
         return run
     return common.extended(docs, made, **{column: "array<int>"})
 
@@ -396,7 +550,9 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
             common.claim("merge_dropout", codec_of.cache_clear)
             codec = codec_of(model, 0, 0.0)
             for batch in batches:
-                texts = [None if not x.is_valid else codec.decode(x.values.to_numpy().tolist()) for x in batch.column(name(ids))]
-                yield common.with_columns(batch, pa.array(texts, pa.string()))
+                size = np.nan_to_num(batch.column(name(ids)).value_lengths().to_numpy(zero_copy_only=False))
+                for a, b in common.runs(np.concatenate([[0], np.cumsum(size)]), DECODED):
+                    part = batch.slice(a, b - a)
+                    yield common.with_columns(part, codec.decode_many(part.column(name(ids))))
         return run
     return common.extended(rows, made, **{column: "string"})

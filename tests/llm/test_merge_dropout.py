@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 from kinora.llm import merge_dropout as M
@@ -97,6 +98,51 @@ def test_what_a_worker_keeps_does_not_matter():
     assert [one.decode(np.frombuffer(e, "<u2").tolist()) for e in every] == [t for _, t in texts]
 
 
+def test_a_tree_gives_what_each_occurrence_alone_gives(monkeypatch):
+    """Nodes for every skip met, or for none, against one codec that never keeps any."""
+    rng = random.Random(13)
+    vocabulary = ["".join(rng.choices("abetionsrhd東", k=rng.randint(1, 40))) for _ in range(25)] + ["a.b", "line\nend", "mark!!"]
+    texts = [" ".join(rng.choices(vocabulary, k=400)) for _ in range(30)]
+    every = []
+    for few in (1, 1 << 30):
+        monkeypatch.setattr(M, "FEW", few)
+        codec = M.Codec(MODEL, 5, 0.3)
+        every.append([e for i in range(0, 30, 7) for e in codec.encode_many(list(range(i, min(i + 7, 30))), texts[i:i + 7])])
+        nodes = codec.memo.at["part"]
+        if few == 1:
+            skips = codec.memo.skips.data[:codec.memo.skips.n]
+            assert nodes.n > 500 and max(bin(x).count("1") for x in skips.tolist()) > 3
+            for node in rng.sample(range(nodes.n), 200):  # a node's skips are among its candidates
+                assert int(skips[node]).bit_length() <= codec.memo.at["n_codes"].data[node]
+        else:
+            assert nodes.n == 0
+    monkeypatch.setattr(M, "DRAWS", 97)
+    assert every[0] == every[1] == [M.Codec(MODEL, 5, 0.3, 4).encode(i, t) for i, t in enumerate(texts)]
+    assert [codec.decode(np.frombuffer(e, "<u2").tolist()) for e in every[0]] == texts
+
+
+def test_pairs_of_a_full_table():
+    rng = np.random.default_rng(3)
+    ranks = {int(a) << 32 | int(b): i for i, (a, b) in enumerate(zip(rng.integers(0, 40, 900), rng.integers(0, 40, 900), strict=True))}
+    table = M.Pairs(ranks)
+    left, right = np.meshgrid(np.arange(-1, 45, dtype=np.int32), np.arange(-1, 45, dtype=np.int32))
+    want = [[ranks.get((int(a) << 32) + int(b), M._NONE) for a, b in zip(x, y, strict=True)] for x, y in zip(left, right, strict=True)]
+    assert table.get(left, right).tolist() == want
+
+
+def test_lists_are_decoded_like_one():
+    codec = M.Codec(MODEL, 1, 0.5)
+    some = [None if t is None else np.frombuffer(codec.encode(i, t), "<u2").tolist() for i, t, _ in ROWS]
+    lists = pa.array([*some, []], pa.list_(pa.int32()))
+    want = [None if x is None else codec.decode(x) for x in lists.to_pylist()]
+    assert codec.decode_many(lists).to_pylist() == want
+    assert codec.decode_many(lists.slice(3, 50)).to_pylist() == want[3:53]
+    assert codec.decode_many(lists[:0]).to_pylist() == []
+    assert codec.decode_many(pa.array([None, []], pa.list_(pa.int32()))).to_pylist() == [None, ""]
+    odd = [[codec.pieces.bytes[0xE6]], [codec.ids["a"]], [codec.ids[MARK], codec.pieces.bytes[0xFF], codec.ids["a"]]]  # no texts
+    assert codec.decode_many(pa.array(odd, pa.list_(pa.int32()))).to_pylist() == [codec.decode(x) for x in odd]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert M.decode(M.encode(docs, MODEL), MODEL, column="back").collect() == []
