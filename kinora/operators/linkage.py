@@ -66,20 +66,31 @@ def search_results(hits: DataFrame, with_year: bool) -> DataFrame:
     return top_n_per_key(idx, ["key"], order, HITS_PER_QUERY, "ext_id").select("key", "ext_id")
 
 
-def link_items(items: DataFrame, hits: DataFrame) -> DataFrame:
-    """items(movie_id, title, release_year) -> (movie_id, ext_id, score, pass)
-    for items with an accepted hit."""
+def named(items: DataFrame) -> DataFrame:
+    """(movie_id, title, year, candidates) of items(movie_id, title, release_year)."""
     parsed = text.parse_title("title")
-    base = items.select(
+    return items.select(
         "movie_id", "title",
         F.coalesce(F.when(F.col("release_year") != 0, F.col("release_year")), parsed["year"]).alias("year"),
         parsed["candidates"].alias("candidates"))
-    cands = base.select("movie_id", "year", "candidates",
-                        F.posexplode("candidates").alias("cpos", "cand"))
-    cands = cands.withColumn("key", text.link_key("cand")).where("key <> ''")
+
+
+def searches(items: DataFrame) -> DataFrame:
+    """One row per search name of an item, with its place among them and its key."""
+    cands = named(items).select("movie_id", "title", "year", "candidates",
+                                F.posexplode("candidates").alias("cpos", "cand"))
+    return cands.withColumn("key", text.link_key("cand")).where("key <> ''")
+
+
+def link_items(items: DataFrame, hits: DataFrame, results: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """items(movie_id, title, release_year) -> (movie_id, ext_id, score, pass)
+    for items with an accepted hit.  ``results`` are the search results with and without
+    the year where they are stored."""
+    base, cands = named(items), searches(items)
+    dated, free = results or (search_results(hits, True), search_results(hits, False))
 
     pool1 = (cands.where(F.col("year").isNotNull())
-             .join(search_results(hits, True), ["key", "year"])
+             .join(dated, ["key", "year"])
              .select("movie_id", "ext_id").distinct())
     scored1 = _score(pool1, base, hits)
     best1 = _best(scored1)
@@ -88,7 +99,7 @@ def link_items(items: DataFrame, hits: DataFrame) -> DataFrame:
     pending = base.join(accepted1.select("movie_id"), "movie_id", "left_anti").select("movie_id")
     extra = (cands.where(F.col("cpos") < SECOND_PASS_CANDIDATES)
              .join(pending, "movie_id", "left_semi")
-             .join(search_results(hits, False), "key")
+             .join(free, "key")
              .select("movie_id", "ext_id"))
     pool2 = pool1.join(pending, "movie_id", "left_semi").unionByName(extra).distinct()
     best2 = _best(_score(pool2, base, hits))

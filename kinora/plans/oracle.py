@@ -635,6 +635,7 @@ SELECT movie_id, pyear AS parsed_year, CAST(len(candidates) AS INTEGER) AS n_can
 FROM parsed"""
     base = (RAW_MOVIES, CLEAN_MOVIES, HITS, LINK_ITEMS, *link_ctes("link_items"))
     q["link_external"] = with_(*base) + "SELECT movie_id, ext_id, score, CAST(pass AS INTEGER) AS pass FROM links"
+    q["link_refresh"] = q["link_external"]  # whatever an earlier run knew
     q["enrich_record"] = with_(*base, DETAILS, records_cte("recs", "link_items", "links")) + "SELECT * FROM recs"
     old = (f"items_old AS (SELECT * FROM link_items WHERE release_year <= 1985)", *_rename_links("_old"),
            records_cte("recs_old", "items_old", "links_old"))

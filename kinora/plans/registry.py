@@ -315,20 +315,51 @@ def q_parse_title(spark, sf_dir):
 def _link_inputs(spark, sf_dir):
     from kinora.sources import external
     items = _build(spark, sf_dir).clean_movies.select("movie_id", "title", "release_year")
-    return items, external.hits(spark, sf_dir), external.details(spark, sf_dir)
+    hits = external.hits(spark, sf_dir)
+    return items, _links(spark, sf_dir, items, hits), hits, external.details(spark, sf_dir)
+
+
+_LINK_STORES: dict[tuple[str, str], str] = {}
+
+
+def _links(spark, sf_dir, items, hits):
+    """The stored links of the catalogue at ``sf_dir``, linked by the application's first
+    query that needs them."""
+    from kinora.operators.link_store import LinkStore
+    from kinora.session import work_dir
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _LINK_STORES:
+        base = work_dir(spark, "links")
+        LinkStore(spark, base).refresh("catalogue", items, hits)
+        _LINK_STORES[at] = base
+    return LinkStore(spark, _LINK_STORES[at]).links()
 
 
 @register("link_external")
 def q_link_external(spark, sf_dir):
-    from kinora.operators import linkage
-    items, hits, _ = _link_inputs(spark, sf_dir)
-    return linkage.link_items(items, hits).select("movie_id", "ext_id", "score",
-                                                   F.col("pass").cast("int").alias("pass"))
+    return _link_inputs(spark, sf_dir)[1].select("movie_id", "ext_id", "score", "pass")
+
+
+@register("link_refresh")
+def q_link_refresh(spark, sf_dir):
+    """Links after a second run: the first one knew the older items and the older hits."""
+    from kinora.functions import text
+    from kinora.operators.link_store import LinkStore
+    from kinora.session import work_dir
+    from kinora.sources import external
+    items = _build(spark, sf_dir).clean_movies.select("movie_id", "title", "release_year")
+    hits = external.hits(spark, sf_dir)
+    store = LinkStore(spark, work_dir(spark, "links-refreshed"))
+    store.refresh("first", items.where(F.col("release_year") <= CACHED_UNTIL_YEAR),
+                  hits.where(text.year_from_date("release_date") <= CACHED_UNTIL_YEAR))
+    store.refresh("second", items, hits)
+    return store.links(items).select("movie_id", "ext_id", "score", "pass")
 
 
-def _records(items, hits, details):
+def _records(items, links, hits, details):
     from kinora.operators import linkage
-    return linkage.enrich_records(items, linkage.link_items(items, hits), hits, details)
+    own = links.join(items.select("movie_id"), "movie_id", "left_semi")
+    return linkage.enrich_records(items, own, hits, details)
 
 
 def _flat_records(df):
@@ -337,28 +368,28 @@ def _flat_records(df):
 
 @register("enrich_record")
 def q_enrich_record(spark, sf_dir):
-    items, hits, details = _link_inputs(spark, sf_dir)
-    return _flat_records(_records(items, hits, details))
+    items, links, hits, details = _link_inputs(spark, sf_dir)
+    return _flat_records(_records(items, links, hits, details))
 
 
-def _old_cache(items, hits, details):
+def _old_cache(items, links, hits, details):
     old_items = items.where(F.col("release_year") <= CACHED_UNTIL_YEAR)
-    return _records(old_items, hits, details)
+    return _records(old_items, links, hits, details)
 
 
 @register("enrich_todo")
 def q_enrich_todo(spark, sf_dir):
     from kinora.operators import linkage
-    items, hits, details = _link_inputs(spark, sf_dir)
-    return linkage.enrich_todo(items, _old_cache(items, hits, details)).select("movie_id", "title")
+    items, links, hits, details = _link_inputs(spark, sf_dir)
+    return linkage.enrich_todo(items, _old_cache(items, links, hits, details)).select("movie_id", "title")
 
 
 @register("cache_upsert")
 def q_cache_upsert(spark, sf_dir):
     from kinora.operators import linkage
-    items, hits, details = _link_inputs(spark, sf_dir)
-    old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
-    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
+    items, links, hits, details = _link_inputs(spark, sf_dir)
+    old = _old_cache(items, links, hits, details).withColumn("source", F.lit("old"))
+    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), links, hits, details).withColumn(
         "source", F.lit("new"))
     return linkage.cache_upsert(old, new).select("movie_id", "found", "meta_id", "source")
 
@@ -367,12 +398,12 @@ def q_cache_upsert(spark, sf_dir):
 def q_enrich_coverage(spark, sf_dir):
     from kinora.operators import linkage
     from kinora.session import materialize
-    items, hits, details = _link_inputs(spark, sf_dir)
+    items, links, hits, details = _link_inputs(spark, sf_dir)
     # The earlier run's cache is a stored table: write it to the shared folder
     # instead of re-deriving it inside this plan.
-    old = materialize(_old_cache(items, hits, details), "media-cache-old")
+    old = materialize(_old_cache(items, links, hits, details), "media-cache-old")
     todo = linkage.enrich_todo(items, old)
-    merged = linkage.cache_upsert(old, _records(todo, hits, details))
+    merged = linkage.cache_upsert(old, _records(todo, links, hits, details))
     return linkage.coverage(items, merged)
 
 
@@ -381,10 +412,10 @@ def q_enrich_progress(spark, sf_dir):
     """Counters of the next enrichment run, taken as its records are written."""
     from kinora.operators import counters, linkage
     from kinora.session import materialize
-    items, hits, details = _link_inputs(spark, sf_dir)
-    before = counters.Counted(_old_cache(items, hits, details), matched=F.count_if("found"))
+    items, links, hits, details = _link_inputs(spark, sf_dir)
+    before = counters.Counted(_old_cache(items, links, hits, details), matched=F.count_if("found"))
     old = materialize(before.rows, "media-cache-old")
-    run = counters.Counted(_records(linkage.enrich_todo(items, old), hits, details), matched=F.count_if("found"))
+    run = counters.Counted(_records(linkage.enrich_todo(items, old), links, hits, details), matched=F.count_if("found"))
     materialize(run.rows, "media-cache-new")
     return counters.progress(spark, before.get()["rows"], run.get(), before.get()["matched"])
 
@@ -661,12 +692,12 @@ def q_cache_versioned(spark, sf_dir):
     from kinora.operators import linkage
     from kinora.session import work_dir
     from kinora.sources import sinks
-    items, hits, details = _link_inputs(spark, sf_dir)
+    items, links, hits, details = _link_inputs(spark, sf_dir)
     base = work_dir(spark, "media-cache")
-    old = _old_cache(items, hits, details).withColumn("source", F.lit("old"))
+    old = _old_cache(items, links, hits, details).withColumn("source", F.lit("old"))
     sinks.write_version(old.select("movie_id", "found", "meta_id", "source"), base, 1)
     current = sinks.read_latest(spark, base)
-    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), hits, details).withColumn(
+    new = _records(items.where(F.col("release_year") >= NEW_FROM_YEAR), links, hits, details).withColumn(
         "source", F.lit("new")).select("movie_id", "found", "meta_id", "source")
     # the merged version is written next to the one being read, never over it
     sinks.write_version(linkage.cache_upsert(current, new), base, 2)
@@ -697,13 +728,13 @@ def q_sql_on_parquet_path(spark, sf_dir):
 def q_media_cache_json(spark, sf_dir):
     from kinora.session import work_dir
     from kinora.sources import files
-    items, hits, details = _link_inputs(spark, sf_dir)
+    items, links, hits, details = _link_inputs(spark, sf_dir)
     base = work_dir(spark, "media-cache-json")
     cols = ["movie_id", "found", "meta_id"]
-    old = _old_cache(items, hits, details).select(*cols)
+    old = _old_cache(items, links, hits, details).select(*cols)
     old.write.mode("overwrite").json(f"{base}/old")
     # The next run's records, as many files as it has tasks, and a file that broke while written.
-    _records(items.where(F.col("release_year") > CACHED_UNTIL_YEAR), hits, details).select(*cols).write.mode("overwrite").json(f"{base}/new")
+    _records(items.where(F.col("release_year") > CACHED_UNTIL_YEAR), links, hits, details).select(*cols).write.mode("overwrite").json(f"{base}/new")
     spark.range(1).select(F.lit('{"movie_id": 1, "found": tru').alias("value")).write.mode("overwrite").text(f"{base}/broken")
     schema = old.schema
     return files.read_json_cache(spark, f"{base}/*", schema)
@@ -720,8 +751,8 @@ def q_leaderboard_top5(spark, sf_dir):
 def q_media_view(spark, sf_dir):
     from kinora.functions import display
     from kinora.operators import serving
-    items, hits, details = _link_inputs(spark, sf_dir)
-    rec = _records(items, hits, details)
+    items, links, hits, details = _link_inputs(spark, sf_dir)
+    rec = _records(items, links, hits, details)
     view = serving.catalog_view(_serving(spark, sf_dir)).select("movie_id", "title", "rating_count")
     return rec.join(view, "movie_id").select(
         "movie_id", "found", "title",
