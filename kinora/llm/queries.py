@@ -115,6 +115,24 @@ def op4(spark, sf_dir):
     return digest(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+# Two hexadecimal digits a byte: a string of 50 bytes is one of 100 digits.
+SQL["op4_suffix_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+least AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT r, i FROM w JOIN least USING (s) WHERE least.first < w.doc_id),
+edge AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, true) AS opens FROM hit),
+run AS (SELECT r, i, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS n FROM edge),
+span AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY r, n),
+bound AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM span),
+kept AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head FROM bound JOIN d USING (r) GROUP BY r)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
 # Base32 of a digest: four letters for each five hexadecimal digits.
 SQL["op8_warc_archive"] = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),

@@ -107,3 +107,19 @@ def test_intervals_of_the_transform(seed):
             least[t[p:p + L]] = min(d, least.get(t[p:p + L], 99))
     for t, m in zip(texts, S.least_documents(texts, docs), strict=True):
         assert m.tolist() == [least[t[p:p + L]] for p in range(len(t) - L + 1)]
+
+
+def test_the_statement_gives_the_same(spark):
+    import duckdb
+
+    from kinora.llm.queries import SQL
+    rng = random.Random(21)
+    parts = ["é" * 40, "x" * 60, "passage of more than fifty bytes that documents share, all of it ", "b", "東京" * 9, "0123456789" * 5]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 6)))) for i in range(40)] + [(7, "x" * 61), (7, None), (3, "x" * 61), (41, ""), (None, "é" * 40), (None, "of no other document " * 5)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = con.execute(SQL["op4_suffix_dedup"])
+    names = [c[0] for c in cursor.description]
+    got = S.digest(S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))).select(*names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(cursor.fetchall(), key=str)
