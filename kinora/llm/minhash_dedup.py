@@ -43,6 +43,8 @@ from kinora.session import materialize
 
 #: Shingles that one task links at once (8 bytes each, several copies in memory).
 GROUP_SHINGLES = 2_000_000
+#: Table keys that one task makes and counts, and the most tasks.
+TASK_KEYS, MOST_TASKS = 1 << 20, 100_000
 #: Probability that two documents of the least similarity asked for meet in no table.
 MISS = 1.5e-4
 #: Bundles a side beyond which shorter bundles are taken, and the fewest.
@@ -93,9 +95,13 @@ def signatures(docs: DataFrame, tables_per_side: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>")
 
 
-def _ties(classes: DataFrame) -> DataFrame:
-    """(a, b): each member of a table bucket with the bucket's smallest document."""
-    keys = (classes.where("doc_id = rep and n_shingles > 0").select("rep", F.posexplode("a").alias("i", "x"), "b")
+def _ties(classes: DataFrame, tables: int) -> DataFrame:
+    """(a, b): each member of a table bucket with the bucket's smallest document.  The
+    bundles are dealt before they become ``tables`` keys a document, so that a task counts
+    ``TASK_KEYS`` however few files the classes are in."""
+    reps = classes.where("doc_id = rep and n_shingles > 0").select("rep", "a", "b")
+    tasks = min(MOST_TASKS, max(1, -(-reps.count() * tables // TASK_KEYS)))
+    keys = (reps.repartition(tasks, "rep").select("rep", F.posexplode("a").alias("i", "x"), "b")
             .select("rep", "i", "x", F.posexplode("b").alias("j", "y")).select("rep", F.xxhash64("i", "j", "x", "y").alias("key")))
     shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").drop("last")
     return keys.join(shared, "key").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
@@ -203,7 +209,7 @@ def near_duplicates(docs: DataFrame, least: int = 85, tables_per_side: int | Non
         "rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id"))).select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"), "h1", "h2",
         F.when(F.col("doc_id") == F.col("rep"), F.col("a")).alias("a"), F.when(F.col("doc_id") == F.col("rep"), F.col("b")).alias("b")), "classes")
-    groups = connected_components(_ties(classes))
+    groups = connected_components(_ties(classes, tables_per_side ** 2))
     own = classes.where("doc_id = rep").groupBy(F.col("rep").alias("node")).agg(F.sum("n_shingles").alias("n"))
     members = groups.join(own, "node")
     weight = members.groupBy("component").agg(F.ceil(F.sum("n") / group_shingles * 2).cast("int").alias("blocks"))
