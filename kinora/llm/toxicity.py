@@ -37,6 +37,8 @@ from kinora.llm import common
 
 ORDER = 12
 DISCOUNT = 0.75
+#: Text that is looked up at once; its n-grams take some hundred bytes a letter.
+RUN_BYTES = 1 << 18
 #: Strongest words of a document that count beside the whole.
 TOP = 2
 _LOW = common._LOWER.copy()
@@ -63,10 +65,10 @@ def word_bytes(data: np.ndarray, offsets: np.ndarray):
     return starts, lengths, np.searchsorted(offsets, starts, "right") - 1, hashes
 
 
-def ngram_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+def ngram_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, shorter: bool = True):
     """For every byte of the given words, and for the word's end: the word's number, the
-    hash of the longest n-gram that ends there, of its context, and of both without the
-    first byte.  A space stands before and after a word."""
+    hash of the longest n-gram that ends there, of its context, and, if ``shorter``, of both
+    without the first byte.  A space stands before and after a word."""
     size = lengths + 1
     word = np.repeat(np.arange(len(starts)), size)
     first = np.cumsum(size) - size
@@ -82,10 +84,14 @@ def ngram_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
     for back in range(ORDER):
         value = flat[np.maximum(slot - back, 0)] * np.uint64(pow(common.MULT, back + 1, 1 << 64))
         whole += np.where(back <= depth, value, 0)
-        farthest = np.where(back == depth, value, farthest)
+        if shorter:
+            farthest = np.where(back == depth, value, farthest)
     own = flat[slot] * np.uint64(common.MULT)
     n = depth.astype(np.uint64)
-    return (word, common.mix(whole + n), common.mix(whole - own + n + np.uint64(100)), common.mix(whole - farthest + n + np.uint64(200)),
+    keys = word, common.mix(whole + n), common.mix(whole - own + n + np.uint64(100))
+    if not shorter:
+        return keys
+    return (*keys, common.mix(whole - farthest + n + np.uint64(200)),
             common.mix(whole - farthest - own + n + np.uint64(300)))
 
 
@@ -123,7 +129,7 @@ class Model:
         if not len(starts) or not len(self.keys):
             return out
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        word, key, context, _, _ = ngram_keys(data, starts[first], lengths[first])
+        word, key, context = ngram_keys(data, starts[first], lengths[first], shorter=False)
         # Sorted queries walk the sorted tables in order.
         order = np.argsort(key)
         key, context = key[order], context[order]
@@ -227,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches):
+        for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             e = sent.value.evidence(data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(a, b - a), pa.array(e[:, 0]), pa.array(e[:, 1])], ["toxic", "whole", "top"])
     seen = _texts(docs, _sample(held, per_class)).select("toxic", "text").mapInArrow(run, "toxic int, whole double, top double").toArrow()
@@ -249,7 +255,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, a, b, data, offsets in common.each_run(batches, name("text")):
+            for batch, a, b, data, offsets in common.each_run(batches, name("text"), RUN_BYTES):
                 yield common.with_columns(batch.slice(a, b - a), pa.array(sent.value.score(sent.value.evidence(data, offsets))))
         return run
     return common.extended(docs, made, **{column: "double"})
