@@ -40,7 +40,7 @@ MEMO_WORDS = 400_000
 #: Words of more symbols keep their candidates in a heap, shorter ones in a list.
 SHORT = 32
 #: Candidates that a worker keeps, of all its words' trees.
-MEMO_CODES = 6_000_000
+MEMO_CODES = 4_000_000
 #: Words that are segmented at the same time, and occurrences whose draws are.
 ROWS, DRAWS = 2048, 1 << 16
 #: Ids that are decoded at the same time; a longer document stands alone.
@@ -215,10 +215,56 @@ class Words(dict):
         self.owner.extend(np.repeat(np.arange(first, first + len(slots), dtype=np.int32), n_codes))
 
 
-class Codec:
-    def __init__(self, path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> None:
+class Decoder:
+    def __init__(self, path: str) -> None:
         self.pieces = Pieces(path)
         self.ids = self.pieces.ids
+        self.text = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.pieces.bytes.items()}
+
+    def decode(self, ids) -> str:
+        """The text of a sequence of ids, without the mark before it."""
+        return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
+
+    @functools.cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all ids, where an id's begin, their number); an unknown id has -1."""
+        top = max(self.text) + 1
+        size = np.full(top, -1, np.int64)
+        for i, t in self.text.items():
+            size[i] = len(t)
+        n = np.maximum(size, 0)
+        return np.frombuffer(b"".join(self.text[i] for i in sorted(self.text)), np.uint8), np.cumsum(n) - n, size
+
+    def decode_many(self, lists: pa.Array) -> pa.Array:
+        """What ``decode`` gives for each list of ids, null for a null one."""
+        data, at, size = self._bytes
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        each = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        plain = not len(ids) or (ids.dtype.kind in "iu" and int(ids.min()) >= 0 and int(ids.max()) < len(size) and int(size[ids].min()) >= 0)
+        if plain:
+            n = size[ids]
+            raw = data[_spread(at[ids], n)]
+            cut = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(each)])]
+            some = np.flatnonzero(each > 0)
+            plain = len(raw) < 1 << 31 and bool((raw[cut[some]] == 0x20).all()) if len(some) else True
+        if plain:
+            keep = np.ones(len(raw) if len(ids) else 0, bool)
+            keep[cut[some]] = False
+            text = raw[keep] if len(ids) else np.zeros(0, np.uint8)
+            offsets = (cut - np.concatenate([[0], np.cumsum(each > 0)])).astype(np.int32)
+            valid = lists.is_valid()
+            mask = None if lists.null_count == 0 else pa.array(valid).buffers()[1]
+            made = pa.Array.from_buffers(pa.binary(), len(lists), [mask, pa.py_buffer(offsets), pa.py_buffer(text)])
+            try:
+                return made.cast(pa.string())
+            except pa.ArrowInvalid:
+                pass  # bytes that are no text are replaced one by one
+        return pa.array([None if not x.is_valid else self.decode(x.values.to_numpy().tolist()) for x in lists], pa.string())
+
+
+class Codec(Decoder):
+    def __init__(self, path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> None:
+        super().__init__(path)
         best = sorted(self.ids, key=lambda p: (-self.pieces.scores[p], self.ids[p]))
         self.rank = {p: r for r, p in enumerate(best)}
         joined = {m[0][1] for p in self.ids for m in _JOINED.finditer(p)}
@@ -234,7 +280,6 @@ class Codec:
         pairs = {(self.ids[p[:i]] << 32) + self.ids[p[i:]]: r for p, r in self.rank.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids}
         self.pairs = Pairs(pairs)
         self.merged = np.array([self.ids[p] for p in best], np.int32)
-        self.text = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.pieces.bytes.items()}
 
     def _hash(self, *parts) -> bytes:
         return hashlib.blake2b(repr(parts).encode(), digest_size=8, key=self.key).digest()
@@ -475,46 +520,6 @@ class Codec:
     def encode(self, doc_id, text: str) -> bytes:
         return self.encode_many([doc_id], [text])[0]
 
-    def decode(self, ids) -> str:
-        """The text of a sequence of ids, without the mark before it."""
-        return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
-
-    @functools.cached_property
-    def _bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(bytes of all ids, where an id's begin, their number); an unknown id has -1."""
-        top = max(self.text) + 1
-        size = np.full(top, -1, np.int64)
-        for i, t in self.text.items():
-            size[i] = len(t)
-        n = np.maximum(size, 0)
-        return np.frombuffer(b"".join(self.text[i] for i in sorted(self.text)), np.uint8), np.cumsum(n) - n, size
-
-    def decode_many(self, lists: pa.Array) -> pa.Array:
-        """What ``decode`` gives for each list of ids, null for a null one."""
-        data, at, size = self._bytes
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        each = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-        plain = not len(ids) or (ids.dtype.kind in "iu" and int(ids.min()) >= 0 and int(ids.max()) < len(size) and int(size[ids].min()) >= 0)
-        if plain:
-            n = size[ids]
-            raw = data[_spread(at[ids], n)]
-            cut = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(each)])]
-            some = np.flatnonzero(each > 0)
-            plain = len(raw) < 1 << 31 and bool((raw[cut[some]] == 0x20).all()) if len(some) else True
-        if plain:
-            keep = np.ones(len(raw) if len(ids) else 0, bool)
-            keep[cut[some]] = False
-            text = raw[keep] if len(ids) else np.zeros(0, np.uint8)
-            offsets = (cut - np.concatenate([[0], np.cumsum(each > 0)])).astype(np.int32)
-            valid = lists.is_valid()
-            mask = None if lists.null_count == 0 else pa.array(valid).buffers()[1]
-            made = pa.Array.from_buffers(pa.binary(), len(lists), [mask, pa.py_buffer(offsets), pa.py_buffer(text)])
-            try:
-                return made.cast(pa.string())
-            except pa.ArrowInvalid:
-                pass  # bytes that are no text are replaced one by one
-        return pa.array([None if not x.is_valid else self.decode(x.values.to_numpy().tolist()) for x in lists], pa.string())
-
 
 @functools.lru_cache(maxsize=2)
 def codec_of(path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> Codec:
@@ -522,13 +527,23 @@ def codec_of(path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS)
     return Codec(path, seed, dropout, memo_words)
 
 
+@functools.lru_cache(maxsize=1)
+def decoder_of(path: str) -> Decoder:
+    return Decoder(path)
+
+
+def _forget() -> None:
+    codec_of.cache_clear()
+    decoder_of.cache_clear()
+
+
 def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, column: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text in ``column``."""
     common.small_batches(docs.sparkSession)
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common.claim("merge_dropout", codec_of.cache_clear)
+            common.claim("merge_dropout", _forget)
             codec = codec_of(model, seed, dropout)
             for batch in batches:
                 _, offsets = common.utf8(batch.column(name("text")))
@@ -547,8 +562,8 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common.claim("merge_dropout", codec_of.cache_clear)
-            codec = codec_of(model, 0, 0.0)
+            common.claim("merge_dropout", _forget)
+            codec = decoder_of(model)
             for batch in batches:
                 size = np.nan_to_num(batch.column(name(ids)).value_lengths().to_numpy(zero_copy_only=False))
                 for a, b in common.runs(np.concatenate([[0], np.cumsum(size)]), DECODED):
