@@ -3,18 +3,29 @@
 Each class, toxic and ordinary, has counts of the n-grams (up to ``ORDER`` bytes, word
 start included) that end at each byte of a word.  A byte's probability in a class is
 interpolated Kneser-Ney: the class's discounted count in its longest context, the rest
-from a backoff distribution of continuation counts that both classes share, so that an
-expression that neither or hardly any document shows is judged alike by both.  A word's
-score is the difference of its two log-likelihoods per byte.  A document is described by
-the difference per byte over the whole text and by its few strongest words, again per
-byte; a logistic calibration on labelled documents that the counts did not see turns
-that into a score between 0 and 1.
+from a backoff distribution that both classes share, so that an expression that neither or
+hardly any document shows is judged alike by both.  The shared distribution is Kneser-Ney
+over all shorter orders: each takes the discounted number of distinct bytes that stand
+before an n-gram and leaves the rest to the next shorter order, down to single bytes and
+then to all ``SYMBOLS`` alike.  Where a context was seen by neither class, both fall to the
+same shared distribution, whatever its order, so the byte's difference is exactly zero.
+
+A word's score is the difference of its two log-likelihoods per byte.  A document is
+described by the difference per byte over the whole text and by its few strongest words,
+again per byte; a logistic calibration on labelled documents that the counts did not see
+turns that into a score between 0 and 1.
 
 The models are fitted on a bounded sample of labelled rows: of each class the
-``per_class`` labelled documents of smallest hashed id, whole texts, and another such
-sample for the calibration, weighted to the classes' true shares.  Every n-gram of the
-sample is in the model, whatever its count; the sample bounds what scoring broadcasts.
-Every document is scored on its whole text, from the text alone.
+``per_class`` labelled documents of smallest hashed id, whole texts, as long as those
+before them have fewer than ``class_bytes`` bytes, and another such sample for the
+calibration, weighted to the classes' true shares.  Every n-gram of the sample is in the
+model, whatever its count; the sample bounds, in documents and bytes, what scoring
+broadcasts.  Every document is scored on its whole text, from the text alone.
+
+N-grams are counted and their probabilities worked out by Spark.  All shorter n-grams and
+contexts that an n-gram's probability rests on, but the single bytes, share its byte
+before the last; so the counts are dealt by that byte, a task works out all orders of its
+n-grams, and only the finished tables reach the driver.
 
 Cases: null and empty texts, or texts without words, score as the calibration puts a
 text of no evidence; repeated rows score alike; without labelled rows of both classes
@@ -30,10 +41,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kinora.llm import common
+from kinora.session import materialize
 
 ORDER = 12
 DISCOUNT = 0.75
@@ -46,6 +60,8 @@ _LOW = common._LOWER.copy()
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOW[~_LETTER] = 0x20
+#: Bytes that an n-gram can hold: lower-case letters, those of longer characters, a space.
+SYMBOLS = len(np.unique(_LOW))
 
 
 def word_bytes(data: np.ndarray, offsets: np.ndarray):
@@ -65,49 +81,65 @@ def word_bytes(data: np.ndarray, offsets: np.ndarray):
     return starts, lengths, np.searchsorted(offsets, starts, "right") - 1, hashes
 
 
-def ngram_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, shorter: bool = True):
+def _placed(starts: np.ndarray, lengths: np.ndarray):
     """For every byte of the given words, and for the word's end: the word's number, the
-    hash of the longest n-gram that ends there, of its context, and, if ``shorter``, of both
-    without the first byte.  A space stands before and after a word."""
+    place in a layout of the words one after another, each after a space, whether it is a
+    letter, its place in the word, and how many bytes before it belong to its n-gram."""
     size = lengths + 1
     word = np.repeat(np.arange(len(starts)), size)
     first = np.cumsum(size) - size
     at = np.arange(size.sum()) - first[word]  # 0 is the first letter, length the end
-    # The words laid out one after another, each after a space, so hashing needs no bounds.
+    return word, np.arange(len(word)) + word + 1, at < lengths[word], at, np.minimum(at + 1, ORDER - 1)
+
+
+def ngram_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """For every byte of the given words, and for the word's end: the word's number, and
+    the hash of the longest n-gram that ends there and of its context.  A space stands
+    before and after a word."""
+    word, slot, letters, at, depth = _placed(starts, lengths)
     flat = np.full(len(word) + len(starts), common.BYTE_VALUE[0x20], np.uint64)
-    slot = np.arange(len(word)) + word + 1  # of each letter or end in the layout
-    letters = at < lengths[word]
     flat[slot[letters]] = common.BYTE_VALUE[_LOW[data[starts[word[letters]] + at[letters]]]]
     whole = np.zeros(len(word), np.uint64)
-    farthest = np.zeros(len(word), np.uint64)
-    depth = np.minimum(at + 1, ORDER - 1)  # of the n-gram's first byte
     for back in range(ORDER):
         value = flat[np.maximum(slot - back, 0)] * np.uint64(pow(common.MULT, back + 1, 1 << 64))
         whole += np.where(back <= depth, value, 0)
-        if shorter:
-            farthest = np.where(back == depth, value, farthest)
-    own = flat[slot] * np.uint64(common.MULT)
+    return (word, *_hashed(whole, flat[slot], depth))
+
+
+def _hashed(whole: np.ndarray, own: np.ndarray, depth: np.ndarray):
+    """Hashes of n-grams and of their contexts from the sum over their bytes and the last one's value."""
     n = depth.astype(np.uint64)
-    keys = word, common.mix(whole + n), common.mix(whole - own + n + np.uint64(100))
-    if not shorter:
-        return keys
-    return (*keys, common.mix(whole - farthest + n + np.uint64(200)),
-            common.mix(whole - farthest - own + n + np.uint64(300)))
+    return common.mix(whole + n), common.mix(whole - own * np.uint64(common.MULT) + n + np.uint64(100))
 
 
-def _count(docs: DataFrame) -> DataFrame:
-    """(key, context, low, low_context, byte, toxic count, ordinary count) of the sample, summed up by Spark."""
-    names = ["key", "context", "low", "low_context"]
+def ngram_bytes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """The n-grams of ``ngram_keys`` themselves: the word's number, their last eight bytes
+    and those before as two whole numbers, zero where there are fewer."""
+    word, slot, letters, at, depth = _placed(starts, lengths)
+    flat = np.full(len(word) + len(starts), 0x20, np.uint64)
+    flat[slot[letters]] = _LOW[data[starts[word[letters]] + at[letters]]]
+    tail, head = np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
+    for back in range(ORDER):
+        into, shift = (tail, 8 * back) if back < 8 else (head, 8 * (back - 8))
+        into |= np.where(back <= depth, flat[np.maximum(slot - back, 0)], 0).astype(np.uint64) << np.uint64(shift)
+    return word, head, tail
 
+
+def _count(docs: DataFrame) -> DataFrame:
+    """(head, tail, toxic count, ordinary count) of each n-gram of the sample, summed up by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches):
+        for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             starts, lengths, doc, _ = word_bytes(data, offsets)
             toxic = batch.column("toxic").to_numpy()[a:b][doc]
-            word, *hashes = ngram_keys(data, starts, lengths)
-            keys, first, group = np.unique(hashes[0], return_index=True, return_inverse=True)
-            counts = [np.bincount(group, weights=(toxic[word] == k), minlength=len(keys)).astype(np.int64) for k in (1, 0)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(h[first].view(np.int64)) for h in hashes], *map(pa.array, counts)], [*names, "t", "o"])
-    return docs.select("text", "toxic").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "t", "o"])).groupBy(*names).agg(
+            word, head, tail = ngram_bytes(data, starts, lengths)
+            order = np.lexsort((tail, head))
+            head, tail = head[order], tail[order]
+            new = np.ones(len(head), bool)
+            new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+            begin, of = np.flatnonzero(new), np.cumsum(new) - 1
+            counts = [np.bincount(of, weights=(toxic[word[order]] == k), minlength=len(begin)).astype(np.int64) for k in (1, 0)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[begin].view(np.int64)) for x in (head, tail)), *map(pa.array, counts)], ["head", "tail", "t", "o"])
+    return docs.select("text", "toxic").mapInArrow(run, "head long, tail long, t long, o long").groupBy("head", "tail").agg(
         F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
@@ -129,7 +161,7 @@ class Model:
         if not len(starts) or not len(self.keys):
             return out
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        word, key, context = ngram_keys(data, starts[first], lengths[first], shorter=False)
+        word, key, context = ngram_keys(data, starts[first], lengths[first])
         # Sorted queries walk the sorted tables in order.
         order = np.argsort(key)
         key, context = key[order], context[order]
@@ -156,33 +188,93 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(evidence @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
-def estimate(key: np.ndarray, context: np.ndarray, low: np.ndarray, low_context: np.ndarray, t: np.ndarray, o: np.ndarray):
-    """Kneser-Ney tables (keys, values, contexts, backoff) from the counts of both classes."""
-    order = np.argsort(key)
-    key, context, low, low_context, t, o = (x[order] for x in (key, context, low, low_context, t, o))
-    contexts, c = np.unique(context, return_inverse=True)
-    m = len(contexts)
-
-    def rest(n: np.ndarray):
-        """Total of each context in a class, and the share that the discount sets free."""
-        total = np.bincount(c, weights=n, minlength=m)
-        free = DISCOUNT * np.bincount(c, weights=n > 0, minlength=m)
-        return total, np.where(total > 0, free / np.maximum(total, 1), 1.0)
-
-    # Shared backoff, without the first byte: how many distinct n-grams of either class
-    # continue a shorter one, against all that continue its context.
-    _, shorter, low = np.unique(low, return_index=True, return_inverse=True)
-    continuations = np.bincount(low).astype(np.float64)
-    _, low_context = np.unique(low_context, return_inverse=True)
-    total = np.bincount(low_context).astype(np.float64)
-    kinds = np.bincount(low_context[shorter], minlength=len(total))
-    share = (np.maximum(continuations[low] - DISCOUNT, 0) + DISCOUNT * kinds[low_context] / 64) / total[low_context]
+def single_bytes(pairs: np.ndarray) -> np.ndarray:
+    """The shared distribution of single bytes, by value, from the distinct pairs of bytes
+    (as ``before * 256 + byte``) that end an n-gram."""
+    n = np.bincount(pairs & 255, minlength=256).astype(np.float64)
+    return (np.maximum(n - DISCOUNT, 0) + DISCOUNT * (n > 0).sum() / SYMBOLS) / n.sum()
+
+
+def estimate(head: np.ndarray, tail: np.ndarray, t: np.ndarray, o: np.ndarray, single: np.ndarray):
+    """Kneser-Ney tables (keys, values, contexts, backoff) from the n-grams that share
+    their byte before the last, with the counts of both classes.
+
+    Strings are numbered from their end: those of m bytes by the number of their last
+    m - 1 and the byte before, and contexts likewise without the last byte."""
+    n = len(head)
+    back = [((tail if i < 8 else head) >> np.uint64(8 * (i % 8))).astype(np.int64) & 255 for i in range(ORDER)]
+    length = sum((b > 0).astype(np.int64) for b in back)
+    lower = single[back[0]]  # of each n-gram's ending, one order longer at every step
+    share, whole_context = lower.copy(), np.zeros(n, np.int64)
+    rows = np.arange(n)  # n-grams of at least m bytes
+    ending, context = back[0], np.zeros(n, np.int64)
+    contexts = 0
+    for m in range(2, ORDER + 1):
+        _, ending = np.unique(ending * 256 + back[m - 1][rows], return_inverse=True)
+        _, context = np.unique(context * 256 + back[m - 1][rows], return_inverse=True)
+        exact = length[rows] == m
+        # Contexts of whole n-grams, numbered over all lengths.
+        _, whole_context[rows[exact]] = np.unique(context[exact], return_inverse=True)
+        whole_context[rows[exact]] += contexts
+        contexts = whole_context[rows[exact]].max(initial=contexts - 1) + 1
+        rows, ending, context = rows[~exact], ending[~exact], context[~exact]
+        if not len(rows):
+            break
+        # How many distinct bytes stand before each string of m bytes.
+        longer = np.unique(ending * 256 + back[m][rows])
+        before = np.bincount(longer >> 8).astype(np.float64)
+        some = np.zeros(len(before), np.int64)
+        some[ending] = context
+        total = np.bincount(some, weights=before)
+        kinds = np.bincount(some, weights=before > 0)
+        lower[rows] = (np.maximum(before[ending] - DISCOUNT, 0) + DISCOUNT * kinds[context] * lower[rows]) / total[context]
+        share[rows] = lower[rows]
     logs = []
-    for n in (t, o):
-        whole, free = rest(n)
-        p = np.where(whole[c] > 0, np.maximum(n - DISCOUNT, 0) / np.maximum(whole[c], 1), 0) + free[c] * share
+    for count in (t, o):
+        total = np.bincount(whole_context, weights=count, minlength=contexts)
+        free = DISCOUNT * np.bincount(whole_context, weights=count > 0, minlength=contexts)
+        free = np.where(total > 0, free / np.maximum(total, 1), 1.0)
+        seen = total[whole_context]
+        p = np.where(seen > 0, np.maximum(count - DISCOUNT, 0) / np.maximum(seen, 1), 0) + free[whole_context] * share
         logs.append((np.log(p), np.log(free)))
-    return key, (logs[0][0] - logs[1][0]).astype(np.float32), contexts, (logs[0][1] - logs[1][1]).astype(np.float32)
+    whole = np.zeros(n, np.uint64)
+    for i, b in enumerate(back):
+        whole += np.where(b > 0, common.BYTE_VALUE[b] * np.uint64(pow(common.MULT, i + 1, 1 << 64)), 0).astype(np.uint64)
+    keys, context_keys = _hashed(whole, common.BYTE_VALUE[back[0]], length - 1)
+    first = np.zeros(contexts, np.int64)
+    first[whole_context] = np.arange(n)
+    return keys, (logs[0][0] - logs[1][0]).astype(np.float32), context_keys[first], (logs[0][1] - logs[1][1]).astype(np.float32)
+
+
+def _tables(counted: DataFrame) -> tuple[np.ndarray, ...]:
+    """Sorted keys with values and sorted contexts with backoffs of all counted n-grams."""
+    spark = counted.sparkSession
+    # At most as many pairs as there are pairs of bytes.
+    pairs = counted.select((F.col("tail").bitwiseAND(0xFFFF)).alias("pair")).distinct().toArrow().column("pair").to_numpy()
+    single = single_bytes(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        head, tail, t, o = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("head", "tail", "t", "o"))
+        del held
+        group = tail >> 8 & 255
+        order = np.argsort(group, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            keys, values, contexts, backoff = estimate(head[own].view(np.uint64), tail[own].view(np.uint64), t[own].astype(np.float64), o[own].astype(np.float64), single)
+            for is_context, hashes, numbers in ((False, keys, values), (True, contexts, backoff)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), is_context)), pa.array(hashes.view(np.int64)), pa.array(numbers)], ["context", "hash", "number"])
+    tasks = min(SYMBOLS, 4 * spark.sparkContext.defaultParallelism)
+    found = (counted.repartition(tasks, F.shiftright("tail", 8).bitwiseAND(255))
+             .mapInArrow(run, "context boolean, hash long, number float").toArrow())
+    out = []
+    for is_context in (False, True):
+        own = found.filter(pa.compute.equal(found.column("context"), is_context))
+        hashes, numbers = own.column("hash").to_numpy().view(np.uint64), own.column("number").to_numpy()
+        order = np.argsort(hashes)
+        out += [hashes[order], numbers[order]]
+    return tuple(out)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -208,12 +300,19 @@ def _sample(labels: DataFrame, per_class: int) -> DataFrame:
     return one(1).unionAll(one(0))
 
 
-def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Texts of the chosen labelled ids; they are few, so they are sent to the documents."""
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+def _texts(docs: DataFrame, chosen: DataFrame, class_bytes: int) -> DataFrame:
+    """Texts of the chosen labelled ids; they are few, so they are sent to the documents.
+    In the order of the sample an id takes part while those of its class before it have
+    fewer than ``class_bytes`` bytes."""
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    size = own.groupBy("doc_id", "toxic").agg(F.sum(F.octet_length("text")).alias("size"))
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    kept = materialize(size.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+                       .where(F.col("before") < class_bytes).select("doc_id", "toxic"), "sample")
+    return docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, class_bytes: int = 32 << 20) -> Model:
     """Both models and the calibration from labelled rows (doc_id, toxic); three quarters
     of those given, by a second hash of the id, are for the counts and the rest for the
     calibration."""
@@ -221,13 +320,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     labels = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     third = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3
-    kept = _count(_texts(docs, _sample(labels.where(~third), per_class))).toArrow()
-    t, o = (kept.column(c).to_numpy().astype(np.float64) for c in ("t", "o"))
-    if not t.sum() or not o.sum():
+    counted = materialize(_count(_texts(docs, _sample(labels.where(~third), per_class), class_bytes)), "ngrams")
+    seen = counted.agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
+    if not seen.t or not seen.o:
         return Model(*(np.zeros(0) for _ in range(4)), np.zeros(3))
-    hashes = (kept.column(c).to_numpy().view(np.uint64) for c in ("key", "context", "low", "low_context"))
-    model = Model(*estimate(*hashes, t, o), np.zeros(3))
-    del kept, t, o, hashes
+    model = Model(*_tables(counted), np.zeros(3))
     held = labels.where(third)
     share = {r.toxic: r["count"] for r in held.groupBy("toxic").count().collect()}
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -236,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
         for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             e = sent.value.evidence(data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(a, b - a), pa.array(e[:, 0]), pa.array(e[:, 1])], ["toxic", "whole", "top"])
-    seen = _texts(docs, _sample(held, per_class)).select("toxic", "text").mapInArrow(run, "toxic int, whole double, top double").toArrow()
+    seen = _texts(docs, _sample(held, per_class), class_bytes).select("toxic", "text").mapInArrow(run, "toxic int, whole double, top double").toArrow()
     x, y = np.column_stack([seen.column(c).to_numpy() for c in ("whole", "top")]), seen.column("toxic").to_numpy()
     order = np.lexsort((x[:, 1], x[:, 0], y))  # rows come in any order, the weights must not
     x, y = x[order], y[order]

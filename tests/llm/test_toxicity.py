@@ -67,36 +67,59 @@ def test_without_labels_and_empty(spark):
     assert X.score(none, X.fit(none, labels), "p").collect() == []
 
 
-def test_kneser_ney_against_plain_counts():
-    """The tables against the formulas over dictionaries of byte strings."""
-    texts, toxic = ["ab abc ba b", "cab ba ba", "abab c"], [1, 0, 0]
+def test_kneser_ney_against_plain_counts(spark):
+    """The tables against the formulas over dictionaries of byte strings, all orders."""
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("abc", k=rng.randint(1, 15))) for _ in range(12)) for _ in range(6)] + ["ab abc ba b", "cab \u00e9t\u00e9"]
+    toxic = [1, 0, 0, 1, 0, 0, 1, 0]
     data, offsets = common.utf8(pa.array(texts))
     starts, lengths, doc, _ = X.word_bytes(data, offsets)
-    word, *hashes = X.ngram_keys(data, starts, lengths)
+    word, keys_of, contexts_of = X.ngram_keys(data, starts, lengths)
     grams = []
     for s, n in zip(starts, lengths, strict=True):
-        w = " " + data[s:s + n].tobytes().decode() + " "
+        w = b" " + data[s:s + n].tobytes() + b" "
         grams += [w[max(0, i - X.ORDER + 1):i + 1] for i in range(1, len(w))]
     assert len(grams) == len(word)
-    for h, cut in zip(hashes, (lambda g: g, lambda g: g[:-1], lambda g: g[1:], lambda g: g[1:-1]), strict=True):
-        names = {}
-        for x, g in zip(h.tolist(), grams, strict=True):
-            assert names.setdefault(cut(g), x) == x
-        assert len(set(names.values())) == len(names)
-    key, first, group = np.unique(hashes[0], return_index=True, return_inverse=True)
+    _, head, tail = X.ngram_bytes(data, starts, lengths)
+    assert [(int(h) << 64 | int(t)).to_bytes(16, "big").lstrip(b"\0") for h, t in zip(head, tail, strict=True)] == grams
+    parts = sorted({g[i:] for g in set(grams) for i in range(len(g) - 1)})  # all n-grams of two bytes and more
+    before = Counter(p[1:] for p in parts)
+
+    def shared(s):
+        if not s:
+            return 1 / 155
+        of = [n for x, n in before.items() if x[:-1] == s[:-1]]
+        return (max(before[s] - .75, 0) + .75 * len(of) * shared(s[1:])) / sum(of)
+
+    docs = spark.createDataFrame(list(zip(texts, toxic, strict=True)), "text string, toxic int")
+    keys, values, contexts, backoff = X._tables(X._count(docs))
+    assert len(keys) == len(set(grams)) and len(contexts) == len({g[:-1] for g in grams})
     y = np.array(toxic)[doc][word]
-    t, o = (np.bincount(group, weights=y == k).astype(float) for k in (1, 0))
-    keys, values, contexts, backoff = X.estimate(*(h[first] for h in hashes), t, o)
-    kinds = sorted(set(grams))
-    after, of = Counter(g[1:] for g in kinds), Counter(g[1:-1] for g in kinds)
-    spread = Counter(g[1:-1] for g in set(g[1:] for g in kinds) for g in [" " + g])
-    for g in kinds:
-        p = []
-        share = (max(after[g[1:]] - .75, 0) + .75 * spread[g[1:-1]] / 64) / of[g[1:-1]]
-        for k in (1, 0):
-            c = Counter(x for x, d in zip(grams, y, strict=True) if d == k)
+    counts = [Counter(x for x, d in zip(grams, y, strict=True) if d == k) for k in (1, 0)]
+    for i, g in enumerate(grams):
+        p, rest = [], []
+        for c in counts:
             total = sum(n for x, n in c.items() if x[:-1] == g[:-1])
             free = .75 * sum(x[:-1] == g[:-1] for x in c) / total if total else 1
-            p.append((max(c[g] - .75, 0) / total if total else 0) + free * share)
-        at = np.searchsorted(keys, hashes[0][grams.index(g)])
-        assert abs(values[at] - np.log(p[0] / p[1])) < 1e-5
+            p.append((max(c[g] - .75, 0) / total if total else 0) + free * shared(g[1:]))
+            rest.append(free)
+        assert abs(values[np.searchsorted(keys, keys_of[i])] - np.log(p[0] / p[1])) < 1e-5
+        assert abs(backoff[np.searchsorted(contexts, contexts_of[i])] - np.log(rest[0] / rest[1])) < 1e-5
+    single = X.single_bytes(np.array([p[0] * 256 + p[1] for p in parts if len(p) == 2]))
+    assert abs(single[np.unique(X._LOW)].sum() - 1) < 1e-12 and X.SYMBOLS == 155
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    rows = corpus(300)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], LABELS)
+    size = {i: len(t) for i, t, _ in rows}
+    order = [r.doc_id for r in labels.where("toxic = 0").selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h", "doc_id").collect()]
+    want, total = set(), 0
+    for i in order:
+        if total < 5000:
+            want.add(i)
+        total += size[i]
+    got = {r.doc_id for r in X._texts(docs, labels.where("toxic = 0"), 5000).collect()}
+    assert got == want and 3 < len(got) < len(order)
+    assert {r.doc_id for r in X._texts(docs, labels, 1 << 40).collect()} == set(size)
