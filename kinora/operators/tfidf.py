@@ -9,21 +9,29 @@ Weighting (the reference's vectoriser settings):
 * idf = ln((1 + N) / (1 + df)) + 1  (smoothed; N counts every document)
 * rows L2-normalised
 
-Plan: tokens stay in arrays (no shuffle) until ``explode``; term frequency is
-a (doc, term) aggregate, document frequency a term aggregate joined back on
-term (AQE splits a hot term's partition; the df side is broadcast only when
-AQE has measured it small).  The L2 norm is an aggregate per document.
+Plan: only texts are shuffled by document.  They are dealt into blocks of about
+``BLOCK_BYTES`` by id; tokens, n-grams and (doc, term) counts are made inside a block.
+For document frequencies a block sends each of its distinct terms once, with the number
+of its documents that have it; terms are summed up over the blocks, and those that at
+least two documents share go back to the blocks that have them.  Terms travel as sorted
+lists of equal numbers, which shuffle files compress well.  The join with the
+counts and the L2 norm stay inside the block, so neither moves a (doc, term) row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinora.functions.stopwords import ENGLISH_STOP_WORDS
+from kinora.session import default_parallelism
 
 # FIXED VALUE: token pattern equivalent to the vectoriser's (?u)\b\w\w+\b.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+# Text of a block: its (doc, term) rows are some 20 times as large in a task's memory.
+BLOCK_BYTES = 8 << 20
 
 
 def token_array(text: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -59,6 +67,56 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             .select("doc_id", F.col("pos").cast("int").alias("pos"), "token"))
 
 
+def in_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """(b, doc_id, text) dealt by the block ``b`` of the document, and the number of blocks."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = max(default_parallelism(docs.sparkSession), math.ceil(size / BLOCK_BYTES))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.select(F.pmod(F.hash("doc_id"), F.lit(n)).alias("b"), "doc_id", "text").repartitionById(n, "b"), n
+
+
+def block_counts(blocks: DataFrame, ngram_max: int = 2) -> DataFrame:
+    """(b, doc_id, term, tf_count) of documents ``in_blocks``, without a shuffle."""
+    toks = blocks.select("b", "doc_id", token_array(F.col("text")).alias("t"))
+    grams = gram_array(F.col("t")) if ngram_max >= 2 else F.col("t")
+    return (toks.select("b", "doc_id", F.explode(grams).alias("term"))
+            .groupBy("b", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf_count")))
+
+
+def _packed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Lists of the terms of equal keys; a term has no line end."""
+    return rows.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list("term")), "\n").alias("terms"))
+
+
+def _unpacked(lists: DataFrame, *keys: str) -> DataFrame:
+    return lists.select(*keys, F.explode(F.split("terms", "\n")).alias("term"))
+
+
+def shared_terms(counts: DataFrame, n_blocks: int) -> DataFrame:
+    """(b, p, term, df, tid) of each block's terms that at least two documents have, dealt
+    by the term's part ``p``; ``tid`` numbers a term, the same in all blocks (store the
+    rows before using it)."""
+    parts = max(default_parallelism(counts.sparkSession), n_blocks // 2)
+    own = counts.groupBy("b", "term").agg(F.count(F.lit(1)).alias("n")).withColumn("p", F.pmod(F.hash("term"), F.lit(parts)))
+    dealt = _unpacked(_packed(own, "b", "p", "n").repartitionById(parts, "p"), "b", "p", "n")
+    term = Window.partitionBy("p", "term")  # one row a block at most
+    return (dealt.withColumn("row", F.monotonically_increasing_id())
+            .select("b", "p", "term", F.sum("n").over(term).alias("df"), F.min("row").over(term).alias("tid")).where("df > 1"))
+
+
+def smoothed_idf(n_docs: Column, df: Column) -> Column:
+    return F.log((F.lit(1) + n_docs) / (F.lit(1) + df)) + F.lit(1.0)
+
+
+def raw_weights(counts: DataFrame, frequencies: DataFrame, n_docs: Column) -> DataFrame:
+    """``counts`` with the columns of ``frequencies``, dealt by the same blocks, and the
+    weight ``w`` before the norm."""
+    # Sizes are guessed too low for a broadcast to be planned.
+    found = counts.join(frequencies.hint("merge"), ["b", "term"], "left")
+    tf = F.lit(1.0) + F.log(F.col("tf_count").cast("double"))
+    return found.withColumn("w", tf * smoothed_idf(n_docs, F.coalesce("df", F.lit(1))))
+
+
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ngram_max: int = 2) -> DataFrame:
     """(doc_id, term, tf_count) for uni- (and bi-) grams."""
@@ -71,12 +129,10 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def tfidf_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   ngram_max: int = 2) -> DataFrame:
     """(doc_id, term, weight) with L2-normalised sublinear TF-IDF."""
-    counts = term_counts(docs, id_col, text_col, ngram_max)
+    blocks, n = in_blocks(docs, id_col, text_col)
+    counts = block_counts(blocks, ngram_max)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
-    raw = counts.join(dfs, "term").withColumn(
-        "w", (F.lit(1.0) + F.log(F.col("tf_count").cast("double"))) * idf)
-    # One row a document while the norm is formed: no sort of all term rows.
-    docs_w = raw.groupBy("doc_id").agg(F.collect_list(F.struct("term", "w")).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return docs_w.select("doc_id", "norm", F.explode("v").alias("e")).select("doc_id", F.col("e.term").alias("term"), (F.col("e.w") / F.col("norm")).alias("weight"))
+    lists = _packed(shared_terms(counts, n), "b", "p", "df").repartitionById(n, "b")
+    raw = raw_weights(counts, _unpacked(lists, "b", "df"), n_docs)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("b", "doc_id")))
+    return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))

@@ -81,9 +81,7 @@ def q_rating_histogram(spark, sf_dir):
 # -- features and similarity ---------------------------------------------------
 def _documents(spark, sf_dir):
     from kinora.sources.fixtures import table
-    docs = table(spark, sf_dir, "documents")
-    from kinora.session import spread
-    return spread(docs.select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _feature_items(spark, sf_dir):
@@ -93,7 +91,8 @@ def _feature_items(spark, sf_dir):
 @register("tokens")
 def q_tokens(spark, sf_dir):
     from kinora.operators import tfidf
-    return tfidf.tokens(_documents(spark, sf_dir))
+    from kinora.session import spread
+    return tfidf.tokens(spread(_documents(spark, sf_dir), "doc_id"))
 
 
 @register("ngrams")
