@@ -38,6 +38,13 @@ def docs_of(spark):
     return spark.createDataFrame(rows(), "doc_id bigint, text string").repartition(6)
 
 
+def test_counts_shuffle_texts_only(spark, many_blocks):
+    got = tfidf.term_counts(docs_of(spark))
+    assert not any("term" in x or "(doc_id" in x for x in exchanges(got))
+    assert sorted((str(r.doc_id), r.term, r.tf_count) for r in got.collect()) == sorted(
+        (str(i), t, n) for i, c in expected().items() for t, n in c.items())
+
+
 def test_weights_shuffle_no_row_of_document_and_term(spark, many_blocks):
     docs = docs_of(spark)
     assert tfidf.in_blocks(docs)[1] > 8
