@@ -414,10 +414,13 @@ class Codec(Decoder):
             best = ranks[np.arange(len(rows)), i]
             done = best == _NONE
             if done.any():
-                out[rows[done]] = symbols[done]
+                out[rows[done], :symbols.shape[1]] = symbols[done]
                 rows, symbols, place, ranks, own, i, best = (x[~done] for x in (rows, symbols, place, ranks, own, i, best))
                 if not len(rows):
                     break
+                wide = int((symbols >= 0).sum(axis=1).max()) + 1
+                if wide < symbols.shape[1]:
+                    symbols, place, ranks, columns = symbols[:, :wide].copy(), place[:, :wide].copy(), ranks[:, :wide].copy(), columns[:wide]
             r = np.arange(len(rows))
             code = place[r, i].astype(np.uint32) << np.uint32(16) | best.astype(np.uint32)
             taken.append((rows, code))
@@ -430,10 +433,12 @@ class Codec(Decoder):
                 if not len(m):
                     continue
             symbols[m, i] = self.merged[best]
-            right = np.minimum(columns + (columns > i[:, None]), len(columns) - 1)  # without the symbol merged into its left
+            # Without the symbol merged into its left; the last column stays empty.
+            after = columns[:-1] >= i[:, None]
+            ranks[m, :-1] = np.where(after, (own_ranks := ranks[m])[:, 1:], own_ranks[:, :-1])
+            after[np.arange(len(m)), i] = False
             for x in (symbols, place):
-                x[m] = np.take_along_axis(x[m], right, axis=1)
-            ranks[m] = np.take_along_axis(ranks[m], np.minimum(columns + (columns >= i[:, None]), len(columns) - 1), axis=1)
+                x[m, :-1] = np.where(after, (of := x[m])[:, 1:], of[:, :-1])
             ranks[m, i] = rank(symbols[m, i], symbols[m, i + 1])
             before = i > 0
             ranks[m[before], i[before] - 1] = rank(symbols[m[before], i[before] - 1], symbols[m[before], i[before]])
