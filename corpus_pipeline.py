@@ -32,7 +32,7 @@ TOXIC, SIMILAR, HELD = 0.3, 80, 80
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(toxic_models.remainder("doc_id") != 2)
-    scored = toxic_models.score(docs, toxic_models.fit(docs, labels), "_score")
+    scored = toxic_models.fit_score(docs, labels, "_score")
     return scored.where(F.col("_score") < TOXIC).drop("_score")
 
 

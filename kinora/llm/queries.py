@@ -72,7 +72,7 @@ def op3(spark, sf_dir):
     from kinora.llm import toxicity
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learned = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(toxicity.remainder("doc_id") != 2)
-    rows = toxicity.score(docs, toxicity.fit(docs, learned))
+    rows = toxicity.fit_score(docs, learned)
     return rows.select("doc_id", (toxicity.remainder("doc_id") == 2).alias("held_out"), "score",
                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 

@@ -15,17 +15,19 @@ described by the difference per byte over the whole text and by its few stronges
 again per byte; a logistic calibration on labelled documents that the counts did not see
 turns that into a score between 0 and 1.
 
-The models are fitted on a bounded sample of labelled rows: of each class the
-``per_class`` labelled documents of smallest hashed id, whole texts, as long as those
-before them have fewer than ``class_bytes`` bytes, and another such sample for the
-calibration, weighted to the classes' true shares.  Every n-gram of the sample is in the
-model, whatever its count; the sample bounds, in documents and bytes, what scoring
-broadcasts.  Every document is scored on its whole text, from the text alone.
-
-N-grams are counted and their probabilities worked out by Spark.  All shorter n-grams and
-contexts that an n-gram's probability rests on, but the single bytes, share its byte
-before the last; so the counts are dealt by that byte, a task works out all orders of its
-n-grams, and only the finished tables reach the driver.
+The models are fitted on the whole texts of all labelled rows: three quarters of them are
+counted, the rest calibrates.  Every n-gram is in the model, whatever its count.  Every
+document is scored on its whole text, from the text alone.
+
+Nothing that grows is broadcast or brought to the driver.  Words are counted first, and
+the n-grams of the distinct words from those counts.  All shorter n-grams and contexts
+that an n-gram's probability rests on, but the single bytes and pairs, share the two bytes
+before its last; so the counts are dealt by those and a task works out all orders of its
+n-grams.  The tables stay in Spark.  A word's score rests on the word alone: the distinct
+words of the documents are joined with the tables, and texts do not move.  Rows that
+follow each other in a file belong to a block, whichever way the file is split; each
+block's words get a file of their scores, which the tasks that read the block's documents
+open.  Labels meet the documents in the same way.
 
 Cases: null and empty texts, or texts without words, score as the calibration puts a
 text of no evidence; repeated rows score alike; without labelled rows of both classes
@@ -42,17 +44,30 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinora.llm import common
-from kinora.session import materialize
+from kinora.session import materialize, work_dir
 
 ORDER = 12
 DISCOUNT = 0.75
 #: Text that is looked up at once; its n-grams take some hundred bytes a letter.
 RUN_BYTES = 1 << 18
+#: Distinct words that a task holds before it passes them on.
+HELD_ROWS = 1 << 18
+#: N-grams that are worked out at once, unless a single group has more, and those of a task.
+GROUP_ROWS, TASK_ROWS = 1 << 16, 1 << 19
+#: Rows of a file that go to the same block, and rows of a block.
+RUN_ROWS, BLOCK_ROWS = 1 << 13, 1 << 16
+#: Words whose n-grams are made at once.
+WORDS = 1 << 13
+#: Beginnings of table entries that no three bytes name.
+SHORT, INNER = -1, -2
+#: Groups that the others are dealt to.
+BEGINNINGS = 1009
 #: Strongest words of a document that count beside the whole.
 TOP = 2
 _LOW = common._LOWER.copy()
@@ -125,66 +140,111 @@ def ngram_bytes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
     return word, head, tail
 
 
-def _count(docs: DataFrame) -> DataFrame:
-    """(head, tail, toxic count, ordinary count) of each n-gram of the sample, summed up by Spark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def spelled(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The given words, lower-cased, as a binary column."""
+    ends = np.cumsum(lengths)
+    flat = _LOW[data[np.arange(lengths.sum()) + np.repeat(starts - ends + lengths, lengths)]]
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = WORDS) -> Iterator[pa.Table]:
+    """Batches put together to tables of about ``rows`` rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _word_column(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start, length) of a binary column of words."""
+    words = column.combine_chunks().cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0], np.diff(offsets)
+
+
+def _merged(found: Iterator[pa.RecordBatch], keys: list[str], sums: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task with equal keys summed up, as far as HELD_ROWS distinct ones reach."""
+    held, size = [], 0
+
+    def merge() -> pa.Table:
+        out = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([(c, "sum") for c in sums])
+        return pa.table([out.column(c) for c in keys] + [out.column(f"{c}_sum") for c in sums], [*keys, *sums])
+    for batch in found:
+        held.append(batch)
+        size += batch.num_rows
+        if size > HELD_ROWS:
+            out = merge()
+            held, size = out.to_batches(), out.num_rows
+            if size > HELD_ROWS // 4 * 3:
+                yield from out.to_batches(max_chunksize=1 << 14)
+                held, size = [], 0
+            del out
+            pa.default_memory_pool().release_unused()
+    if size:
+        yield from merge().to_batches(max_chunksize=1 << 14)
+    del held
+    pa.default_memory_pool().release_unused()
+
+
+def _words(docs: DataFrame) -> DataFrame:
+    """(word, toxic count, ordinary count) of each word of the texts."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
-            starts, lengths, doc, _ = word_bytes(data, offsets)
+            starts, lengths, doc, hashes = word_bytes(data, offsets)
             toxic = batch.column("toxic").to_numpy()[a:b][doc]
-            word, head, tail = ngram_bytes(data, starts, lengths)
-            order = np.lexsort((tail, head))
-            head, tail = head[order], tail[order]
-            new = np.ones(len(head), bool)
-            new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
-            begin, of = np.flatnonzero(new), np.cumsum(new) - 1
-            counts = [np.bincount(of, weights=(toxic[word[order]] == k), minlength=len(begin)).astype(np.int64) for k in (1, 0)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[begin].view(np.int64)) for x in (head, tail)), *map(pa.array, counts)], ["head", "tail", "t", "o"])
-    return docs.select("text", "toxic").mapInArrow(run, "head long, tail long, t long, o long").groupBy("head", "tail").agg(
-        F.sum("t").alias("t"), F.sum("o").alias("o"))
+            _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+            counts = [np.bincount(of, weights=toxic == k, minlength=len(first)).astype(np.int64) for k in (1, 0)]
+            yield pa.RecordBatch.from_arrays([spelled(data, starts[first], lengths[first]), *map(pa.array, counts)], ["word", "t", "o"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _merged(each(batches), ["word"], ["t", "o"])
+    # Words that begin alike meet in a task, and so do most of their n-grams.
+    found = docs.select("text", "toxic").mapInArrow(run, "word binary, t long, o long").withColumn("begins", F.substring("word", 1, 3))
+    return found.repartition("begins").groupBy("begins", "word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def _summed(head: np.ndarray, tail: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Distinct (head, tail) with the sums of their counts."""
+    order = np.lexsort((tail, head))
+    head, tail = head[order], tail[order]
+    new = np.ones(len(head), bool)
+    new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    begin = np.flatnonzero(new)
+    return [head[begin], tail[begin], *(np.add.reduceat(c[order], begin) for c in counts)]
+
+
+def _count(docs: DataFrame) -> DataFrame:
+    """(head, tail, toxic count, ordinary count) of the n-grams of the texts, from the
+    words' counts; an n-gram may come in several rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches):
+            word, head, tail = ngram_bytes(*_word_column(table.column("word")))
+            head, tail, t, o = _summed(head, tail, *(table.column(c).to_numpy()[word] for c in ("t", "o")))
+            yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), pa.array(t), pa.array(o)], ["head", "tail", "t", "o"])
+    return _words(docs).select("word", "t", "o").mapInArrow(run, "head long, tail long, t long, o long")
 
 
 @dataclass
 class Model:
-    """Sorted n-gram keys with their log-likelihood differences, sorted contexts with
-    that of an unseen continuation, and the calibration's weights."""
-    keys: np.ndarray
-    values: np.ndarray
-    contexts: np.ndarray
-    backoff: np.ndarray
+    """The stored tables of log-likelihood differences, of n-grams and of an unseen
+    continuation of contexts, and the calibration's weights."""
+    tables: DataFrame | None
     weights: np.ndarray
 
-    def evidence(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Per document: difference per byte over all words, and over its TOP strongest words."""
-        n = len(offsets) - 1
-        out = np.zeros((n, 2))
-        starts, lengths, doc, hashes = word_bytes(data, offsets)
-        if not len(starts) or not len(self.keys):
-            return out
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        word, key, context = ngram_keys(data, starts[first], lengths[first])
-        # Sorted queries walk the sorted tables in order.
-        order = np.argsort(key)
-        key, context = key[order], context[order]
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        seen = self.keys[at] == key
-        value = np.where(seen, self.values[at], 0).astype(np.float64)
-        if not seen.all():
-            rest = np.flatnonzero(~seen)
-            at = np.minimum(np.searchsorted(self.contexts, context[rest]), len(self.contexts) - 1)
-            value[rest] = np.where(self.contexts[at] == context[rest], self.backoff[at], 0)
-        own = np.bincount(word[order], weights=value, minlength=len(first))[which]
-        size = (lengths + 1).astype(np.float64)
-        out[:, 0] = np.bincount(doc, weights=own, minlength=n) / np.maximum(np.bincount(doc, weights=size, minlength=n), 1)
-        strong = np.lexsort((-own / size, doc))
-        begin = np.searchsorted(doc[strong], np.arange(n))
-        rank = np.arange(len(strong)) - begin[doc[strong]]
-        top = strong[rank < TOP]
-        out[:, 1] = np.bincount(doc[top], weights=own[top], minlength=n) / np.maximum(np.bincount(doc[top], weights=size[top], minlength=n), 1)
-        return out
+    @property
+    def keys(self) -> np.ndarray:
+        """Sorted hashes of the n-grams, to look at small models."""
+        return _arrays(self.tables)[0] if self.tables else np.zeros(0, np.uint64)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(evidence))
         return 1 / (1 + np.exp(-np.clip(evidence @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
@@ -195,9 +255,19 @@ def single_bytes(pairs: np.ndarray) -> np.ndarray:
     return (np.maximum(n - DISCOUNT, 0) + DISCOUNT * (n > 0).sum() / SYMBOLS) / n.sum()
 
 
-def estimate(head: np.ndarray, tail: np.ndarray, t: np.ndarray, o: np.ndarray, single: np.ndarray):
-    """Kneser-Ney tables (keys, values, contexts, backoff) from the n-grams that share
-    their byte before the last, with the counts of both classes.
+def pair_bytes(before: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """The shared distribution of a byte after another, [first, second], from the number
+    of distinct bytes that stand before each pair."""
+    total, kinds = before.sum(axis=1, keepdims=True), (before > 0).sum(axis=1, keepdims=True)
+    return (np.maximum(before - DISCOUNT, 0) + DISCOUNT * kinds * single) / np.maximum(total, 1)
+
+
+def estimate(head: np.ndarray, tail: np.ndarray, t: np.ndarray, o: np.ndarray, single: np.ndarray, pair: np.ndarray):
+    """Kneser-Ney tables (keys, values, beginnings, contexts, backoff, beginnings) from all
+    n-grams that have one of some pairs of bytes before the last, with the counts of both
+    classes.  A beginning is that of the words that look an entry up: their first three
+    bytes, SHORT for an n-gram of four bytes or a shorter one, or for a context of such,
+    and INNER for one that does not begin a word.
 
     Strings are numbered from their end: those of m bytes by the number of their last
     m - 1 and the byte before, and contexts likewise without the last byte."""
@@ -220,14 +290,17 @@ def estimate(head: np.ndarray, tail: np.ndarray, t: np.ndarray, o: np.ndarray, s
         rows, ending, context = rows[~exact], ending[~exact], context[~exact]
         if not len(rows):
             break
-        # How many distinct bytes stand before each string of m bytes.
-        longer = np.unique(ending * 256 + back[m][rows])
-        before = np.bincount(longer >> 8).astype(np.float64)
-        some = np.zeros(len(before), np.int64)
-        some[ending] = context
-        total = np.bincount(some, weights=before)
-        kinds = np.bincount(some, weights=before > 0)
-        lower[rows] = (np.maximum(before[ending] - DISCOUNT, 0) + DISCOUNT * kinds[context] * lower[rows]) / total[context]
+        if m == 2:  # other bytes before the pair are in other tasks
+            lower[rows] = pair[back[1][rows], back[0][rows]]
+        else:
+            # How many distinct bytes stand before each string of m bytes.
+            longer = np.unique(ending * 256 + back[m][rows])
+            before = np.bincount(longer >> 8).astype(np.float64)
+            some = np.zeros(len(before), np.int64)
+            some[ending] = context
+            total = np.bincount(some, weights=before)
+            kinds = np.bincount(some, weights=before > 0)
+            lower[rows] = (np.maximum(before[ending] - DISCOUNT, 0) + DISCOUNT * kinds[context] * lower[rows]) / total[context]
         share[rows] = lower[rows]
     logs = []
     for count in (t, o):
@@ -243,15 +316,23 @@ def estimate(head: np.ndarray, tail: np.ndarray, t: np.ndarray, o: np.ndarray, s
     keys, context_keys = _hashed(whole, common.BYTE_VALUE[back[0]], length - 1)
     first = np.zeros(contexts, np.int64)
     first[whole_context] = np.arange(n)
-    return keys, (logs[0][0] - logs[1][0]).astype(np.float32), context_keys[first], (logs[0][1] - logs[1][1]).astype(np.float32)
+    begins = np.full(n, SHORT)
+    for m in range(5, ORDER + 1):
+        begins = np.where(length == m, np.where(back[m - 1] == 0x20, (back[m - 2] << 16) + (back[m - 3] << 8) + back[m - 4], INNER), begins)
+    return (keys, (logs[0][0] - logs[1][0]).astype(np.float32), begins,
+            context_keys[first], (logs[0][1] - logs[1][1]).astype(np.float32), begins[first])
 
 
-def _tables(counted: DataFrame) -> tuple[np.ndarray, ...]:
-    """Sorted keys with values and sorted contexts with backoffs of all counted n-grams."""
+def _estimated(counted: DataFrame) -> DataFrame:
+    """(context, hash, number, begins) of all counted n-grams and of their contexts."""
     spark = counted.sparkSession
-    # At most as many pairs as there are pairs of bytes.
-    pairs = counted.select((F.col("tail").bitwiseAND(0xFFFF)).alias("pair")).distinct().toArrow().column("pair").to_numpy()
-    single = single_bytes(pairs)
+    # A row for each pair of bytes at most.
+    pairs = (counted.select(F.col("tail").bitwiseAND(0xFFFFFF).alias("three")).distinct()
+             .groupBy(F.col("three").bitwiseAND(0xFFFF).alias("pair")).agg(F.count_if(F.col("three") > 0xFFFF).alias("n")).toArrow())
+    pair, before = pairs.column("pair").to_numpy(), np.zeros(1 << 16)
+    before[pair] = pairs.column("n").to_numpy()
+    single = single_bytes(pair)
+    double = pair_bytes(before.reshape(256, 256), single)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -259,15 +340,31 @@ def _tables(counted: DataFrame) -> tuple[np.ndarray, ...]:
             return
         head, tail, t, o = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("head", "tail", "t", "o"))
         del held
-        group = tail >> 8 & 255
+        head, tail, t, o = _summed(head, tail, t, o)
+        group = tail >> 8 & 0xFFFF
         order = np.argsort(group, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            keys, values, contexts, backoff = estimate(head[own].view(np.uint64), tail[own].view(np.uint64), t[own].astype(np.float64), o[own].astype(np.float64), single)
-            for is_context, hashes, numbers in ((False, keys, values), (True, contexts, backoff)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), is_context)), pa.array(hashes.view(np.int64)), pa.array(numbers)], ["context", "hash", "number"])
-    tasks = min(SYMBOLS, 4 * spark.sparkContext.defaultParallelism)
-    found = (counted.repartition(tasks, F.shiftright("tail", 8).bitwiseAND(255))
-             .mapInArrow(run, "context boolean, hash long, number float").toArrow())
+        ends = np.flatnonzero(np.diff(group[order], append=-1)) + 1
+        at = 0
+        while at < len(order):  # whole groups
+            end = int(ends[min(np.searchsorted(ends, at + GROUP_ROWS), len(ends) - 1)])
+            own = order[at:end]
+            keys, values, begins, contexts, backoff, begun = estimate(
+                head[own].view(np.uint64), tail[own].view(np.uint64), t[own].astype(np.float64), o[own].astype(np.float64), single, double)
+            for is_context, hashes, numbers, first in ((False, keys, values, begins), (True, contexts, backoff, begun)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), is_context)), pa.array(hashes.view(np.int64)),
+                                                  pa.array(numbers), pa.array(first.astype(np.int32))], ["context", "hash", "number", "begins"])
+            at = end
+    tasks = max(4 * spark.sparkContext.defaultParallelism, counted.count() // TASK_ROWS)
+    return (counted.repartition(tasks, F.shiftright("tail", 8).bitwiseAND(0xFFFF))
+            .mapInArrow(run, "context boolean, hash long, number float, begins int"))
+
+
+def _arrays(tables: DataFrame) -> tuple[np.ndarray, ...]:
+    """Sorted keys with values and sorted contexts with backoffs, of few n-grams."""
+    return _sorted(tables.toArrow())
+
+
+def _sorted(found: pa.Table) -> tuple[np.ndarray, ...]:
     out = []
     for is_context in (False, True):
         own = found.filter(pa.compute.equal(found.column("context"), is_context))
@@ -277,14 +374,213 @@ def _tables(counted: DataFrame) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge; the last weight is the constant."""
-    z = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
+def _tables(counted: DataFrame) -> tuple[np.ndarray, ...]:
+    return _arrays(_estimated(counted))
+
+
+# -- what stands beside the blocks of documents ---------------------------------
+def _located(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with the number of the block that each row belongs to.  Runs of rows of a
+    file are dealt to the blocks; rows that come from no file are written to one."""
+    names = docs.columns
+    run = lambda d: d.select("*", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / RUN_ROWS)).alias(column))
+    try:
+        rows = run(docs)
+    except AnalysisException:
+        inner = [f"c{i}" for i in range(len(names))]
+        docs = materialize(docs.toDF(*inner), "documents").toDF(*names)
+        rows = run(docs)
+    blocks = docs.count() // BLOCK_ROWS + 1
+    return rows.withColumn(column, F.pmod(F.col(column), F.lit(blocks)))
+
+
+def _block_runs(batches: Iterator[pa.RecordBatch], block: str, text: str):
+    """Block and run of documents, as ``each_run`` gives it, of each run of one block."""
+    for batch in batches:
+        ids = batch.column(block).to_numpy()
+        cut = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+        for a, b in zip(cut, cut[1:], strict=False):
+            for found in common.each_run([batch.slice(a, b - a)], text, RUN_BYTES):
+                yield int(ids[a]), *found
+
+
+def _put_beside(rows: DataFrame, purpose: str) -> str:
+    """Writes (block, id, value) as one file per block, in the order of the ids."""
+    folder = work_dir(rows.sparkSession, purpose)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def write(block: int, held: list) -> None:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            common.write_file(f"{folder}/{block}", [x.tobytes() for x in columns])
+        now, held, n = None, [], 0
+        for batch in batches:
+            block, ids, value = (batch.column(c).to_numpy() for c in ("block", "id", "value"))
+            cut = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for a, b in zip(cut, cut[1:], strict=False):
+                if b > a and block[a] != now:
+                    if held:
+                        write(now, held)
+                    now, held, n = int(block[a]), [], n + 1
+                held.append((ids[a:b], value[a:b]))
+        if held:
+            write(now, held)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+    (rows.select("block", "id", "value").repartition("block").sortWithinPartitions("block", "id")
+     .mapInArrow(run, "n long").agg(F.sum("n")).collect())
+    return folder
+
+
+class _Beside:
+    """The files of ``_put_beside`` by block; the last one is kept."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder, self.block, self.held = folder, None, None
+
+    def look(self, block: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids are in the block's file, and their values."""
+        if block != self.block:
+            try:
+                with common.open_file(f"{self.folder}/{block}") as f:
+                    data = f.read()
+            except FileNotFoundError:  # nothing stands beside this block
+                data = b""
+            n = len(data) // 16
+            self.block, self.held = block, (np.frombuffer(data, np.int64, n), np.frombuffer(data, np.float64, n, 8 * n) if n else np.zeros(0))
+        own, value = self.held
+        if not len(own):
+            return np.zeros(len(ids), bool), np.zeros(len(ids))
+        at = np.minimum(np.searchsorted(own, ids), len(own) - 1)
+        return own[at] == ids, value[at]
+
+
+def _labelled(docs: DataFrame, labels: DataFrame):
+    """A function that gives (text, toxic), and the block, of the documents whose label has
+    a number in ``part``."""
+    ids = docs.select("doc_id", F.col("_block").alias("block")).join(labels, "doc_id")
+    folder = _put_beside(ids.select("block", F.col("doc_id").alias("id"), (F.col("toxic") + 2 * F.col("part")).cast("double").alias("value")), "labels")
+
+    def of(part: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            beside = _Beside(folder)
+            for batch in batches:
+                block, ids = batch.column("_block").to_numpy(), batch.column("doc_id")
+                known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+                toxic = np.zeros(len(block), np.int32)
+                for b in np.unique(block):
+                    own = np.flatnonzero(block == b)
+                    seen, value = beside.look(int(b), ids[own])
+                    known[own] &= seen & (value // 2 == part)
+                    toxic[own] = value % 2
+                keep = pa.array(np.flatnonzero(known))
+                yield pa.RecordBatch.from_arrays([batch.column("text").take(keep), pa.array(toxic).take(keep), batch.column("_block").take(keep)],
+                                                 ["text", "toxic", "_block"])
+        return docs.select("doc_id", "text", "_block").mapInArrow(run, "text string, toxic int, _block long")
+    return of
+
+
+def _word_scores(docs: DataFrame, tables: DataFrame, block: str, text: str) -> str:
+    """Folder with a file of the scores of the distinct words of each block of ``docs``,
+    by the words' hashes.  Words meet the n-grams that begin like them; only n-grams
+    inside long words are joined one by one."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, _, _, _, data, offsets in _block_runs(batches, "block", "text"):
+            starts, lengths, _, hashes = word_bytes(data, offsets)
+            first = np.unique(hashes, return_index=True)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), own, np.int32)), spelled(data, starts[first], lengths[first])], ["block", "word"])
+
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _merged(each(batches), ["block", "word"], [])
+    words = materialize(docs.select(F.col(block).alias("block"), F.col(text).alias("text")).mapInArrow(words_of, "block int, word binary")
+                        .groupBy("word").agg(F.collect_set("block").alias("blocks")), "words")
+    # These hold three bytes of a word at most, which bounds their number.
+    sent = docs.sparkSession.sparkContext.broadcast(_arrays(tables.where(F.col("begins") == SHORT)))
+
+    def score_of(words: pa.Table, entries: pa.Table) -> pa.Table:
+        if not words.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.list_(pa.int32()), pa.float64())], ["id", "blocks", "value"])
+        longer, out = _sorted(entries), []
+        for a in range(0, words.num_rows, WORDS):
+            data, starts, lengths = _word_column(words.column("word").slice(a, WORDS))
+            word, key, context = ngram_keys(data, starts, lengths)
+            at = _placed(starts, lengths)[3]
+            value = np.zeros(len(word))
+            for own, arrays in ((at < 3, sent.value), ((at >= 3) & (at < ORDER - 1), longer)):
+                value[own] = _found(*arrays, key[own], context[own])
+            out.append((_word_hashes(data, starts), np.bincount(word, weights=value, minlength=len(starts))))
+        ids, value = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table([pa.array(ids), words.column("blocks"), pa.array(value)], ["id", "blocks", "value"])
+
+    def inner_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches):
+            data, starts, lengths = _word_column(table.column("word"))
+            word, key, context = ngram_keys(data, starts, lengths)
+            own = _placed(starts, lengths)[3] >= ORDER - 1
+            ids = _word_hashes(data, starts)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[word[own]], key[own].view(np.int64), context[own].view(np.int64))], ["id", "key", "begun"])
+    dealt = lambda begins: (begins % BEGINNINGS).alias("begins")
+    entries = tables.where(F.col("begins") >= 0).select(dealt(F.col("begins")), "context", "hash", "number")
+    outer = (words.select(dealt(F.conv(F.hex(F.substring("word", 1, 3)), 16, 10).cast("int")), "word", "blocks").groupBy("begins").cogroup(entries.groupBy("begins"))
+             .applyInArrow(score_of, "id long, blocks array<int>, value double"))
+    own = lambda c, key, name: tables.where((F.col("context") == c) & (F.col("begins") == INNER)).select(
+        F.col("hash").alias(key), F.col("number").cast("double").alias(name))
+    inner = (words.where(F.length("word") >= ORDER - 1).select("word").mapInArrow(inner_of, "id long, key long, begun long")
+             .join(own(False, "key", "seen"), "key", "left").join(own(True, "begun", "rest"), "begun", "left")
+             .groupBy("id").agg(F.sum(F.coalesce("seen", "rest", F.lit(0.0))).alias("inner")))
+    return _put_beside(outer.join(inner, "id", "left").select(
+        F.explode("blocks").alias("block"), "id", (F.col("value") + F.coalesce("inner", F.lit(0.0))).alias("value")), "word-scores")
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of words that follow each other, as whole numbers; each is a document of its own."""
+    return word_bytes(data, np.append(starts, len(data)))[3].view(np.int64)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, contexts: np.ndarray, backoff: np.ndarray, key: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Difference of n-grams by key, or of an unseen continuation by context, or zero."""
+    out = np.zeros(len(key))
+    for own, numbers, wanted in ((contexts, backoff, context), (keys, values, key)):
+        if len(own):
+            at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+            out = np.where(own[at] == wanted, numbers[at], out)
+    return out
+
+
+def evidence(beside: _Beside, block: int, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per document: difference per byte over all words, and over its TOP strongest words."""
+    n = len(offsets) - 1
+    out = np.zeros((n, 2))
+    starts, lengths, doc, hashes = word_bytes(data, offsets)
+    if not len(starts):
+        return out
+    distinct, which = np.unique(hashes, return_inverse=True)
+    seen, own = beside.look(block, distinct.view(np.int64))
+    if not seen.all():
+        raise ValueError("the documents changed while they were scored")
+    own = own[which]
+    size = (lengths + 1).astype(np.float64)
+    out[:, 0] = np.bincount(doc, weights=own, minlength=n) / np.maximum(np.bincount(doc, weights=size, minlength=n), 1)
+    strong = np.lexsort((-own / size, doc))
+    begin = np.searchsorted(doc[strong], np.arange(n))
+    rank = np.arange(len(strong)) - begin[doc[strong]]
+    top = strong[rank < TOP]
+    out[:, 1] = np.bincount(doc[top], weights=own[top], minlength=n) / np.maximum(np.bincount(doc[top], weights=size[top], minlength=n), 1)
+    return out
+
+
+def calibrate(rows: DataFrame, weight: dict[int, float]) -> np.ndarray:
+    """Logistic regression of ``toxic`` on (whole, top) by Newton steps with a small ridge,
+    with a weight for each class; the last weight is the constant.  Sums are of decimals,
+    so the order of the rows does not matter."""
+    z = [F.col("whole"), F.col("top"), F.lit(1.0)]
+    each = F.when(F.col("toxic") == 1, F.lit(float(weight[1]))).otherwise(F.lit(float(weight[0])))
+    w = np.zeros(len(z))
     for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(w))
-        step = np.linalg.solve(h, z.T @ (weight * (y - p)) - 1e-2 * w)
+        at = sum(F.lit(float(a)) * c for a, c in zip(w, z, strict=True))
+        p = 1 / (1 + F.exp(-F.least(F.greatest(at, F.lit(-30.0)), F.lit(30.0))))
+        inner = rows.select(*[c.alias(f"z{i}") for i, c in enumerate(z)], (each * p * (1 - p)).alias("h"), (each * (F.col("toxic") - p)).alias("g"))
+        terms = [F.col("h") * F.col(f"z{i}") * F.col(f"z{j}") for i in range(3) for j in range(3)] + [F.col("g") * F.col(f"z{i}") for i in range(3)]
+        sums = np.array([float(x) for x in inner.agg(*[F.sum(x.cast("decimal(28,14)")) for x in terms]).first()])
+        step = np.linalg.solve(sums[:9].reshape(3, 3) + 1e-2 * np.eye(3), sums[9:] - 1e-2 * w)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
@@ -312,47 +608,86 @@ def _texts(docs: DataFrame, chosen: DataFrame, class_bytes: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, class_bytes: int = 32 << 20) -> Model:
-    """Both models and the calibration from labelled rows (doc_id, toxic); three quarters
-    of those given, by a second hash of the id, are for the counts and the rest for the
-    calibration."""
+def fit(docs: DataFrame, labels: DataFrame, per_class: int | None = None, class_bytes: int | None = None) -> Model:
+    """Both models and the calibration from all labelled rows (doc_id, toxic); three
+    quarters of those given, by a second hash of the id, are for the counts and the rest
+    for the calibration.  No query bounds them; a caller that names ``per_class`` and
+    ``class_bytes`` has so many documents, and about so many bytes, of each class and part."""
     common.small_batches(docs.sparkSession)
-    labels = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-              .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    third = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3
-    counted = materialize(_count(_texts(docs, _sample(labels.where(~third), per_class), class_bytes)), "ngrams")
+    labels = _parts(labels)
+    docs = _located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "_block")
+    if per_class is not None and class_bytes is not None:
+        few = [_texts(docs, _sample(labels.where(F.col("part") == i), per_class), class_bytes).select("doc_id") for i in (0, 1)]
+        labels = labels.join(few[0].unionAll(few[1]).distinct(), "doc_id")
+    rows_of = _labelled(docs, labels)
+    tables = _learned(rows_of(0))
+    if tables is None:
+        return Model(None, np.zeros(3))
+    folder = _word_scores(rows_of(1), tables, "_block", "text")
+    return Model(tables, _weights(rows_of(1), folder, labels))
+
+
+def _parts(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic, part) of each labelled id; part 0 is counted, part 1 calibrates."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+            .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+            .withColumn("part", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3).cast("int")))
+
+
+def _learned(rows: DataFrame) -> DataFrame | None:
+    """The tables of (text, toxic) rows, if there are words of both classes."""
+    counted = materialize(_count(rows), "ngrams")
     seen = counted.agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
-    if not seen.t or not seen.o:
-        return Model(*(np.zeros(0) for _ in range(4)), np.zeros(3))
-    model = Model(*_tables(counted), np.zeros(3))
-    held = labels.where(third)
-    share = {r.toxic: r["count"] for r in held.groupBy("toxic").count().collect()}
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return materialize(_estimated(counted), "tables") if seen.t and seen.o else None
 
+
+def _weights(held: DataFrame, folder: str, labels: DataFrame) -> np.ndarray:
+    """The calibration on the labelled documents that were not counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
-            e = sent.value.evidence(data, offsets)
+        beside = _Beside(folder)
+        for block, batch, a, b, data, offsets in _block_runs(batches, "_block", "text"):
+            e = evidence(beside, block, data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(a, b - a), pa.array(e[:, 0]), pa.array(e[:, 1])], ["toxic", "whole", "top"])
-    seen = _texts(docs, _sample(held, per_class), class_bytes).select("toxic", "text").mapInArrow(run, "toxic int, whole double, top double").toArrow()
-    x, y = np.column_stack([seen.column(c).to_numpy() for c in ("whole", "top")]), seen.column("toxic").to_numpy()
-    order = np.lexsort((x[:, 1], x[:, 0], y))  # rows come in any order, the weights must not
-    x, y = x[order], y[order]
-    weight = np.ones(len(y))
-    for k in (0, 1):
-        weight[y == k] = share.get(k, 0) / max(1, (y == k).sum())
-    model.weights = calibrate(x, y, weight) if len(set(y.tolist())) == 2 else np.array([10.0, 10.0, -10.0])
-    return model
+    rows = materialize(held.mapInArrow(run, "toxic int, whole double, top double"), "evidence")
+    share, number = ({r.toxic: r["count"] for r in x.groupBy("toxic").count().collect()} for x in (labels.where("part = 1"), rows))
+    return calibrate(rows, {k: share[k] / number[k] for k in number}) if len(number) == 2 else np.array([10.0, 10.0, -10.0])
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text in ``column``."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
-    sent = spark.sparkContext.broadcast(model)
+    if model.tables is None:
+        return docs.select("*", F.lit(0.0).alias(column))
+    common.small_batches(docs.sparkSession)
+    located, block = _with_block(docs)
+    return _scored(located, block, _word_scores(located, model.tables, block, "text"), model.weights, column)
+
+
+def fit_score(docs: DataFrame, labels: DataFrame, column: str = "score") -> DataFrame:
+    """``score`` of the documents that ``fit`` learned from; words are looked up once."""
+    common.small_batches(docs.sparkSession)
+    labels = _parts(labels)
+    located, block = _with_block(docs)
+    rows_of = _labelled(located.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(block).alias("_block")), labels)
+    tables = _learned(rows_of(0))
+    if tables is None:
+        return docs.select("*", F.lit(0.0).alias(column))
+    folder = _word_scores(located, tables, block, "text")
+    return _scored(located, block, folder, _weights(rows_of(1), folder, labels), column)
+
+
+def _with_block(docs: DataFrame) -> tuple[DataFrame, str]:
+    block = "_block" + "_" * max(map(len, docs.columns), default=0)  # longer than any name
+    return _located(docs, block), block
+
+
+def _scored(located: DataFrame, block: str, folder: str, weights: np.ndarray, column: str) -> DataFrame:
+    model, names = Model(None, weights), located.columns[:-1]
 
     def made(name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, a, b, data, offsets in common.each_run(batches, name("text"), RUN_BYTES):
-                yield common.with_columns(batch.slice(a, b - a), pa.array(sent.value.score(sent.value.evidence(data, offsets))))
+            beside = _Beside(folder)
+            for own, batch, a, b, data, offsets in _block_runs(batches, name(block), name("text")):
+                yield common.with_columns(batch.slice(a, b - a), pa.array(model.score(evidence(beside, own, data, offsets))))
         return run
-    return common.extended(docs, made, **{column: "double"})
+    scored = common.extended(located, made, **{column: "double"})
+    return scored.toDF(*[f"c{i}" for i in range(len(names))], "block", "score").drop("block").toDF(*names, column)

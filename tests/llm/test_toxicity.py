@@ -123,3 +123,45 @@ def test_the_sample_is_bounded_in_bytes(spark):
     got = {r.doc_id for r in X._texts(docs, labels.where("toxic = 0"), 5000).collect()}
     assert got == want and 3 < len(got) < len(order)
     assert {r.doc_id for r in X._texts(docs, labels, 1 << 40).collect()} == set(size)
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """More rows of a class than the sample held before: none is left out."""
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)), int(i % 10 == 0)) for i in range(7000)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], LABELS)
+    counted = labels.where("pmod(xxhash64(doc_id, 1), 4) <> 3").join(docs, "doc_id").select("text", "toxic").collect()
+    assert sum(not r.toxic for r in counted) > 4000
+    data, offsets = common.utf8(pa.array([r.text for r in counted]))
+    starts, lengths, _, _ = X.word_bytes(data, offsets)
+    assert np.array_equal(X.fit(docs, labels).keys, np.unique(X.ngram_keys(data, starts, lengths)[1]))
+
+
+def test_words_meet_their_ngrams(spark, tmp_path, monkeypatch):
+    """Scores from the blocks' files against plain lookups in the whole tables."""
+    monkeypatch.setattr(X, "RUN_ROWS", 3)
+    monkeypatch.setattr(X, "BLOCK_ROWS", 7)
+    rng = random.Random(9)
+    words = ["".join(rng.choices("ab\u00e9C", k=rng.choice([1, 2, 3, 4, 9, 10, 11, 12, 13, 30]))) for _ in range(150)]
+    seen = [(i, " ".join(rng.choices(words[:100], k=20)), i % 2) for i in range(30)]
+    texts = ["", "12", *[" ".join(rng.choices(words, k=rng.randint(1, 9))) for _ in range(60)]]
+    tables = X.materialize(X._estimated(X._count(spark.createDataFrame(seen, "doc_id long, text string, toxic int"))), "test")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_block long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    got = X.score(spark.read.parquet(f"{tmp_path}/docs"), X.Model(tables, np.array([1.0, 0, 0])), "p")
+    assert got.columns == ["_block", "text", "p"]
+    arrays, by = X._arrays(tables), {r["_block"]: r.p for r in got.collect()}
+    for i, text in enumerate(texts):
+        starts, lengths, _, _ = X.word_bytes(*(run := common.utf8(pa.array([text]))))
+        _, key, context = X.ngram_keys(run[0], starts, lengths)
+        want = X._found(*arrays, key, context).sum() / max(1, len(key))
+        assert abs(by[i] - 1 / (1 + np.exp(-want))) < 1e-7
+
+
+def test_learning_and_scoring_in_one(spark):
+    rows = corpus(300)
+    docs = spark.createDataFrame([(i, t, "clash") for i, t, _ in rows] + [(None, "no id", None), (3, None, None)], DOCS)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 5], LABELS)
+    one, two = X.fit_score(docs, labels, "p"), X.score(docs, X.fit(docs, labels), "p")
+    assert one.columns == two.columns == ["doc_id", "text", "score", "p"]
+    a, b = (sorted((r.doc_id or -1, r.text or "", r.p) for r in x.collect()) for x in (one, two))
+    assert [r[:2] for r in a] == [r[:2] for r in b] and max(abs(x[2] - y[2]) for x, y in zip(a, b, strict=True)) < 1e-9
