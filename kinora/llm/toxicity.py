@@ -194,8 +194,8 @@ def _merged(found: Iterator[pa.RecordBatch], keys: list[str], sums: list[str]) -
     pa.default_memory_pool().release_unused()
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """(word, toxic count, ordinary count) of each word of the texts."""
+def _words(docs: DataFrame, pick) -> DataFrame:
+    """(word, toxic count, ordinary count) of each word of the texts that ``pick`` leaves."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             starts, lengths, doc, hashes = word_bytes(data, offsets)
@@ -205,9 +205,9 @@ def _words(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([spelled(data, starts[first], lengths[first]), *map(pa.array, counts)], ["word", "t", "o"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _merged(each(batches), ["word"], ["t", "o"])
+        yield from _merged(each(pick(batches)), ["word"], ["t", "o"])
     # Words that begin alike meet in a task, and so do most of their n-grams.
-    found = docs.select("text", "toxic").mapInArrow(run, "word binary, t long, o long").withColumn("begins", F.substring("word", 1, 3))
+    found = docs.mapInArrow(run, "word binary, t long, o long").withColumn("begins", F.substring("word", 1, 3))
     return found.repartition("begins").groupBy("begins", "word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
@@ -221,15 +221,15 @@ def _summed(head: np.ndarray, tail: np.ndarray, *counts: np.ndarray) -> list[np.
     return [head[begin], tail[begin], *(np.add.reduceat(c[order], begin) for c in counts)]
 
 
-def _count(docs: DataFrame) -> DataFrame:
-    """(head, tail, toxic count, ordinary count) of the n-grams of the texts, from the
-    words' counts; an n-gram may come in several rows."""
+def _count(docs: DataFrame, pick=iter) -> DataFrame:
+    """(head, tail, toxic count, ordinary count) of the n-grams of the texts that ``pick``
+    leaves, from the words' counts; an n-gram may come in several rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
             word, head, tail = ngram_bytes(*_word_column(table.column("word")))
             head, tail, t, o = _summed(head, tail, *(table.column(c).to_numpy()[word] for c in ("t", "o")))
             yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), pa.array(t), pa.array(o)], ["head", "tail", "t", "o"])
-    return _words(docs).select("word", "t", "o").mapInArrow(run, "head long, tail long, t long, o long")
+    return _words(docs, pick).select("word", "t", "o").mapInArrow(run, "head long, tail long, t long, o long")
 
 
 @dataclass
@@ -454,13 +454,13 @@ class _Beside:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame):
-    """A function that gives (text, toxic), and the block, of the documents whose label has
-    a number in ``part``."""
+    """A function that gives, for the number of a part, a function that leaves of batches of
+    (doc_id, text, _block) the documents of that part, with their label as ``toxic``."""
     ids = docs.select("doc_id", F.col("_block").alias("block")).join(labels, "doc_id")
     folder = _put_beside(ids.select("block", F.col("doc_id").alias("id"), (F.col("toxic") + 2 * F.col("part")).cast("double").alias("value")), "labels")
 
-    def of(part: int) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(part: int):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             beside = _Beside(folder)
             for batch in batches:
                 block, ids = batch.column("_block").to_numpy(), batch.column("doc_id")
@@ -474,23 +474,23 @@ def _labelled(docs: DataFrame, labels: DataFrame):
                 keep = pa.array(np.flatnonzero(known))
                 yield pa.RecordBatch.from_arrays([batch.column("text").take(keep), pa.array(toxic).take(keep), batch.column("_block").take(keep)],
                                                  ["text", "toxic", "_block"])
-        return docs.select("doc_id", "text", "_block").mapInArrow(run, "text string, toxic int, _block long")
+        return pick
     return of
 
 
-def _word_scores(docs: DataFrame, tables: DataFrame, block: str, text: str) -> str:
-    """Folder with a file of the scores of the distinct words of each block of ``docs``,
-    by the words' hashes.  Words meet the n-grams that begin like them; only n-grams
+def _word_scores(docs: DataFrame, tables: DataFrame, pick=iter) -> str:
+    """Folder with a file of the scores of the distinct words of each block of (text,
+    _block) rows that ``pick`` leaves, by the words' hashes.  Words meet the n-grams that begin like them; only n-grams
     inside long words are joined one by one."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, _, _, _, data, offsets in _block_runs(batches, "block", "text"):
+        for own, _, _, _, data, offsets in _block_runs(batches, "_block", "text"):
             starts, lengths, _, hashes = word_bytes(data, offsets)
             first = np.unique(hashes, return_index=True)[1]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), own, np.int32)), spelled(data, starts[first], lengths[first])], ["block", "word"])
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _merged(each(batches), ["block", "word"], [])
-    words = materialize(docs.select(F.col(block).alias("block"), F.col(text).alias("text")).mapInArrow(words_of, "block int, word binary")
+        yield from _merged(each(pick(batches)), ["block", "word"], [])
+    words = materialize(docs.mapInArrow(words_of, "block int, word binary")
                         .groupBy("word").agg(F.collect_set("block").alias("blocks")), "words")
     # These hold three bytes of a word at most, which bounds their number.
     sent = docs.sparkSession.sparkContext.broadcast(_arrays(tables.where(F.col("begins") == SHORT)))
@@ -619,12 +619,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int | None = None, class_
     if per_class is not None and class_bytes is not None:
         few = [_texts(docs, _sample(labels.where(F.col("part") == i), per_class), class_bytes).select("doc_id") for i in (0, 1)]
         labels = labels.join(few[0].unionAll(few[1]).distinct(), "doc_id")
-    rows_of = _labelled(docs, labels)
-    tables = _learned(rows_of(0))
+    part = _labelled(docs, labels)
+    tables = _learned(docs, part(0))
     if tables is None:
         return Model(None, np.zeros(3))
-    folder = _word_scores(rows_of(1), tables, "_block", "text")
-    return Model(tables, _weights(rows_of(1), folder, labels))
+    folder = _word_scores(docs, tables, part(1))
+    return Model(tables, _weights(docs, part(1), folder, labels))
 
 
 def _parts(labels: DataFrame) -> DataFrame:
@@ -634,21 +634,21 @@ def _parts(labels: DataFrame) -> DataFrame:
             .withColumn("part", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3).cast("int")))
 
 
-def _learned(rows: DataFrame) -> DataFrame | None:
-    """The tables of (text, toxic) rows, if there are words of both classes."""
-    counted = materialize(_count(rows), "ngrams")
+def _learned(docs: DataFrame, pick) -> DataFrame | None:
+    """The tables of the documents that ``pick`` leaves, if there are words of both classes."""
+    counted = materialize(_count(docs, pick), "ngrams")
     seen = counted.agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
     return materialize(_estimated(counted), "tables") if seen.t and seen.o else None
 
 
-def _weights(held: DataFrame, folder: str, labels: DataFrame) -> np.ndarray:
+def _weights(docs: DataFrame, pick, folder: str, labels: DataFrame) -> np.ndarray:
     """The calibration on the labelled documents that were not counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beside = _Beside(folder)
-        for block, batch, a, b, data, offsets in _block_runs(batches, "_block", "text"):
+        for block, batch, a, b, data, offsets in _block_runs(pick(batches), "_block", "text"):
             e = evidence(beside, block, data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(a, b - a), pa.array(e[:, 0]), pa.array(e[:, 1])], ["toxic", "whole", "top"])
-    rows = materialize(held.mapInArrow(run, "toxic int, whole double, top double"), "evidence")
+    rows = materialize(docs.mapInArrow(run, "toxic int, whole double, top double"), "evidence")
     share, number = ({r.toxic: r["count"] for r in x.groupBy("toxic").count().collect()} for x in (labels.where("part = 1"), rows))
     return calibrate(rows, {k: share[k] / number[k] for k in number}) if len(number) == 2 else np.array([10.0, 10.0, -10.0])
 
@@ -659,7 +659,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
         return docs.select("*", F.lit(0.0).alias(column))
     common.small_batches(docs.sparkSession)
     located, block = _with_block(docs)
-    return _scored(located, block, _word_scores(located, model.tables, block, "text"), model.weights, column)
+    return _scored(located, block, _word_scores(_plain(located, block), model.tables), model.weights, column)
 
 
 def fit_score(docs: DataFrame, labels: DataFrame, column: str = "score") -> DataFrame:
@@ -667,12 +667,17 @@ def fit_score(docs: DataFrame, labels: DataFrame, column: str = "score") -> Data
     common.small_batches(docs.sparkSession)
     labels = _parts(labels)
     located, block = _with_block(docs)
-    rows_of = _labelled(located.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(block).alias("_block")), labels)
-    tables = _learned(rows_of(0))
+    rows = _plain(located, block, F.col("doc_id").cast("long").alias("doc_id"))
+    part = _labelled(rows, labels)
+    tables = _learned(rows, part(0))
     if tables is None:
         return docs.select("*", F.lit(0.0).alias(column))
-    folder = _word_scores(located, tables, block, "text")
-    return _scored(located, block, folder, _weights(rows_of(1), folder, labels), column)
+    folder = _word_scores(_plain(located, block), tables)
+    return _scored(located, block, folder, _weights(rows, part(1), folder, labels), column)
+
+
+def _plain(located: DataFrame, block: str, *more: Column) -> DataFrame:
+    return located.select(*more, "text", F.col(block).alias("_block"))
 
 
 def _with_block(docs: DataFrame) -> tuple[DataFrame, str]:
