@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import posixpath
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -60,9 +62,28 @@ def claim(name: str | None, clear=None) -> None:
     if _CLAIMED[0] != name:
         if _CLAIMED[1] is not None:
             _CLAIMED[1]()
+            release()
         _CLAIMED[:] = [name, clear]
 
 
+def release() -> None:
+    """Give what this worker has freed back to the system, as far as its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run):
+    """``run`` over Arrow batches, which ends with ``release``: workers wait for further
+    tasks beside those at work, and what they hold counts for the executor meanwhile."""
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+    return whole
+
+
 # -- files that tasks write and read -------------------------------------------
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder that all executors share."""

@@ -547,6 +547,7 @@ def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, col
     common.small_batches(docs.sparkSession)
 
     def made(name):
+        @common.released
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common.claim("merge_dropout", _forget)
             codec = codec_of(model, seed, dropout)
@@ -566,6 +567,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded
     """``rows`` with the text of each array of ids in ``column``."""
 
     def made(name):
+        @common.released
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common.claim("merge_dropout", _forget)
             codec = decoder_of(model)

@@ -10,8 +10,9 @@ in 6,667, and closer ones more rarely.  At 0.85 that takes 10 bundles a side (on
 
 1. One pass makes each document's set of 5-word shingles, its digest and its bundles.
 2. Documents of equal sets fall into one class, the smallest doc_id stands for it.
-3. Members of a table bucket are tied to the bucket's smallest document: no pairs.
-   Components of these ties are the candidate groups.
+3. Bundles that no other document has are left out, which for most documents are all;
+   the others become table keys.  Members of a table bucket are tied to the bucket's
+   smallest document: no pairs.  Components of these ties are the candidate groups.
 4. The full sets of a candidate group meet in one task, which links them exactly.  It
    sweeps from one document over those not reached yet, the most central first, so a
    group of near copies costs about one sweep.  A group of more than ``GROUP_SHINGLES``
@@ -41,6 +42,8 @@ from kinora.llm import common
 from kinora.llm.components import connected_components
 from kinora.session import materialize
 
+#: Text that is hashed at once; its words' arrays take some tens of bytes a letter.
+RUN_BYTES = 1 << 18
 #: Shingles that one task links at once (8 bytes each, several copies in memory).
 GROUP_SHINGLES = 2_000_000
 #: Table keys that one task makes and counts, and the most tasks.
@@ -73,8 +76,9 @@ def signatures(docs: DataFrame, tables_per_side: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, the set's 128-bit digest (h1, h2) and two arrays of bundles."""
     odd = _functions(2 * tables_per_side * rows)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches):
+        for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             sets = list(common.shingle_sets(data, offsets))
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
@@ -95,21 +99,37 @@ def signatures(docs: DataFrame, tables_per_side: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>")
 
 
-def _ties(classes: DataFrame, tables: int) -> DataFrame:
+def _shared(classes: DataFrame) -> DataFrame:
+    """(rep, a, b): each class with those of its bundles, as (place, bundle), that another
+    document has too, if there are such on both sides.  A table key that documents share
+    takes a shared bundle of either side, so the others need not become keys."""
+    sides = classes.where("doc_id = rep and n_shingles > 0").select(
+        "rep", "h1", F.size("a").alias("first"), F.posexplode(F.concat("a", "b")).alias("i", "x"))
+    several = sides.groupBy("i", "x").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("i", "x")
+    side = lambda own, place: F.collect_set(F.when(own, F.struct(place.alias("i"), "x")))
+    at, first = F.col("i"), F.col("first")
+    # By the digest too: a doc_id may come with several texts.
+    return (sides.join(several, ["i", "x"]).groupBy("rep", "h1").agg(side(at < first, at).alias("a"), side(at >= first, at - first).alias("b"))
+            .where((F.size("a") > 0) & (F.size("b") > 0)).select("rep", "a", "b"))
+
+
+def _ties(classes: DataFrame) -> DataFrame:
     """(a, b): each member of a table bucket with the bucket's smallest document.  The
-    bundles are dealt before they become ``tables`` keys a document, so that a task counts
-    ``TASK_KEYS`` however few files the classes are in."""
-    reps = classes.where("doc_id = rep and n_shingles > 0").select("rep", "a", "b")
-    tasks = min(MOST_TASKS, max(1, -(-reps.count() * tables // TASK_KEYS)))
-    keys = (reps.repartition(tasks, "rep").select("rep", F.posexplode("a").alias("i", "x"), "b")
-            .select("rep", "i", "x", F.posexplode("b").alias("j", "y")).select("rep", F.xxhash64("i", "j", "x", "y").alias("key")))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").drop("last")
-    return keys.join(shared, "key").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    shared bundles are dealt before they become keys, so that a task counts ``TASK_KEYS``
+    however few files they are in."""
+    shared = materialize(_shared(classes), "shared")
+    number = shared.agg(F.sum(F.size("a") * F.size("b"))).first()[0] or 0
+    tasks = min(MOST_TASKS, max(1, -(-number // TASK_KEYS)))
+    keys = (shared.repartition(tasks, "rep").select("rep", F.explode("a").alias("x"), "b").select("rep", "x", F.explode("b").alias("y"))
+            .select("rep", F.xxhash64("x.i", "y.i", "x.x", "y.x").alias("key")))
+    buckets = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").drop("last")
+    return keys.join(buckets, "key").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def _sets(docs: DataFrame) -> DataFrame:
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, data, offsets in common.each_run(batches):
+        for batch, a, b, data, offsets in common.each_run(batches, most=RUN_BYTES):
             sets = [s.tobytes() for s in common.shingle_sets(data, offsets)]
             part = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("grp"), part.column("blocks"), pa.array(sets, pa.binary())],
@@ -170,6 +190,7 @@ def _rooted(ids: list[int], pairs: list[tuple[int, int]]) -> dict[int, int]:
 def _links(sets: DataFrame, least: int) -> DataFrame:
     """(a, b): every document that has an exact link within its (group, block pair), and
     the smallest it reaches there; rows are streamed in sorted order."""
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, own = None, [], []
 
@@ -209,7 +230,7 @@ def near_duplicates(docs: DataFrame, least: int = 85, tables_per_side: int | Non
         "rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id"))).select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"), "h1", "h2",
         F.when(F.col("doc_id") == F.col("rep"), F.col("a")).alias("a"), F.when(F.col("doc_id") == F.col("rep"), F.col("b")).alias("b")), "classes")
-    groups = connected_components(_ties(classes, tables_per_side ** 2))
+    groups = connected_components(_ties(classes))
     own = classes.where("doc_id = rep").groupBy(F.col("rep").alias("node")).agg(F.sum("n_shingles").alias("n"))
     members = groups.join(own, "node")
     weight = members.groupBy("component").agg(F.ceil(F.sum("n") / group_shingles * 2).cast("int").alias("blocks"))

@@ -204,6 +204,7 @@ def _words(docs: DataFrame, pick) -> DataFrame:
             counts = [np.bincount(of, weights=toxic == k, minlength=len(first)).astype(np.int64) for k in (1, 0)]
             yield pa.RecordBatch.from_arrays([spelled(data, starts[first], lengths[first]), *map(pa.array, counts)], ["word", "t", "o"])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _merged(each(pick(batches)), ["word"], ["t", "o"])
     # Words that begin alike meet in a task, and so do most of their n-grams.
@@ -224,6 +225,7 @@ def _summed(head: np.ndarray, tail: np.ndarray, *counts: np.ndarray) -> list[np.
 def _count(docs: DataFrame, pick=iter) -> DataFrame:
     """(head, tail, toxic count, ordinary count) of the n-grams of the texts that ``pick``
     leaves, from the words' counts; an n-gram may come in several rows."""
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
             word, head, tail = ngram_bytes(*_word_column(table.column("word")))
@@ -334,6 +336,7 @@ def _estimated(counted: DataFrame) -> DataFrame:
     single = single_bytes(pair)
     double = pair_bytes(before.reshape(256, 256), single)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
@@ -408,6 +411,7 @@ def _put_beside(rows: DataFrame, purpose: str) -> str:
     """Writes (block, id, value) as one file per block, in the order of the ids."""
     folder = work_dir(rows.sparkSession, purpose)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def write(block: int, held: list) -> None:
             columns = [np.concatenate(x) for x in zip(*held, strict=True)]
@@ -488,6 +492,7 @@ def _word_scores(docs: DataFrame, tables: DataFrame, pick=iter) -> str:
             first = np.unique(hashes, return_index=True)[1]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), own, np.int32)), spelled(data, starts[first], lengths[first])], ["block", "word"])
 
+    @common.released
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _merged(each(pick(batches)), ["block", "word"], [])
     words = materialize(docs.mapInArrow(words_of, "block int, word binary")
@@ -510,6 +515,7 @@ def _word_scores(docs: DataFrame, tables: DataFrame, pick=iter) -> str:
         ids, value = (np.concatenate(x) for x in zip(*out, strict=True))
         return pa.table([pa.array(ids), words.column("blocks"), pa.array(value)], ["id", "blocks", "value"])
 
+    @common.released
     def inner_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
             data, starts, lengths = _word_column(table.column("word"))
@@ -643,6 +649,7 @@ def _learned(docs: DataFrame, pick) -> DataFrame | None:
 
 def _weights(docs: DataFrame, pick, folder: str, labels: DataFrame) -> np.ndarray:
     """The calibration on the labelled documents that were not counted."""
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beside = _Beside(folder)
         for block, batch, a, b, data, offsets in _block_runs(pick(batches), "_block", "text"):
@@ -689,6 +696,7 @@ def _scored(located: DataFrame, block: str, folder: str, weights: np.ndarray, co
     model, names = Model(None, weights), located.columns[:-1]
 
     def made(name):
+        @common.released
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             beside = _Beside(folder)
             for own, batch, a, b, data, offsets in _block_runs(batches, name(block), name("text")):

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kinora.llm import minhash_dedup as M
 from kinora.llm.components import connected_components
@@ -123,3 +124,27 @@ def test_pairs_at_a_lower_threshold_meet(spark):
         words = [f"{i}x{k}" for k in range(49)]
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:24], "other", *words[25:]]))]
     assert sum(not r.kept for r in run(spark, rows, least=80)) >= 2999
+
+
+def test_only_bundles_that_others_share_become_keys(spark):
+    """Ties are those of all pairs of bundles, and a document that no other is like makes no key."""
+    rows = corpus(9) + [(9000 + i, " ".join(f"{i}y{k}" for k in range(30))) for i in range(200)]
+    sig = M.signatures(spark.createDataFrame(rows, "doc_id long, text string"), 10, 3).withColumn("rep", F.col("doc_id")).localCheckpoint()
+    bundles = {(r.rep, r.n_shingles): ([*enumerate(r.a)], [*enumerate(r.b)]) for r in sig.collect() if r.rep is not None and r.n_shingles}
+    buckets = {}
+    for (rep, _), (a, b) in bundles.items():
+        for x in a:
+            for y in b:
+                buckets.setdefault((x, y), set()).add(rep)
+    ties = {(i, min(own)) for own in buckets.values() for i in own if i > min(own)}
+    assert ties and {tuple(r) for r in M._ties(sig).collect()} == ties
+    shared = [r.rep for r in M._shared(sig).collect()]
+    assert {i for t in ties for i in t} <= set(shared) and max(shared) < 9000
+
+
+def test_a_repeated_id_makes_keys_in_proportion(spark):
+    """Many texts of one doc_id and copies of one row: each text has keys of its own bundles only."""
+    texts = [" ".join(f"{i}z{k}" for k in range(30)) for i in range(50)]
+    rows = [(1, t) for t in texts] + [(2, t) for t in texts] + [(3, texts[0])] * 20
+    sig = M.signatures(spark.createDataFrame(rows, "doc_id long, text string"), 10, 3).withColumn("rep", F.col("doc_id"))
+    assert sorted((r.rep, len(r.a), len(r.b)) for r in M._shared(sig).collect()) == [(1, 10, 10)] * 50 + [(2, 10, 10)] * 50 + [(3, 10, 10)]
