@@ -174,6 +174,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, column: str = "items", least: in
         sent = spark.sparkContext.broadcast(Items([r.item_id for r in own], [r.text for r in own], least, min_words))
 
         def made(name, sent=sent):
+            @common.released
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch, a, b, data, offsets in common.each_run(batches, name("text")):
                     found: list[set[int]] = [set() for _ in range(b - a)]

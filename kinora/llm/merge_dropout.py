@@ -4,7 +4,7 @@ Candidate merges of neighbouring symbols stand in an agenda, best score and then
 leftmost first.  Each candidate taken from it is skipped with probability ``dropout`` by
 a keyed hash of (seed, doc_id, occurrence, place, piece), where a word's occurrence is its
 number in the document, so the same seed gives the same ids anywhere, another seed other
-segmentations, and every occurrence of a word its own draws.  A worker keeps of each word
+segmentations, and every occurrence of a word its own draws.  A task keeps of each word
 that it has met twice the ids and the candidates taken when none is skipped: the root of a
 tree whose further nodes have those of a skip more.  An occurrence goes down by its own draws
 to the node that skips what it skips; where the tree ends it is segmented afresh, many at once.
@@ -35,16 +35,16 @@ from pyspark.sql import DataFrame
 from kinora.llm import common
 from kinora.llm.pieces import MARK, Pieces, words
 
-#: Words that a worker keeps; with more it forgets all before the next run of texts.
-MEMO_WORDS = 400_000
+#: Words that a task keeps; with more it forgets all before the next run of texts.
+MEMO_WORDS = 200_000
 #: Words of more symbols keep their candidates in a heap, shorter ones in a list.
 SHORT = 32
-#: Candidates that a worker keeps, of all its words' trees.
-MEMO_CODES = 4_000_000
+#: Candidates that a task keeps, of all its words' trees.
+MEMO_CODES = 1_000_000
 #: Words that are segmented at the same time, and occurrences whose draws are.
 ROWS, DRAWS = 2048, 1 << 16
 #: Ids that are decoded at the same time; a longer document stands alone.
-DECODED = 1 << 18
+DECODED = 1 << 16
 #: Fewer new nodes than this of one depth are not worth making.
 FEW = 48
 #: A node's skips are the bits of one number, so those after that many candidates have no node.
@@ -452,6 +452,10 @@ class Codec(Decoder):
         codes = np.concatenate([np.zeros(0, np.uint32), *(c for _, c in taken)])
         return ids.astype(np.uint16), n, codes[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(parts))
 
+    def forget(self) -> None:
+        """The words kept so far go."""
+        self.memo = Words(self._split)
+
     def encode_many(self, ids: list, texts: list[str]) -> list[bytes]:
         """Serialised 16-bit ids of whole texts."""
         flat, n = self.encoded(ids, texts)
@@ -462,7 +466,8 @@ class Codec(Decoder):
         """(ids, their number a text) of whole texts."""
         memo = self.memo
         if len(memo) > self.memo_words or memo.chars > 64 * MEMO_WORDS or memo.codes.n > MEMO_CODES:
-            memo = self.memo = Words(self._split)
+            self.forget()
+            memo = self.memo
         numbers = [list(map(memo.__getitem__, words(t))) for t in texts]
         size = np.fromiter(map(len, numbers), np.int64, len(numbers))
         every = np.fromiter(itertools.chain.from_iterable(numbers), np.int64, int(size.sum()))
@@ -528,7 +533,7 @@ class Codec(Decoder):
 
 @functools.lru_cache(maxsize=2)
 def codec_of(path: str, seed: int, dropout: float, memo_words: int = MEMO_WORDS) -> Codec:
-    """One codec per worker process, so that its memo outlives a task."""
+    """One codec per worker process, so that the model is read once."""
     return Codec(path, seed, dropout, memo_words)
 
 
@@ -559,6 +564,7 @@ def encode(docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, col
                     found, n = codec.encoded(part.column(name("doc_id")).to_pylist(), [t or "" for t in texts.to_pylist()])
                     cut = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                     yield common.with_columns(part, pa.ListArray.from_arrays(cut, pa.array(found.astype(np.int32)), mask=texts.is_null()))
+            codec.forget()  # workers take turns, so all that wait would hold words too
         return run
     return common.extended(docs, made, **{column: "array<int>"})
 

@@ -111,3 +111,14 @@ def test_the_query_and_the_stage_search_short_items(spark, tmp_path):
     spark.createDataFrame([(7, "four short words")], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.doc_id: r["items"] for r in QUERIES["op9_decontaminate"](spark, str(tmp_path)).collect()} == {1: "7", 2: ""}
     assert [r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+def test_a_task_gives_back_what_it_has_freed(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c", "")], DOCS)
+    monkeypatch.setattr(common, "extended", lambda df, made, **added: made(str))
+    run = D.flag(docs, spark.createDataFrame([(5, "b c")], ITEMS), "_items", min_words=1)
+    released = []
+    monkeypatch.setattr(common, "release", lambda: released.append(1))
+    monkeypatch.setattr(common, "_CLAIMED", [None, None])
+    out = list(run(iter([pa.RecordBatch.from_pydict({"text": ["a b c", "c b", None]})])))
+    assert [b.column(1).to_pylist() for b in out] == [[[5], [], []]] and released == [1]

@@ -1,4 +1,5 @@
 import random
+import types
 from collections import Counter
 
 import numpy as np
@@ -146,3 +147,35 @@ def test_lists_are_decoded_like_one():
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert M.decode(M.encode(docs, MODEL), MODEL, column="back").collect() == []
+
+
+def task_of(monkeypatch, operator, *args):
+    """What a task of an operator runs over its Arrow batches."""
+    monkeypatch.setattr(M.common, "small_batches", lambda spark: None)
+    monkeypatch.setattr(M.common, "extended", lambda df, made, **added: made(str))
+    return operator(types.SimpleNamespace(sparkSession=None), *args)
+
+
+def test_a_worker_that_waits_keeps_no_words(monkeypatch):
+    texts = [" ".join(f"word{i}x{j}" for j in range(300)) for i in range(4)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4)), "text": texts})
+    run, codec = task_of(monkeypatch, M.encode, MODEL, 3, 0.1), M.codec_of(MODEL, 3, 0.1)
+    out = next(task := run(iter([batch])))
+    assert len(codec.memo) >= 1200 and out.num_rows == 4  # kept as long as the task runs
+    assert list(task) == [] and M.codec_of(MODEL, 3, 0.1) is codec
+    assert not len(codec.memo) and not codec.memo.parts and not codec.memo.codes.n
+    assert next(run(iter([batch]))).equals(out)
+
+
+def test_words_and_ids_at_a_time_are_bounded(monkeypatch):
+    codec = M.Codec(MODEL, 3, 0.1)
+    most = 0
+    for i in range(12):
+        codec.encode_many([i], [" ".join(f"{i}.{j}" for j in range(40_000))])
+        most = max(most, len(codec.memo))
+    assert most < 250_000
+    ids = [codec.encode_many([i], ["some words " * 3_000]) for i in range(40)]
+    lists = pa.array([np.frombuffer(x[0], "<u2").astype(np.int32) for x in ids])
+    out = list(task_of(monkeypatch, M.decode, MODEL)(iter([pa.RecordBatch.from_pydict({"ids": lists})])))
+    assert max(len(b.column(0).flatten()) for b in out) <= 1 << 16
+    assert [x for b in out for x in b.column(1).to_pylist()] == ["some words " * 3_000] * 40
