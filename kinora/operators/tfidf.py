@@ -12,20 +12,25 @@ Weighting (the reference's vectoriser settings):
 Plan: only texts are shuffled by document.  They are dealt into blocks of about
 ``BLOCK_BYTES`` by id; tokens, n-grams and (doc, term) counts are made inside a block.
 For document frequencies a block sends each of its distinct terms once, with the number
-of its documents that have it; terms are summed up over the blocks, and those that at
-least two documents share go back to the blocks that have them.  Terms travel as sorted
-lists of equal numbers, which shuffle files compress well.  The join with the
-counts and the L2 norm stay inside the block, so neither moves a (doc, term) row.
+of its documents that have it, to the term's part, where they are summed up over the
+blocks.  The weights are worked out with Arrow and NumPy (``term_blocks``): a block is
+counted twice, first for its lists of terms, which get back the frequencies in the same
+order, then for the weights.  ``doc_vectors`` and ``term_counts`` stay in expressions:
+there terms that at least two documents share go back to the blocks that have them, as
+sorted lists of equal numbers, and the join with the counts stays inside the block.
+Neither moves a (doc, term) row.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinora.functions.stopwords import ENGLISH_STOP_WORDS
+from kinora.operators import term_blocks
 from kinora.session import default_parallelism
 
 # FIXED VALUE: token pattern equivalent to the vectoriser's (?u)\b\w\w+\b.
@@ -45,6 +50,13 @@ def token_array(text: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
     return F.filter(toks, lambda t: ~t.isin(list(stop_words)))
 
 
+def spaced(text: Column) -> Column:
+    """Lower-cased text whose tokens are ``token_array``'s for other regular expressions
+    too: what stands between them is a space, unless all characters are ASCII."""
+    low = F.lower(text)
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(F.regexp_replace(low, term_blocks.GAP_PATTERN, " "))
+
+
 # Zero-width match at each token start of the space-joined token string; the
 # lookahead captures "token next-token" (tokens never contain spaces).
 BIGRAM_PATTERN = r"(?:^| )(?=([^ ]+ [^ ]+))"
@@ -92,11 +104,23 @@ def _unpacked(lists: DataFrame, *keys: str) -> DataFrame:
     return lists.select(*keys, F.explode(F.split("terms", "\n")).alias("term"))
 
 
+def term_parts(spark: SparkSession, n_blocks: int) -> int:
+    return max(default_parallelism(spark), n_blocks // 2)
+
+
+def block_frequencies(lower: DataFrame, n_blocks: int, parts: int, ngram_max: int = 2) -> DataFrame:
+    """(b, p, df), dealt by the block: documents that have the block's terms of part ``p``,
+    in the order of ``term_blocks``; ``lower`` are blocks of ``spaced`` texts."""
+    lists = lower.groupBy("b").applyInArrow(term_blocks.term_lists(parts, ngram_max), term_blocks.LISTS_SCHEMA)
+    found = lists.repartitionById(parts, "p").groupBy("p").applyInArrow(term_blocks.frequencies, term_blocks.FREQUENCIES_SCHEMA)
+    return found.repartitionById(n_blocks, "b")
+
+
 def shared_terms(counts: DataFrame, n_blocks: int) -> DataFrame:
     """(b, p, term, df, tid) of each block's terms that at least two documents have, dealt
     by the term's part ``p``; ``tid`` numbers a term, the same in all blocks (store the
     rows before using it)."""
-    parts = max(default_parallelism(counts.sparkSession), n_blocks // 2)
+    parts = term_parts(counts.sparkSession, n_blocks)
     own = counts.groupBy("b", "term").agg(F.count(F.lit(1)).alias("n")).withColumn("p", F.pmod(F.hash("term"), F.lit(parts)))
     dealt = _unpacked(_packed(own, "b", "p", "n").repartitionById(parts, "p"), "b", "p", "n")
     term = Window.partitionBy("p", "term")  # one row a block at most
@@ -127,9 +151,8 @@ def tfidf_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   ngram_max: int = 2) -> DataFrame:
     """(doc_id, term, weight) with L2-normalised sublinear TF-IDF."""
     blocks, n = in_blocks(docs, id_col, text_col)
-    counts = block_counts(blocks, ngram_max)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    lists = _packed(shared_terms(counts, n), "b", "p", "df").repartitionById(n, "b")
-    raw = raw_weights(counts, _unpacked(lists, "b", "df"), n_docs)
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("b", "doc_id")))
-    return raw.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
+    lower = blocks.select("b", "doc_id", spaced(F.col("text")).alias("text"))
+    parts = term_parts(docs.sparkSession, n)
+    found = block_frequencies(lower, n, parts, ngram_max).withColumn("n_docs", docs.agg(F.count(F.lit(1))).scalar())
+    schema = T.StructType([lower.schema["doc_id"], T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())])
+    return lower.groupBy("b").cogroup(found.groupBy("b")).applyInArrow(term_blocks.weights(parts, ngram_max), schema)
